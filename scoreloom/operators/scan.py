@@ -13,23 +13,18 @@ So a long history need not be walked by one task:
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from scoreloom.functions.numeric import clamp
+from scoreloom.operators.kernels import IDENTITY as _IDENTITY
+from scoreloom.operators.kernels import PREFIX, chunk_kernel
 from scoreloom.session import new_table_path
 
-PREFIX = ("prefix_add", "prefix_low", "prefix_high")
-_INF = float("inf")
-_IDENTITY = (0.0, -_INF, _INF)
-
 
 def compose(first: tuple, second: tuple) -> tuple:
     """Composition of two clamp steps given as column triples."""
@@ -42,75 +37,10 @@ def apply_step(x: Column, step: tuple) -> Column:
     return clamp(x + add, low, high)
 
 
-def _prefixes(starts: np.ndarray, steps: list[np.ndarray]) -> list[np.ndarray]:
-    """Inclusive compositions within runs, by doubling the span that each row covers."""
-    add, low, high = steps
-    row = np.arange(len(add))
-    first = np.maximum.accumulate(np.where(starts, row, 0))
-    span, longest = 1, int((row - first).max())
-    while span <= longest:
-        at = np.flatnonzero(row - span >= first)
-        before, b, m, n = at - span, add[at], low[at], high[at]
-        new_low = np.minimum(np.maximum(low[before] + b, m), n)
-        new_high = np.minimum(np.maximum(high[before] + b, m), n)
-        new_add = add[before] + b
-        add[at], low[at], high[at] = new_add, new_low, new_high
-        span *= 2
-    return [add, low, high]
-
-
-def _run_starts(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
-    starts = np.zeros(batch.num_rows, dtype=bool)
-    starts[0] = True
-    for key in keys:
-        ends = pc.run_end_encode(batch.column(key)).run_ends.to_numpy(zero_copy_only=False)
-        starts[ends[:-1]] = True
-    return starts
-
-
-def _chunk_kernel(keys: Sequence[str], step: Sequence[str]):
-    """Arrow batches of one sorted partition -> same rows plus position and exclusive prefix."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, carry, offset = None, _IDENTITY, 0
-        for batch in batches:
-            size = batch.num_rows
-            if size == 0:
-                continue
-            starts = _run_starts(batch, keys)
-            steps = [batch.column(c).to_numpy(zero_copy_only=False).astype("float64").copy() for c in step]
-            head = tuple(batch.column(k)[0].as_py() for k in keys)
-            if head == last_key:  # the open run continues: start it from what was carried
-                b, m, n = (s[0] for s in steps)
-                steps[0][0] = carry[0] + b
-                steps[1][0] = min(max(carry[1] + b, m), n)
-                steps[2][0] = min(max(carry[2] + b, m), n)
-                opening = carry
-            else:
-                opening = _IDENTITY
-            inclusive = _prefixes(starts, steps)
-            exclusive = []
-            for values, neutral, begin in zip(inclusive, _IDENTITY, opening):
-                shifted = np.empty_like(values)
-                shifted[1:] = values[:-1]
-                shifted[starts] = neutral
-                shifted[0] = begin
-                exclusive.append(pa.array(shifted))
-            last_key = tuple(batch.column(k)[size - 1].as_py() for k in keys)
-            carry = tuple(float(v[-1]) for v in inclusive)
-            position = pa.array(np.arange(offset, offset + size, dtype="int64"))
-            offset += size
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, position, *exclusive],
-                names=[*batch.schema.names, "chunk_pos", *PREFIX])
-
-    return run
-
-
 def _with_kernel(df: DataFrame, keys: Sequence[str], step: Sequence[str]) -> DataFrame:
     schema = T.StructType([*df.schema.fields, T.StructField("chunk_pos", T.LongType()),
                            *[T.StructField(c, T.DoubleType()) for c in PREFIX]])
-    return df.mapInArrow(_chunk_kernel(tuple(keys), tuple(step)), schema)
+    return df.mapInArrow(chunk_kernel(tuple(keys), tuple(step)), schema)
 
 
 def _cols(names: Sequence[str], prefix: str = "") -> tuple:
@@ -152,13 +82,15 @@ def clamped_scan(spark: SparkSession, df: DataFrame, keys: Sequence[str], order:
     spread = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
     sorted_rows = spread.sortWithinPartitions(*by).withColumn("chunk", F.spark_partition_id())
     rows_path = new_table_path(spark, "scan-rows")
-    _with_kernel(sorted_rows, keys, step).write.parquet(rows_path)
-    rows = spark.read.parquet(rows_path)
+    staged = _with_kernel(sorted_rows, keys, step)
+    staged.write.parquet(rows_path)
+    rows = spark.read.schema(staged.schema).parquet(rows_path)
 
     carried_path = new_table_path(spark, "scan-carried")
-    _carried(rows, keys, step).coalesce(1).write.parquet(carried_path)
+    small = _carried(rows, keys, step).coalesce(1)
+    small.write.parquet(carried_path)
     # At most two rows per chunk, so its size is bounded by the partition count and not by the data.
-    carried = F.broadcast(spark.read.parquet(carried_path))
+    carried = F.broadcast(spark.read.schema(small.schema).parquet(carried_path))
 
     joined = rows.join(carried, ["chunk", *keys], "left")
     before = tuple(F.coalesce(F.col(f"carried_{c}"), F.lit(v)) for c, v in zip(PREFIX, _IDENTITY))

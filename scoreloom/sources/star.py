@@ -46,8 +46,17 @@ PLACES = (
 )
 
 
+# Schemas of the tables read, so that no job is spent on reading footers.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _choose(labels: tuple[str, ...], index: Column) -> Column:
@@ -57,8 +66,9 @@ def _choose(labels: tuple[str, ...], index: Column) -> Column:
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per nation: city, region, country and coordinates (25 rows by construction)."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    names = spark.createDataFrame(list(PLACES), "n_nationkey int, city string, country string, "
-                                               "latitude double, longitude double")
+    names = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"({key}, '{city}', '{country}', {lat}D, {lon}D)" for key, city, country, lat, lon in PLACES)
+        + " AS t(n_nationkey, city, country, latitude, longitude)")
     return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
             .join(F.broadcast(names), "n_nationkey")
             .select("n_nationkey", "city",
