@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import clamp, clamp01, number, pick, text
@@ -91,15 +91,23 @@ def distance_from_centre() -> Column:
                 default=F.abs(F.lit(111.32) * (d_lat * d_lat + d_lon * d_lon * F.lit(0.5))))
 
 
+def with_place_classes(df: DataFrame) -> DataFrame:
+    """Add tier and class first; the indices then reuse the two columns instead of repeating the word searches."""
+    return df.withColumns({"geographic_tier": geographic_tier(), "urban_class": urban_class()})
+
+
 def population_density() -> Column:
-    tier, kind, country = geographic_tier(), urban_class(), text("country")
+    """Needs the columns of :func:`with_place_classes`."""
+    tier, kind, country = F.col("geographic_tier"), F.col("urban_class"), text("country")
     return (pick(*[(tier == t, v) for t, v in TIER_DENSITY.items()], default=100.0)
             * pick(*[(kind == k, v) for k, v in CLASS_DENSITY.items()], default=1.0)
             * pick(*[(country.isin(*names), v) for v, names in COUNTRY_DENSITY.items()], default=1.0))
 
 
 def economic_index() -> Column:
-    tier, kind, country, region = geographic_tier(), urban_class(), text("country"), F.lower(text("region"))
+    """Needs the columns of :func:`with_place_classes`."""
+    tier, kind, country, region = (F.col("geographic_tier"), F.col("urban_class"), text("country"),
+                                   F.lower(text("region")))
     return clamp(
         pick(*[(country.isin(*names), v) for v, names in COUNTRY_ECONOMY.items()], default=55.0)
         + pick((_mentions(region, ("capital", "central")), 10.0))

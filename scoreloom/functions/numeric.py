@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 GRID = 1e6
+TIE = 1e-5  # a value within 1e-11 below a half goes up, so last-digit noise cannot decide a tie
 
 
 def on_grid(x: Column) -> Column:
@@ -14,7 +15,7 @@ def on_grid(x: Column) -> Column:
     Scores and changes live on this grid, so the order in which doubles are added up
     (per day, per chunk, per micro-batch) never shows in a result or moves a row across a band limit.
     """
-    return F.floor(x * F.lit(GRID) + F.lit(0.5)) / F.lit(GRID)
+    return F.floor(x * F.lit(GRID) + F.lit(0.5 + TIE)) / F.lit(GRID)
 
 
 def clamp(x: Column, low: Column | float, high: Column | float) -> Column:

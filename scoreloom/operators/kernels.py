@@ -83,3 +83,46 @@ def chunk_kernel(keys: Sequence[str], step: Sequence[str]):
                 names=[*batch.schema.names, "chunk_pos", *PREFIX])
 
     return run
+
+
+def sum_kernel(keys: Sequence[str], sums: Sequence[str], previous: Sequence[str]):
+    """Arrow batches of one sorted partition -> same rows plus position, sums before the row, and previous values.
+
+    Sums are over integer columns, so they are exact; both restart at every new key.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, totals, lasts, offset = None, [0] * len(sums), [None] * len(previous), 0
+        for batch in batches:
+            size = batch.num_rows
+            if size == 0:
+                continue
+            starts = _run_starts(batch, keys)
+            row = np.arange(size)
+            first = np.maximum.accumulate(np.where(starts, row, 0))
+            same = tuple(batch.column(k)[0].as_py() for k in keys) == last_key
+            out = [*batch.columns, pa.array(np.arange(offset, offset + size, dtype="int64"))]
+            for i, name in enumerate(sums):
+                own = batch.column(name).to_numpy(zero_copy_only=False).astype("int64")
+                before = np.cumsum(own) - own
+                before = before - before[first]
+                if same:
+                    before[first == 0] += totals[i]
+                totals[i] = int(before[-1] + own[-1])
+                out.append(pa.array(before))
+            for i, name in enumerate(previous):
+                values = batch.column(name)
+                at = pa.array(np.where(starts, -1, row - 1), mask=starts)
+                prior = values.take(at)
+                if same:
+                    head = pa.array([lasts[i]], type=values.type)
+                    prior = pa.concat_arrays([head, prior.slice(1)])
+                lasts[i] = values[size - 1].as_py()
+                out.append(prior)
+            last_key = tuple(batch.column(k)[size - 1].as_py() for k in keys)
+            offset += size
+            names = [*batch.schema.names, "chunk_pos", *[f"before_{c}" for c in sums],
+                     *[f"previous_{c}" for c in previous]]
+            yield pa.RecordBatch.from_arrays(out, names=names)
+
+    return run

@@ -164,8 +164,8 @@ def statistics_records(pe: DataFrame) -> DataFrame:
 
 
 def geography_records(pe: DataFrame) -> DataFrame:
-    return pe.select("country", "region", "city", geography.geographic_tier().alias("geographic_tier"),
-                     geography.urban_class().alias("urban_rural"), "processing_id", "latitude", "longitude",
+    pe = geography.with_place_classes(pe)
+    return pe.select("country", "region", "city", "geographic_tier", F.col("urban_class").alias("urban_rural"), "processing_id", "latitude", "longitude",
                      F.col("new_score").alias("regional_score_avg"),
                      geography.geographic_mobility().alias("geographic_mobility"),
                      geography.distance_from_centre().alias("distance_from_center"),

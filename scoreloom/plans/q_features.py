@@ -55,8 +55,8 @@ def _(spark, d):
     "geographic_tier", "urban_class", "geographic_mobility", "distance_from_centre", "population_density",
     "economic_index") + " FROM pe"))
 def _(spark, d):
-    return processed(spark, d).select("event_id", *_t(
-        geographic_tier=geography.geographic_tier(), urban_class=geography.urban_class()), *_g(
+    df = geography.with_place_classes(processed(spark, d))
+    return df.select("event_id", "geographic_tier", "urban_class", *_g(
         geographic_mobility=geography.geographic_mobility(), distance_from_centre=geography.distance_from_centre(),
         population_density=geography.population_density(), economic_index=geography.economic_index()))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 
 def r6(x: str) -> str:
-    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
+    return f"(floor(({x}) * 1e6 + 0.50001::DOUBLE) / 1e6)"
 
 
 def tstr(x: str) -> str:
