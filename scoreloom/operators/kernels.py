@@ -126,3 +126,31 @@ def sum_kernel(keys: Sequence[str], sums: Sequence[str], previous: Sequence[str]
             yield pa.RecordBatch.from_arrays(out, names=names)
 
     return run
+
+
+def cooldown_kernel(keys: Sequence[str]):
+    """Per-second firing counts in order -> how many of each second are accepted, and when the period ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, until, used = None, None, 0
+        for batch in batches:
+            size = batch.num_rows
+            if size == 0:
+                continue
+            starts = _run_starts(batch, keys)
+            starts[0] = tuple(batch.column(k)[0].as_py() for k in keys) != last_key
+            second, length, limit, n = (batch.column(c).to_numpy(zero_copy_only=False).tolist()
+                                        for c in ("second", "cooldown_seconds", "max_in_period", "n"))
+            quota, ends = [0] * size, [0] * size
+            for i, begins in enumerate(starts.tolist()):
+                if begins or second[i] >= until:
+                    until, used = second[i] + length[i], 0
+                quota[i] = min(n[i], limit[i] - used)
+                used += quota[i]
+                ends[i] = until
+            last_key = tuple(batch.column(k)[size - 1].as_py() for k in keys)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(quota, pa.int64()), pa.array(ends, pa.int64())],
+                names=[*batch.schema.names, "quota", "period_end"])
+
+    return run

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.numeric import number, on_grid, pick, text
+from scoreloom.functions.numeric import on_grid, pick, text
 from scoreloom.functions.scoring import rule_score
 from scoreloom.model import RULE, Condition, Rule, ScoreConfig
 
@@ -287,6 +287,15 @@ def apply_rule_table(df: DataFrame, rules: DataFrame) -> DataFrame:
     }).drop("named", "wild", "candidates", "payload_map"))
 
 
+def matching_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """Event and rule pairs whose types match (C1). Named types are an equi-join; wildcards are added to every event."""
+    names = ["event_id", "rule_id"]
+    named = df.select("event_id", "event_type").join(
+        rules.filter(F.col("event_type") != ANY_TYPE).select("event_type", "rule_id"), "event_type").select(*names)
+    wild = df.select("event_id").crossJoin(rules.filter(F.col("event_type") == ANY_TYPE).select("rule_id"))
+    return named.unionByName(wild.select(*names))
+
+
 def fired_rows(scored: DataFrame, *keep: str) -> DataFrame:
     """One row per fired rule: its id, its own points and its place in rule order."""
     return scored.select(*keep, F.posexplode("rule_scores").alias("rule_pos", "fired")).select(
@@ -306,8 +315,3 @@ def flag_multiplier(df: DataFrame, multipliers: Sequence[tuple[str, float]]) ->
     for flag, value in multipliers:
         factor = factor * pick((F.coalesce(F.col(flag), F.lit(False)), float(value)), default=1.0)
     return factor
-
-
-__all__ = ["Payload", "active_rules", "apply_rule_table", "apply_rules", "condition_column", "conditions_column",
-           "fired_rows", "flag_multiplier", "load_rules", "number", "register_logic", "rules_frame",
-           "select_rule_rows", "select_rules", "unmatched_events"]

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from scoreloom.functions.bands import config_tier
+from scoreloom.functions.bands import closed_tier, config_tier
 from scoreloom.functions.numeric import clamp, on_grid
 from scoreloom.model import Rule, ScoreConfig
-from scoreloom.operators.rules import apply_rules
+from scoreloom.operators.cooldown import accept, accepted_rules
+from scoreloom.operators.rules import apply_rules, fired_rows
 from scoreloom.operators.scan import PREFIX, apply_step, clamped_scan
 
 MISSING_PROFILE = "subject profile not found"
@@ -126,5 +126,54 @@ def latest_state(processed: DataFrame, config: ScoreConfig = ScoreConfig()) -> D
                     F.col("last.ts").alias("last_score_at"), F.col("last.event_id").alias("last_event_id")))
 
 
-def event_number() -> Column:
-    return F.row_number().over(W.partitionBy("subject_id").orderBy("ts", "event_id"))
+def apply_cooldown(scored: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Drop firings over a rule's limit per subject and period, and take the change from what is left (T4)."""
+    limits = {r.rule_id: r for r in rules if r.cooldown_seconds}
+    if not limits:
+        return scored
+    length, most = F.lit(None).cast("bigint"), F.lit(None).cast("int")
+    for rule_id, r in limits.items():
+        hit = F.col("rule_id") == rule_id
+        length = F.when(hit, F.lit(r.cooldown_seconds)).otherwise(length)
+        most = F.when(hit, F.lit(r.max_in_period or 1)).otherwise(most)
+    fired = fired_rows(scored, "subject_id", "event_id", "ts").withColumns(
+        {"cooldown_seconds": length, "max_in_period": most})
+    kept = accepted_rules(accept(fired, max(r.max_in_period or 1 for r in limits.values())))
+    none = F.array().cast("array<string>")
+    return (scored.join(kept, "event_id", "left")
+            .withColumns({"applied_rules": F.coalesce("accepted_rules", none),
+                          "score_change": on_grid(F.coalesce("accepted_change", F.lit(0.0)))})
+            .drop("accepted_rules", "accepted_change", "rule_scores"))
+
+
+def onboard(events: DataFrame, config: ScoreConfig = ScoreConfig()) -> tuple[DataFrame, DataFrame]:
+    """New profiles from creation events, and the events rejected for a missing or badly typed field."""
+    doc = F.try_parse_json("payload")
+
+    def kind(field: str) -> Column:
+        return F.coalesce(F.schema_of_variant(F.try_variant_get(doc, f"$.{field}", "variant")), F.lit("VOID"))
+
+    def is_number(field: str) -> Column:
+        return kind(field).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+
+    created = events.filter((F.col("event_type") == "system") & (F.col("event_subtype") == "new_citizen"))
+    good = ((kind("initial_age") == "BIGINT") & is_number("initial_score") & (kind("citizen_type") == "STRING")
+            & (kind("initial_status") == "STRING"))
+    checked = created.withColumn("good", good)
+    first = F.min_by(F.struct("payload", "ts"), F.struct("ts", "event_id"))
+    doc_of = F.try_parse_json("first.payload")
+    score = F.try_variant_get(doc_of, "$.initial_score", "double")
+    profiles = (checked.filter("good").groupBy("subject_id").agg(first.alias("first"))
+                .select("subject_id", F.try_variant_get(doc_of, "$.initial_age", "int").alias("age"),
+                        score.alias("score"), F.try_variant_get(doc_of, "$.citizen_type", "string").alias("type"),
+                        F.try_variant_get(doc_of, "$.initial_status", "string").alias("status"),
+                        closed_tier(score).alias("tier"), F.col("first.ts").alias("created_at")))
+    return profiles, checked.filter("not good").drop("good")
+
+
+def last_write(updates: DataFrame, interval: str = "1 second") -> DataFrame:
+    """Only the last update per subject and interval is written."""
+    last = F.max_by(F.struct("new_score", "ts", "event_id"), F.struct("ts", "event_id"))
+    return (updates.groupBy("subject_id", F.window("ts", interval).alias("w")).agg(last.alias("last"))
+            .select("subject_id", F.col("w.start").alias("interval_start"), F.col("last.new_score").alias("score"),
+                    F.col("last.ts").alias("last_score_at"), F.col("last.event_id").alias("event_id")))

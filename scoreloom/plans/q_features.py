@@ -132,7 +132,7 @@ _PAYLOAD_KEYS = """kv AS (
   SELECT event_id, unnest(['initial_age', 'initial_score', 'citizen_type', 'initial_status']),
          unnest(['number', 'number', 'tag', 'tag']),
          unnest([NULL, NULL, CASE WHEN k % 2 = 0 THEN 'regular' ELSE 'student' END, 'active']),
-         unnest([(18 + k % 60)::DOUBLE, CASE WHEN k % 9 <> 0 THEN 300.0 + k * 5 END::DOUBLE, NULL, NULL]),
+         unnest([(18 + k % 60)::DOUBLE, CASE WHEN k % 10 <> 1 THEN 300.0 + k * 5 END::DOUBLE, NULL, NULL]),
          unnest([NULL::BOOLEAN, NULL, NULL, NULL])
   FROM ev WHERE event_type = 'system'
   UNION ALL

@@ -151,7 +151,7 @@ def with_payload(flat: DataFrame) -> DataFrame:
         (et == "legal", doc("severity_num", violation_type=F.lit("traffic"), fine_amount=F.col("k") * 10,
                             case_note=note)),
         (et == "system", doc(initial_age=18 + F.col("k") % 60,
-                             initial_score=F.when(F.col("k") % 9 == 0, F.lit(None))
+                             initial_score=F.when(F.col("k") % 10 == 1, F.lit(None))
                              .otherwise(F.lit(300.0) + F.col("k") * 5),
                              citizen_type=F.when(F.col("k") % 2 == 0, "regular").otherwise("student"),
                              initial_status=F.lit("active"))),
