@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.bands import analytic_tier, is_weekend
@@ -41,9 +41,14 @@ def location_mobility(ts: str = "ts") -> Column:
                (kind == "social", 0.2), (kind == "civic", 0.1)))
 
 
-def trend_velocity(ts: str = "ts") -> Column:
+def with_trend_inputs(df: DataFrame) -> DataFrame:
+    """Compute the tier once, so that the two trend indices share it."""
+    return df.withColumn("analytic_tier", analytic_tier(number("new_score")))
+
+
+def trend_velocity(ts: str = "ts", tier: Column | None = None) -> Column:
     kind, money, hour = text("event_type"), text("transaction_type"), F.hour(ts)
-    tier = analytic_tier(number("new_score"))
+    tier = analytic_tier(number("new_score")) if tier is None else tier
     financial = pick((money.isin("bankruptcy", "default"), 2.0),
                      (money.isin("large_transfer", "major_purchase"), 1.3),
                      (money == "regular_payment", 0.7), default=1.0)
@@ -59,9 +64,9 @@ def trend_velocity(ts: str = "ts") -> Column:
     return F.least(velocity, F.lit(5.0))
 
 
-def trend_stability(ts: str = "ts") -> Column:
+def trend_stability(ts: str = "ts", tier: Column | None = None) -> Column:
     size, kind, money = _size(), text("event_type"), text("transaction_type")
-    tier = analytic_tier(number("new_score"))
+    tier = analytic_tier(number("new_score")) if tier is None else tier
     financial = pick((money.isin("regular_payment", "salary_deposit", "bill_payment"), 0.15),
                      (money == "savings_deposit", 0.1),
                      (money.isin("large_withdrawal", "cash_advance"), -0.2),

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions.numeric import clamp, clamp01, number, pick, text
+from scoreloom.functions.numeric import clamp, clamp01, lookup, number, pick, text
 
 # Keyword lists, country centres and country groups.
 TIER_1_CITIES = ("new york", "london", "paris", "tokyo", "berlin", "moscow", "beijing", "shanghai", "mumbai",
@@ -43,8 +41,13 @@ COUNTRY_ECONOMY = {
 }
 
 
+def _by_country(groups: dict[float, tuple[str, ...]]) -> dict[str, float]:
+    return {name: value for value, names in groups.items() for name in names}
+
+
 def _mentions(value: Column, words: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, [value.contains(w) for w in words])
+    """One pattern per list: a test per word would push the generated method over the JIT compiler's size limit."""
+    return value.rlike("|".join(words))
 
 
 def geographic_tier() -> Column:
@@ -83,12 +86,12 @@ def distance_from_centre() -> Column:
     country, lat, lon = text("country"), number("latitude"), number("longitude")
 
     def centre(axis: int) -> Column:
-        return pick(*[(country == name, at[axis]) for name, at in COUNTRY_CENTRES.items()])
+        return lookup(country, {name: at[axis] for name, at in COUNTRY_CENTRES.items()})
 
-    d_lat, d_lon = lat - centre(0), lon - centre(1)
+    d_lat, d_lon = F.pow(lat - centre(0), F.lit(2.0)), F.pow(lon - centre(1), F.lit(2.0))
     known = country.isin(*COUNTRY_CENTRES)
     return pick((~known & has_coordinates(), 50.0), (~known, 100.0), ((lat == 0) & (lon == 0), 150.0),
-                default=F.abs(F.lit(111.32) * (d_lat * d_lat + d_lon * d_lon * F.lit(0.5))))
+                default=F.abs(F.lit(111.32) * (d_lat + d_lon * F.lit(0.5))))
 
 
 def with_place_classes(df: DataFrame) -> DataFrame:
@@ -99,9 +102,8 @@ def with_place_classes(df: DataFrame) -> DataFrame:
 def population_density() -> Column:
     """Needs the columns of :func:`with_place_classes`."""
     tier, kind, country = F.col("geographic_tier"), F.col("urban_class"), text("country")
-    return (pick(*[(tier == t, v) for t, v in TIER_DENSITY.items()], default=100.0)
-            * pick(*[(kind == k, v) for k, v in CLASS_DENSITY.items()], default=1.0)
-            * pick(*[(country.isin(*names), v) for v, names in COUNTRY_DENSITY.items()], default=1.0))
+    return (lookup(tier, TIER_DENSITY, 100.0) * lookup(kind, CLASS_DENSITY, 1.0)
+            * lookup(country, _by_country(COUNTRY_DENSITY), 1.0))
 
 
 def economic_index() -> Column:
@@ -109,7 +111,7 @@ def economic_index() -> Column:
     tier, kind, country, region = (F.col("geographic_tier"), F.col("urban_class"), text("country"),
                                    F.lower(text("region")))
     return clamp(
-        pick(*[(country.isin(*names), v) for v, names in COUNTRY_ECONOMY.items()], default=55.0)
+        lookup(country, _by_country(COUNTRY_ECONOMY), 55.0)
         + pick((_mentions(region, ("capital", "central")), 10.0))
         + pick((kind == "urban", 5.0), (kind == "rural", -10.0))
         + pick((tier == "tier_1", 8.0), (tier == "tier_2", 3.0), (tier == "tier_4", -5.0)), 0.0, 100.0)

@@ -46,5 +46,12 @@ def pick(*cases: tuple[Column, object], default: object = 0.0) -> Column:
     return out.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
+def lookup(key: Column, table: dict[str, float], default: float | None = None) -> Column:
+    """Value of ``key`` in a small fixed table."""
+    cells = [x for k, v in table.items() for x in (F.lit(k), F.lit(v))]
+    found = F.element_at(F.create_map(*cells), key)
+    return found if default is None else F.coalesce(found, F.lit(default))
+
+
 def has_error() -> Column:
     return text("processing_error") != ""

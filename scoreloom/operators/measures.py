@@ -147,13 +147,15 @@ def comparison_records(pe: DataFrame) -> DataFrame:
 
 
 def trend_records(pe: DataFrame) -> DataFrame:
+    tier = F.col("analytic_tier")
+    pe = behaviour.with_trend_inputs(pe)
     return pe.select(bands.trend_category().alias("trend_category"), bands.week_label().alias("time_window"),
                      "event_type", bands.geographic_segment().alias("geographic_segment"),
-                     bands.analytic_tier(number("new_score")).alias("score_tier"), "processing_id",
+                     tier.alias("score_tier"), "processing_id",
                      bands.trend_direction().alias("trend_direction"),
                      bands.trend_magnitude().alias("trend_magnitude"),
-                     behaviour.trend_velocity().alias("trend_velocity"),
-                     behaviour.trend_stability().alias("trend_stability_index"), "subject_id", "new_score",
+                     behaviour.trend_velocity(tier=tier).alias("trend_velocity"),
+                     behaviour.trend_stability(tier=tier).alias("trend_stability_index"), "subject_id", "new_score",
                      "event_id", "ts")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.numeric import on_grid, pick, text
 from scoreloom.functions.scoring import rule_score
 from scoreloom.model import RULE, Condition, Rule, ScoreConfig
+from scoreloom.operators.measures import payload_entries
 
 ANY_TYPE = "*"
 MAX_COMPILED_RULES = 500
@@ -226,20 +227,21 @@ def sum_points(fired: Column) -> Column:
 
 # --- table form ----------------------------------------------------------------------------------
 
-def _lookup(payload: Column, c: Column) -> tuple[Column, Column, Column]:
-    """Text, number and flag of a payload value named by a column; null when it has another type."""
-    value = F.element_at(payload, c["field"])
-    kind = F.schema_of_variant(value)
-    is_flag, is_text = kind == "BOOLEAN", kind == "STRING"
-    as_number = F.when(~is_flag & ~is_text, F.try_variant_get(value, "$", "double"))
-    as_text = F.when(is_flag | is_text, F.try_variant_get(value, "$", "string")).otherwise(
-        _as_text(as_number, "double"))
-    return as_text, as_number, F.when(is_flag, F.try_variant_get(value, "$", "boolean"))
+def _typed_payload() -> Column:
+    """Payload as map of key to (text, number, flag), worked out once per event; a value has one kind only."""
+    def cell(e: Column) -> Column:
+        number = F.when(e["kind"] == "number", e["number"])
+        return F.struct(e["key"], F.struct(
+            F.when(e["kind"] == "number", _as_text(number, "double")).otherwise(e["text"]).alias("text"),
+            number.alias("number"), e["flag"].alias("flag")).alias("value"))
+
+    return F.map_from_entries(F.transform(payload_entries(), cell))
 
 
 def _condition_holds(payload: Column, subtype: Column, c: Column) -> Column:
-    as_text, as_number, as_flag = _lookup(payload, c)
-    as_text = F.when(c["field"] == "event_subtype", subtype).otherwise(as_text)
+    value = F.element_at(payload, F.regexp_replace(c["field"], "^payload[.]", ""))
+    as_number, as_flag = value["number"], value["flag"]
+    as_text = F.when(c["field"] == "event_subtype", subtype).otherwise(value["text"])
     hit = pick(
         ((c["operator"] == "EQUALS") & (c["kind"] == "string"), as_text == c["text"]),
         ((c["operator"] == "EQUALS") & (c["kind"] == "number"), as_number == c["number"]),
@@ -262,8 +264,7 @@ def apply_rule_table(df: DataFrame, rules: DataFrame) -> DataFrame:
     wild = rules.filter(F.col("event_type") == ANY_TYPE).agg(F.collect_list(entry).alias("wild"))
     named = (rules.filter(F.col("event_type") != ANY_TYPE).groupBy("event_type")
              .agg(F.collect_list(entry).alias("named")))
-    doc = F.from_json("payload", "map<string,variant>")
-    matched = (df.withColumn("payload_map", doc).join(named, "event_type", "left").crossJoin(F.broadcast(wild)))
+    matched = (df.withColumn("payload_map", _typed_payload()).join(named, "event_type", "left").crossJoin(F.broadcast(wild)))
     candidates = F.array_sort(F.concat(F.coalesce(F.col("named"), F.array().cast(matched.schema["wild"].dataType)),
                                        F.col("wild")))
 

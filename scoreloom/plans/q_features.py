@@ -47,8 +47,9 @@ def _(spark, d):
 
 @query("f15_f16_trend", sql("pe", "SELECT event_id, " + features("trend_velocity", "trend_stability") + " FROM pe"))
 def _(spark, d):
-    return processed(spark, d).select("event_id", *_g(trend_velocity=behaviour.trend_velocity(),
-                                                      trend_stability=behaviour.trend_stability()))
+    tier = F.col("analytic_tier")
+    return behaviour.with_trend_inputs(processed(spark, d)).select("event_id", *_g(
+        trend_velocity=behaviour.trend_velocity(tier=tier), trend_stability=behaviour.trend_stability(tier=tier)))
 
 
 @query("f17_f22_geography", sql("pe", "SELECT event_id, " + features(
