@@ -154,3 +154,34 @@ def cooldown_kernel(keys: Sequence[str]):
                 names=[*batch.schema.names, "quota", "period_end"])
 
     return run
+
+
+def stream_fold(low: float, high: float, baseline: float, grid: float):
+    """State function of the streaming score: one subject's new changes, in time order, onto its stored score."""
+
+    def run(key, frames, state):
+        import math
+
+        import pandas as pd
+
+        rows = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
+        if state.exists:
+            score, seen = state.get
+        else:
+            opening = rows["opening_score"].iloc[0]
+            score, seen = (baseline if opening is None or math.isnan(opening) else float(opening)), 0
+        before, after = [], []
+        for change in rows["score_change"].tolist():
+            before.append(score)
+            score = min(max(score + change, low), high)
+            after.append(score)
+        state.update((score, seen + len(rows)))
+
+        def settle(values):
+            return np.floor(np.asarray(values) * grid + 0.50001) / grid
+
+        yield pd.DataFrame({"subject_id": rows["subject_id"].to_numpy(), "event_id": rows["event_id"].to_numpy(),
+                            "ts": rows["ts"].to_numpy(), "score_change": rows["score_change"].to_numpy(),
+                            "previous_score": settle(before), "new_score": settle(after)})
+
+    return run

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +46,25 @@ def processing_id() -> Column:
     return F.concat(F.lit("proc_"), F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1, 16))
 
 
+Prepare = Callable[[DataFrame], DataFrame]
+_STEP = ("score_change", "step_low", "step_high")
+
+
+def _with_bounds(config: ScoreConfig, prepare: Prepare | None) -> Prepare:
+    def run(df: DataFrame) -> DataFrame:
+        return (prepare(df) if prepare else df).withColumns(
+            {"step_low": F.lit(config.low), "step_high": F.lit(config.high)})
+
+    return run
+
+
 def running_score(spark: SparkSession, deltas: DataFrame, config: ScoreConfig, order: Sequence[str],
-                  chunks: int | None = None) -> DataFrame:
+                  chunks: int | None = None, prepare: Prepare | None = None) -> DataFrame:
     """Add ``previous_score`` and ``new_score``: the bounded running score per subject in ``order``.
 
-    Needs ``subject_id``, ``opening_score`` and ``score_change``.
+    Needs ``subject_id``, ``opening_score`` and ``score_change``; the last may be added by ``prepare``.
     """
-    steps = deltas.withColumns({"step_low": F.lit(config.low), "step_high": F.lit(config.high)})
-    scanned = clamped_scan(spark, steps, ["subject_id"], order, ["score_change", "step_low", "step_high"], chunks)
+    scanned = clamped_scan(spark, deltas, ["subject_id"], order, _STEP, chunks, _with_bounds(config, prepare))
     before = apply_step(F.col("opening_score"), tuple(F.col(c) for c in PREFIX))
     after = clamp(before + F.col("score_change"), config.low, config.high)
     return (scanned.withColumn("new_score", on_grid(after)).withColumn("previous_score", on_grid(before))
@@ -61,17 +72,15 @@ def running_score(spark: SparkSession, deltas: DataFrame, config: ScoreConfig, o
 
 
 def running_score_with_decay(spark: SparkSession, deltas: DataFrame, config: ScoreConfig, order: Sequence[str],
-                             chunks: int | None = None) -> DataFrame:
+                             chunks: int | None = None, prepare: Prepare | None = None) -> DataFrame:
     """As :func:`running_score`, with points lost per whole day above the decay floor.
 
     Decay happens between days only, so inside a day steps compose as before. Each (subject, day) becomes one
     step; a subject's days, whose number is bounded by the length of the archive, are then folded in order.
     """
     policy = config.decay
-    steps = deltas.withColumns({"day": F.to_date("ts"), "step_low": F.lit(config.low),
-                                "step_high": F.lit(config.high)})
-    scanned = clamped_scan(spark, steps, ["subject_id", "day"], order,
-                           ["score_change", "step_low", "step_high"], chunks)
+    scanned = clamped_scan(spark, deltas.withColumn("day", F.to_date("ts")), ["subject_id", "day"], order, _STEP,
+                           chunks, _with_bounds(config, prepare))
     prefix = tuple(F.col(c) for c in PREFIX)
     add, low, high = (prefix[0] + F.col("score_change"),
                       clamp(prefix[1] + F.col("score_change"), config.low, config.high),
@@ -107,12 +116,16 @@ def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, ru
                  chunks: int | None = None) -> DataFrame:
     """The whole scoring job in batch: events in, processed events out."""
     joined = with_profile(events, profiles, config, strict_profiles)
-    scored = apply_rules(joined, rules, strict_rules)
-    if strict_profiles:
-        zero = F.col("processing_error").isNotNull()
-        scored = scored.withColumn("score_change", F.when(zero, 0.0).otherwise(F.col("score_change")))
+
+    def change(df: DataFrame) -> DataFrame:
+        scored = apply_rules(df, rules, strict_rules)
+        if not strict_profiles:
+            return scored
+        bad = F.col("processing_error").isNotNull()
+        return scored.withColumn("score_change", F.when(bad, 0.0).otherwise(F.col("score_change")))
+
     fold = running_score_with_decay if config.decay.enabled else running_score
-    done = fold(spark, scored, config, ["ts", "event_id"], chunks)
+    done = fold(spark, joined, config, ["ts", "event_id"], chunks, change)
     return error_rows_to_zero(done).withColumn("processing_id", processing_id())
 
 

@@ -6,7 +6,7 @@ import importlib
 
 from scoreloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ("q_features", "q_rollups", "q_state", "q_tables")
+MODULES = ("q_features", "q_rollups", "q_state", "q_tables", "q_streaming")
 
 for _module in MODULES:
     importlib.import_module(f"scoreloom.plans.{_module}")

@@ -97,8 +97,19 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str, payload: bool = True) -> DataFrame:
     """Events in the engine's flat layout. Payload keys that rules and features read are also plain columns."""
+    return map_events(spark, sf_dir, spread(spark, table(spark, sf_dir, "events"), "event_id"), payload)
+
+
+def spread(spark: SparkSession, source: DataFrame, key: str) -> DataFrame:
+    """Give a source of fewer files than cores enough partitions; anything larger is left as it is."""
+    cores = spark.sparkContext.defaultParallelism
+    return source.repartition(cores, key) if len(source.inputFiles()) < cores else source
+
+
+def map_events(spark: SparkSession, sf_dir: str, source: DataFrame, payload: bool = False) -> DataFrame:
+    """The mapping itself, for a batch or a stream of rows of the event table."""
     k = F.get_json_object("props", "$.k").cast("int")
-    raw = table(spark, sf_dir, "events").select(
+    raw = source.select(
         "event_id", F.col("user_id").alias("subject_id"), F.col("ts").cast(T.TimestampType()).alias("ts"),
         F.col("event_type").alias("raw_type"), "value", k.alias("k"))
     k, raw_type = F.col("k"), F.col("raw_type")
