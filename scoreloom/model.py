@@ -215,3 +215,7 @@ STRESS_RULES: tuple[Rule, ...] = (
 )
 
 ALL_RULES: tuple[Rule, ...] = SEED_RULES + STRESS_RULES
+
+# Configuration as a table: one row per configuration, and one row per tier.
+CONFIG_COLUMNS = "config_id string, baseline double, low double, high double"
+TIER_COLUMNS = "config_id string, tier string, low double, high double"

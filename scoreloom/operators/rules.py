@@ -264,9 +264,10 @@ def apply_rule_table(df: DataFrame, rules: DataFrame) -> DataFrame:
     wild = rules.filter(F.col("event_type") == ANY_TYPE).agg(F.collect_list(entry).alias("wild"))
     named = (rules.filter(F.col("event_type") != ANY_TYPE).groupBy("event_type")
              .agg(F.collect_list(entry).alias("named")))
-    matched = (df.withColumn("payload_map", _typed_payload()).join(named, "event_type", "left").crossJoin(F.broadcast(wild)))
-    candidates = F.array_sort(F.concat(F.coalesce(F.col("named"), F.array().cast(matched.schema["wild"].dataType)),
-                                       F.col("wild")))
+    matched = (df.withColumn("payload_map", _typed_payload()).join(named, "event_type", "left")
+               .withColumn("wild", wild.scalar()))
+    none = F.array().cast(wild.schema["wild"].dataType)
+    candidates = F.sort_array(F.concat(F.coalesce(F.col("named"), none), F.col("wild")))
 
     def holds(r: Column) -> Column:
         def test(c: Column) -> Column:
@@ -289,12 +290,14 @@ def apply_rule_table(df: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def matching_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Event and rule pairs whose types match (C1). Named types are an equi-join; wildcards are added to every event."""
-    names = ["event_id", "rule_id"]
-    named = df.select("event_id", "event_type").join(
-        rules.filter(F.col("event_type") != ANY_TYPE).select("event_type", "rule_id"), "event_type").select(*names)
-    wild = df.select("event_id").crossJoin(rules.filter(F.col("event_type") == ANY_TYPE).select("rule_id"))
-    return named.unionByName(wild.select(*names))
+    """Event and rule pairs whose types match (C1). Named types are an equi-join on the type; wildcards are one
+    list that every event gets."""
+    named = (rules.filter(F.col("event_type") != ANY_TYPE).groupBy("event_type")
+             .agg(F.collect_list("rule_id").alias("named")))
+    wild = rules.filter(F.col("event_type") == ANY_TYPE).agg(F.collect_list("rule_id"))
+    own = F.coalesce(F.col("named"), F.array().cast("array<string>"))
+    return (df.select("event_id", "event_type").join(named, "event_type", "left")
+            .select("event_id", F.explode(F.concat(own, wild.scalar())).alias("rule_id")))
 
 
 def fired_rows(scored: DataFrame, *keep: str) -> DataFrame:

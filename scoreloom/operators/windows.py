@@ -97,12 +97,12 @@ def percentile_ranks(scores: DataFrame, value: str = "score") -> DataFrame:
 
 
 def z_scores(pe: DataFrame) -> DataFrame:
-    """True z-score of each change and deviation of each score from the mean (W6). One aggregate row is joined."""
-    whole = pe.agg(F.avg("score_change").alias("mean_change"), F.stddev_pop("score_change").alias("sd_change"),
-                   F.avg("new_score").alias("mean_score"))
-    return (pe.select("event_id", "score_change", "new_score").crossJoin(F.broadcast(whole))
-            .select("event_id", ((F.col("score_change") - F.col("mean_change")) / F.col("sd_change")).alias("z_score"),
-                    (F.col("new_score") - F.col("mean_score")).alias("deviation_from_avg")))
+    """True z-score of each change and deviation of each score from the mean (W6); the totals are one scalar."""
+    whole = pe.agg(F.struct(F.avg("score_change").alias("mean_change"), F.stddev_pop("score_change").alias("sd_change"),
+                            F.avg("new_score").alias("mean_score")).alias("w")).scalar()
+    return (pe.select("event_id", "score_change", "new_score", whole.alias("w"))
+            .select("event_id", ((F.col("score_change") - F.col("w.mean_change")) / F.col("w.sd_change")).alias("z_score"),
+                    (F.col("new_score") - F.col("w.mean_score")).alias("deviation_from_avg")))
 
 
 def regional_means(pe: DataFrame) -> DataFrame:
@@ -115,9 +115,8 @@ def seasonal_factors(pe: DataFrame) -> DataFrame:
     """Mean score per hour of the week over the mean of all (W10). At most 168 rows, from sums and counts."""
     parts = (pe.groupBy(F.weekday("ts").alias("weekday"), F.hour("ts").alias("hour"))
              .agg(F.sum("new_score").alias("s"), F.count("*").alias("n")))
-    whole = parts.agg((F.sum("s") / F.sum("n")).alias("overall"))
-    return (parts.crossJoin(F.broadcast(whole))
-            .select("weekday", "hour", "n", (F.col("s") / F.col("n") / F.col("overall")).alias("seasonal_factor")))
+    overall = parts.agg(F.sum("s") / F.sum("n")).scalar()
+    return parts.select("weekday", "hour", "n", (F.col("s") / F.col("n") / overall).alias("seasonal_factor"))
 
 
 def seasonal_adjustment(pe: DataFrame) -> DataFrame:

@@ -174,9 +174,8 @@ def with_payload(flat: DataFrame) -> DataFrame:
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directed, typed edges between the subjects that have events; the count per subject is fixed."""
-    n = table(spark, sf_dir, "events").agg((F.max("user_id") + 1).alias("n"))
-    base = (table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("u"))
-            .join(F.broadcast(n), F.col("u") < F.col("n")))
+    n = table(spark, sf_dir, "events").agg(F.max("user_id") + 1).scalar()
+    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("u"), n.alias("n")).filter("u < n")
     u, size = F.col("u"), F.col("n")
     link = F.explode(F.array(*[
         F.struct((dst % size).alias("dst"), F.lit(rel).alias("rel"), F.lit(i).alias("i"))
