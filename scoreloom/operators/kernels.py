@@ -46,6 +46,22 @@ def _run_starts(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
     return starts
 
 
+def _mark_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add ``chunk_end``: true on the very last row of the partition. Holds back one batch to know it."""
+    def with_mark(batch: pa.RecordBatch, final: bool) -> pa.RecordBatch:
+        mark = np.zeros(batch.num_rows, dtype=bool)
+        mark[-1] = final
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(mark)], names=[*batch.schema.names, "chunk_end"])
+
+    held = None
+    for batch in batches:
+        if held is not None:
+            yield with_mark(held, False)
+        held = batch
+    if held is not None:
+        yield with_mark(held, True)
+
+
 def chunk_kernel(keys: Sequence[str], step: Sequence[str]):
     """Arrow batches of one sorted partition -> same rows plus position and exclusive prefix."""
 
@@ -82,7 +98,7 @@ def chunk_kernel(keys: Sequence[str], step: Sequence[str]):
                 [*batch.columns, position, *exclusive],
                 names=[*batch.schema.names, "chunk_pos", *PREFIX])
 
-    return run
+    return lambda batches: _mark_end(run(batches))
 
 
 def sum_kernel(keys: Sequence[str], sums: Sequence[str], previous: Sequence[str]):
@@ -125,7 +141,7 @@ def sum_kernel(keys: Sequence[str], sums: Sequence[str], previous: Sequence[str]
                      *[f"previous_{c}" for c in previous]]
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return run
+    return lambda batches: _mark_end(run(batches))
 
 
 def cooldown_kernel(keys: Sequence[str]):

@@ -17,19 +17,18 @@ from scoreloom.functions import bands, risk
 from scoreloom.functions.numeric import has_error
 from scoreloom.model import ScoreConfig
 from scoreloom.operators.measures import status
+from scoreloom.operators.scoring import time_order
 from scoreloom.operators.stats import median_of_counts, mode_of_counts, value_counts
 
 ALL = "ALL"
-_ORDER = ("ts", "event_id")
-
 
 def _types() -> Column:
     return F.size(F.collect_set("event_type")).cast("bigint")
 
 
-def _last(value: str | Column) -> Column:
+def _last(pe: DataFrame, value: str | Column) -> Column:
     """Value at the latest event of the group."""
-    return F.max_by(value, F.struct(*_ORDER))
+    return F.max_by(value, time_order(pe))
 
 
 def hourly_activity(pe: DataFrame, width: str = "1 hour", slide: str | None = None) -> DataFrame:
@@ -51,13 +50,13 @@ def daily_subject(pe: DataFrame, config: ScoreConfig = ScoreConfig()) -> DataFra
     return (pe.groupBy("subject_id", "region", F.to_date("ts").alias("day"))
             .agg(F.count("*").alias("total_events"), F.sum("score_change").alias("score_change"),
                  F.max("severity_num").alias("max_severity"), _types().alias("unique_event_types"),
-                 _last("new_score").alias("day_end_score"))
+                 _last(pe, "new_score").alias("day_end_score"))
             .withColumn("tier", bands.config_tier(F.col("day_end_score"), config)))
 
 
 def day_end_scores(pe: DataFrame, config: ScoreConfig = ScoreConfig()) -> DataFrame:
     """Score history per subject and day: last score, tier, reason and first rule of that last change."""
-    last = _last(F.struct("new_score", "event_type", F.element_at(F.concat("applied_rules", F.array(F.lit(""))), 1)
+    last = _last(pe, F.struct("new_score", "event_type", F.element_at(F.concat("applied_rules", F.array(F.lit(""))), 1)
                           .alias("rule_id")))
     return (pe.groupBy("subject_id", F.to_date("ts").alias("day")).agg(last.alias("last"))
             .select("subject_id", "day", F.col("last.new_score").alias("score"),
@@ -73,7 +72,8 @@ def daily_with_scores(totals: DataFrame, scores: DataFrame) -> DataFrame:
 
 def improved_worsened(history: DataFrame, key: str = "score") -> DataFrame:
     """Against the subject's previous day in the history (W8). The input has one row per subject and day."""
-    before = F.lag(key).over(W.partitionBy("subject_id").orderBy("day"))
+    order = [c for c in ("day", "region") if c in history.columns]
+    before = F.lag(key).over(W.partitionBy("subject_id").orderBy(*order))
     return history.withColumn("previous_day_score", before).withColumns({
         "improved": F.coalesce(F.col(key) > F.col("previous_day_score"), F.lit(False)),
         "worsened": F.coalesce(F.col(key) < F.col("previous_day_score"), F.lit(False))})
@@ -192,7 +192,7 @@ def subject_activity_metrics(pe: DataFrame, association: DataFrame) -> DataFrame
                         F.count_if(F.col("score_change") > 0).alias("total_positive_events"),
                         F.count_if(F.col("score_change") < 0).alias("total_negative_events"),
                         F.regr_slope(F.col("score_change"), day).alias("activity_trend"),
-                        _last("new_score").alias("current_score")))
+                        _last(pe, "new_score").alias("current_score")))
     return per_subject.join(association.select("subject_id", "association_risk"), "subject_id", "left")
 
 
@@ -262,7 +262,7 @@ def subject_summary(pe: DataFrame) -> DataFrame:
     return (pe.groupBy("subject_id", F.to_date("ts").alias("day"))
             .agg(F.count("*").alias("event_count"), F.sum("score_change").alias("total_score_change"),
                  F.avg("confidence").alias("avg_confidence"), F.array_sort(F.collect_set("event_type")).alias("event_types"),
-                 _last(F.struct("city", "region")).alias("place"))
+                 _last(pe, F.struct("city", "region")).alias("place"))
             .select("*", F.col("place.city").alias("location_city"), F.col("place.region").alias("location_region"))
             .drop("place"))
 

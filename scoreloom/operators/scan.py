@@ -39,7 +39,8 @@ def apply_step(x: Column, step: tuple) -> Column:
 
 def _with_kernel(df: DataFrame, keys: Sequence[str], step: Sequence[str]) -> DataFrame:
     schema = T.StructType([*df.schema.fields, T.StructField("chunk_pos", T.LongType()),
-                           *[T.StructField(c, T.DoubleType()) for c in PREFIX]])
+                           *[T.StructField(c, T.DoubleType()) for c in PREFIX],
+                           T.StructField("chunk_end", T.BooleanType())])
     return df.mapInArrow(chunk_kernel(tuple(keys), tuple(step)), schema)
 
 
@@ -56,8 +57,11 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 def _chunk_parts(chunks: DataFrame, keys: Sequence[str], fields: Sequence[str], tail: list[Column],
                  head: list[Column]) -> DataFrame:
-    """At most two rows per chunk: its first key with ``head`` values and its last key with ``tail`` values."""
-    ends = chunks.groupBy("chunk").agg(
+    """At most two rows per chunk: its first key with ``head`` values and its last key with ``tail`` values.
+
+    The filter reaches the files: only row groups with a first or a last row of a chunk are read.
+    """
+    ends = chunks.filter((F.col("chunk_pos") == 0) | F.col("chunk_end")).groupBy("chunk").agg(
         F.min_by(F.struct(*keys), "chunk_pos").alias("head"),
         F.max_by(F.struct(*keys, *fields), "chunk_pos").alias("tail"))
     last = F.struct(*[F.col(f"tail.{k}").alias(k) for k in keys], *tail)
@@ -119,6 +123,15 @@ def _with_carried(spark: SparkSession, rows: DataFrame, carried: DataFrame, keys
     return rows.join(F.broadcast(spark.read.schema(carried.schema).parquet(path)), ["chunk", *keys], "left")
 
 
+def scan_order() -> Column:
+    """One number per row that grows along (keys, order).
+
+    "The last row of a group" is then a maximum over a number, which Spark aggregates by hash; an order by
+    several columns would make it sort the input first.
+    """
+    return (F.shiftleft(F.col("chunk").cast("bigint"), 40) + F.col("chunk_pos")).alias("scan_order")
+
+
 def clamped_scan(spark: SparkSession, df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  step: Sequence[str], chunks: int | None = None, prepare=None) -> DataFrame:
     """Rows of ``df`` plus, per row, the composition of all earlier steps of its key.
@@ -131,8 +144,9 @@ def clamped_scan(spark: SparkSession, df: DataFrame, keys: Sequence[str], order:
     joined = _with_carried(spark, rows, _carried(rows, keys, step), keys)
     before = tuple(F.coalesce(F.col(f"carried_{c}"), F.lit(v)) for c, v in zip(PREFIX, _IDENTITY))
     prefix = compose(before, _cols(PREFIX))
-    inner = {"chunk", "chunk_pos", *PREFIX}
-    return joined.select(*[c for c in rows.columns if c not in inner], *[p.alias(c) for p, c in zip(prefix, PREFIX)])
+    inner = {"chunk", "chunk_pos", "chunk_end", *PREFIX}
+    return joined.select(*[c for c in rows.columns if c not in inner], scan_order(),
+                         *[p.alias(c) for p, c in zip(prefix, PREFIX)])
 
 
 def ordered_sums(spark: SparkSession, df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -142,7 +156,8 @@ def ordered_sums(spark: SparkSession, df: DataFrame, keys: Sequence[str], order:
     Does what an ordered window per key does, without putting a whole key into one task.
     """
     extra = [T.StructField("chunk_pos", T.LongType()), *[T.StructField(f"before_{c}", T.LongType()) for c in sums],
-             *[T.StructField(f"previous_{c}", df.schema[c].dataType) for c in previous]]
+             *[T.StructField(f"previous_{c}", df.schema[c].dataType) for c in previous],
+             T.StructField("chunk_end", T.BooleanType())]
 
     def kernel(x: DataFrame) -> DataFrame:
         return x.mapInArrow(sum_kernel(tuple(keys), tuple(sums), tuple(previous)),

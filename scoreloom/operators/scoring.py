@@ -129,14 +129,20 @@ def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, ru
     return error_rows_to_zero(done).withColumn("processing_id", processing_id())
 
 
+def time_order(pe: DataFrame) -> Column:
+    """Order of a subject's events: the scan's own number where the table has it, else (ts, event_id)."""
+    return F.col("scan_order") if "scan_order" in pe.columns else F.struct("ts", "event_id")
+
+
 def latest_state(processed: DataFrame, config: ScoreConfig = ScoreConfig()) -> DataFrame:
     """Last score per subject, with tier and times. Partial aggregation keeps one row per subject and task."""
     moved = processed.filter("rule_seen and processing_error is null")
-    last = F.max_by(F.struct("new_score", "ts", "event_id"), F.struct("ts", "event_id"))
-    return (moved.groupBy("subject_id").agg(last.alias("last"))
-            .select("subject_id", F.col("last.new_score").alias("score"),
-                    config_tier(F.col("last.new_score"), config).alias("tier"),
-                    F.col("last.ts").alias("last_score_at"), F.col("last.event_id").alias("last_event_id")))
+    order = time_order(processed)
+    return (moved.groupBy("subject_id")
+            .agg(F.max_by("new_score", order).alias("score"), F.max("ts").alias("last_score_at"),
+                 F.max_by("event_id", order).alias("last_event_id"))
+            .select("subject_id", "score", config_tier(F.col("score"), config).alias("tier"), "last_score_at",
+                    "last_event_id"))
 
 
 def apply_cooldown(scored: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -186,7 +192,8 @@ def onboard(events: DataFrame, config: ScoreConfig = ScoreConfig()) -> tuple[Dat
 
 def last_write(updates: DataFrame, interval: str = "1 second") -> DataFrame:
     """Only the last update per subject and interval is written."""
-    last = F.max_by(F.struct("new_score", "ts", "event_id"), F.struct("ts", "event_id"))
-    return (updates.groupBy("subject_id", F.window("ts", interval).alias("w")).agg(last.alias("last"))
-            .select("subject_id", F.col("w.start").alias("interval_start"), F.col("last.new_score").alias("score"),
-                    F.col("last.ts").alias("last_score_at"), F.col("last.event_id").alias("event_id")))
+    order = time_order(updates)
+    return (updates.groupBy("subject_id", F.window("ts", interval).alias("w"))
+            .agg(F.max_by("new_score", order).alias("score"), F.max("ts").alias("last_score_at"),
+                 F.max_by("event_id", order).alias("event_id"))
+            .select("subject_id", F.col("w.start").alias("interval_start"), "score", "last_score_at", "event_id"))

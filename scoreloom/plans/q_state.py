@@ -8,7 +8,6 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from scoreloom.functions import behaviour
-from scoreloom.functions.bands import config_tier
 from scoreloom.functions.numeric import on_grid
 from scoreloom.model import ALL_RULES, Decay, ScoreConfig
 from scoreloom.operators import graph as G
@@ -20,6 +19,7 @@ from scoreloom.operators.scoring import (apply_cooldown, error_rows_to_zero, las
 from scoreloom.plans.q_rollups import _ASSOC
 from scoreloom.plans.registry import query
 from scoreloom.plans.sqlbase import CTES, X, dstr, fired_sql, fold_sql, r6, sql, tier5, tstr
+from scoreloom.sources import star
 from scoreloom.plans.tables import CONFIG, edges, events, processed, processed_with_neighbours, profiles
 
 _ORDER = ["ts", "event_id"]
@@ -30,11 +30,11 @@ _ORDER = ["ts", "event_id"]
 FROM latest l LEFT JOIN prof f USING (subject_id) LEFT JOIN place p ON p.nk = f.nation_key GROUP BY 1, 2"""))
 def _(spark, d):
     pe = processed(spark, d)
-    last = F.max_by(F.struct("new_score", "region"), F.struct("ts", "event_id"))
-    final = pe.filter("rule_seen").groupBy("subject_id").agg(last.alias("l"))
-    return (final.groupBy(F.coalesce("l.region", F.lit("")).alias("region"),
-                          config_tier(F.col("l.new_score")).alias("tier"))
-            .agg(F.count("*").alias("subjects"), on_grid(F.avg("l.new_score")).alias("mean_score")))
+    homes = profiles(spark, d).select("subject_id", F.col("nation_key").alias("n_nationkey"))
+    final = (latest_state(pe).join(homes, "subject_id", "left")
+             .join(F.broadcast(star.places(spark, d)), "n_nationkey", "left"))
+    return (final.groupBy(F.coalesce("region", F.lit("")).alias("region"), "tier")
+            .agg(F.count("*").alias("subjects"), on_grid(F.avg("score")).alias("mean_score")))
 
 
 @query("t01_running_score", sql("pe", f"""SELECT event_id, subject_id, {tstr('ts')} AS ts, score_change, previous_score, new_score
