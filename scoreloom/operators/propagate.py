@@ -49,16 +49,22 @@ def neighbour_deltas(processed: DataFrame, edges: DataFrame) -> DataFrame:
                     "rel", "score_change"))
 
 
-def score_with_neighbours(spark: SparkSession, processed: DataFrame, secondary: DataFrame, profiles: DataFrame,
+_RESULT = ("previous_score", "new_score", "scan_order", "status", "processing_id")
+
+
+def score_with_neighbours(spark: SparkSession, scored: DataFrame, secondary: DataFrame, profiles: DataFrame,
                           config: ScoreConfig, chunks: int | None = None) -> DataFrame:
-    """One running score over primary and secondary changes.
+    """One running score over primary (``hop`` 0) and secondary (``hop`` 1) changes.
 
-    A rule's points do not depend on the current score, so all changes are known beforehand and no
-    iteration is needed. Order per subject: time, event, primary before secondary, origin, label.
+    ``scored`` has a change and an opening score per event, from rules alone or from an earlier run; its other
+    columns are kept on the primary rows. A rule's points do not depend on the current score, so all changes are
+    known beforehand and no iteration is needed. Order per subject: time, event, primary before secondary, origin,
+    label.
     """
-    first = processed.select("subject_id", F.col("subject_id").alias("origin_subject_id"), "event_id", "ts",
-                             F.lit("").alias("rel"), "score_change", F.lit(0).alias("hop"))
-    both = first.unionByName(secondary.withColumn("hop", F.lit(1)))
-    opened = (both.join(profiles.select("subject_id", F.col("score").alias("opening")), "subject_id", "left")
-              .withColumn("opening_score", F.coalesce("opening", F.lit(config.baseline))).drop("opening"))
-    return running_score(spark, opened, config, ["ts", "event_id", "hop", "origin_subject_id", "rel"], chunks)
+    first = scored.drop(*_RESULT).withColumns({"origin_subject_id": F.col("subject_id"), "rel": F.lit(""),
+                                               "hop": F.lit(0)})
+    opened = (secondary.join(profiles.select("subject_id", F.col("score").alias("opening")), "subject_id", "left")
+              .withColumns({"opening_score": F.coalesce("opening", F.lit(config.baseline)), "hop": F.lit(1)})
+              .drop("opening"))
+    both = first.unionByName(opened, allowMissingColumns=True)
+    return running_score(spark, both, config, ["ts", "event_id", "hop", "origin_subject_id", "rel"], chunks)

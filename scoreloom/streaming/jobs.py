@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,8 @@ from scoreloom.operators.kernels import stream_fold
 from scoreloom.operators.measures import flatten
 from scoreloom.operators.propagate import neighbour_deltas, score_with_neighbours
 from scoreloom.operators.rules import apply_rules
-from scoreloom.operators.scoring import latest_state, score_events, with_profile
+from scoreloom.operators.scoring import (error_rows_to_zero, latest_state, processing_id, score_events,
+                                         with_profile)
 from scoreloom.sources.wire import decode
 
 Sink = Callable[[DataFrame, int], None]
@@ -172,20 +174,22 @@ class ScoringJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         people = self.current_profiles(batch_id)
-        pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks)
         if self.edges is None:
+            pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks)
             changed = latest_state(pe, self.config).select("subject_id", "score", "last_score_at")
-        else:
-            secondary = neighbour_deltas(pe, self.edges)
-            every = score_with_neighbours(self.spark, pe, secondary, people, self.config, self.chunks)
-            primary = every.filter("hop = 0").select(
-                "event_id", "subject_id", F.col("previous_score").alias("p"), F.col("new_score").alias("n"))
-            pe = (pe.join(primary, ["event_id", "subject_id"])
-                  .withColumns({"previous_score": F.col("p"), "new_score": F.col("n")}).drop("p", "n"))
-            order = F.struct("ts", "event_id", "hop", "origin_subject_id", "rel")
-            changed = (every.groupBy("subject_id").agg(F.max_by(F.struct("new_score", "ts"), order).alias("l"))
-                       .select("subject_id", F.col("l.new_score").alias("score"), F.col("l.ts").alias("last_score_at")))
-        fan_out(self.sinks)(pe, batch_id)
+            fan_out(self.sinks)(pe, batch_id)
+            self.log.write(changed, batch_id)
+            return
+        scored = apply_rules(with_profile(batch, people, self.config), self.rules).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            secondary = neighbour_deltas(scored, self.edges)
+            every = score_with_neighbours(self.spark, scored, secondary, people, self.config, self.chunks)
+        finally:
+            scored.unpersist()  # the running score is a written table by now
+        primary = every.filter("hop = 0").drop("hop", "rel", "origin_subject_id")
+        fan_out(self.sinks)(error_rows_to_zero(primary).withColumn("processing_id", processing_id()), batch_id)
+        changed = (every.filter("hop = 1 or rule_seen").groupBy("subject_id")
+                   .agg(F.max_by("new_score", "scan_order").alias("score"), F.max("ts").alias("last_score_at")))
         self.log.write(changed, batch_id)
 
     def start(self, events: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
