@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from scoreloom.functions.bands import config_tier
 from scoreloom.model import ScoreConfig
+from scoreloom.session import shared_dir
 
 ARCHIVE_COLUMNS = ("subject_id", "ts", "event_id", "event_type", "event_subtype", "source_system", "city", "region",
                    "country", "confidence", "score_change", "new_score", "previous_score", "applied_rules")
@@ -54,6 +55,7 @@ def write_archive(spark: SparkSession, pe: DataFrame, path: str, version: str =
         old = spark.read.parquet(path).filter(F.col("date").isin(dates)).select(*new.columns)
         new = latest_per_key(old.unionByName(new).drop("date"), version).withColumn("date", F.to_date("ts"))
     # The files being replaced are also read, so the new version is written out first.
+    shared_dir(spark)
     staged = new.checkpoint()
     (staged.repartitionByRange("date", "subject_id", "ts")
      .sortWithinPartitions("date", "subject_id", F.col("ts").desc(), "event_id")

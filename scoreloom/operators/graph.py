@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.bands import config_tier
 from scoreloom.model import ScoreConfig
+from scoreloom.session import shared_dir
 
 LOW_TIERS = ("very_poor", "poor")
 
@@ -94,6 +95,7 @@ def reach(edges: DataFrame, hops: int, seeds: DataFrame | None = None) -> DataFr
     ``seeds`` is an optional one-column table of starting subjects. Each round joins only the newest frontier,
     drops pairs already seen, and cuts the lineage with a reliable checkpoint before the next round.
     """
+    shared_dir(edges.sparkSession)  # names the checkpoint folder
     step = edges.filter("src <> dst").select("src", "dst").distinct()
     first = step.join(seeds.select(F.col(seeds.columns[0]).alias("src")), "src", "left_semi") if seeds is not None else step
     found = first.select("src", F.col("dst").alias("reached"), F.lit(1).alias("hops"))

@@ -42,3 +42,10 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table; never reused, so retries cannot mix versions."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/scoreloom/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables. Call it when no result that reads them is needed any more."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/scoreloom/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

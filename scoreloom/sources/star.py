@@ -101,9 +101,10 @@ def events(spark: SparkSession, sf_dir: str, payload: bool = True) -> DataFrame:
 
 
 def spread(spark: SparkSession, source: DataFrame, key: str) -> DataFrame:
-    """Give a source of fewer files than cores enough partitions; anything larger is left as it is."""
+    """Give a source with fewer splits than cores enough partitions; anything larger is left as it is."""
     cores = spark.sparkContext.defaultParallelism
-    return source.repartition(cores, key) if len(source.inputFiles()) < cores else source
+    splits = source._jdf.queryExecution().toRdd().getNumPartitions()
+    return source.repartition(cores, key) if splits < cores else source
 
 
 def map_events(spark: SparkSession, sf_dir: str, source: DataFrame, payload: bool = False) -> DataFrame:

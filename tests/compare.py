@@ -43,9 +43,8 @@ def rows_of(columns, rows):
     return sorted(columns), sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-def diff(spark, con, build, sql_text, sf_dir) -> str | None:
+def diff(df, con, sql_text) -> str | None:
     """None when equal, else a short account of the difference."""
-    df = build(spark, sf_dir)
     left = rows_of(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql_text)
     right = rows_of([c[0] for c in cur.description], cur.fetchall())
@@ -76,7 +75,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in ORACLES:
-                result = diff(spark, con, build, ORACLES[name], sf_dir)
+                result = diff(build(spark, sf_dir), con, ORACLES[name])
                 word = "ok" if result is None else f"DIFF {result}"
             else:
                 word = f"rows {build(spark, sf_dir).count()} (no sql)"

@@ -48,27 +48,6 @@ def test_filters_reach_the_scan(spark, sf_dir):
         tables.events(spark, sf_dir).filter("subject_id = 1"))
 
 
-ALLOWED_SINGLE = {
-    # each of these brings only a small, bounded table to one place
-    "w05_percentile_rank",  # histogram of whole scores
-    "l01_recent_events", "l02_archive_page",  # a page of n rows
-}
-
-
-def without_subqueries(text):
-    """The main plan; a scalar subquery ends in one aggregate row by nature."""
-    return re.sub(r"Subquery(?:.|\n)*", "", text) if "Subquery " in text else text
-
-
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("s0", "t"))))
-def test_nothing_is_gathered_in_one_task(spark, sf_dir, no_broadcast, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    if name not in ALLOWED_SINGLE:
-        assert "SinglePartition" not in without_subqueries(text)
-
-
 @pytest.mark.parametrize("name", ["f01_f05_behaviour", "f15_f16_trend", "f17_f22_geography", "f23_f33_risk",
                                   "b13_trend", "b13_risk", "b13_geography", "g01_event_sums"])
 def test_generated_methods_can_be_compiled(spark, sf_dir, name):
