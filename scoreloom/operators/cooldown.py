@@ -45,8 +45,8 @@ def accept(fired: DataFrame, max_applications: int = 1) -> DataFrame:
 
 
 def accepted_rules(accepted: DataFrame) -> DataFrame:
-    """Accepted rules and their sum per event, in rule order."""
+    """Accepted rules with their points per event, in rule order."""
     return (accepted.groupBy("event_id")
             .agg(F.array_sort(F.collect_list(F.struct("rule_pos", "rule_id", "rule_points"))).alias("r"))
-            .select("event_id", F.transform("r", lambda x: x["rule_id"]).alias("accepted_rules"),
-                    F.aggregate("r", F.lit(0.0), lambda s, x: s + x["rule_points"]).alias("accepted_change")))
+            .select("event_id", F.transform("r", lambda x: F.struct(
+                x["rule_id"].alias("rule_id"), x["rule_points"].alias("points"))).alias("accepted")))

@@ -11,7 +11,7 @@ from scoreloom.functions.bands import closed_tier, config_tier
 from scoreloom.functions.numeric import clamp, on_grid
 from scoreloom.model import Rule, ScoreConfig
 from scoreloom.operators.cooldown import accept, accepted_rules
-from scoreloom.operators.rules import apply_rules, fired_rows
+from scoreloom.operators.rules import apply_rule_table, apply_rules, fired_rows, sum_points
 from scoreloom.operators.scan import PREFIX, apply_step, clamped_scan
 
 MISSING_PROFILE = "subject profile not found"
@@ -111,21 +111,34 @@ def running_score_with_decay(spark: SparkSession, deltas: DataFrame, config: Sco
             .drop("step_low", "step_high", "day_opening", "day", *PREFIX))
 
 
-def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, rules: Sequence[Rule],
+def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, rules: Sequence[Rule] | DataFrame,
                  config: ScoreConfig = ScoreConfig(), strict_profiles: bool = False, strict_rules: bool = False,
-                 chunks: int | None = None) -> DataFrame:
-    """The whole scoring job in batch: events in, processed events out."""
+                 chunks: int | None = None, cooldown: bool = False) -> DataFrame:
+    """The whole scoring job in batch: events in, processed events out.
+
+    ``rules`` is a list, which is compiled, or a rule table of any length, which is joined. ``cooldown`` enforces the
+    rules' limits per subject and period; it decides which rules count, so it runs before the score and costs a
+    join on the event id.
+    """
     joined = with_profile(events, profiles, config, strict_profiles)
 
     def change(df: DataFrame) -> DataFrame:
-        scored = apply_rules(df, rules, strict_rules)
+        scored = apply_rule_table(df, rules) if isinstance(rules, DataFrame) else apply_rules(df, rules, strict_rules)
         if not strict_profiles:
             return scored
         bad = F.col("processing_error").isNotNull()
         return scored.withColumn("score_change", F.when(bad, 0.0).otherwise(F.col("score_change")))
 
     fold = running_score_with_decay if config.decay.enabled else running_score
-    done = fold(spark, joined, config, ["ts", "event_id"], chunks, change)
+    if cooldown:
+        if isinstance(rules, DataFrame):
+            raise ValueError("cooldown needs rules as a list; read them with load_rules")
+        # Error rows fire nothing, so they must not use up a period either.
+        known = change(joined).withColumn("rule_scores", F.when(F.col("processing_error").isNull(), F.col("rule_scores"))
+                                          .otherwise(F.slice("rule_scores", 1, 0)))
+        done = fold(spark, apply_cooldown(known, rules), config, ["ts", "event_id"], chunks)
+    else:
+        done = fold(spark, joined, config, ["ts", "event_id"], chunks, change)
     return error_rows_to_zero(done).withColumn("processing_id", processing_id())
 
 
@@ -158,11 +171,11 @@ def apply_cooldown(scored: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     fired = fired_rows(scored, "subject_id", "event_id", "ts").withColumns(
         {"cooldown_seconds": length, "max_in_period": most})
     kept = accepted_rules(accept(fired, max(r.max_in_period or 1 for r in limits.values())))
-    none = F.array().cast("array<string>")
-    return (scored.join(kept, "event_id", "left")
-            .withColumns({"applied_rules": F.coalesce("accepted_rules", none),
-                          "score_change": on_grid(F.coalesce("accepted_change", F.lit(0.0)))})
-            .drop("accepted_rules", "accepted_change", "rule_scores"))
+    none = F.array().cast("array<struct<rule_id:string,points:double>>")
+    left = (scored.drop("rule_scores").join(kept, "event_id", "left")
+            .withColumn("rule_scores", F.coalesce("accepted", none)).drop("accepted"))
+    return left.withColumns({"applied_rules": F.transform("rule_scores", lambda r: r["rule_id"]),
+                             "score_change": on_grid(sum_points(F.col("rule_scores")))})
 
 
 def onboard(events: DataFrame, config: ScoreConfig = ScoreConfig()) -> tuple[DataFrame, DataFrame]:

@@ -223,3 +223,19 @@ def test_unmatched(spark):
     table = R.rules_frame(spark, ALL_RULES)
     assert R.unmatched_events(df, table).count() == 1
     assert R.unmatched_events(df, R.rules_frame(spark, [*ALL_RULES, Rule("w", "*", 1.0)])).count() == 0
+
+
+def test_score_events_with_cooldown_and_with_a_rule_table(spark):
+    from dataclasses import replace
+
+    events = spark.createDataFrame([event(i, "a", i, "social", "volunteering") for i in range(4)], EVENTS)
+    people = spark.createDataFrame([("a", "regular", 500.0)], PEOPLE)
+    limited = [replace(r, cooldown_seconds=7200, max_in_period=1) if r.rule_id == "social_positive" else r
+               for r in ALL_RULES]
+    out = score_events(spark, events, people, limited, cooldown=True).orderBy("event_id").collect()
+    assert [r.new_score for r in out] == [524.0, 524.0, 548.0, 548.0]
+    assert [r.applied_rules for r in out] == [["social_positive"], [], ["social_positive"], []]
+    placed = events.withColumns({c: F.lit("x") for c in ("city", "region", "country")})
+    assert measures.rule_executions(score_events(spark, placed, people, limited, cooldown=True)).count() == 2
+    table = score_events(spark, events, people, R.rules_frame(spark, ALL_RULES)).orderBy("event_id").collect()
+    assert [r.new_score for r in table] == [524.0, 548.0, 572.0, 596.0]
