@@ -10,9 +10,8 @@ from scoreloom.functions.scoring import impact_factor, rule_score
 from scoreloom.operators import measures as M
 from scoreloom.operators.scoring import with_profile
 from scoreloom.plans.registry import query
-from scoreloom.plans.sqlbase import X, feature, features, r6, rule_points, sql, tier5, tier6, tstr
-from scoreloom.plans.tables import edges, events, processed, profiles
-from scoreloom.sources import star
+from scoreloom.plans.sqlbase import X, feature, features, r6, rule_points, sql, tier5, tstr
+from scoreloom.plans.tables import events, processed, profiles
 
 
 def _g(**cols):
@@ -203,7 +202,7 @@ def _(spark, d):
   SELECT 'event_' || event_type AS measurement, event_id, {X['latency_ms']} AS processing_time_ms, new_score AS score FROM pe) p
   JOIN (SELECT e.event_id, count(*) FILTER (kind = 'tag') AS n_tags, count(key) FILTER (kind <> 'tag') AS n_fields
         FROM ev e LEFT JOIN kvs USING (event_id) GROUP BY 1) USING (event_id)""").replace(
-    "WITH RECURSIVE ", "WITH RECURSIVE ", 1).replace(sql("ev", "").rstrip(), sql("pe", "").rstrip(), 1))
+    sql("ev", "").rstrip(), sql("pe", "").rstrip(), 1))
 def _(spark, d):
     return M.event_points(processed(spark, d)).select(
         "measurement", "event_id", F.size("tags").cast("bigint").alias("n_tags"),
@@ -335,6 +334,3 @@ def _(spark, d):
     return M.score_changes(processed(spark, d)).select(
         "subject_id", "event_id", "event_type", "previous_score", "new_score", "score_change", "applied_rules",
         "previous_tier", "new_tier", "location", "change_type", "triggering_rule_id")
-
-
-__all__ = ["edges", "star", "tier6"]

@@ -128,7 +128,7 @@ def _(spark, d):
 DECAYING = ScoreConfig(decay=Decay(True, 3.0, 300.0))
 
 
-@query("t05_decay", sql("sc", f"""SELECT 1""").replace("SELECT 1", f"""""").rstrip() + f""",
+@query("t05_decay", sql("sc", "").rstrip() + f""",
 dseq AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY ts, event_id) AS rn,
   date_diff('day', lag(ts::DATE) OVER (PARTITION BY subject_id ORDER BY ts, event_id), ts::DATE) AS idle FROM sc),
 drun(subject_id, rn, before, after) AS (

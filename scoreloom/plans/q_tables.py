@@ -46,13 +46,13 @@ def _(spark, d):
     return Ru.matching_rules(events(spark, d), Ru.rules_frame(spark, WITH_WILD))
 
 
-_STRICT = [r for r in [
+_STRICT = [
     ("financial_negative", "financial", "event_subtype = 'payment_failed'", "-15.0", "1.0"),
     ("social_positive", "social", "event_subtype = 'volunteering'", "20.0", "1.2"),
     ("legal_violation", "legal", "event_subtype = 'violation'", "-50.0", "1.5"),
     ("relationship_positive", "relationship", "is_positive", "5.0", "1.0"),
     ("relationship_negative", "relationship", "NOT is_positive", "-8.0", "1.0"),
-    ("stress_identity", "identity", "true", "-220.0", "1.0")]]
+    ("stress_identity", "identity", "true", "-220.0", "1.0")]
 
 
 @query("c02_strict_conditions", sql("fired", _scored_sql(fired_sql("evp", _STRICT))))
