@@ -124,7 +124,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     out["n_lines"] += np.bincount(line_text, minlength=n_texts)
     keys = mix(hash_spans(data, line_start, line_end, words.window) ^ salt[line_text])
     member, begin = _groups(keys)
-    for low, high in zip(begin, np.append(begin[1:], len(member)), strict=True):
+    limits = np.append(begin, len(member))
+    for low, high in zip(limits[:-1], limits[1:], strict=True):
         first = (line_start[member[low]], line_end[member[low]])
         for i in member[low + 1: high]:
             span = (line_start[i], line_end[i])

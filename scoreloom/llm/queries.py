@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import quality, token_files
+from scoreloom.llm import mixing, quality, token_files
 from scoreloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_files.token_digest(docs, token_files.corpus_folder(docs), WORD_VOCABULARY)
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    _, decided = mixing.copies(docs)
+    return decided.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target",
+                          (F.col("copies") * F.col("_size")).alias("taken"))
