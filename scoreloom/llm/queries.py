@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import mixing, quality, token_files
+from scoreloom.llm import decontaminate, mixing, quality, token_files
 from scoreloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, decided = mixing.copies(docs)
     return decided.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target",
                           (F.col("copies") * F.col("_size")).alias("taken"))
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -31,6 +31,8 @@ from scoreloom.session import new_table_path
 END_ID = 1
 #: Words whose ids a worker keeps; beyond it the kept words are dropped and gathered anew.
 CACHE_WORDS = 400_000
+#: A special token of the vocabulary; joins words into one call of the library.
+SEPARATOR = "<|endoftext|>"
 
 MANIFEST = "shard string, bin_file string, idx_file string, ids_file string, dtype string, n_docs bigint, n_tokens bigint"
 
@@ -49,22 +51,55 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
+        self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*pieces).difference(self.known))
+        new = set().union(*pieces).difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known = {"": b""}
-            new = list(set().union(*pieces).difference(self.known))
-        for at in range(0, len(new), 20_000):
-            part = new[at: at + 20_000]
-            for word, code in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(code.ids, self.dtype).tobytes()
+            new = set().union(*pieces)
+        self._learn(new)
         known = self.known
         return [b"".join([known[w] for w in words]) for words in pieces]
 
+    def _learn(self, new: set[str]) -> None:
+        """Ids of new words. Full stops and commas behind a letter are pieces of their own, as the pre-tokeniser splits there."""
+        known, parts = self.known, {}
+        for word in new:
+            core = word.rstrip(".,")
+            if not core or not core[-1].isalpha():
+                core = word
+            parts[word] = core.lower() if core.isascii() else core, word[len(core):]
+        wanted = [p for p in {p for pair in parts.values() for p in pair}.difference(known) if p]
+        plain = [p for p in wanted if "<|" not in p]
+        for at in range(0, len(plain), 1000):
+            self._encode_joined(plain[at: at + 1000])
+        self._encode_each([p for p in wanted if "<|" in p])
+        for word, (core, tail) in parts.items():
+            if word not in known:
+                known[word] = known[core] + known[tail]
+
+    def _encode_joined(self, words: list[str]) -> None:
+        """Many words in one call, told apart by a special token that none of them holds."""
+        joined = self.tokenizer.encode_batch_fast([SEPARATOR.join(words)], add_special_tokens=False)[0].ids
+        ids = np.asarray(joined, self.dtype)
+        cuts = np.flatnonzero(ids == self.separator)
+        if len(cuts) != len(words) - 1:
+            self._encode_each(words)
+            return
+        width, data = ids.itemsize, ids.tobytes()
+        begins = np.append(0, cuts + 1) * width
+        ends = np.append(cuts, len(ids)) * width
+        for word, a, b in zip(words, begins.tolist(), ends.tolist(), strict=True):
+            self.known[word] = data[a:b]
+
+    def _encode_each(self, words: list[str]) -> None:
+        for word, code in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+            self.known[word] = np.asarray(code.ids, self.dtype).tobytes()
+
 
 def id_type(path: str) -> str:
     """The narrowest of u2 and u4 that holds every id of a vocabulary."""
