@@ -156,3 +156,38 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Re
             yield from function(batch)
 
     return df.mapInArrow(over, schema)
+
+
+# --- classes of linked texts ---------------------------------------------------------------------------------------
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(key, label) for the end points of ``links`` (a, b): label is the least key that is connected to key.
+
+    Alternating large-star and small-star rounds (Kiveris et al. 2014): each is one grouping with a minimum that combines
+    before its shuffle, and rounds grow with the logarithm of a component. A round's table is written, so no lineage grows.
+    """
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    edges = stored(links.where("a <> b").select(low.alias("a"), high.alias("b")).distinct(), "links")
+
+    def star(edges: DataFrame, small: bool) -> DataFrame:
+        both = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
+        if not small:
+            both = both.union(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        moved = both.join(least, "u")
+        if small:  # every smaller neighbour, and the node itself, under the least
+            out = moved.select("m", F.col("v").alias("x")).union(least.select("m", F.col("u").alias("x")))
+        else:  # every larger neighbour under the least
+            out = moved.where("v > u").select("m", F.col("v").alias("x"))
+        return out.where("m <> x").select(F.col("m").alias("a"), F.col("x").alias("b")).distinct()
+
+    state = None
+    while True:
+        edges = stored(star(star(edges, small=False), small=True), "links")
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == state:
+            break
+        state = now
+    return edges.select(F.col("b").alias("key"), F.col("a").alias("label")).union(
+        edges.select(F.col("a").alias("key"), F.col("a").alias("label")).distinct())

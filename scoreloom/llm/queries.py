@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import decontaminate, mixing, quality, token_files
+from scoreloom.llm import decontaminate, mixing, near_dups, quality, token_files
 from scoreloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op6_near_duplicates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.classes(documents(spark, sf_dir).select("doc_id", "text"))
