@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import decontaminate, mixing, near_dups, quality, token_files
-from scoreloom.llm.common import documents
+from scoreloom.llm import decontaminate, mixing, near_dups, quality, token_files, toxicity
+from scoreloom.llm.common import crc_of, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.classes(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = (F.pmod(crc_of(F.col("doc_id")), F.lit(5)) == 0).alias("held_out")
+    return toxicity.score(docs.select("doc_id", held_out, "text"), lexicon)
