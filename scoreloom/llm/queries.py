@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import decontaminate, mixing, near_dups, quality, token_files, toxicity
+from scoreloom.llm import decontaminate, mixing, near_dups, quality, token_counts, token_files, toxicity
 from scoreloom.llm.common import crc_of, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -66,3 +67,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     held_out = (F.pmod(crc_of(F.col("doc_id")), F.lit(5)) == 0).alias("held_out")
     return toxicity.score(docs.select("doc_id", held_out, "text"), lexicon)
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(documents(spark, sf_dir).select("doc_id", "text"), PIECE_VOCABULARY)
+    return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+                         (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
