@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import decontaminate, mixing, near_dups, quality, token_counts, token_files, toxicity
+from scoreloom.llm import decontaminate, mixing, near_dups, ngram_lm, quality, token_counts, token_files, toxicity
 from scoreloom.llm.common import crc_of, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(documents(spark, sf_dir).select("doc_id", "text"), PIECE_VOCABULARY)
     return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
                          (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
+
+
+@query("op10_language_model")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    df = ngram_lm.scores(docs, F.pmod(crc_of(F.col("doc_id")), F.lit(5)) == 1)
+    return df.withColumnRenamed("id", "doc_id")
