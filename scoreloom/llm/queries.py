@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import decontaminate, mixing, near_dups, ngram_lm, quality, suffix_dedup, token_counts, token_files, toxicity
+from scoreloom.llm import decontaminate, licenses, mixing, near_dups, ngram_lm, quality, suffix_dedup, token_counts, token_files, toxicity
 from scoreloom.llm.common import crc_of, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.found_licenses(documents(spark, sf_dir).select("doc_id", "text"))
