@@ -16,7 +16,7 @@ from scoreloom.session import new_table_path, prepare
 #: Words are runs of anything but a space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text handed to one numpy pass; a longer document is a pass of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Spans above this many bytes are hashed one by one, shorter ones eight bytes at a time for all spans together.
 LONG_SPAN = 512
 

@@ -114,8 +114,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     cut = np.flatnonzero(data == 10)
     line_start = np.union1d(cut + 1, offsets[:-1])
     line_start = line_start[line_start < len(data)]
-    line_end = np.append(line_start[1:], len(data))
-    line_end = line_end - ((line_end > line_start) & (data[line_end - 1] == 10) if len(line_end) else 0)
+    line_end = np.append(line_start, len(data))[1:]
+    line_end = line_end - (data[line_end - 1] == 10)
     solid = np.zeros(len(data) + 1, np.int64)
     np.cumsum(words.solid, out=solid[1:])
     real = solid[line_end] > solid[line_start]
