@@ -11,7 +11,7 @@ memory: sorted context words with Elias-Fano coded pointers, and the successors
 monotone sequence of vocabulary numbers relative to their context, with discounted probabilities quantised to 16 bits.
 Queries search the successors of their own context only.
 
-Words are told apart by 64-bit hashes, successors of one word by 48 bits. Null and empty texts have the end token alone.
+Words are told apart by 64-bit hashes, successors of one word by 40 bits. Null and empty texts have the end token alone.
 Repeated rows are counted and scored each. Without training texts every token is unknown and the score is the base score.
 """
 
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.dataset
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +33,9 @@ from scoreloom.llm.token_files import local_copy, open_folder
 from scoreloom.session import new_table_path
 
 #: Text of one batch; its words and bigrams are asked for together.
-BATCH_BYTES = 8 << 20
-#: A shard's share of the work: batches per shard stay near this.
-BATCHES_PER_SHARD = 1.0
+BATCH_BYTES = 4 << 20
+#: A shard's share of the work: what so many batches of texts hold.
+BATCHES_PER_SHARD = 2.0
 #: A context is split when it holds more than this part of a shard's tokens.
 SPLIT_SHARE = 0.25
 #: Steps of the quantised log2 probability.
@@ -42,7 +43,7 @@ STEPS = 1024
 
 _START = np.uint64(0x5354415254)
 _END = np.uint64(0x454E44)
-_LOW48 = np.uint64((1 << 48) - 1)
+_LOW40 = np.uint64((1 << 40) - 1)
 
 
 # --- Elias-Fano -----------------------------------------------------------------------------------------------------
@@ -194,7 +195,7 @@ def packed(docs: DataFrame, id_col: str, text: str, held_out: Column) -> DataFra
             yield pack(number, rows)
 
     path = new_table_path(docs.sparkSession, "lm-texts")
-    base.mapInArrow(over, schema).write.parquet(path)
+    base.mapInArrow(over, schema).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -227,56 +228,86 @@ def read_answers(path: str, batch: int, columns: list[str]) -> list[dict]:
     return pa.dataset.dataset(folder, filesystem=disk, format="parquet").to_table(columns=columns).to_pylist()
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def loosen(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, its places in ascending order) from the shard of each place."""
+    order = np.argsort(shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    for part in np.split(order, cuts):
+        if len(part):
+            yield int(shard[part[0]]), part
+
+
+def shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    """The rows of one shard after another, from rows sorted by shard."""
+    kept: list[dict] = []
+    for row in (r for b in batches for r in b.to_pylist()):
+        if kept and kept[0]["shard"] != row["shard"]:
+            yield kept[0]["shard"], kept
+            kept = []
+        kept.append(row)
+    if kept:
+        yield kept[0]["shard"], kept
+
+
+def _word_shards(word: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(word) % np.uint64(shards)).astype(np.int64)
+
+
 def word_counts(texts: DataFrame, shards: int) -> tuple[str, int, int]:
-    """(answers with each batch's words and their training counts, all training tokens, different training tokens)."""
+    """(answers with the training counts of each batch's words, all training tokens, different training tokens)."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each(batches):
-            number, tokens, train = part.number, part.tokens, part.train
-            word, place = np.unique(tokens.word, return_inverse=True)
-            count = np.bincount(place, train[tokens.text], minlength=len(word)).astype("<u4")
-            shard = (mix(word) % np.uint64(shards)).astype(np.int64)
-            for s in np.unique(shard):
-                mine = shard == s
+            word, place = np.unique(part.tokens.word, return_inverse=True)
+            count = np.bincount(place, part.train[part.tokens.text], minlength=len(word)).astype("<u4")
+            for s, mine in by_shard(_word_shards(word, shards)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([int(s)], pa.int32()), pa.array([word[mine].tobytes()], pa.binary()),
-                     pa.array([count[mine].tobytes()], pa.binary())], names=["batch", "shard", "words", "counts"])
+                    [pa.array([part.number]), pa.array([s], pa.int32()), pa.array([word[mine].tobytes()], pa.binary()),
+                     pa.array([squeeze(count[mine])], pa.binary())], names=["batch", "shard", "words", "counts"])
 
-    asked = texts.mapInArrow(ask, "batch bigint, shard int, words binary, counts binary").repartition(shards, "shard")
+    asked = texts.mapInArrow(ask, "batch bigint, shard int, words binary, counts binary").repartition(shards, "shard").sortWithinPartitions("shard")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in b.to_pylist()]
-        for s in sorted({r["shard"] for r in rows}):
-            mine = [r for r in rows if r["shard"] == s]
+        for s, mine in shard_rows(batches):
             words = [np.frombuffer(r["words"], "<u8") for r in mine]
             known, place = np.unique(np.concatenate(words), return_inverse=True)
-            counts = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in mine])
+            counts = np.concatenate([loosen(r["counts"], "<u4") for r in mine])
             total = np.bincount(place, counts, minlength=len(known)).astype("<i8")
             n_all, n_known, at = int(total.sum()), int((total > 0).sum()), 0
             for r, w in zip(mine, words, strict=True):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["batch"]]), pa.array([s], pa.int32()), pa.array([r["words"]], pa.binary()),
-                     pa.array([total[place[at: at + len(w)]].tobytes()], pa.binary()), pa.array([n_all]), pa.array([n_known])],
-                    names=["batch", "shard", "words", "counts", "shard_tokens", "shard_words"])
+                    [pa.array([r["batch"]]), pa.array([s], pa.int32()), pa.array([squeeze(total[place[at: at + len(w)]])], pa.binary()),
+                     pa.array([n_all]), pa.array([n_known])],
+                    names=["batch", "shard", "counts", "shard_tokens", "shard_words"])
                 at, n_all, n_known = at + len(w), 0, 0
 
-    path = answers(asked.mapInArrow(answer, "batch bigint, shard int, words binary, counts binary, shard_tokens bigint, "
-                                            "shard_words bigint"), "lm-words")
+    path = answers(asked.mapInArrow(answer, "batch bigint, shard int, counts binary, shard_tokens bigint, shard_words bigint"),
+                   "lm-words")
     counted = texts.sparkSession.read.schema("batch bigint, shard_tokens bigint, shard_words bigint").parquet(path)
     found = counted.agg(F.sum("shard_tokens"), F.sum("shard_words")).first()
     return path, int(found[0] or 0), int(found[1] or 0)
 
 
-def batch_words(path: str, number: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = read_answers(path, number, ["words", "counts"])
-    word = np.concatenate([np.frombuffer(r["words"], "<u8") for r in rows])
-    count = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows])
-    order = np.argsort(word)
-    return word[order], count[order]
+def batch_words(path: str, part: Batch, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The batch's different words and their counts over all training texts."""
+    word = np.unique(part.tokens.word)
+    count = np.zeros(len(word), np.int64)
+    told = {r["shard"]: r["counts"] for r in read_answers(path, part.number, ["shard", "counts"])}
+    for s, mine in by_shard(_word_shards(word, shards)):
+        count[mine] = loosen(told[s], "<i8")
+    return word, count
 
 
 def _bigrams(tokens: Tokens, word: np.ndarray, count: np.ndarray, starts: int) -> tuple[np.ndarray, ...]:
-    """Distinct bigrams of a batch in order of (context, 48 bits of the word): both, the place of each token, context totals."""
-    second = mix(tokens.word) & _LOW48
+    """Distinct bigrams of a batch in order of (context, 40 bits of the word): both, the place of each token, context totals."""
+    second = mix(tokens.word) & _LOW40
     # One 64-bit number stands for a pair inside a batch; pairs are ordered by context and word behind it.
     order = np.lexsort((second, tokens.before))
     v, w = tokens.before[order], second[order]
@@ -288,86 +319,78 @@ def _bigrams(tokens: Tokens, word: np.ndarray, count: np.ndarray, starts: int) -
     return v, w, place, total
 
 
-def _route(v: np.ndarray, w: np.ndarray, total: np.ndarray, n_tokens: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard of each bigram, number of shards its context is split over)."""
-    parts = np.clip(np.ceil(total / max(1.0, SPLIT_SHARE * n_tokens / shards)), 1, shards).astype(np.uint64)
-    return ((mix(v) + mix(w) % parts) % np.uint64(shards)).astype(np.int64), parts.astype(np.int64)
+def _questions(v: np.ndarray, w: np.ndarray, total: np.ndarray, n_tokens: int, shards: int) -> Iterator[tuple]:
+    """(shard, places of its bigrams, places of the first bigram of its contexts, bigrams of each context) of a batch.
+
+    Bigrams go by their context, those of a context with a large part of all tokens also by their word. All parts of such a
+    context are asked how many words follow it, also those in which the batch has no bigram: these contexts come last.
+    """
+    split = np.clip(np.ceil(total / max(1.0, SPLIT_SHARE * n_tokens / shards)), 1, shards).astype(np.uint64)
+    shard = ((mix(v) + mix(w) % split) % np.uint64(shards)).astype(np.int64)
+    head = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
+    group = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(v))))
+    parts = split[head].astype(np.int64)
+    shared = np.flatnonzero(parts > 1)
+    which = np.repeat(shared, parts[shared])
+    turn = np.arange(len(which)) - np.repeat(np.cumsum(parts[shared]) - parts[shared], parts[shared])
+    asked = ((mix(v[head[which]]) + turn.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    extra = {s: which[p] for s, p in by_shard(asked)}
+    own = dict(by_shard(shard))
+    for s in sorted(own.keys() | extra.keys()):
+        mine = own.get(s, np.zeros(0, np.int64))
+        g = group[mine]
+        begin = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, np.int64)
+        more = np.setdiff1d(extra[s], g[begin]) if s in extra else np.zeros(0, np.int64)
+        sizes = np.append(np.diff(np.append(begin, len(mine))), np.zeros(len(more), np.int64))
+        yield s, mine, head[np.append(g[begin], more).astype(np.int64)], sizes
 
 
 def bigram_answers(texts: DataFrame, words: str, starts: int, n_tokens: int, shards: int, discount: float, folder: str) -> str:
     """Answers with each batch's bigrams: quantised probabilities, and per context its number of different successors."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each(batches):
-            number, tokens, train = part.number, part.tokens, part.train
-            v, w, place, total = _bigrams(tokens, *batch_words(words, number), starts)
-            count = np.bincount(place, train[tokens.text], minlength=len(v)).astype("<u4")
-            shard, parts = _route(v, w, total, n_tokens, shards)
-            # All parts of a split context are asked how many words follow it, also those this batch has no bigrams in.
-            heads, at = np.unique(v, return_index=True)
-            shared = np.flatnonzero(parts[at] > 1)
-            turn = np.concatenate([np.arange(k) for k in parts[at][shared]]) if len(shared) else np.zeros(0, np.int64)
-            which = np.repeat(shared, parts[at][shared])
-            asked_at = ((mix(heads[which]) + turn.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-            for s in range(shards):
-                mine = np.flatnonzero(shard == s)
-                begin = np.flatnonzero(np.append(True, v[mine][1:] != v[mine][:-1])) if len(mine) else mine
-                more = np.setdiff1d(which[asked_at == s], np.searchsorted(heads, v[mine][begin]))
-                if not len(mine) and not len(more):
-                    continue
-                sizes = np.append(np.diff(np.append(begin, len(mine))), np.zeros(len(more), np.int64))
+            v, w, place, total = _bigrams(part.tokens, *batch_words(words, part, shards), starts)
+            count = np.bincount(place, part.train[part.tokens.text], minlength=len(v)).astype("<u4")
+            for s, mine, heads, sizes in _questions(v, w, total, n_tokens, shards):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([s], pa.int32()),
-                     pa.array([np.append(v[mine][begin], heads[more]).tobytes()], pa.binary()),
-                     pa.array([np.append(total[mine][begin], total[at][more]).astype("<i8").tobytes()], pa.binary()),
-                     pa.array([sizes.astype("<u4").tobytes()], pa.binary()),
-                     pa.array([w[mine].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()], pa.binary()),
-                     pa.array([_small(count[mine])], pa.binary())],
+                    [pa.array([part.number]), pa.array([s], pa.int32()), pa.array([v[heads].tobytes()], pa.binary()),
+                     pa.array([squeeze(total[heads].astype("<i8"))], pa.binary()), pa.array([squeeze(sizes.astype("<u4"))], pa.binary()),
+                     pa.array([w[mine].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()], pa.binary()),
+                     pa.array([squeeze(count[mine])], pa.binary())],
                     names=["batch", "shard", "contexts", "totals", "sizes", "words", "counts"])
 
     asked = texts.mapInArrow(ask, "batch bigint, shard int, contexts binary, totals binary, sizes binary, words binary, "
-                                  "counts binary").repartition(shards, "shard")
+                                  "counts binary").repartition(shards, "shard").sortWithinPartitions("shard")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in b.to_pylist()]
-        for s in sorted({r["shard"] for r in rows}):
-            mine = [r for r in rows if r["shard"] == s]
-            context = [np.repeat(np.frombuffer(r["contexts"], "<u8"), np.frombuffer(r["sizes"], "<u4")) for r in mine]
-            word = [_six(r["words"]) for r in mine]
-            count = np.concatenate([_large(r["counts"], len(w)) for r, w in zip(mine, word, strict=True)])
-            total = np.concatenate([np.repeat(np.frombuffer(r["totals"], "<i8"), np.frombuffer(r["sizes"], "<u4")) for r in mine])
+        for s, mine in shard_rows(batches):
+            contexts = [np.frombuffer(r["contexts"], "<u8") for r in mine]
+            sizes = [loosen(r["sizes"], "<u4") for r in mine]
+            word = [_five(r["words"]) for r in mine]
+            count = np.concatenate([loosen(r["counts"], "<u4") for r in mine]).astype(np.int64)
             seen = count > 0
-            levels = _count_level(np.concatenate(context)[seen], np.concatenate(word)[seen], count[seen], total[seen])
-            write_levels(folder, f"shard-{s:06d}", build_trie(*levels, discount))
+            level = _count_level(np.concatenate([np.repeat(c, n) for c, n in zip(contexts, sizes, strict=True)])[seen],
+                                 np.concatenate(word)[seen], count[seen],
+                                 np.concatenate([np.repeat(loosen(r["totals"], "<i8"), n) for r, n in zip(mine, sizes, strict=True)])[seen])
+            write_levels(folder, f"shard-{s:06d}", build_trie(*level, discount))
             trie = Trie(map_levels(folder, f"shard-{s:06d}"))
-            different = np.diff(levels[2])
-            for r, c, w in zip(mine, context, word, strict=True):
-                code = trie.look_up(c, w)
-                heads = np.frombuffer(r["contexts"], "<u8")
-                at = np.minimum(np.searchsorted(trie.contexts, heads), max(0, len(trie.contexts) - 1))
-                n = np.where(trie.contexts[at] == heads, different[at], 0) if len(trie.contexts) else np.zeros(len(heads))
+            different = np.append(np.diff(level[2]), 0)
+            for r, c, n, w in zip(mine, contexts, sizes, word, strict=True):
+                code = trie.look_up(np.repeat(c, n), w)
+                at = np.searchsorted(trie.contexts, c)
+                known = np.append(trie.contexts, 0)[at] == c if len(trie.contexts) else np.zeros(len(c), bool)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["batch"]]), pa.array([s], pa.int32()), pa.array([code.astype("<u2").tobytes()], pa.binary()),
-                     pa.array([r["contexts"]], pa.binary()), pa.array([n.astype("<i8").tobytes()], pa.binary())],
-                    names=["batch", "shard", "codes", "contexts", "different"])
-
-    return answers(asked.mapInArrow(answer, "batch bigint, shard int, codes binary, contexts binary, different binary"), "lm-bigrams")
-
-
-def _small(count: np.ndarray) -> bytes:
-    """Counts as bytes; 255 stands for a larger one, which follows in order as 32 bits."""
-    return np.minimum(count, 255).astype(np.uint8).tobytes() + count[count >= 255].astype("<u4").tobytes()
-
+                    [pa.array([r["batch"]]), pa.array([s], pa.int32()), pa.array([squeeze(code.astype("<u2"))], pa.binary()),
+                     pa.array([squeeze(np.where(known & (at < len(trie.contexts)), different[at], 0).astype("<u4"))], pa.binary())],
+                    names=["batch", "shard", "codes", "different"])
 
-def _large(data: bytes, n: int) -> np.ndarray:
-    count = np.frombuffer(data, np.uint8, n).astype(np.int64)
-    count[count == 255] = np.frombuffer(data, "<u4", offset=n)
-    return count
+    return answers(asked.mapInArrow(answer, "batch bigint, shard int, codes binary, different binary"), "lm-bigrams")
 
 
-def _six(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
+def _five(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :6] = raw
+    out[:, :5] = raw
     return out.view("<u8").reshape(-1)
 
 
@@ -389,7 +412,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str
     spark = docs.sparkSession
     texts = packed(docs, id_col, text, F.coalesce(held_out, F.lit(False)))
     facts = texts.agg(F.count("batch"), F.sum(F.size(F.filter("held", lambda x: ~x)))).first()
-    shards, starts = max(1, int(facts[0] * BATCHES_PER_SHARD)), int(facts[1] or 0)
+    shards, starts = max(1, int(facts[0] / BATCHES_PER_SHARD)), int(facts[1] or 0)
     words, n_tokens, n_words = word_counts(texts, shards)
     folder = new_table_path(spark, "lm-trie")
     bigrams = bigram_answers(texts, words, starts, n_tokens, shards, discount, folder)
@@ -397,20 +420,19 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each(batches):
-            number, tokens = part.number, part.tokens
-            word, count = batch_words(words, number)
+            tokens = part.tokens
+            word, count = batch_words(words, part, shards)
             c = count[np.searchsorted(word, tokens.word)]
             unigram = (c + 0.5) / (n_tokens + 0.5 * (n_words + 1))
             v, w, place, total = _bigrams(tokens, word, count, starts)
-            shard, parts = _route(v, w, total, n_tokens, shards)
+            told = {r["shard"]: r for r in read_answers(bigrams, part.number, ["shard", "codes", "different"])}
             share, different = np.zeros(len(v)), np.zeros(len(v))
-            heads, begin = np.unique(v, return_index=True)
-            n_different = np.zeros(len(heads), np.int64)
-            for r in read_answers(bigrams, number, ["shard", "codes", "contexts", "different"]):
-                code = np.frombuffer(r["codes"], "<u2")
-                share[shard == r["shard"]] = np.where(code == 65535, 0.0, np.exp2(-code.astype(float) / STEPS))
-                n_different[np.searchsorted(heads, np.frombuffer(r["contexts"], "<u8"))] += np.frombuffer(r["different"], "<i8")
-            different = n_different[np.searchsorted(heads, v)]
+            for s, mine, heads, _ in _questions(v, w, total, n_tokens, shards):
+                code = loosen(told[s]["codes"], "<u2")
+                share[mine] = np.where(code == 65535, 0.0, np.exp2(-code.astype(float) / STEPS))
+                different[heads] += loosen(told[s]["different"], "<u4")
+            first = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
+            different = np.repeat(different[first], np.diff(np.append(first, len(v))))
             rest = np.where(total > 0, discount * different / np.maximum(total, 1), 1.0)
             p = share[place] + rest[place] * unigram
             n = len(tokens.sizes)

@@ -43,7 +43,7 @@ def compare(df, rows, held):
         assert g[6] == pytest.approx(w[6], rel=1e-9) and g[7] == pytest.approx(w[7], rel=2e-3)
 
 
-@pytest.mark.parametrize("batch, share", [(8 << 20, 0.25), (40_000, 0.02)])
+@pytest.mark.parametrize("batch, share", [(4 << 20, 0.25), (40_000, 0.02)])
 def test_against_brute_force(docs, batch, share, monkeypatch):
     monkeypatch.setattr(lm, "BATCH_BYTES", batch)
     monkeypatch.setattr(lm, "SPLIT_SHARE", share)
