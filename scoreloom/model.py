@@ -75,6 +75,12 @@ CONDITION = T.StructType([
     T.StructField("flag", T.BooleanType()),
 ])
 
+MULTIPLIER = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("factor", T.DoubleType()),
+    T.StructField("flag", T.StringType()),
+])
+
 RULE = T.StructType([
     T.StructField("ord", T.IntegerType()),
     T.StructField("rule_id", T.StringType()),
@@ -90,6 +96,8 @@ RULE = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("valid_from", T.TimestampType()),
     T.StructField("valid_to", T.TimestampType()),
+    T.StructField("multipliers", T.ArrayType(MULTIPLIER)),
+    T.StructField("custom_logic", T.StringType()),
 ])
 
 
@@ -189,7 +197,8 @@ class Rule:
         return (ord_, self.rule_id, self.name, self.event_type, self.logic,
                 [c.row() for c in self.conditions], float(self.points), float(self.multiplier),
                 self.cooldown_seconds, self.max_in_period, list(self.tags), self.status,
-                self.valid_from, self.valid_to)
+                self.valid_from, self.valid_to, [(m.name, float(m.factor), m.flag) for m in self.multipliers],
+                self.custom_logic)
 
 
 def _rule(rule_id, event_type, conditions, points, multiplier=1.0, **more) -> Rule:
@@ -217,5 +226,7 @@ STRESS_RULES: tuple[Rule, ...] = (
 ALL_RULES: tuple[Rule, ...] = SEED_RULES + STRESS_RULES
 
 # Configuration as a table: one row per configuration, and one row per tier.
-CONFIG_COLUMNS = "config_id string, baseline double, low double, high double"
+CONFIG_COLUMNS = ("config_id string, baseline double, low double, high double, decay_enabled boolean, "
+                  "decay_points_per_day double, decay_floor double, rule_ids array<string>, include_tags array<string>, "
+                  "exclude_tags array<string>")
 TIER_COLUMNS = "config_id string, tier string, low double, high double"

@@ -47,17 +47,16 @@ def write_archive(spark: SparkSession, pe: DataFrame, path: str, version: str =
     Only the dates in the batch are read back and rewritten. Inside a date, files are cut by subject range and
     sorted newest first, so a subject's recent events are in few row groups and one hot date is many tasks.
     """
-    new = archive_rows(pe, version)
+    shared_dir(spark)
+    new = archive_rows(pe, version).checkpoint()  # the batch is worked out once: its dates and its rows are read from here
     dates = [r["date"] for r in new.select("date").distinct().collect()]
     if not dates:
         return
     if _exists(spark, path):
         old = spark.read.parquet(path).filter(F.col("date").isin(dates)).select(*new.columns)
-        new = latest_per_key(old.unionByName(new).drop("date"), version).withColumn("date", F.to_date("ts"))
-    # The files being replaced are also read, so the new version is written out first.
-    shared_dir(spark)
-    staged = new.checkpoint()
-    (staged.repartitionByRange("date", "subject_id", "ts")
+        # The files being replaced are also read, so the new version is written out first.
+        new = latest_per_key(old.unionByName(new).drop("date"), version).withColumn("date", F.to_date("ts")).checkpoint()
+    (new.repartitionByRange("date", "subject_id", "ts")
      .sortWithinPartitions("date", "subject_id", F.col("ts").desc(), "event_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
 

@@ -1,16 +1,16 @@
 """At most n applications of a rule per subject and period (T4).
 
 The first accepted firing opens a period of the rule's length; up to ``n`` firings are accepted until it ends; the
-next firing after its end opens a new one. Periods are whole seconds, and so is the clock they are counted on.
+next firing at or after its end opens a new one. The clock has microseconds, like the timestamps.
 
-Which firing opens a period depends on the one before, so the walk is sequential per subject and rule. It is done
-on counts per second, not on firings: a subject and rule has at most one such row per second of history, whatever
-the number of events. The walk streams over sorted rows with constant state.
+Which firing opens a period depends on the one before. A gap of at least a period between neighbouring firings always
+opens a new one, so a history is cut there and its pieces are dealt out on their own: the previous firing comes from a
+window over narrow rows. Inside a piece the walk goes from opener to opener, not from row to row, and streams over sorted
+rows with constant state.
 """
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,26 +21,20 @@ from scoreloom.operators.kernels import cooldown_kernel
 KEYS = ("subject_id", "rule_id")
 
 
-def accept(fired: DataFrame, max_applications: int = 1) -> DataFrame:
-    """Accepted firings of ``fired``, which needs subject, rule, ts, event_id, cooldown_seconds and max_in_period.
-
-    ``max_applications`` is the largest ``max_in_period`` in use. It lets Spark drop surplus firings of one
-    second before the shuffle.
-    """
-    timed = fired.withColumn("second", F.unix_seconds(F.date_trunc("second", "ts")))
-    free = timed.filter(F.coalesce("cooldown_seconds", F.lit(0)) <= 0).drop("second")
-    bound = timed.filter(F.coalesce("cooldown_seconds", F.lit(0)) > 0).withColumn(
-        "max_in_period", F.coalesce("max_in_period", F.lit(1)))
-    place = F.row_number().over(W.partitionBy(*KEYS, "second").orderBy("ts", "event_id"))
-    first = bound.withColumn("place", place).filter(F.col("place") <= max_applications)
-    seconds = first.groupBy(*KEYS, "second", "cooldown_seconds", "max_in_period").agg(F.count("*").alias("n"))
-    walked = (seconds.repartition(*KEYS).sortWithinPartitions(*KEYS, "second")
-              .mapInArrow(cooldown_kernel(KEYS), T.StructType([
-                  *seconds.schema.fields, T.StructField("quota", T.LongType()),
-                  T.StructField("period_end", T.LongType())])))
-    quota = walked.filter("quota > 0").select(*KEYS, "second", "quota")
-    kept = (first.join(quota, [*KEYS, "second"]).filter(F.col("place") <= F.col("quota"))
-            .drop("place", "quota", "second"))
+def accept(fired: DataFrame) -> DataFrame:
+    """Accepted firings of ``fired``, which needs subject, rule, ts, event_id, cooldown_seconds and max_in_period."""
+    timed = fired.withColumn("clock", F.unix_micros(F.col("ts").cast("timestamp")))
+    free = timed.filter(F.coalesce("cooldown_seconds", F.lit(0)) <= 0).drop("clock")
+    bound = timed.filter(F.coalesce("cooldown_seconds", F.lit(0)) > 0).withColumns(
+        {"max_in_period": F.coalesce("max_in_period", F.lit(1)), "period": F.col("cooldown_seconds") * 1_000_000})
+    order = W.partitionBy(*KEYS).orderBy("clock", "event_id")
+    gap = F.col("clock") - F.lag("clock").over(order)
+    cut = bound.withColumn("opens", F.coalesce((gap >= F.col("period")).cast("int"), F.lit(1)))
+    pieces = cut.withColumn("piece", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, 0))).drop("opens")
+    walked = (pieces.repartition(*KEYS, "piece").sortWithinPartitions(*KEYS, "piece", "clock", "event_id")
+              .mapInArrow(cooldown_kernel((*KEYS, "piece")), T.StructType([
+                  *pieces.schema.fields, T.StructField("accepted", T.BooleanType())])))
+    kept = walked.filter("accepted").drop("accepted", "clock", "period", "piece")
     return kept.unionByName(free.select(*kept.columns))
 
 

@@ -155,19 +155,23 @@ def cooldown_kernel(keys: Sequence[str]):
                 continue
             starts = _run_starts(batch, keys)
             starts[0] = tuple(batch.column(k)[0].as_py() for k in keys) != last_key
-            second, length, limit, n = (batch.column(c).to_numpy(zero_copy_only=False).tolist()
-                                        for c in ("second", "cooldown_seconds", "max_in_period", "n"))
-            quota, ends = [0] * size, [0] * size
-            for i, begins in enumerate(starts.tolist()):
-                if begins or second[i] >= until:
-                    until, used = second[i] + length[i], 0
-                quota[i] = min(n[i], limit[i] - used)
-                used += quota[i]
-                ends[i] = until
+            clock, period, limit = (batch.column(c).to_numpy(zero_copy_only=False)
+                                    for c in ("clock", "period", "max_in_period"))
+            accepted = np.zeros(size, bool)
+            bounds = np.append(np.flatnonzero(np.append(True, starts[1:])), size)
+            for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                at = low
+                while at < high:
+                    if (at == low and starts[low]) or clock[at] >= until:
+                        until, used = clock[at] + period[at], 0
+                    # All firings of the open period at once: the first ones that its limit leaves room for.
+                    end = at + int(np.searchsorted(clock[at:high], until))
+                    take = max(0, min(end - at, int(limit[at]) - used))
+                    accepted[at: at + take] = True
+                    used += take
+                    at = end
             last_key = tuple(batch.column(k)[size - 1].as_py() for k in keys)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(quota, pa.int64()), pa.array(ends, pa.int64())],
-                names=[*batch.schema.names, "quota", "period_end"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(accepted)], names=[*batch.schema.names, "accepted"])
 
     return run
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.numeric import on_grid
 from scoreloom.functions.scoring import impact_factor
 from scoreloom.model import ScoreConfig
-from scoreloom.operators.scoring import running_score
+from scoreloom.operators.scoring import running_score, running_score_with_decay
 
 # Which edge labels a kind of relationship event reaches.
 REACHED = {
@@ -67,4 +67,5 @@ def score_with_neighbours(spark: SparkSession, scored: DataFrame, secondary: Dat
               .withColumns({"opening_score": F.coalesce("opening", F.lit(config.baseline)), "hop": F.lit(1)})
               .drop("opening"))
     both = first.unionByName(opened, allowMissingColumns=True)
-    return running_score(spark, both, config, ["ts", "event_id", "hop", "origin_subject_id", "rel"], chunks)
+    fold = running_score_with_decay if config.decay.enabled else running_score
+    return fold(spark, both, config, ["ts", "event_id", "hop", "origin_subject_id", "rel"], chunks)

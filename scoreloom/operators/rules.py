@@ -8,14 +8,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from scoreloom.functions.numeric import on_grid, pick, text
+from scoreloom.functions.numeric import on_grid, pick
 from scoreloom.functions.scoring import rule_score
-from scoreloom.model import RULE, Condition, Rule, ScoreConfig
+from scoreloom.model import RULE, Condition, Multiplier, Rule, ScoreConfig
 from scoreloom.operators.measures import payload_entries
 
 ANY_TYPE = "*"
-MAX_COMPILED_RULES = 500
+ACTIVE = "active"
+DOCUMENT = "payload_document"
 
 # User logic for a rule: identifier -> function that returns a boolean Column.
 _custom: dict[str, Callable[[], Column]] = {}
@@ -33,23 +35,30 @@ def rules_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
 def active_rules(rules: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Rules whose status is active and whose validity covers ``as_of``."""
     t = F.lit(as_of).cast("timestamp")
-    return rules.filter((F.col("status") == "active") & (F.col("valid_from") <= t)
+    return rules.filter((F.col("status") == ACTIVE) & (F.col("valid_from") <= t)
                         & (F.col("valid_to").isNull() | (F.col("valid_to") >= t)))
 
 
-def load_rules(rules: DataFrame, as_of: dt.datetime, limit: int = MAX_COMPILED_RULES) -> list[Rule]:
-    """Read active rules to the driver so they can be compiled. Refuses a table that is not small."""
-    rows = active_rules(rules, as_of).orderBy("ord").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} active rules: use apply_rule_table, which joins instead")
+def load_rules(rules: DataFrame, as_of: dt.datetime) -> list[Rule]:
+    """Active rules as a list, to be compiled into columns.
+
+    A list and a table score alike (:func:`apply_rules`, :func:`apply_rule_table`); a long table is better left a table.
+    """
+    rows = active_rules(rules, as_of).orderBy("ord").collect()
 
     def value(c):
         return {"bool": c.flag, "number": c.number, "string": c.text, "nested": {}}[c.kind]
 
     return [Rule(r.rule_id, r.event_type, r.points, r.multiplier,
                  tuple(Condition(c.field, c.operator, value(c)) for c in r.conditions or ()),
-                 r.logic or "AND", r.name or "", r.cooldown_seconds, r.max_in_period, (), tuple(r.tags or ()),
-                 None, r.status, r.valid_from, r.valid_to) for r in rows]
+                 r.logic or "AND", r.name or "", r.cooldown_seconds, r.max_in_period,
+                 tuple(Multiplier(m.name, m.factor, m.flag) for m in r.multipliers or ()), tuple(r.tags or ()),
+                 r.custom_logic, r.status, r.valid_from, r.valid_to) for r in rows]
+
+
+def active_list(rules: Iterable[Rule], as_of: dt.datetime) -> list[Rule]:
+    """:func:`active_rules` for a list."""
+    return [r for r in rules if r.status == ACTIVE and r.valid_from <= as_of and (r.valid_to is None or r.valid_to >= as_of)]
 
 
 def select_rules(rules: Iterable[Rule], config: ScoreConfig) -> list[Rule]:
@@ -95,8 +104,9 @@ class Payload:
     def __init__(self, df: DataFrame) -> None:
         self._types = {f.name: f.dataType.typeName() for f in df.schema.fields}
 
-    def _variant(self, field: str) -> Column:
-        return F.try_parse_json(F.col("payload")), f"$['{field}']"
+    def _variant(self, field: str) -> tuple[Column, str]:
+        doc = F.col(DOCUMENT) if DOCUMENT in self._types else F.try_parse_json(F.col("payload"))
+        return doc, f"$['{field}']"
 
     def typed(self, field: str) -> str | None:
         return self._types.get(field)
@@ -135,6 +145,11 @@ class Payload:
         return F.when(self._kind(field) == "BOOLEAN", F.try_variant_get(doc, path, "boolean"))
 
 
+def _plain(value) -> str:
+    """A condition's value as text; whole numbers without a fraction."""
+    return str(int(value)) if isinstance(value, float) and value == int(value) else str(value)
+
+
 def condition_column(c: Condition, payload: Payload, strict: bool = False) -> Column:
     """One condition as a never-null boolean.
 
@@ -154,11 +169,12 @@ def condition_column(c: Condition, payload: Payload, strict: bool = False) -> Co
         else:
             hit = F.lit(False)
     elif c.operator == "GREATER_THAN":
-        hit = payload.as_number(field) > F.lit(float(c.value))
+        number = isinstance(c.value, (int, float)) and not isinstance(c.value, bool)
+        hit = payload.as_number(field) > F.lit(float(c.value)) if number else F.lit(False)
     elif c.operator == "CONTAINS":
-        hit = payload.as_text(field).contains(str(c.value))
+        hit = payload.as_text(field).contains(_plain(c.value))
     elif c.operator == "REGEX_MATCH":
-        hit = payload.as_text(field).rlike(str(c.value))
+        hit = payload.as_text(field).rlike(_plain(c.value))
     else:
         raise ValueError(f"unknown operator {c.operator!r}")
     return F.coalesce(hit, F.lit(False))
@@ -195,9 +211,14 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], strict: bool = False,
     """Add ``rule_scores`` (fired rules in rule order), ``applied_rules``, ``score_change`` and ``rule_seen``.
 
     Rules are compiled into column expressions, so this is one projection over the events: no join, no
-    explode, no shuffle. ``rule_seen`` tells an event whose type no rule names (profile left alone) from one
+    explode, no shuffle; the payload is parsed once. Rules that are not active are left out. ``rule_seen`` tells an event whose type no rule names (profile left alone) from one
     whose conditions failed (profile touched with change 0).
     """
+    rules = [r for r in rules if r.status == ACTIVE]
+    fields = {c.field.removeprefix("payload.") for r in rules for c in r.conditions}
+    parsed = "payload" in df.columns and bool(fields - set(df.columns))
+    if parsed:
+        df = df.withColumn(DOCUMENT, F.try_parse_json("payload"))
     payload = Payload(df)
     cells, seen = [], []
     for rule in rules:
@@ -214,6 +235,8 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], strict: bool = False,
         cells = [F.lit(None).cast("struct<rule_id:string,points:double>")]
     fired = F.array_compact(F.array(*cells))
     out = df.withColumn("rule_scores", fired)
+    if parsed:
+        out = out.drop(DOCUMENT)
     return out.withColumns({
         "applied_rules": F.transform("rule_scores", lambda r: r["rule_id"]),
         "score_change": on_grid(sum_points(F.col("rule_scores"))),
@@ -238,66 +261,107 @@ def _typed_payload() -> Column:
     return F.map_from_entries(F.transform(payload_entries(), cell))
 
 
-def _condition_holds(payload: Column, subtype: Column, c: Column) -> Column:
-    value = F.element_at(payload, F.regexp_replace(c["field"], "^payload[.]", ""))
-    as_number, as_flag = value["number"], value["flag"]
-    as_text = F.when(c["field"] == "event_subtype", subtype).otherwise(value["text"])
-    hit = pick(
-        ((c["operator"] == "EQUALS") & (c["kind"] == "string"), as_text == c["text"]),
-        ((c["operator"] == "EQUALS") & (c["kind"] == "number"), as_number == c["number"]),
-        ((c["operator"] == "EQUALS") & (c["kind"] == "bool"), as_flag == c["flag"]),
-        (c["operator"] == "GREATER_THAN", as_number > c["number"]),
-        (c["operator"] == "CONTAINS", F.contains(as_text, c["text"])),
-        (c["operator"] == "REGEX_MATCH", F.regexp_like(as_text, c["text"])),
-        default=F.lit(False))
+def _typed_columns(df: DataFrame) -> Column:
+    """Map of column name to (text, number, flag) for the table's scalar columns: what :class:`Payload` finds as typed."""
+    entries = []
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("array", "map", "struct", "binary", "variant") or f.name == "payload":
+            continue
+        col = F.col(f"`{f.name}`")
+        number = F.lit(None).cast("double") if kind in ("string", "boolean") or not isinstance(f.dataType, NumericType) else col.cast("double")
+        flag = col if kind == "boolean" else F.lit(None).cast("boolean")
+        entries += [F.lit(f.name), F.struct(_as_text(col, kind).alias("text"), number.alias("number"), flag.alias("flag"))]
+    return F.create_map(*entries)
+
+
+def _unknown(what: str, name: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"unknown {what} "), name)).cast("boolean")
+
+
+def _condition_holds(typed: Column, payload: Column, c: Column, strict: bool) -> Column:
+    field = F.regexp_replace(c["field"], "^payload[.]", "")
+    value = F.coalesce(F.element_at(typed, field), F.element_at(payload, field))
+    as_text, as_number, as_flag = value["text"], value["number"], value["flag"]
+    equal = c["operator"] == "EQUALS"
+    hit = (F.when(equal & (c["kind"] == "string"), as_text == c["text"])
+           .when(equal & (c["kind"] == "number"), as_number == c["number"])
+           .when(equal & (c["kind"] == "bool"), as_flag == c["flag"]).when(equal, F.lit(False)))
+    if strict:
+        hit = hit.otherwise(F.lit(False))
+    else:
+        # A number as pattern or part is the text it has in a list.
+        wanted = F.coalesce(c["text"], _as_text(c["number"], "double"))
+        hit = (hit.when(c["operator"] == "GREATER_THAN", as_number > c["number"])
+               .when(c["operator"] == "CONTAINS", F.contains(as_text, wanted))
+               .when(c["operator"] == "REGEX_MATCH", F.regexp_like(as_text, wanted))
+               .otherwise(_unknown("operator", c["operator"])))
     return F.coalesce(hit, F.lit(False))
 
 
-def apply_rule_table(df: DataFrame, rules: DataFrame) -> DataFrame:
+def rules_by_type(rules: DataFrame, entry: Column) -> tuple[Column, Column]:
+    """(map of event type to its sorted rules with the wildcard rules, the wildcard rules alone), as scalars.
+
+    Rules are configuration, far fewer than events: they go to the events as one value, and no event is shuffled for them.
+    """
+    wild = rules.filter(F.col("event_type") == ANY_TYPE).agg(F.sort_array(F.collect_list(entry)).alias("wild"))
+    own = (rules.filter(F.col("event_type") != ANY_TYPE).groupBy("event_type").agg(F.collect_list(entry).alias("own"))
+           .select("event_type", F.sort_array(F.concat("own", wild.scalar())).alias("rules")))
+    table = own.agg(F.map_from_entries(F.collect_list(F.struct("event_type", "rules"))))
+    return table.scalar(), wild.scalar()
+
+
+def apply_rule_table(df: DataFrame, rules: DataFrame, strict: bool = False, validity_by_event_time: bool = False) -> DataFrame:
     """Same result as :func:`apply_rules`, for a rule table of any length.
 
-    Rules are grouped into one array per event type (wildcard rules are added to each), and events look
-    their array up by an equi-join on the type. Conditions are evaluated inside the row, so events are never
-    multiplied and no group-by on events follows. The rule side is small or Spark picks another join.
+    Rules come as one value per event type, sorted once. Conditions, factors and custom logic are evaluated inside the row,
+    so events are neither shuffled nor multiplied.
     """
-    entry = F.struct("ord", "rule_id", "logic", "conditions", "points", "multiplier")
-    wild = rules.filter(F.col("event_type") == ANY_TYPE).agg(F.collect_list(entry).alias("wild"))
-    named = (rules.filter(F.col("event_type") != ANY_TYPE).groupBy("event_type")
-             .agg(F.collect_list(entry).alias("named")))
-    matched = (df.withColumn("payload_map", _typed_payload()).join(named, "event_type", "left")
-               .withColumn("wild", wild.scalar()))
-    none = F.array().cast(wild.schema["wild"].dataType)
-    candidates = F.sort_array(F.concat(F.coalesce(F.col("named"), none), F.col("wild")))
+    entry = F.struct("ord", "rule_id", "logic", "conditions", "points", "multiplier", "multipliers", "custom_logic",
+                     "valid_from", "valid_to")
+    by_type, wild = rules_by_type(rules.filter(F.col("status") == ACTIVE), entry)
+    flags = [c for c, kind in df.dtypes if kind == "boolean"]
+    entries = [x for c in flags for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit(False)))]
+    helpers = {"payload_map": _typed_payload() if "payload" in df.columns else F.lit(None).cast(
+        "map<string,struct<text:string,number:double,flag:boolean>>"),
+        "typed_map": _typed_columns(df), "flag_map": F.create_map(*entries) if entries else F.lit(None).cast("map<string,boolean>"),
+        "by_type": by_type, "wild": wild}
+    matched = df.withColumns(helpers)
 
     def holds(r: Column) -> Column:
         def test(c: Column) -> Column:
-            return _condition_holds(F.col("payload_map"), text("event_subtype"), c)
+            return _condition_holds(F.col("typed_map"), F.col("payload_map"), c, strict)
 
         empty = F.size(r["conditions"]) == 0
-        return F.when(r["logic"] == "OR", empty | F.exists(r["conditions"], test)).otherwise(
-            F.forall(r["conditions"], test))
+        own = F.when(r["logic"] == "OR", empty | F.exists(r["conditions"], test)).otherwise(F.forall(r["conditions"], test))
+        logic = F.when(r["custom_logic"].isNull(), own)
+        for name, build in _custom.items():
+            logic = logic.when(r["custom_logic"] == name, F.coalesce(build(), F.lit(False)))
+        return logic.otherwise(_unknown("custom logic", r["custom_logic"]))
 
     def cell(r: Column) -> Column:
-        return F.struct(r["rule_id"].alias("rule_id"), rule_score(r["points"], r["multiplier"]).alias("points"))
-
-    out = (matched.withColumn("candidates", candidates)
+        factor = F.aggregate(r["multipliers"], F.lit(1.0), lambda acc, m: acc * F.when(
+            F.coalesce(F.element_at("flag_map", m["flag"]), F.lit(False)), m["factor"]).otherwise(1.0))
+        return F.struct(r["rule_id"].alias("rule_id"), (rule_score(r["points"], r["multiplier"]) * F.coalesce(factor, F.lit(1.0))).alias("points"))
+
+    found = F.coalesce(F.element_at("by_type", F.col("event_type")), F.col("wild"))
+    if validity_by_event_time:
+        found = F.filter(found, lambda r: (F.col("ts") >= r["valid_from"]) & F.coalesce(F.col("ts") <= r["valid_to"], F.lit(True)))
+    out = (matched.withColumn("candidates", found)
            .withColumn("rule_scores", F.transform(F.filter("candidates", holds), cell)))
     return (out.withColumns({
         "applied_rules": F.transform("rule_scores", lambda r: r["rule_id"]),
         "score_change": on_grid(sum_points(F.col("rule_scores"))),
-        "rule_seen": F.size("candidates") > 0,
-    }).drop("named", "wild", "candidates", "payload_map"))
+        "rule_seen": F.coalesce(F.size("candidates") > 0, F.lit(False)),
+    }).drop("candidates", *helpers))
 
 
 def matching_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Event and rule pairs whose types match (C1). Named types are an equi-join on the type; wildcards are one
-    list that every event gets."""
-    named = (rules.filter(F.col("event_type") != ANY_TYPE).groupBy("event_type")
-             .agg(F.collect_list("rule_id").alias("named")))
-    wild = rules.filter(F.col("event_type") == ANY_TYPE).agg(F.collect_list("rule_id"))
-    own = F.coalesce(F.col("named"), F.array().cast("array<string>"))
-    return (df.select("event_id", "event_type").join(named, "event_type", "left")
-            .select("event_id", F.explode(F.concat(own, wild.scalar())).alias("rule_id")))
+    """Event and rule pairs whose types match."""
+    by_type, wild = rules_by_type(rules, F.struct("ord", "rule_id"))
+    found = df.select("event_id", "event_type").withColumns({"by_type": by_type, "wild": wild})
+    mine = F.coalesce(F.element_at("by_type", F.col("event_type")), F.col("wild"))
+    return found.select("event_id", F.explode(mine).alias("r")).select("event_id", F.col("r.rule_id").alias("rule_id"))
 
 
 def fired_rows(scored: DataFrame, *keep: str) -> DataFrame:
@@ -308,9 +372,9 @@ def fired_rows(scored: DataFrame, *keep: str) -> DataFrame:
 
 def unmatched_events(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Events whose type no rule names."""
-    if rules.filter(F.col("event_type") == ANY_TYPE).limit(1).count():
-        return df.limit(0)
-    return df.join(rules.select("event_type").distinct(), "event_type", "left_anti")
+    named = rules.agg(F.collect_set("event_type").alias("types"))
+    known = F.array_contains("rule_types", F.col("event_type")) | F.array_contains("rule_types", ANY_TYPE)
+    return df.withColumn("rule_types", named.scalar()).filter(~known).drop("rule_types")
 
 
 def flag_multiplier(df: DataFrame, multipliers: Sequence[tuple[str, float]]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,8 @@ from scoreloom.functions.bands import closed_tier, config_tier
 from scoreloom.functions.numeric import clamp, on_grid
 from scoreloom.model import Rule, ScoreConfig
 from scoreloom.operators.cooldown import accept, accepted_rules
-from scoreloom.operators.rules import apply_rule_table, apply_rules, fired_rows, sum_points
+from scoreloom.operators.rules import (active_list, active_rules, apply_rule_table, apply_rules, fired_rows,
+                                       select_rule_rows, select_rules, sum_points)
 from scoreloom.operators.scan import PREFIX, apply_step, clamped_scan
 
 MISSING_PROFILE = "subject profile not found"
@@ -113,17 +115,19 @@ def running_score_with_decay(spark: SparkSession, deltas: DataFrame, config: Sco
 
 def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, rules: Sequence[Rule] | DataFrame,
                  config: ScoreConfig = ScoreConfig(), strict_profiles: bool = False, strict_rules: bool = False,
-                 chunks: int | None = None, cooldown: bool = False) -> DataFrame:
+                 chunks: int | None = None, cooldown: bool = False, as_of: dt.datetime | None = None) -> DataFrame:
     """The whole scoring job in batch: events in, processed events out.
 
-    ``rules`` is a list, which is compiled, or a rule table of any length, which is joined. ``cooldown`` enforces the
+    ``rules`` is a list, which is compiled, or a rule table of any length; both score alike. Only rules that are active and
+    valid at ``as_of`` (now) and belong to the configured subset count. ``cooldown`` enforces the
     rules' limits per subject and period; it decides which rules count, so it runs before the score and costs a
     join on the event id.
     """
     joined = with_profile(events, profiles, config, strict_profiles)
+    rules = rules_in_force(spark, rules, config, as_of)
 
     def change(df: DataFrame) -> DataFrame:
-        scored = apply_rule_table(df, rules) if isinstance(rules, DataFrame) else apply_rules(df, rules, strict_rules)
+        scored = apply_rule_table(df, rules, strict_rules) if isinstance(rules, DataFrame) else apply_rules(df, rules, strict_rules)
         if not strict_profiles:
             return scored
         bad = F.col("processing_error").isNotNull()
@@ -131,8 +135,6 @@ def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, ru
 
     fold = running_score_with_decay if config.decay.enabled else running_score
     if cooldown:
-        if isinstance(rules, DataFrame):
-            raise ValueError("cooldown needs rules as a list; read them with load_rules")
         # Error rows fire nothing, so they must not use up a period either.
         known = change(joined).withColumn("rule_scores", F.when(F.col("processing_error").isNull(), F.col("rule_scores"))
                                           .otherwise(F.slice("rule_scores", 1, 0)))
@@ -142,6 +144,16 @@ def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, ru
     return error_rows_to_zero(done).withColumn("processing_id", processing_id())
 
 
+def rules_in_force(spark: SparkSession, rules: Sequence[Rule] | DataFrame, config: ScoreConfig,
+                   as_of: dt.datetime | None = None) -> Sequence[Rule] | DataFrame:
+    """The rules that are active, valid at ``as_of`` (now) and in the configured subset, in the form they came in."""
+    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if not isinstance(rules, DataFrame):
+        return select_rules(active_list(rules, as_of), config)
+    ids = None if config.rule_ids is None else spark.createDataFrame([(i,) for i in config.rule_ids], "rule_id string")
+    return select_rule_rows(active_rules(rules, as_of), ids, config.include_tags, config.exclude_tags)
+
+
 def time_order(pe: DataFrame) -> Column:
     """Order of a subject's events: the scan's own number where the table has it, else (ts, event_id)."""
     return F.col("scan_order") if "scan_order" in pe.columns else F.struct("ts", "event_id")
@@ -158,19 +170,23 @@ def latest_state(processed: DataFrame, config: ScoreConfig = ScoreConfig()) -> D
                     "last_event_id"))
 
 
-def apply_cooldown(scored: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def apply_cooldown(scored: DataFrame, rules: Sequence[Rule] | DataFrame) -> DataFrame:
     """Drop firings over a rule's limit per subject and period, and take the change from what is left (T4)."""
-    limits = {r.rule_id: r for r in rules if r.cooldown_seconds}
-    if not limits:
-        return scored
-    length, most = F.lit(None).cast("bigint"), F.lit(None).cast("int")
-    for rule_id, r in limits.items():
-        hit = F.col("rule_id") == rule_id
-        length = F.when(hit, F.lit(r.cooldown_seconds)).otherwise(length)
-        most = F.when(hit, F.lit(r.max_in_period or 1)).otherwise(most)
-    fired = fired_rows(scored, "subject_id", "event_id", "ts").withColumns(
-        {"cooldown_seconds": length, "max_in_period": most})
-    kept = accepted_rules(accept(fired, max(r.max_in_period or 1 for r in limits.values())))
+    fired = fired_rows(scored, "subject_id", "event_id", "ts")
+    if isinstance(rules, DataFrame):
+        limits = rules.select("rule_id", "cooldown_seconds", "max_in_period").dropDuplicates(["rule_id"])
+        fired = fired.join(limits, "rule_id", "left")
+    else:
+        timed = [r for r in rules if r.cooldown_seconds]
+        if not timed:
+            return scored
+        length, most = F.lit(None).cast("bigint"), F.lit(None).cast("int")
+        for r in timed:
+            hit = F.col("rule_id") == r.rule_id
+            length = F.when(hit, F.lit(r.cooldown_seconds)).otherwise(length)
+            most = F.when(hit, F.lit(r.max_in_period or 1)).otherwise(most)
+        fired = fired.withColumns({"cooldown_seconds": length.cast("bigint"), "max_in_period": most})
+    kept = accepted_rules(accept(fired))
     none = F.array().cast("array<struct<rule_id:string,points:double>>")
     left = (scored.drop("rule_scores").join(kept, "event_id", "left")
             .withColumn("rule_scores", F.coalesce("accepted", none)).drop("accepted"))

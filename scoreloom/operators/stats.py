@@ -47,3 +47,12 @@ def median_of_counts(counts: DataFrame, groups: Sequence[str], weight: str = "n"
 def mode_of_counts(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Most frequent value per group; of several, the smallest."""
     return counts.groupBy(*groups).agg(F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("mode"))
+
+
+def discrete_of_counts(counts: DataFrame, groups: Sequence[str], parts: dict[str, float]) -> DataFrame:
+    """Exact discrete percentiles per group: the least value at or below which the given part of the rows lies."""
+    keys = list(groups)
+    along = W.partitionBy(*keys).orderBy("value")
+    placed = counts.withColumns({"upto": F.sum("n").over(along), "total": F.sum("n").over(W.partitionBy(*keys))})
+    return placed.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.col("value"))).alias(name) for name, p in parts.items()])

@@ -106,9 +106,11 @@ def z_scores(pe: DataFrame) -> DataFrame:
 
 
 def regional_means(pe: DataFrame) -> DataFrame:
-    """Regional mean score next to each event."""
-    means = pe.groupBy("region").agg(F.avg("new_score").alias("regional_score_avg"))
-    return pe.select("event_id", "region", "new_score").join(means, "region", "left")
+    """Regional mean score next to each event (W7). The means are one value, a row per region; no event is shuffled for them."""
+    means = pe.filter("region is not null").groupBy("region").agg(F.avg("new_score").alias("m"))
+    table = means.agg(F.map_from_entries(F.collect_list(F.struct("region", "m")))).scalar()
+    return (pe.select("region", "event_id", "new_score", table.alias("means"))
+            .select("region", "event_id", "new_score", F.element_at("means", F.col("region")).alias("regional_score_avg")))
 
 
 def seasonal_factors(pe: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ COOLDOWN_RULES = tuple(replace(r, cooldown_seconds=_LIMITS[r.rule_id][0], max_in
                        if r.rule_id in _LIMITS else r for r in ALL_RULES)
 
 CTES["cool"] = (("pe",), f"""cf AS MATERIALIZED (
-  SELECT f.*, p.subject_id, p.ts, epoch(date_trunc('second', p.ts))::BIGINT AS sec, l.len, l.lim,
+  SELECT f.*, p.subject_id, p.ts, epoch_us(p.ts)::BIGINT AS sec, l.len::BIGINT * 1000000 AS len, l.lim,
          row_number() OVER (PARTITION BY p.subject_id, f.rule_id ORDER BY p.ts, p.event_id) AS rn
   FROM fired f JOIN pe p USING (event_id)
   LEFT JOIN (VALUES {', '.join(f"('{r}', {s}, {n})" for r, (s, n) in _LIMITS.items())}) AS l(rule_id, len, lim) USING (rule_id)),

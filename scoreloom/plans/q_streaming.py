@@ -16,8 +16,13 @@ from scoreloom.streaming.jobs import (ScoringJob, hourly_activity_stream, replac
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
-    raw = (spark.readStream.schema(star.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(d))
-    return star.map_events(spark, d, raw)
+    """The event table as a stream. A stream reads folders: a table that is one file is copied to a folder first."""
+    path, schema = f"{d}/events.parquet", star.SCHEMAS["events"]
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        path = new_table_path(spark, "stream-input")
+        spark.read.schema(schema).parquet(f"{d}/events.parquet").write.parquet(path)
+    return star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))
 
 
 @query("s01_stream_scores", sql("pe", "SELECT event_id, subject_id, score_change, previous_score, new_score FROM pe"))
@@ -33,7 +38,8 @@ def _(spark, d):
 
 
 @query("s02_stream_hourly", sql("ev", f"""SELECT subject_id, region, {tstr("date_trunc('hour', ts)")} AS window_start,
-  count(*) AS event_count, {r6('sum(confidence)')} AS confidence_sum FROM ev GROUP BY subject_id, region, date_trunc('hour', ts)"""))
+  count(*) AS event_count, {r6('sum(confidence)')} AS confidence_sum,
+  count(DISTINCT event_type) AS unique_event_types FROM ev GROUP BY subject_id, region, date_trunc('hour', ts)"""))
 def _(spark, d):
     """Hourly windows with a watermark in update mode; the last version of each window counts."""
     out = hourly_activity_stream(_stream(spark, d), "1 hour")
@@ -43,9 +49,10 @@ def _(spark, d):
     run.awaitTermination()
     rows = spark.read.parquet(path)
     keys = ["subject_id", "region", "window_start"]
-    last = F.max_by(F.struct("event_count", "confidence_sum"), "batch")
+    last = F.max_by(F.struct("event_count", "confidence_sum", "unique_event_types"), "batch")
     return (rows.groupBy(*keys).agg(last.alias("l"))
-            .select(*keys, "l.event_count", on_grid(F.col("l.confidence_sum")).alias("confidence_sum")))
+            .select(*keys, "l.event_count", on_grid(F.col("l.confidence_sum")).alias("confidence_sum"),
+                    "l.unique_event_types"))
 
 
 @query("s03_stream_profiles", sql("both", f"""SELECT p.subject_id, coalesce(l.new_score, p.score) AS score,

@@ -61,6 +61,15 @@ def _(spark, d):
     return _out(Ru.apply_rules(_joined(spark, d), ALL_RULES, strict=True))
 
 
+def _table(spark, d, rules, **options):
+    return _out(Ru.apply_rule_table(_joined(spark, d, payload=True), Ru.rules_frame(spark, rules), **options))
+
+
+@query("c02_strict_conditions_table", sql("fired", _scored_sql(fired_sql("evp", _STRICT))))
+def _(spark, d):
+    return _table(spark, d, ALL_RULES, strict=True)
+
+
 OPERATOR_RULES = (
     Rule("equals_number", "relationship", 1.0, 1.0, (Condition("intensity", "EQUALS", 0.5),)),
     Rule("equals_text_of_number", "legal", 2.0, 1.0, (Condition("fine_amount", "EQUALS", "50"),)),
@@ -104,14 +113,22 @@ EITHER = (
 )
 
 
-@query("c04_combination", sql("fired", _scored_sql(fired_sql("evp", [
+_EITHER_SQL = sql("fired", _scored_sql(fired_sql("evp", [
     ("either", "financial", "event_subtype = 'payment_failed' OR amount > 500", "2.0", "1.0"),
     ("both", "financial", "event_subtype = 'payment_failed' AND amount > 500", "3.0", "1.0"),
-    ("simple", "social", "confidence > 0.9", "4.0", "1.0")]))))
+    ("simple", "social", "confidence > 0.9", "4.0", "1.0")])))
+
+
+@query("c04_combination", _EITHER_SQL)
 def _(spark, d):
     return _out(Ru.apply_rules(_joined(spark, d), EITHER))
 
 
+@query("c04_combination_table", _EITHER_SQL)
+def _(spark, d):
+    return _table(spark, d, EITHER)
+
+
 @query("c05_rule_subset", sql("fired", _scored_sql("""SELECT * FROM fired WHERE rule_id IN
   ('financial_positive', 'social_positive', 'relationship_positive', 'stress_severe', 'stress_identity')""")))
 def _(spark, d):
@@ -120,20 +137,43 @@ def _(spark, d):
     return _out(Ru.apply_rules(_joined(spark, d), Ru.select_rules(ALL_RULES, config)))
 
 
-@query("u01_custom_logic", sql("fired", _scored_sql(fired_sql("evp", [
-    ("night_spend", "financial", "hour(ts) < 5 AND amount > 100", "-3.0", "1.0")]))))
+_NIGHT_SQL = sql("fired", _scored_sql(fired_sql("evp", [
+    ("night_spend", "financial", "hour(ts) < 5 AND amount > 100", "-3.0", "1.0")])))
+_NIGHT = [Rule("night_spend", "financial", -3.0, custom_logic="night_spend")]
+
+
+def _night_spend():
+    return (F.hour("ts") < 5) & (F.col("amount") > 100)
+
+
+@query("u01_custom_logic", _NIGHT_SQL)
 def _(spark, d):
-    Ru.register_logic("night_spend", lambda: (F.hour("ts") < 5) & (F.col("amount") > 100))
-    return _out(Ru.apply_rules(_joined(spark, d), [Rule("night_spend", "financial", -3.0, custom_logic="night_spend")]))
+    Ru.register_logic("night_spend", _night_spend)
+    return _out(Ru.apply_rules(_joined(spark, d), _NIGHT))
 
 
-@query("a05_rule_validity", sql("fired", _scored_sql("""SELECT * FROM fired JOIN ev USING (event_id)
-WHERE ts >= TIMESTAMP '2024-01-05' AND (rule_id <> 'social_positive' OR ts <= TIMESTAMP '2024-01-20')""")))
+@query("u01_custom_logic_table", _NIGHT_SQL)
+def _(spark, d):
+    Ru.register_logic("night_spend", _night_spend)
+    joined = _joined(spark, d, payload=True)
+    return _out(Ru.apply_rule_table(joined, Ru.rules_frame(spark, _NIGHT)))
+
+
+_VALID_SQL = sql("fired", _scored_sql("""SELECT * FROM fired JOIN ev USING (event_id)
+WHERE ts >= TIMESTAMP '2024-01-05' AND (rule_id <> 'social_positive' OR ts <= TIMESTAMP '2024-01-20')"""))
+_VALID = [replace(r, valid_from=dt.datetime(2024, 1, 5),
+                  valid_to=dt.datetime(2024, 1, 20) if r.rule_id == "social_positive" else None) for r in ALL_RULES]
+
+
+@query("a05_rule_validity", _VALID_SQL)
 def _(spark, d):
     """Validity taken at the event's own time."""
-    rules = [replace(r, valid_from=dt.datetime(2024, 1, 5),
-                     valid_to=dt.datetime(2024, 1, 20) if r.rule_id == "social_positive" else None) for r in ALL_RULES]
-    return _out(Ru.apply_rules(_joined(spark, d), rules, validity_by_event_time=True))
+    return _out(Ru.apply_rules(_joined(spark, d), _VALID, validity_by_event_time=True))
+
+
+@query("a05_rule_validity_table", _VALID_SQL)
+def _(spark, d):
+    return _table(spark, d, _VALID, validity_by_event_time=True)
 
 
 _WILD_POINTS = rule_points("-1.0", "1.0")
@@ -158,17 +198,28 @@ def _(spark, d):
     return _joined(spark, d).select("event_id", "subject_id", "subject_type", "opening_score")
 
 
-@query("d05_flag_multipliers", sql(("fired", "prof"), f"""SELECT event_id, {r6('''f.rule_points
+_FLAG_SQL = sql(("fired", "prof"), f"""SELECT event_id, {r6('''f.rule_points
   * (CASE WHEN p.is_public_official THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END)
   * (CASE WHEN p.balance < 0 THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END)''')} AS rule_points
-FROM fired f JOIN ev USING (event_id) JOIN prof p USING (subject_id) WHERE rule_id = 'social_positive'"""))
-def _(spark, d):
+FROM fired f JOIN ev USING (event_id) JOIN prof p USING (subject_id) WHERE rule_id = 'social_positive'""")
+_FLAGGED = [replace(next(r for r in ALL_RULES if r.rule_id == "social_positive"), multipliers=(
+    Multiplier("official", 1.5, "is_public_official"), Multiplier("debt", 0.8, "in_debt")))]
+
+
+def _flagged(spark, d, apply):
     people = profiles(spark, d).withColumn("in_debt", F.col("balance") < 0)
-    joined = with_profile(events(spark, d), people, extra=("is_public_official", "in_debt"))
-    rule = replace(next(r for r in ALL_RULES if r.rule_id == "social_positive"), multipliers=(
-        Multiplier("official", 1.5, "is_public_official"), Multiplier("debt", 0.8, "in_debt")))
-    fired = Ru.fired_rows(Ru.apply_rules(joined, [rule]), "event_id")
-    return fired.select("event_id", on_grid(F.col("rule_points")).alias("rule_points"))
+    joined = with_profile(events(spark, d, True), people, extra=("is_public_official", "in_debt"))
+    return Ru.fired_rows(apply(joined), "event_id").select("event_id", on_grid(F.col("rule_points")).alias("rule_points"))
+
+
+@query("d05_flag_multipliers", _FLAG_SQL)
+def _(spark, d):
+    return _flagged(spark, d, lambda df: Ru.apply_rules(df, _FLAGGED))
+
+
+@query("d05_flag_multipliers_table", _FLAG_SQL)
+def _(spark, d):
+    return _flagged(spark, d, lambda df: Ru.apply_rule_table(df, Ru.rules_frame(spark, _FLAGGED)))
 
 
 @query("d09_unmatched", sql("ev", """SELECT event_id, event_type FROM ev

@@ -24,11 +24,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    is a local folder made, once per application.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset a local folder is made, once per application,
+    but only if the executors are on this machine (tests, a laptop); elsewhere it is an error.
     """
     configured = spark.conf.get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_CHECKPOINT_KEY} must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_dirs:
             _own_dirs[app] = tempfile.mkdtemp(prefix="scoreloom-")

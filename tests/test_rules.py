@@ -85,8 +85,54 @@ def test_validity_and_loading(spark):
     loaded = R.load_rules(table, T0)
     assert [r.rule_id for r in loaded] == ["on", "until"]
     assert loaded[1].conditions == rules[4].conditions
-    with pytest.raises(ValueError):
-        R.load_rules(table, T0, limit=1)
+    assert R.active_list(rules, T0) == [rules[0], rules[4]]
+
+
+LIKE_LISTS = [
+    Rule("envelope", "financial", 1.0, conditions=(Condition("confidence", "GREATER_THAN", 0.5),)),
+    Rule("number_part", "financial", 2.0, conditions=(Condition("name", "CONTAINS", 5.0),)),
+    Rule("not_a_number", "financial", 3.0, conditions=(Condition("amount", "GREATER_THAN", "4"),)),
+    Rule("factors", "financial", 4.0, 1.2, multipliers=(Multiplier("m", 2.0, "is_new"), Multiplier("n", 3.0, "is_old"))),
+    Rule("logic", "*", 5.0, custom_logic="never"), Rule("off", "financial", 6.0, status="inactive"),
+    Rule("either", "financial", 7.0, 1.0, (Condition("ok", "EQUALS", True), Condition("name", "REGEX_MATCH", "^l")), "OR"),
+    Rule("other", "social", 8.0),
+]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_lists_and_tables_score_alike(spark, strict):
+    R.register_logic("never", lambda: F.col("confidence") < 0)
+    df = frame(spark, *PAYLOADS).withColumns({"is_new": F.col("event_id") % 2 == 0, "is_old": F.lit(None).cast("boolean")})
+    table = R.rules_frame(spark, LIKE_LISTS)
+    forms = [R.apply_rules(df, LIKE_LISTS, strict), R.apply_rule_table(df, table, strict),
+             R.apply_rules(df, R.load_rules(table, T0), strict)]
+    rows = [[(r.applied_rules, r.score_change, r.rule_seen) for r in f.orderBy("event_id").collect()] for f in forms]
+    assert rows[0] == rows[1] == rows[2]
+    names = {n for r in rows[0] for n in r[0]}
+    assert "factors" in names and ("envelope" in names) == (not strict) and not names & {"logic", "off", "other", "not_a_number"}
+    for unknown in (Rule("u", "financial", 1.0, conditions=(Condition("a", "NO_SUCH", 1),)), Rule("u", "financial", 1.0, custom_logic="?")):
+        with pytest.raises(Exception):
+            R.apply_rules(df, [unknown]).collect()
+        with pytest.raises(Exception):
+            R.apply_rule_table(df, R.rules_frame(spark, [unknown])).collect()
+
+
+def test_long_rule_table_with_cooldown(spark):
+    rules = [Rule(f"r{i}", "social", 1.0, conditions=(Condition("event_subtype", "EQUALS", f"s{i}"),), cooldown_seconds=5400)
+             for i in range(600)]
+    events = spark.createDataFrame([event(i, "a", i, "social", "s599") for i in range(4)], EVENTS)
+    people = spark.createDataFrame([("a", "regular", 500.0)], PEOPLE)
+    out = score_events(spark, events, people, R.rules_frame(spark, rules), cooldown=True).orderBy("event_id").collect()
+    assert [bool(r.applied_rules) for r in out] == [True, False, True, False]
+
+
+def test_rules_out_of_force_do_not_score(spark):
+    rules = [Rule("on", "social", 1.0), Rule("off", "social", 10.0, status="inactive"),
+             Rule("over", "social", 100.0, valid_to=dt.datetime(2020, 1, 1))]
+    events = spark.createDataFrame([event(0, "a", 0, "social")], EVENTS)
+    people = spark.createDataFrame([("a", "regular", 500.0)], PEOPLE)
+    for given in (rules, R.rules_frame(spark, rules)):
+        assert score_events(spark, events, people, given).first().applied_rules == ["on"]
 
 
 def test_subsets(spark):
@@ -123,7 +169,7 @@ def test_cooldown_against_brute_force(spark):
     df = spark.createDataFrame([(s, r, t, i, 0, 1.0, *limits[r]) for s, r, t, i in rows],
                                "subject_id string, rule_id string, ts timestamp, event_id int, rule_pos int, "
                                "rule_points double, cooldown_seconds long, max_in_period int")
-    got = {r.event_id for r in accept(df, 3).collect()}
+    got = {r.event_id for r in accept(df).collect()}
     want, by = set(), defaultdict(list)
     for s, r, t, i in rows:
         by[s, r].append((t, i))
@@ -131,9 +177,8 @@ def test_cooldown_against_brute_force(spark):
         length, most = limits[r]
         until, used = None, 0
         for t, i in sorted(items):
-            second = int((t - T0).total_seconds())
-            if until is None or second >= until:
-                until, used = second + length, 0
+            if until is None or t >= until:
+                until, used = t + dt.timedelta(seconds=length), 0
             if used < most:
                 used += 1
                 want.add(i)
@@ -211,7 +256,7 @@ def test_constraints(spark):
     rules = R.rules_frame(spark, [Rule("ok", "x", 1.0), Rule("", "x", 1.0, status="weird")])
     assert sorted(r.violation for r in violations(rules, "ord", RULE_CONSTRAINTS).collect()) == [
         "rule_id:required", "status:enum"]
-    config = spark.createDataFrame([("c", None, 0.0, 1000.0)], CONFIG_COLUMNS)
+    config = spark.createDataFrame([("c", None, 0.0, 1000.0, False, 0.1, 0.0, None, [], [])], CONFIG_COLUMNS)
     assert [r.violation for r in violations(config, "config_id", CONFIG_CONSTRAINTS).collect()] == ["baseline:required"]
     good, bad = split_valid(spark.createDataFrame([("1", "a", "t"), ("2", "", "t"), (None, "a", None)],
                                                   "event_id string, subject_id string, event_type string"))

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.model import ALL_RULES, ScoreConfig
+from scoreloom.model import ALL_RULES, Decay, ScoreConfig
 from scoreloom.operators.propagate import neighbour_deltas, score_with_neighbours
 from scoreloom.operators.scoring import score_events
 from scoreloom.sources import settings, star, wire
@@ -160,5 +160,7 @@ def test_scoring_job_with_neighbours_equals_batch(spark, tmp_path, sf_dir):
 def test_settings_round_trip(spark):
     main, tiers = settings.config_frames(spark, ScoreConfig())
     assert settings.load_config(main, tiers) == ScoreConfig()
+    own = ScoreConfig("own", decay=Decay(True, 0.5, 100.0), rule_ids=("a", "b"), include_tags=("x",), exclude_tags=("y",))
+    assert settings.load_config(*settings.config_frames(spark, own), "own") == own
     with pytest.raises(ValueError):
         settings.load_config(main, tiers, "other")
