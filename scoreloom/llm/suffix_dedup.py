@@ -10,7 +10,7 @@ digest: all starts of a block that stands twice are copies. Blocks whose anchor
 an anchor meet in one task, which sorts the suffixes of their bytes to a depth of ``LENGTH`` by prefix doubling. In suffix order
 the nearest smaller positions before and after an entry give its longest previous factor, and the nearest larger ones its
 longest next factor; a start with a factor of ``LENGTH`` bytes or more is a copy. An anchor with more than ``HOT_BLOCKS``
-different blocks is not gathered: its strings are counted by digest over all tasks.
+different blocks is not gathered: its strings are dealt out by digest and counted.
 
 Null texts are empty. Texts shorter than LENGTH lose nothing. Equal texts are worked on once, and lose everything if they
 have LENGTH bytes, as each is a copy of the other. An empty table gives an empty result.
@@ -31,7 +31,8 @@ from scoreloom.llm.common import eight, mix, slices, stored, text_bytes, text_ke
 
 LENGTH = 400
 ANCHOR = 64
-HOT_BLOCKS = 1_000
+#: Blocks of one anchor that are gathered, about what SORT_BYTES hold; the strings of more are dealt out by digest.
+HOT_BLOCKS = 4_000
 #: Bytes whose suffixes are sorted together; whole groups of an anchor are put together up to this size.
 SORT_BYTES = 2 << 20
 
@@ -179,20 +180,60 @@ def _compare(contents: DataFrame, length: int) -> DataFrame:
 
 
 def _count_hot(contents: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many blocks: every string is a row of its digest, counted over all tasks."""
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same for anchors with very many blocks: their strings are dealt out by digest to as many parts as the blocks need,
+    in packed arrays, and counted there."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, n, data in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "bytes")), strict=True):
-                view = memoryview(data)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(view[i: i + length]) for i in range(n)], pa.binary()),
-                     pa.array([block] * n, pa.binary()), pa.array(range(n), pa.int32())], names=["string", "block", "at"])
-
-    rows = contents.select("block", "n", "bytes").mapInArrow(strings, "string binary, block binary, at int")
-    rows = stored(rows, "suffix-strings")
-    twice = rows.groupBy("string").agg(F.count("*").alias("c")).where("c > 1").select("string")
-    return (rows.join(twice, "string", "left_semi").groupBy("block")
-            .agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("low"), (F.col("at") + 1).alias("high")))).alias("ranges")))
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("anchor", "block", "n", "blocks", "bytes")), strict=True))
+            for anchor in sorted({r[0] for r in rows}):
+                mine = [r for r in rows if r[0] == anchor]
+                parts = -(-mine[0][3] // HOT_BLOCKS) if HOT_BLOCKS else 3
+                digest = b"".join(xxhash.xxh3_128_digest(memoryview(r[4])[i: i + length]) for r in mine for i in range(r[2]))
+                digest = np.frombuffer(digest, "<u8").reshape(-1, 2)
+                origin = np.repeat(np.arange(len(mine), dtype=np.int32), [r[2] for r in mine])
+                at = np.concatenate([np.arange(r[2], dtype=np.int32) for r in mine])
+                part = digest[:, 0] % np.uint64(parts)
+                for p in np.unique(part):
+                    own = np.flatnonzero(part == p)
+                    used, origin_here = np.unique(origin[own], return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([anchor]), pa.array([int(p)], pa.int32()), pa.array([digest[own].tobytes()], pa.binary()),
+                         pa.array([[mine[k][1] for k in used]], pa.list_(pa.binary())),
+                         pa.array([origin_here.astype("<i4").tobytes()], pa.binary()), pa.array([at[own].tobytes()], pa.binary())],
+                        names=["anchor", "part", "digests", "blocks", "origins", "ats"])
+
+    def solve(rows: list[dict]) -> pa.RecordBatch:
+        digest = np.frombuffer(b"".join(r["digests"] for r in rows), "V16")
+        _, place, count = np.unique(digest, return_inverse=True, return_counts=True)
+        copied, low = count[place] > 1, 0
+        blocks_, ranges = [], []
+        for r in rows:
+            origin, at = np.frombuffer(r["origins"], "<i4"), np.frombuffer(r["ats"], "<i4")
+            flag = copied[low: low + len(origin)]
+            low += len(origin)
+            cuts = np.searchsorted(origin, np.arange(len(r["blocks"]) + 1))
+            for block, a, b in zip(r["blocks"], cuts[:-1], cuts[1:], strict=True):
+                hit = at[a:b][flag[a:b]]
+                if len(hit):
+                    full = np.zeros(hit[-1] + 1, bool)
+                    full[hit] = True
+                    blocks_.append(block)
+                    ranges.append([{"low": x, "high": y} for x, y in _ranges(full)])
+        return pa.RecordBatch.from_arrays([pa.array(blocks_, pa.binary()), pa.array(ranges, _RANGE_ARROW)], names=["block", "ranges"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[dict] = []
+        for row in (r for b in batches for r in b.to_pylist()):
+            if kept and (kept[0]["anchor"], kept[0]["part"]) != (row["anchor"], row["part"]):
+                yield solve(kept)
+                kept = []
+            kept.append(row)
+        if kept:
+            yield solve(kept)
+
+    dealt = contents.mapInArrow(deal, "anchor bigint, part int, digests binary, blocks array<binary>, origins binary, ats binary")
+    return (dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+            .mapInArrow(count, f"block binary, ranges {_RANGE}"))
 
 
 def repeated(docs: DataFrame, text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:

@@ -40,7 +40,7 @@ def rows():
                   (105, "q" * 399), (106, base[0] + "z" * 30 + base[0]), (107, "same" * 120), (107, "same" * 120)]
 
 
-@pytest.mark.parametrize("hot", [1000, 0])
+@pytest.mark.parametrize("hot", [4000, 5, 0])
 def test_against_brute_force(spark, rows, hot, monkeypatch):
     monkeypatch.setattr(sd, "HOT_BLOCKS", hot)
     assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows, 400)
