@@ -63,7 +63,10 @@ def score_with_neighbours(spark: SparkSession, scored: DataFrame, secondary: Dat
     """
     first = scored.drop(*_RESULT).withColumns({"origin_subject_id": F.col("subject_id"), "rel": F.lit(""),
                                                "hop": F.lit(0)})
-    opened = (secondary.join(profiles.select("subject_id", F.col("score").alias("opening")), "subject_id", "left")
+    known = ["last_score_at"] if config.decay.enabled and "last_score_at" in profiles.columns else []
+    if known and "last_score_at" not in first.columns:
+        first = first.join(profiles.select("subject_id", *known), "subject_id", "left")
+    opened = (secondary.join(profiles.select("subject_id", F.col("score").alias("opening"), *known), "subject_id", "left")
               .withColumns({"opening_score": F.coalesce("opening", F.lit(config.baseline)), "hop": F.lit(1)})
               .drop("opening"))
     both = first.unionByName(opened, allowMissingColumns=True)

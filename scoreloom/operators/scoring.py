@@ -23,12 +23,14 @@ def with_profile(events: DataFrame, profiles: DataFrame, config: ScoreConfig = S
                  strict: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Attach profile type and opening score.
 
-    A subject without a profile starts at the baseline; in ``strict`` mode its events become error rows.
+    A subject without a profile starts at the baseline; in ``strict`` mode its events become error rows. With decay, the
+    time of the profile's last score comes along, as the days since then count.
     The join strategy is left to Spark: profiles grow with the data, and adaptive execution splits the
     partition of a subject that holds a large share of all events.
     """
+    known = [c for c in ("last_score_at",) if config.decay.enabled and c in profiles.columns and c not in events.columns]
     side = profiles.select("subject_id", F.col("type").alias("subject_type"),
-                           F.col("score").alias("profile_score"), *extra)
+                           F.col("score").alias("profile_score"), *known, *extra)
     joined = events.join(side, "subject_id", "left")
     missing = F.col("profile_score").isNull()
     error = F.when(missing, F.lit(MISSING_PROFILE)) if strict else F.lit(None).cast("string")
@@ -88,7 +90,9 @@ def running_score_with_decay(spark: SparkSession, deltas: DataFrame, config: Sco
                       clamp(prefix[1] + F.col("score_change"), config.low, config.high),
                       clamp(prefix[2] + F.col("score_change"), config.low, config.high))
     last = F.max_by(F.struct(add.alias("a"), low.alias("l"), high.alias("h")), F.struct(*order))
-    days = scanned.groupBy("subject_id", "day").agg(last.alias("s"), F.first("opening_score").alias("opening"))
+    since = F.to_date(F.max("last_score_at")) if "last_score_at" in scanned.columns else F.lit(None).cast("date")
+    days = scanned.groupBy("subject_id", "day").agg(last.alias("s"), F.first("opening_score").alias("opening"),
+                                                    since.alias("since"))
 
     def one_day(state: Column, d: Column) -> Column:
         idle = F.coalesce(F.datediff(d["day"], state["day"]), F.lit(0))
@@ -100,17 +104,17 @@ def running_score_with_decay(spark: SparkSession, deltas: DataFrame, config: Sco
                         .alias("opened"))
 
     none = F.array().cast("array<struct<day:date,score:double>>")
-    start = F.struct(F.lit(None).cast("date").alias("day"), F.col("opening").alias("score"), none.alias("opened"))
+    start = F.struct(F.col("since").alias("day"), F.col("opening").alias("score"), none.alias("opened"))
     per_subject = (days.groupBy("subject_id")
                    .agg(F.array_sort(F.collect_list(F.struct("day", "s"))).alias("days"),
-                        F.first("opening").alias("opening"))
+                        F.first("opening").alias("opening"), F.max("since").alias("since"))
                    .select("subject_id", F.explode(F.aggregate("days", start, one_day)["opened"]).alias("o"))
                    .select("subject_id", F.col("o.day").alias("day"), F.col("o.score").alias("day_opening")))
     rows = scanned.join(per_subject, ["subject_id", "day"])
     before = apply_step(F.col("day_opening"), prefix)
     after = clamp(before + F.col("score_change"), config.low, config.high)
     return (rows.withColumn("new_score", on_grid(after)).withColumn("previous_score", on_grid(before))
-            .drop("step_low", "step_high", "day_opening", "day", *PREFIX))
+            .drop("step_low", "step_high", "day_opening", "day", "last_score_at", *PREFIX))
 
 
 def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, rules: Sequence[Rule] | DataFrame,

@@ -14,10 +14,13 @@ _own_dirs: dict[str, str] = {}
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings the engine's results depend on.
 
-    Hours, weekdays and day boundaries are taken in UTC, so the session zone is fixed.
+    Hours, weekdays and day boundaries are taken in UTC, so the session zone is fixed. Skewed joins are split even where a
+    later step would reuse the partitioning: that step shuffles again, but no task gets a hot key whole.
     Everything else (shuffle partitions, memory, adaptive execution) stays as the cluster set it.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Several joins in a row use one key, the subject; a hot subject's partition must be split all the same.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

@@ -168,9 +168,10 @@ class ScoringJob:
         scores = self.log.scores(before, id_type)
         if scores is None:
             return self.profiles
-        new = scores.select("subject_id", F.col("score").alias("new_score"))
+        new = scores.select("subject_id", F.col("score").alias("new_score"), F.col("last_score_at").alias("new_at"))
         joined = self.profiles.join(new, "subject_id", "full_outer")
-        return joined.withColumn("score", F.coalesce("new_score", "score")).drop("new_score")
+        at = F.coalesce("new_at", "last_score_at") if "last_score_at" in self.profiles.columns else F.col("new_at")
+        return joined.withColumns({"score": F.coalesce("new_score", "score"), "last_score_at": at}).drop("new_score", "new_at")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         people = self.current_profiles(batch_id)

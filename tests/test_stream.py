@@ -164,3 +164,25 @@ def test_settings_round_trip(spark):
     assert settings.load_config(*settings.config_frames(spark, own), "own") == own
     with pytest.raises(ValueError):
         settings.load_config(main, tiers, "other")
+
+
+def test_decay_runs_on_between_batches(spark, tmp_path):
+    """Two events ten days apart: one batch, two micro-batches, and both with neighbours give the same score."""
+    import datetime as dt
+
+    config = ScoreConfig(decay=Decay(True, 3.0, 0.0))
+    people = spark.createDataFrame([("a", "regular", 500.0)], "subject_id string, type string, score double")
+    edges = spark.createDataFrame([], "src string, dst string, rel string, strength double, start_date date, end_date date")
+    events = spark.createDataFrame(
+        [(i, "a", dt.datetime(2024, 1, 1 + 10 * i), "social", "volunteering", 1.0, "{}", dt.datetime(2024, 1, 1 + 10 * i), None, None,
+          None, None, 5.0, 0.0) for i in range(2)],
+        "event_id int, subject_id string, ts timestamp, event_type string, event_subtype string, confidence double, payload string, "
+        "processed_at timestamp, relationship_type string, is_positive boolean, intensity double, "
+        "requires_relationship_processing boolean, amount double, severity_num double")
+    want = score_events(spark, events, people, ALL_RULES, config).orderBy("event_id").collect()[1]
+    assert want.previous_score == 494.0
+    for name, own in (("plain", None), ("edges", edges)):
+        job = jobs.ScoringJob(spark, people, ALL_RULES, str(tmp_path / name), own, config)
+        for i in range(2):
+            job.process(events.where(f"event_id = {i}"), i)
+        assert job.final_profiles().first().score == want.new_score
