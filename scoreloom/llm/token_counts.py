@@ -16,6 +16,7 @@ Null texts are empty and have no tokens. Repeated rows are counted alike. Texts
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +29,15 @@ from scoreloom.llm.common import stored, text_bytes
 CHUNK = 1 << 16
 LIMIT = 4096
 #: Transitions and compatibility facts a worker keeps; beyond it the tables are dropped and built anew.
-MAX_TRANSITIONS = 700_000
+MAX_TRANSITIONS = 500_000
 MAX_FACTS = 500_000
+#: Maps of words (their token counts) a worker keeps.
+MAX_UNITS = 300_000
 #: Below a trie node with up to so many tokens, states that differ only in what no longer matters are merged.
 SMALL_TREE = 12
 
 SPACE = "▁"
+_UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _UNKNOWN = -1
 _NONE = -2
 
@@ -67,6 +71,9 @@ class Transducer:
                     self.token.append(_NONE)
                 node = self.children[node][c]
             self.token[node] = number[piece]
+        #: A line end is a byte of its own that nothing runs over, so lines are cut there too.
+        self.line_ends = not any("\n" in p for p in self.pieces)
+        self.units: dict[str, int] = {}
         self.below: list[tuple[int, ...] | None] = [None] * len(self.children)
         self.facts: dict[tuple[int, int], bool] = {}
         self.spines: dict[tuple[int, int], tuple[str, ...]] = {}
@@ -185,6 +192,29 @@ class Transducer:
             count += gain
         return state, count
 
+    def count(self, text: str) -> int:
+        """Tokens of a text that starts a word: its words are chunks with constant maps, and maps met before are kept."""
+        if SPACE + SPACE in text:
+            return sum(self._unit(u) for u in _UNITS.findall(text))
+        total, units = 0, self.units
+        for i, line in enumerate(text.split("\n")) if self.line_ends else ((0, text),):
+            first, *words = line.split(SPACE)
+            if i:
+                total += 1  # the line end, a byte of its own
+            if first:
+                total += self._unit(first)
+            for word in words:
+                n = units.get(word)
+                if n is None:
+                    n = units[word] = self._unit(SPACE + word)
+                total += n
+        if len(units) > MAX_UNITS:
+            self.units = {}
+        return total
+
+    def _unit(self, unit: str) -> int:
+        return self.run(self.word_start(), unit)[1]
+
     def word_start(self) -> dict:
         """The state in front of a word's first mark, whatever came before it."""
         return self._state(((0, _UNKNOWN, 0),))
@@ -201,8 +231,11 @@ class Transducer:
         at = _first_word(text)
         if at < 0:
             return text, 0, ()
-        state, count = self.run(self.word_start(), text[at:])
-        return text[:at], count, state[""]
+        last = max(at, text.rfind(SPACE))
+        while last > at and text[last - 1] == SPACE:
+            last -= 1
+        state, count = self.run(self.word_start(), text[last:])
+        return text[:at], self.count(text[at:last]) + count, state[""]
 
     def compose(self, maps: list[tuple[str | None, int, tuple]]) -> int:
         """Tokens of a text from its chunks' maps in order."""
@@ -256,7 +289,7 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text:
         transducer = machine(model_file)
         for batch in batches:
             _, offsets = text_bytes(batch.column(1))
-            n = [transducer.chunk_map(marked(t), True)[1] for t in batch.column(1).to_pylist()]
+            n = [transducer.count(marked(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets)), pa.array(n, pa.int64())],
                                              names=["id", "n_bytes", "n_tokens"])
 

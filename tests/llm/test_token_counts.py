@@ -17,6 +17,7 @@ def test_transducer_equals_library():
         chunks = [text[i: i + size] for i in range(0, len(text), size)]
         maps = [machine.chunk_map(tc.marked(c) if i == 0 else c.replace(" ", tc.SPACE), i == 0) for i, c in enumerate(chunks)]
         assert machine.run(machine.start, tc.marked(text))[1] == len(library.encode(text)) == machine.compose(maps)
+        assert machine.count(tc.marked(text)) == len(library.encode(text)) or not text
 
 
 def test_bounded_tables(monkeypatch):
@@ -24,7 +25,8 @@ def test_bounded_tables(monkeypatch):
     monkeypatch.setattr(tc, "MAX_FACTS", 20)
     machine, library = tc.Transducer(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
     text = "The quick brown fox, überaus schnell — jumps over 12 lazy dogs. " * 5
-    assert machine.run(machine.start, tc.marked(text))[1] == len(library.encode(text))
+    monkeypatch.setattr(tc, "MAX_UNITS", 3)
+    assert machine.run(machine.start, tc.marked(text))[1] == len(library.encode(text)) == machine.count(tc.marked(text))
 
 
 def test_documents(spark, docs, awkward):
