@@ -29,7 +29,46 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-@query("op1_quality_rules")
+def _quality_sql() -> str:
+    """The rules of operator 1 with windows: each n-gram is the list of n words from a place on."""
+    top, dup = quality.TOP_LIMITS, quality.DUPLICATE_LIMITS
+    space = r"[\x20\x09-\x0D]"
+    parts = [rf"""d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+x AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM x),
+n AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY doc_id),
+sp AS (SELECT doc_id, string_split(t, chr(10)) AS ls FROM d),
+l0 AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM sp),
+l AS (SELECT doc_id, length(regexp_replace(line, '{space}', '', 'g')) AS chars,
+        row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS rn FROM l0 WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+ln AS (SELECT doc_id, count(*) FILTER (rn > 1) AS n_dup_lines, coalesce(sum(chars) FILTER (rn > 1), 0) AS dup_line_chars
+       FROM l GROUP BY doc_id)"""]
+    for k in sorted({*top, *dup}):
+        parts.append(f"""g{k} AS (SELECT doc_id, pos, word, list(word) OVER p AS g, count(*) OVER p AS size, sum(length(word)) OVER p AS chars
+  FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)),
+c{k} AS (SELECT doc_id, pos, word, chars, size = {k} AS whole, count(*) OVER (PARTITION BY doc_id, size, g) AS times,
+  row_number() OVER (PARTITION BY doc_id, size, g ORDER BY pos) AS rn FROM g{k})""")
+        if k in top:
+            parts.append(f"""r{k} AS (SELECT doc_id, coalesce(max(times * chars) FILTER (whole AND times > 1), 0) AS top{k} FROM c{k} GROUP BY doc_id)""")
+        else:
+            cover = f"OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+            parts.append(f"""i{k} AS (SELECT doc_id, word, bool_or(whole AND rn > 1) {cover} AS later, bool_or(whole AND times > 1) {cover} AS any_
+  FROM c{k}),
+r{k} AS (SELECT doc_id, coalesce(sum(length(word)) FILTER (later), 0) AS dup{k}, count(*) FILTER (any_) AS rep{k} FROM i{k} GROUP BY doc_id)""")
+    chars = "greatest(coalesce(word_chars, 0), 1)"
+    rules = [f"coalesce(top{k}, 0) > {v!r}::DOUBLE * {chars}" for k, v in top.items()]
+    rules += [f"coalesce(dup{k}, 0) > {v!r}::DOUBLE * {chars}" for k, v in dup.items()]
+    rules.append(f"coalesce(dup_line_chars, 0) > {quality.LINE_CHARACTER_LIMIT!r}::DOUBLE * {chars}")
+    joins = " ".join(f"LEFT JOIN {t} USING (doc_id)" for t in ("n", "ln", *(f"r{k}" for k in sorted({*top, *dup}))))
+    failed = f"(n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 20 * n_words)"
+    return f"""WITH {", ".join(parts)}, a AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+  coalesce(rep{quality.BASE_WINDOW}, 0) AS n_repeat_words, {" OR ".join(rules)} AS rejected FROM d {joins})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
+  NOT {failed} AND NOT rejected AS kept FROM a"""
+
+
+@query("op1_quality_rules", _quality_sql())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = quality.verdicts(documents(spark, sf_dir).select("doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
