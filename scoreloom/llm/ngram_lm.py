@@ -11,7 +11,8 @@ memory: sorted context words with Elias-Fano coded pointers, and the successors
 monotone sequence of vocabulary numbers relative to their context, with discounted probabilities quantised to 16 bits.
 Queries search the successors of their own context only.
 
-Words are told apart by 64-bit hashes, successors of one word by 40 bits. Null and empty texts have the end token alone.
+Words are told apart by 64-bit hashes, inside a shard by 48 bits of them, and successors of one context inside a shard by 32 bits;
+a shard's share is bounded, so the chance to mix up two does not grow with the corpus. Null and empty texts have the end token alone.
 Repeated rows are counted and scored each. Without training texts every token is unknown and the score is the base score.
 """
 
@@ -43,7 +44,7 @@ STEPS = 1024
 
 _START = np.uint64(0x5354415254)
 _END = np.uint64(0x454E44)
-_LOW40 = np.uint64((1 << 40) - 1)
+_LOW32 = np.uint64((1 << 32) - 1)
 
 
 # --- Elias-Fano -----------------------------------------------------------------------------------------------------
@@ -236,6 +237,21 @@ def loosen(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
+def short(values: np.ndarray, size: int) -> bytes:
+    """The low ``size`` bytes of each value."""
+    return np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def full(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(data) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8).reshape(-1, size)
+    return out.view("<u8").reshape(-1)
+
+
+def code48(word: np.ndarray) -> np.ndarray:
+    return mix(word) >> np.uint64(16)
+
+
 def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, its places in ascending order) from the shard of each place."""
     order = np.argsort(shard, kind="stable")
@@ -269,14 +285,14 @@ def word_counts(texts: DataFrame, shards: int) -> tuple[str, int, int]:
             count = np.bincount(place, part.train[part.tokens.text], minlength=len(word)).astype("<u4")
             for s, mine in by_shard(_word_shards(word, shards)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.number]), pa.array([s], pa.int32()), pa.array([word[mine].tobytes()], pa.binary()),
+                    [pa.array([part.number]), pa.array([s], pa.int32()), pa.array([short(code48(word[mine]), 6)], pa.binary()),
                      pa.array([squeeze(count[mine])], pa.binary())], names=["batch", "shard", "words", "counts"])
 
     asked = texts.mapInArrow(ask, "batch bigint, shard int, words binary, counts binary").repartition(shards, "shard").sortWithinPartitions("shard")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, mine in shard_rows(batches):
-            words = [np.frombuffer(r["words"], "<u8") for r in mine]
+            words = [full(r["words"], 6) for r in mine]
             known, place = np.unique(np.concatenate(words), return_inverse=True)
             counts = np.concatenate([loosen(r["counts"], "<u4") for r in mine])
             total = np.bincount(place, counts, minlength=len(known)).astype("<i8")
@@ -306,8 +322,8 @@ def batch_words(path: str, part: Batch, shards: int) -> tuple[np.ndarray, np.nda
 
 
 def _bigrams(tokens: Tokens, word: np.ndarray, count: np.ndarray, starts: int) -> tuple[np.ndarray, ...]:
-    """Distinct bigrams of a batch in order of (context, 40 bits of the word): both, the place of each token, context totals."""
-    second = mix(tokens.word) & _LOW40
+    """Distinct bigrams of a batch in order of (context, 32 bits of the word): both, the place of each token, context totals."""
+    second = mix(tokens.word) & _LOW32
     # One 64-bit number stands for a pair inside a batch; pairs are ordered by context and word behind it.
     order = np.lexsort((second, tokens.before))
     v, w = tokens.before[order], second[order]
@@ -353,9 +369,9 @@ def bigram_answers(texts: DataFrame, words: str, starts: int, n_tokens: int, sha
             count = np.bincount(place, part.train[part.tokens.text], minlength=len(v)).astype("<u4")
             for s, mine, heads, sizes in _questions(v, w, total, n_tokens, shards):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.number]), pa.array([s], pa.int32()), pa.array([v[heads].tobytes()], pa.binary()),
+                    [pa.array([part.number]), pa.array([s], pa.int32()), pa.array([short(code48(v[heads]), 6)], pa.binary()),
                      pa.array([squeeze(total[heads].astype("<i8"))], pa.binary()), pa.array([squeeze(sizes.astype("<u4"))], pa.binary()),
-                     pa.array([w[mine].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()], pa.binary()),
+                     pa.array([short(w[mine], 4)], pa.binary()),
                      pa.array([squeeze(count[mine])], pa.binary())],
                     names=["batch", "shard", "contexts", "totals", "sizes", "words", "counts"])
 
@@ -364,9 +380,9 @@ def bigram_answers(texts: DataFrame, words: str, starts: int, n_tokens: int, sha
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, mine in shard_rows(batches):
-            contexts = [np.frombuffer(r["contexts"], "<u8") for r in mine]
+            contexts = [full(r["contexts"], 6) for r in mine]
             sizes = [loosen(r["sizes"], "<u4") for r in mine]
-            word = [_five(r["words"]) for r in mine]
+            word = [full(r["words"], 4) for r in mine]
             count = np.concatenate([loosen(r["counts"], "<u4") for r in mine]).astype(np.int64)
             seen = count > 0
             level = _count_level(np.concatenate([np.repeat(c, n) for c, n in zip(contexts, sizes, strict=True)])[seen],
@@ -387,13 +403,6 @@ def bigram_answers(texts: DataFrame, words: str, starts: int, n_tokens: int, sha
     return answers(asked.mapInArrow(answer, "batch bigint, shard int, codes binary, different binary"), "lm-bigrams")
 
 
-def _five(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
-    return out.view("<u8").reshape(-1)
-
-
 def _count_level(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, ...]:
     """Ascending contexts, their totals, pointers, ascending successors, and counts added up."""
     order = np.lexsort((word, context))
