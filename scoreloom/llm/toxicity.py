@@ -11,7 +11,7 @@ toxic texts that have fewer than ``COVER`` entries, so that words which toxic ne
 neighbour that stand in clean rows only become exceptions.
 
 Null and empty texts have no hits and get the curve's lowest score. Repeated texts count once in training and are scored
-alike. Without labels of both kinds, only the fixed exception phrases are known and every score is 0. Empty tables give
+alike. Without labels of both kinds, or without an entry that tells them apart, every score is 0. Empty tables give
 empty results.
 """
 
@@ -257,6 +257,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         # What stands in the same texts and begins alike is the same word again.
         holders = {f: h for f, h in holders.items()
                    if not ((f.startswith(best.rstrip()) or best.startswith(f.rstrip())) and len(h - texts) < MIN_GAIN)}
+    if not weights:
+        return Lexicon()
     lexicon = Lexicon(weights)
     lexicon.exceptions = (*EXCEPTIONS, *_exceptions(rows, lexicon))
     key = lexicon.key()
