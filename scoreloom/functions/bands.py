@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from scoreloom.functions.numeric import number, pick, text
 from scoreloom.model import ScoreConfig
 
+# The thresholds, weights and band names in the columns below are those the results are defined by.
+
 
 def sign_label(change: Column, up: str, down: str, flat: str) -> Column:
     return pick((change > 0, up), (change < 0, down), default=flat)

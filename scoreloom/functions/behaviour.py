@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from scoreloom.functions.bands import analytic_tier, is_weekend
 from scoreloom.functions.numeric import clamp01, has_error, number, pick, text
 
+# The thresholds, weights and band names in the columns below are those the results are defined by.
+
 
 def _size() -> Column:
     return F.abs(number("score_change"))

@@ -319,7 +319,10 @@ def apply_rule_table(df: DataFrame, rules: DataFrame, strict: bool = False, vali
     """
     entry = F.struct("ord", "rule_id", "logic", "conditions", "points", "multiplier", "multipliers", "custom_logic",
                      "valid_from", "valid_to")
-    by_type, wild = rules_by_type(rules.filter(F.col("status") == ACTIVE), entry)
+    rules = rules.filter(F.col("status") == ACTIVE)
+    # Only logic that a rule names is built, as it may need columns this table doesn't have; at most all registered names are read.
+    used = [r[0] for r in rules.filter(F.col("custom_logic").isin(list(_custom))).select("custom_logic").distinct().collect()] if _custom else []
+    by_type, wild = rules_by_type(rules, entry)
     flags = [c for c, kind in df.dtypes if kind == "boolean"]
     entries = [x for c in flags for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit(False)))]
     helpers = {"payload_map": _typed_payload() if "payload" in df.columns else F.lit(None).cast(
@@ -335,8 +338,8 @@ def apply_rule_table(df: DataFrame, rules: DataFrame, strict: bool = False, vali
         empty = F.size(r["conditions"]) == 0
         own = F.when(r["logic"] == "OR", empty | F.exists(r["conditions"], test)).otherwise(F.forall(r["conditions"], test))
         logic = F.when(r["custom_logic"].isNull(), own)
-        for name, build in _custom.items():
-            logic = logic.when(r["custom_logic"] == name, F.coalesce(build(), F.lit(False)))
+        for name in sorted(used):
+            logic = logic.when(r["custom_logic"] == name, F.coalesce(_custom[name](), F.lit(False)))
         return logic.otherwise(_unknown("custom logic", r["custom_logic"]))
 
     def cell(r: Column) -> Column:

@@ -22,8 +22,8 @@ def case(*pairs: tuple[str, str], default: str = "0.0") -> str:
     return "(CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + f" ELSE {default} END)"
 
 
-def anyof(x: str, words: str) -> str:
-    return "(" + " OR ".join(f"contains({x}, '{w.strip()}')" for w in words.split("|")) + ")"
+def anyof(x: str, words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains({x}, '{w.strip()}')" for w in words) + ")"
 
 
 _PLACES = """(0,'New York','United States',40.7,-74.0),(1,'Manchester','United Kingdom',53.5,-2.2),
@@ -270,17 +270,21 @@ X["trend_stability"] = c01(
     + (CASE WHEN {_WEEKEND} THEN -0.05 ELSE 0.0 END) + (({X['consistency']}) - 0.5::DOUBLE) * 0.3::DOUBLE""")
 
 _CITY = "lower(coalesce(city, ''))"
-_TIER1 = ("new york|london|paris|tokyo|berlin|moscow|beijing|shanghai|mumbai|delhi|los angeles|chicago|toronto|sydney|"
-          "melbourne")
-_TIER2 = ("manchester|birmingham|glasgow|lyon|marseille|frankfurt|hamburg|munich|barcelona|madrid|milan|rome|amsterdam|"
-          "rotterdam")
+# City and place words.
+_TIER1 = ("new york", "london", "paris", "tokyo", "berlin", "moscow", "beijing", "shanghai", "mumbai", "delhi", "los angeles",
+          "chicago", "toronto", "sydney", "melbourne")
+_TIER2 = ("manchester", "birmingham", "glasgow", "lyon", "marseille", "frankfurt", "hamburg", "munich", "barcelona", "madrid",
+          "milan", "rome", "amsterdam", "rotterdam")
+_URBAN = ("city", "york", "london", "paris", "berlin", "tokyo", "center", "downtown", "metro", "district")
+_RURAL = ("village", "farm", "county", "rural", "countryside", "valley", "hill", "mountain", "lake")
+_SUBURBAN = ("suburb", "gardens", "heights", "park", "grove", "meadow", "ridge", "estates")
 X["geographic_tier"] = case((anyof(_CITY, _TIER1), "'tier_1'"), (anyof(_CITY, _TIER2), "'tier_2'"),
                             ("country IN ('United States', 'United Kingdom', 'Germany', 'France')", "'tier_3'"),
                             default="'tier_4'")
 X["urban_class"] = case(
-    (anyof(_CITY, "city|york|london|paris|berlin|tokyo|center|downtown|metro|district"), "'urban'"),
-    (anyof(_CITY, "village|farm|county|rural|countryside|valley|hill|mountain|lake"), "'rural'"),
-    (anyof(_CITY, "suburb|gardens|heights|park|grove|meadow|ridge|estates"), "'suburban'"),
+    (anyof(_CITY, _URBAN), "'urban'"),
+    (anyof(_CITY, _RURAL), "'rural'"),
+    (anyof(_CITY, _SUBURBAN), "'suburban'"),
     ("latitude <> 0 AND longitude <> 0", "'urban'"), default="'suburban'")
 X["geographic_mobility"] = c01("""0.2::DOUBLE + (CASE WHEN event_type = 'transportation' THEN 0.6 ELSE 0.0 END)
  + (CASE WHEN event_type <> 'transportation' THEN 0.0 WHEN transport_type IN ('flight', 'train_long_distance') THEN 0.3

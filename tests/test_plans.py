@@ -3,12 +3,14 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from scoreloom.model import ALL_RULES
 from scoreloom.operators.rules import apply_rules
 from scoreloom.operators.scoring import with_profile
 from scoreloom.plans import tables
 from scoreloom.plans.catalog import QUERIES
+from scoreloom.sources import star
 
 JIT_LIMIT = 8000  # bytes of code above which the JVM leaves a generated method uncompiled
 
@@ -59,3 +61,23 @@ def test_generated_methods_can_be_compiled(spark, sf_dir, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sizes and max(sizes) < JIT_LIMIT
+
+
+def test_hot_subject_is_split_in_a_chain_of_joins(spark, sf_dir):
+    """80 % of events on one subject, no broadcasts: the joins with customers and with profiles both split its partition."""
+    from scoreloom.session import prepare
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        raw = star.table(prepare(spark), sf_dir, "events").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(60)))).withColumn(
+            "user_id", F.when(F.col("event_id") % 5 < 4, F.lit(7)).otherwise(F.col("user_id"))).repartition(12, "copy", "event_id").drop("copy")
+        df = with_profile(star.map_events(spark, sf_dir, raw), star.profiles(spark, sf_dir)).select(
+            "event_id", "subject_type", "opening_score", "city")
+        assert len(df.collect()) == 60_000
+        assert df._jdf.queryExecution().executedPlan().toString().count("skew=true") >= 2
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
