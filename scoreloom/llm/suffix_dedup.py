@@ -271,9 +271,9 @@ def repeated(docs: DataFrame, text: str = "text", length: int = LENGTH) -> tuple
     whole = kinds.where("times > 1").select("block", F.array(F.struct(F.lit(0).alias("low"), F.col("n").alias("high"))).alias("ranges"))
     flags = stored(whole.union(partial.join(once, "block", "left_semi")), "suffix-flags")
     copies = (found.select("key", "block", "starts").join(flags, "block")
-              .groupBy("key").agg(F.collect_list(F.struct("starts", "ranges")).alias("copies")))
-    # Rows of equal texts have the same blocks, so their lists repeat themselves; once is enough.
-    return texts, copies.select("key", F.array_distinct("copies").alias("copies"))
+              # Rows of equal texts have the same blocks; a set drops the repeats before the shuffle.
+              .groupBy("key").agg(F.collect_set(F.struct("starts", "ranges")).alias("copies")))
+    return texts, copies
 
 
 def spans_of(size: int, copies: list[dict] | None, length: int = LENGTH) -> list[tuple[int, int]]:

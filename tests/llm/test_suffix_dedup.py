@@ -50,6 +50,15 @@ def test_documents(docs):
     assert run(docs.select("doc_id", "text")) == brute([(r.doc_id, r.text) for r in docs.collect()], 400)
 
 
+def test_copies_of_a_text_are_not_listed(spark, rows):
+    text = rows[0][1] * 3
+    df = spark.createDataFrame([(i, text) for i in range(500)] + rows[:3], "doc_id long, text string")
+    assert run(df) == brute([(i, text) for i in range(500)] + rows[:3], 400)
+    _, copies = sd.repeated(df)
+    plan = copies._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_set" in plan and "collect_list" not in plan
+
+
 def test_factors():
     rnd = np.random.default_rng(1)
     data = rnd.integers(0, 2, 400).astype(np.uint8)
