@@ -1,15 +1,15 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a sequence of tokens in which numbers, names and units are typed placeholders, so a question that was asked
-again with other values keeps its template. Windows of six tokens are joined by hash. A document is only probed with every
-third of its windows: a run of eight tokens in common always holds one of those. Documents that hit are compared window by
-window, windows on one diagonal (same distance between the places in both texts) make a run, and a run counts when it has
+again with other values keeps its template. Windows of six tokens are joined by hash. A document is probed for those windows of
+items that hold three literal words. Documents that hit are compared window by window, with or without literal words, windows on one diagonal (same distance between the places in both texts) make a run, and a run counts when it has
 13 tokens or the whole item. Then the values in the slots are compared: each value of the item must stand for one value of
 the document throughout the run, else the likeness is of the form only.
 
 Names are capitalised words inside a sentence; units are a fixed list behind a number. Items with fewer than eight tokens,
 or with no window of three literal words, can't be told from chance and match nothing. Null and empty texts match nothing.
-Repeated documents each get their rows; repeated items count once per item id. Empty tables give empty results.
+Repeated documents each get their rows; repeated items count once per item id, and an id with different texts has the best
+match of any. Empty tables give empty results.
 
 Everything is DataFrame functions. The benchmark's windows go to all tasks only when their number is under a stated bound.
 """
@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from scoreloom.llm.common import fresh, stored, text_key
 
 WINDOW = 6
-STRIDE = 3
 RUN = 13
-MIN_ITEM = WINDOW + STRIDE - 1
+MIN_ITEM = 8
 MIN_LITERALS = 3
 #: Benchmark windows (16 bytes each, tens of bytes in a hash table) sent to all tasks; above it the join is shuffled.
 BROADCAST_WINDOWS = 500_000
@@ -67,11 +66,11 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _windows(tokens: Column, stride: int) -> Column:
-    """(place, hash) of every ``stride``-th window of a token array."""
+def _windows(tokens: Column) -> Column:
+    """(place, hash) of every window of a token array."""
     def build(t: Column) -> Column:
         last = F.size(t) - WINDOW
-        places = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride)))
+        places = F.when(last >= 0, F.sequence(F.lit(0), last))
         return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(t, i + 1, WINDOW)).alias("hash")))
 
     return _let(tokens, build)
@@ -85,22 +84,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
             item_text: str = "text") -> DataFrame:
     """Rows (key, item_id, run_tokens, item_tokens, n_slots, n_changed) per different text and item; key is text_key."""
     items = (benchmark.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
-             .groupBy("item").agg(F.min("t").alias("t")).withColumn("values", _valued(F.col("t")))
+             .distinct().withColumn("item", F.struct(F.col("item").alias("id"), text_key(F.col("t")).alias("of"))).withColumn("values", _valued(F.col("t")))
              .withColumn("tokens", F.transform("values", _shape)).where(F.size("tokens") >= MIN_ITEM).drop("t"))
     items = stored(items, "bench-items")
     literals = lambda ws: F.size(F.filter(ws, lambda w: ~F.substring(w, 1, 1).isin(NAME, NUMBER, UNIT)))
-    windows = (items.select("item", "tokens", F.explode(_windows(F.col("tokens"), 1)).alias("w"))
-               .where(literals(F.slice(F.col("tokens"), F.col("w.at") + 1, WINDOW)) >= MIN_LITERALS)
-               .select("item", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash")))
+    windows = (items.select("item", "tokens", F.explode(_windows(F.col("tokens"))).alias("w"))
+               .select("item", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash"),
+                       (literals(F.slice(F.col("tokens"), F.col("w.at") + 1, WINDOW)) >= MIN_LITERALS).alias("telling")))
     windows = stored(windows, "bench-windows")
-    n_windows = windows.count()
+    telling = windows.where("telling")
+    n_windows = telling.count()
 
     # Probe: which texts have a window of which item. A text is probed as often as it stands in the table.
     whole = docs.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     probes = (whole.select(text_key(F.col("text")).alias("key"),
-                           F.explode(_windows(_templated(F.col("text")), STRIDE)).alias("w"))
+                           F.explode(_windows(_templated(F.col("text")))).alias("w"))
               .select("key", F.col("w.hash").alias("hash")))
-    known = windows.groupBy("hash").agg(F.collect_set("item").alias("items"))
+    known = telling.groupBy("hash").agg(F.collect_set("item").alias("items"))
     hits = stored(probes.join(_hinted(known, n_windows), "hash").select("key", F.explode("items").alias("item")).distinct(),
                   "bench-hits")
 
@@ -110,9 +110,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
               .withColumn("values", _valued(F.col("text"))).withColumn("tokens", F.transform("values", _shape))
               .select("key", "values", "tokens"))
     chosen = stored(chosen, "bench-texts")
-    places = chosen.select("key", F.explode(_windows(F.col("tokens"), 1)).alias("w")).select("key", F.col("w.at").alias("at"),
+    places = chosen.select("key", F.explode(_windows(F.col("tokens"))).alias("w")).select("key", F.col("w.at").alias("at"),
                                                                                           F.col("w.hash").alias("hash"))
-    same = places.join(_hinted(windows, n_windows), "hash").join(hits, ["key", "item"], "left_semi")
+    # Windows without literal words are common, so only those of the items that hit the text are looked up in it.
+    same = places.join(hits.join(windows.select("item", "item_at", "hash"), "item"), ["key", "hash"])
     diagonal = (same.groupBy("key", "item", (F.col("at") - F.col("item_at")).alias("shift"))
                 .agg(F.array_sort(F.collect_set("item_at")).alias("places")))
     # A run is windows whose places follow each other by at most a window; it spans from its first to its last token.
@@ -133,11 +134,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
              .withColumn("conflicts", F.size("links") - F.size(F.array_distinct(F.transform("links", lambda z: z["_a"]))))
              .withColumn("changed", F.size(F.filter("slots", lambda z: z["_a"] != z["_b"]))))
     good = pairs.where(F.col("conflicts") <= F.lit(MAX_CONFLICTS) * F.size("slots"))
-    best = good.groupBy("key", "item").agg(F.max_by(
+    best = good.groupBy("key", F.col("item.id").alias("item_id")).agg(F.max_by(
         F.struct((F.col("high") - F.col("low")).alias("run_tokens"), F.col("item_tokens"), F.size("slots").alias("n_slots"),
                  F.col("changed").alias("n_changed")),
-        F.struct((F.col("high") - F.col("low")), -F.col("changed"), -F.col("low"), -F.col("shift"))).alias("m"))
-    return best.select("key", F.col("item").alias("item_id"), *[F.col(f"m.{c}").cast("long").alias(c) for c in
+        F.struct((F.col("high") - F.col("low")), -F.col("changed"), -F.col("low"), -F.col("shift"), "item_tokens", "item.of")).alias("m"))
+    return best.select("key", "item_id", *[F.col(f"m.{c}").cast("long").alias(c) for c in
                                                                ("run_tokens", "item_tokens", "n_slots", "n_changed")])
 
 

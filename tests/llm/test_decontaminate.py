@@ -33,6 +33,16 @@ def test_other_values_same_template(spark):
     assert D.contaminated(df, items(spark).limit(0)).count() == 0
 
 
+def test_short_items_with_many_numbers_and_ids_with_two_texts(spark):
+    short = "Compute 12 * 7 - 5 + 3 and then divide by 2"
+    bench = spark.createDataFrame([(1, short), (2, QUESTION), (2, "A different text of the same item comes here first")],
+                                  "item_id long, text string")
+    df = spark.createDataFrame([(i, "filler " * i + short) for i in range(4)] + [(9, QUESTION), (10, "nothing of it at all " * 5)],
+                               "doc_id long, text string").selectExpr("doc_id", "replace(text, 'filler Compute', 'filler. Compute') text")
+    got = sorted((r.doc_id, r.item_id) for r in D.contaminated(df, bench).collect())
+    assert got == [(0, 1), (1, 1), (2, 1), (3, 1), (9, 2)]
+
+
 def test_both_canonical_forms_agree(docs):
     same = F.transform(D._valued(F.col("text")), D._shape) == D._templated(F.col("text"))
     assert docs.where(~same).count() == 0
