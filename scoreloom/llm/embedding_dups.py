@@ -34,7 +34,7 @@ from scoreloom.llm.common import components, mix, stored
 
 COSINE = 0.98
 BLOCK = 8
-TILE = 1024
+TILE = 2048
 #: Slack of distances before they are compared, far above rounding and far below any share.
 SLACK = 1e-9
 #: Pairs verified in one numpy pass.
@@ -86,8 +86,14 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False)[at[0]: at[-1]].astype("<f8"), at - at[0]
 
 
+def _width(distinct: DataFrame) -> str:
+    """How the components of a vector travel: as they came, in single or double precision."""
+    return "<f4" if distinct.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+
+
 def _places(distinct: DataFrame, cosine: float, vectors: bool) -> DataFrame:
     """The cells of each vector: one row for its own in every block, and one for each cell behind that its box touches."""
+    width = _width(distinct)
     schema = "label string, dim int, block int, c0 bigint, c1 bigint, key binary, probe boolean"
     schema += ", copies bigint, vector binary" if vectors else ""
 
@@ -118,7 +124,7 @@ def _places(distinct: DataFrame, cosine: float, vectors: bool) -> DataFrame:
                                    pa.array(np.full(len(hit), b, np.int32)), pa.array(cell[hit, 0]), pa.array(cell[hit, 1]),
                                    batch.column("key").take(take), pa.array(np.full(len(hit), bool(dx or dy)))]
                             if vectors:
-                                out += [batch.column("copies").take(take), pa.array([v.tobytes() for v in given[hit]], pa.binary())]
+                                out += [batch.column("copies").take(take), pa.array([v.tobytes() for v in given[hit].astype(width)], pa.binary())]
                             names = [f.split()[0] for f in schema.split(", ")]
                             yield pa.RecordBatch.from_arrays(out, names=names)
 
@@ -181,9 +187,11 @@ def links(distinct: DataFrame, cosine: float = COSINE) -> DataFrame:
     tiles = dealt.select(*_CELL, F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"),
                          "part", "key", "probe", "copies", "vector")
 
+    width = _width(distinct)
+
     def of_tile(group: tuple, rows: pa.Table) -> pa.Table:
         block, one, two = (x.as_py() for x in (group[2], group[5], group[6]))
-        given = np.stack([np.frombuffer(v, "<f8") for v in rows.column("vector").to_pylist()])
+        given = np.stack([np.frombuffer(v, width) for v in rows.column("vector").to_pylist()]).astype("<f8")
         part, copies = rows.column("part").to_numpy(), rows.column("copies").to_numpy()
         probe = np.asarray(rows.column("probe").to_pylist(), bool)
         first = np.flatnonzero(part == one)
