@@ -144,34 +144,137 @@ def sum_kernel(keys: Sequence[str], sums: Sequence[str], previous: Sequence[str]
     return lambda batches: _mark_end(run(batches))
 
 
-def cooldown_kernel(keys: Sequence[str]):
-    """Per-second firing counts in order -> how many of each second are accepted, and when the period ends."""
+def walk_periods(clock: np.ndarray, period: np.ndarray, limit: np.ndarray, until: int | None,
+                 used: int) -> tuple[np.ndarray, int | None, int]:
+    """Which firings of one key, in order, are accepted; goes from opener to opener, starting inside the period that ends at
+    ``until`` (None: no period is open) with ``used`` firings accepted. Also gives the last period's end and count."""
+    accepted = np.zeros(len(clock), bool)
+    at = 0
+    while at < len(clock):
+        if until is None or clock[at] >= until:
+            until, used = int(clock[at] + period[at]), 0
+        # All firings of the open period at once: the first ones that its limit leaves room for.
+        end = at + int(np.searchsorted(clock[at:], until))
+        take = max(0, min(end - at, int(limit[at]) - used))
+        accepted[at: at + take] = True
+        used += take
+        at = max(end, at + 1)
+    return accepted, until, used
+
+
+def period_kernel(keys: Sequence[str]):
+    """Firings of one sorted partition -> same rows, with what is accepted if every run of a key starts without an open period, and
+    for the first and last run of the partition what an opener at each row leads to.
+
+    ``at`` is the place in the run. ``until`` is the end of the last period of the walk that starts at the row, ``rest`` the rows from that
+    period's opener to the end of the run. ``near`` marks rows of the first run that a walk from before the partition can open at
+    first: those inside one period of the run's first row, and one more. ``begins`` marks the first row of the last run.
+    """
+
+    def finish(parts: list[pa.RecordBatch], offset: int, final: bool) -> pa.RecordBatch:
+        batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        size = batch.num_rows
+        bounds = np.append(np.flatnonzero(_run_starts(batch, keys)), size)
+        clock, period, limit = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("clock", "period", "max_in_period"))
+        accepted, near, begins = (np.zeros(size, bool) for _ in range(3))
+        until, rest = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            run = slice(low, high)
+            accepted[run] = walk_periods(clock[run], period[run], limit[run], None, 0)[0]
+            first, last = offset == 0 and low == 0, final and high == size
+            if first or last:
+                n = high - low
+                ends = clock[run] + period[run]
+                following = np.searchsorted(clock[run], ends)
+                opener = np.where(following < n, following, np.arange(n))
+                while (opener[opener] != opener).any():
+                    opener = opener[opener]
+                until[run], rest[run] = ends[opener], n - opener
+                near[run] = first & (np.arange(n) <= following[0])
+                begins[low] = last
+        at = np.arange(size) - np.repeat(bounds[:-1], np.diff(bounds))
+        out = [accepted, at, until, rest, near, begins, np.arange(offset, offset + size)]
+        return pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out)],
+                                          names=[*batch.schema.names, "accepted", "at", "until", "rest", "near", "begins", "chunk_pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, until, used = None, None, 0
+        held: list[pa.RecordBatch] = []
+        offset = 0
         for batch in batches:
-            size = batch.num_rows
-            if size == 0:
+            if batch.num_rows == 0:
                 continue
-            starts = _run_starts(batch, keys)
-            starts[0] = tuple(batch.column(k)[0].as_py() for k in keys) != last_key
-            clock, period, limit = (batch.column(c).to_numpy(zero_copy_only=False)
-                                    for c in ("clock", "period", "max_in_period"))
-            accepted = np.zeros(size, bool)
-            bounds = np.append(np.flatnonzero(np.append(True, starts[1:])), size)
+            begin = np.flatnonzero(_run_starts(batch, keys))
+            if held and all(held[-1].column(k)[-1] == batch.column(k)[0] for k in keys):
+                begin = begin[1:]
+            if not len(begin):
+                held.append(batch)
+                continue
+            done = [*held, batch.slice(0, begin[-1])] if begin[-1] else held
+            if done:
+                yield finish(done, offset, False)
+                offset += sum(p.num_rows for p in done)
+            held = [batch.slice(begin[-1])]
+        if held:
+            yield finish(held, offset, True)
+
+    return lambda batches: _mark_end(run(batches))
+
+
+def resumed_kernel():
+    """First runs of partitions, by chunk and in order -> same rows with what is accepted, starting in the period that the
+    row's ``carried_until`` and ``carried_used`` describe."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, until, used = None, None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            chunks = batch.column("chunk").to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1])), len(chunks))
+            clock, period, limit, ends, counts = (batch.column(c).to_numpy(zero_copy_only=False) for c in (
+                "clock", "period", "max_in_period", "carried_until", "carried_used"))
+            accepted = np.zeros(len(chunks), bool)
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                at = low
-                while at < high:
-                    if (at == low and starts[low]) or clock[at] >= until:
-                        until, used = clock[at] + period[at], 0
-                    # All firings of the open period at once: the first ones that its limit leaves room for.
-                    end = at + int(np.searchsorted(clock[at:high], until))
-                    take = max(0, min(end - at, int(limit[at]) - used))
-                    accepted[at: at + take] = True
-                    used += take
-                    at = end
-            last_key = tuple(batch.column(k)[size - 1].as_py() for k in keys)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(accepted)], names=[*batch.schema.names, "accepted"])
+                if chunks[low] != chunk:
+                    chunk, until, used = chunks[low], int(ends[low]), int(counts[low])
+                part = slice(low, high)
+                accepted[part], until, used = walk_periods(clock[part], period[part], limit[part], until, used)
+            names = batch.schema.names
+            columns = [pa.array(accepted) if n == "accepted" else c for n, c in zip(names, batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def target_kernel(chains: dict[tuple[int, bool], tuple[list[int], list[int]]]):
+    """Nodes (chunk, start, until, ...) -> with the chunk that holds the first firing at or after ``until``, or null. ``chains`` gives for
+    a chunk, and whether its last key starts there or its first one goes on, that key's later chunks and the last clock of each but the last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunks, until = batch.column("chunk").to_numpy(), batch.column("until").to_numpy()
+            target = np.full(len(chunks), -1, np.int64)
+            start = batch.column("start").to_numpy(zero_copy_only=False)
+            for c, s in set(zip(chunks.tolist(), start.tolist())):
+                later, lasts = chains[c, s]
+                rows = np.flatnonzero((chunks == c) & (start == s))
+                if later:
+                    target[rows] = np.array(later)[np.searchsorted(lasts, until[rows])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(target, mask=target < 0)], names=[*batch.schema.names, "target"])
+
+    return run
+
+
+def next_openers():
+    """Nodes whose target is a chunk, and that chunk's nodes -> (node, next): the first of its nodes at or after ``until``."""
+
+    def run(asking: pa.Table, there: pa.Table) -> pa.Table:
+        order = np.argsort(there.column("node").to_numpy())
+        clock, node = there.column("clock").to_numpy()[order], there.column("node").to_numpy()[order]
+        at = np.searchsorted(clock, asking.column("until").to_numpy())
+        found = at < len(clock)
+        return pa.table({"node": asking.column("node").to_numpy()[found], "next": node[at[found]]},
+                        schema=pa.schema([("node", pa.int64()), ("next", pa.int64())]))
 
     return run
 

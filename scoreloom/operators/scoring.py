@@ -190,9 +190,13 @@ def apply_cooldown(scored: DataFrame, rules: Sequence[Rule] | DataFrame) -> Data
             length = F.when(hit, F.lit(r.cooldown_seconds)).otherwise(length)
             most = F.when(hit, F.lit(r.max_in_period or 1)).otherwise(most)
         fired = fired.withColumns({"cooldown_seconds": length.cast("bigint"), "max_in_period": most})
-    kept = accepted_rules(accept(fired))
+    return with_rule_scores(scored, accepted_rules(accept(fired)))
+
+
+def with_rule_scores(scored: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Events with the rules in ``accepted`` (event_id, accepted) instead of all that fired, and the change these give."""
     none = F.array().cast("array<struct<rule_id:string,points:double>>")
-    left = (scored.drop("rule_scores").join(kept, "event_id", "left")
+    left = (scored.drop("rule_scores").join(accepted, "event_id", "left")
             .withColumn("rule_scores", F.coalesce("accepted", none)).drop("accepted"))
     return left.withColumns({"applied_rules": F.transform("rule_scores", lambda r: r["rule_id"]),
                              "score_change": on_grid(sum_points(F.col("rule_scores")))})

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from scoreloom.functions.numeric import on_grid
 from scoreloom.model import ALL_RULES
-from scoreloom.plans.registry import query
+from scoreloom.operators.rules import apply_rules
+from scoreloom.operators.scoring import with_profile
+from scoreloom.plans.q_state import COOLDOWN_RULES
+from scoreloom.plans.registry import ORACLES, query
 from scoreloom.plans.sqlbase import r6, sql, tier5, tstr
 from scoreloom.plans.tables import CONFIG, edges, profiles
 from scoreloom.session import new_table_path
 from scoreloom.sources import star
+from scoreloom.streaming.cooldown import regrouped, with_accepted
 from scoreloom.streaming.jobs import (ScoringJob, hourly_activity_stream, replace_batch, running_score_stream)
 
 
@@ -25,6 +32,34 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))
 
 
+def _in_steps(spark: SparkSession, d: str, steps: int, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """The event table as a stream that grows: in time order, ``steps`` times files are added and ``start``'s query runs to the end."""
+    schema, path = star.SCHEMAS["events"], new_table_path(spark, "stream-input")
+    rows = spark.read.schema(schema).parquet(f"{d}/events.parquet")
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    for k in range(steps):
+        since, until = (F.lit(low + (high - low) * (k + i) / steps).cast("timestamp_ntz") for i in (0, 1))
+        part = rows.filter((F.col("ts") >= since) & ((F.col("ts") < until) if k + 1 < steps else F.lit(True)))
+        part.write.mode("append").parquet(path)
+        start(star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))).awaitTermination()
+
+
+@query("t04_stream_cooldown", ORACLES["t04_cooldown"])
+def _(spark, d):
+    """Limits per subject and period as stream state, over four micro-batches and as many restarts."""
+    path, check = new_table_path(spark, "stream-cooldown"), new_table_path(spark, "stream-check")
+
+    def start(events: DataFrame) -> StreamingQuery:
+        scored = apply_rules(with_profile(events, profiles(spark, d)), COOLDOWN_RULES)
+        write = replace_batch(path)
+        return (with_accepted(spark, scored, COOLDOWN_RULES).writeStream
+                .foreachBatch(lambda batch, n: write(regrouped(batch).select("event_id", "subject_id", "applied_rules", "score_change"), n))
+                .option("checkpointLocation", check).trigger(availableNow=True).start())
+
+    _in_steps(spark, d, 4, start)
+    return spark.read.parquet(path).drop("batch")
+
+
 @query("s01_stream_scores", sql("pe", "SELECT event_id, subject_id, score_change, previous_score, new_score FROM pe"))
 def _(spark, d):
     """Running score in the state store."""

@@ -32,9 +32,10 @@ from scoreloom.operators.kernels import stream_fold
 from scoreloom.operators.measures import flatten
 from scoreloom.operators.propagate import neighbour_deltas, score_with_neighbours
 from scoreloom.operators.rules import apply_rules
-from scoreloom.operators.scoring import (error_rows_to_zero, latest_state, processing_id, score_events,
-                                         with_profile)
+from scoreloom.operators.scoring import (error_rows_to_zero, latest_state, processing_id, rules_in_force, running_score,
+                                         running_score_with_decay, score_events, with_profile)
 from scoreloom.sources.wire import decode
+from scoreloom.streaming.cooldown import regrouped, with_accepted
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -149,7 +150,11 @@ class ScoreLog:
 
 @dataclass
 class ScoringJob:
-    """Scores each micro-batch with the batch operators and feeds the sinks."""
+    """Scores each micro-batch with the batch operators and feeds the sinks.
+
+    ``cooldown`` is how late an event may come, as a text like "10 minutes": it turns on the rules' limits per subject and period, which are
+    kept as stream state before the micro-batch is scored.
+    """
 
     spark: SparkSession
     profiles: DataFrame
@@ -159,6 +164,7 @@ class ScoringJob:
     config: ScoreConfig = ScoreConfig()
     sinks: dict[str, Sink] = field(default_factory=dict)
     chunks: int | None = None
+    cooldown: str | None = None
 
     def __post_init__(self) -> None:
         self.log = ScoreLog(self.spark, f"{self.path}/scores")
@@ -176,12 +182,17 @@ class ScoringJob:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         people = self.current_profiles(batch_id)
         if self.edges is None:
-            pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks)
+            if self.cooldown:
+                fold = running_score_with_decay if self.config.decay.enabled else running_score
+                done = fold(self.spark, self._scored(batch, people), self.config, ["ts", "event_id"], self.chunks)
+                pe = error_rows_to_zero(done).withColumn("processing_id", processing_id())
+            else:
+                pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks)
             changed = latest_state(pe, self.config).select("subject_id", "score", "last_score_at")
             fan_out(self.sinks)(pe, batch_id)
             self.log.write(changed, batch_id)
             return
-        scored = apply_rules(with_profile(batch, people, self.config), self.rules).persist(StorageLevel.MEMORY_AND_DISK)
+        scored = self._scored(batch, people).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             secondary = neighbour_deltas(scored, self.edges)
             every = score_with_neighbours(self.spark, scored, secondary, people, self.config, self.chunks)
@@ -193,7 +204,19 @@ class ScoringJob:
                    .agg(F.max_by("new_score", "scan_order").alias("score"), F.max("ts").alias("last_score_at")))
         self.log.write(changed, batch_id)
 
+    def _scored(self, batch: DataFrame, people: DataFrame) -> DataFrame:
+        """Events of a micro-batch with their change and the score they start from."""
+        if not self.cooldown:
+            return apply_rules(with_profile(batch, people, self.config), self.rules)
+        # The rules were applied in the stream, with the profiles' types; scores come from the log.
+        known = regrouped(batch).drop("subject_type", "opening_score", "processing_error", "last_score_at")
+        return with_profile(known, people, self.config)
+
     def start(self, events: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        if self.cooldown:
+            rules = rules_in_force(self.spark, self.rules, self.config)
+            scored = apply_rules(with_profile(events, self.profiles, self.config), rules)
+            events = with_accepted(self.spark, scored, rules, self.cooldown)
         return (events.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"availableNow": True})).start())
 

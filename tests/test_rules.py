@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scoreloom.model import ALL_RULES, CONFIG_COLUMNS, Condition, Multiplier, Rule, ScoreConfig
 from scoreloom.operators import measures, rules as R
 from scoreloom.operators.constraints import CONFIG_CONSTRAINTS, RULE_CONSTRAINTS, split_valid, violations
+from scoreloom.operators import cooldown
 from scoreloom.operators.cooldown import accept
 from scoreloom.operators.propagate import neighbour_deltas
 from scoreloom.operators.scoring import latest_state, onboard, score_events
@@ -161,15 +162,8 @@ def test_payload_split_counts_bytes(spark):
     assert row.field_kinds["payload_n"] == "number" and row.field_kinds["payload_z"] == "null"
 
 
-def test_cooldown_against_brute_force(spark):
-    rng = random.Random(11)
-    rows = [("s%d" % rng.randint(0, 3), "r%d" % rng.randint(0, 1), T0 + dt.timedelta(milliseconds=rng.randint(0, 400_000)), i)
-            for i in range(1500)]
-    limits = {"r0": (20, 3), "r1": (1, 1)}
-    df = spark.createDataFrame([(s, r, t, i, 0, 1.0, *limits[r]) for s, r, t, i in rows],
-                               "subject_id string, rule_id string, ts timestamp, event_id int, rule_pos int, "
-                               "rule_points double, cooldown_seconds long, max_in_period int")
-    got = {r.event_id for r in accept(df).collect()}
+def brute_cooldown(rows, limits):
+    """Accepted event ids of (subject, rule, ts, event_id), by walking each pair."""
     want, by = set(), defaultdict(list)
     for s, r, t, i in rows:
         by[s, r].append((t, i))
@@ -182,7 +176,55 @@ def test_cooldown_against_brute_force(spark):
             if used < most:
                 used += 1
                 want.add(i)
-    assert got == want
+    return want
+
+
+def firings(spark, rows, limits):
+    return spark.createDataFrame([(s, r, t, i, 0, 1.0, *limits[r]) for s, r, t, i in rows],
+                                 "subject_id string, rule_id string, ts timestamp, event_id int, rule_pos int, "
+                                 "rule_points double, cooldown_seconds long, max_in_period int")
+
+
+@pytest.mark.parametrize("chunks", [None, 1, 13])
+def test_cooldown_against_brute_force(spark, chunks):
+    rng = random.Random(11)
+    rows = [("s%d" % rng.randint(0, 3), "r%d" % rng.randint(0, 1), T0 + dt.timedelta(milliseconds=rng.randint(0, 400_000)), i)
+            for i in range(1500)]
+    limits = {"r0": (20, 3), "r1": (1, 1)}
+    assert {r.event_id for r in accept(firings(spark, rows, limits), chunks).collect()} == brute_cooldown(rows, limits)
+
+
+@pytest.mark.parametrize("length, most", [(30, 1), (7, 4), (900, 50), (5000, 2000)])
+def test_cooldown_of_one_pair_without_gaps(spark, length, most):
+    """95 in 100 firings on one pair, a firing a second or so, broadcasts off: periods shorter and longer than a chunk."""
+    rng = random.Random(length)
+    rows = [("hot" if rng.random() < 0.95 else f"s{i % 9}", "r0", T0 + dt.timedelta(seconds=i, milliseconds=rng.randint(0, 900)), i)
+            for i in range(4000)]
+    limits = {"r0": (length, most)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r.event_id for r in accept(firings(spark, rows, limits), 16).collect()} == brute_cooldown(rows, limits)
+        walked = []
+        keep = cooldown._resumed
+
+        def watch(df):
+            walked.append(df)
+            return keep(df)
+
+        cooldown._resumed = watch
+        try:
+            accept(firings(spark, rows, limits), 16)
+        finally:
+            cooldown._resumed = keep
+        sizes = [r["count"] for r in walked[0].groupBy("chunk").count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cooldown_without_rows(spark):
+    assert accept(firings(spark, [], {})).count() == 0
 
 
 EVENTS = ("event_id int, subject_id string, ts timestamp, event_type string, event_subtype string, confidence double, "

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from scoreloom.model import ALL_RULES, Decay, ScoreConfig
 from scoreloom.operators.propagate import neighbour_deltas, score_with_neighbours
 from scoreloom.operators.scoring import score_events
 from scoreloom.sources import settings, star, wire
-from scoreloom.streaming import jobs
+from scoreloom.streaming import cooldown, jobs
 
 T0 = dt.datetime(2024, 1, 1)
 KINDS = (("financial", "payment_completed", {"amount": 5.0}), ("financial", "payment_failed", {"amount": 1.0}),
@@ -186,3 +187,52 @@ def test_decay_runs_on_between_batches(spark, tmp_path):
         for i in range(2):
             job.process(events.where(f"event_id = {i}"), i)
         assert job.final_profiles().first().score == want.new_score
+
+
+def cooled_rules():
+    return [replace(r, cooldown_seconds=3600, max_in_period=2) if r.rule_id == "financial_positive" else r for r in ALL_RULES]
+
+
+def test_cooldown_over_batches_and_restarts(spark, tmp_path, people):
+    """Four runs of a scoring job with limits give the scores of one batch, and state of ended periods goes."""
+    folder, check = tmp_path / "in", str(tmp_path / "c")
+    rules = cooled_rules()
+    job = jobs.ScoringJob(spark, people, rules, str(tmp_path / "job"), sinks={"points": jobs.replace_batch(str(tmp_path / "points"))},
+                          cooldown="10 minutes")
+    states = []
+    for n in range(4):
+        put(folder, f"{n}.json", [line(i, minutes=i / 2) for i in range(n * 40, n * 40 + 40)])
+        events = jobs.events_from_lines(wire.stream_lines(spark, str(folder))).withColumn("processed_at", F.col("ts"))
+        query = job.start(events, check)
+        query.awaitTermination()
+        states.append(max(int(s["numRowsTotal"]) for p in query.recentProgress for s in p["stateOperators"]))
+    put(tmp_path / "all", "x.json", [line(i, minutes=i / 2) for i in range(160)])
+    good, _ = wire.decode(wire.read_lines(spark, str(tmp_path / "all")))
+    from scoreloom.operators.measures import flatten
+    want = score_events(spark, flatten(good).withColumn("processed_at", F.col("ts")), people, rules, cooldown=True)
+    free = score_events(spark, flatten(good).withColumn("processed_at", F.col("ts")), people, rules)
+    rows = lambda df: sorted((r.event_id, r.score_change, r.previous_score, r.new_score, *r.applied_rules) for r in df.collect())
+    assert rows(spark.read.parquet(str(tmp_path / "points"))) == rows(want) != rows(free)
+    assert len(set(states)) == 1  # a period and its timer for each pair, not for each period there was
+
+
+def test_cooldown_state_ends_with_its_period(spark, tmp_path, people):
+    folder, check = tmp_path / "in", str(tmp_path / "c")
+    seen, states = {}, []
+
+    def run(name, lines):
+        put(folder, name, lines)
+        events = jobs.events_from_lines(wire.stream_lines(spark, str(folder)))
+        scored = jobs.apply_rules(jobs.with_profile(events, people), cooled_rules())
+        out = cooldown.accepted_stream(spark, scored, cooled_rules(), "1 minute")
+        query = (out.writeStream.foreachBatch(lambda df, _: seen.setdefault(name, set()).update(r.event_id for r in df.collect()))
+                 .option("checkpointLocation", check).trigger(availableNow=True).start())
+        query.awaitTermination()
+        states.append(int(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]))
+
+    run("a", [line(0, minutes=0), line(5, minutes=1), line(10, minutes=2, subject_id="s0"), line(15, minutes=3, subject_id="s0"),
+              line(20, minutes=4, subject_id="s0")])
+    run("b", [line(30, minutes=500)])
+    run("c", [line(35, minutes=501, subject_id="s0"), line(40, minutes=502, subject_id="s0")])
+    assert seen["a"] == {"e0000", "e0005", "e0010"} and seen["b"] == {"e0030"} and seen["c"] == {"e0035"}
+    assert states[0] == 2 * states[-1]  # of two pairs one has ended
