@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.bands import config_tier
 from scoreloom.model import ScoreConfig
-from scoreloom.session import shared_dir
+from scoreloom.operators.scan import ordered_sums
+from scoreloom.session import new_table_path, shared_dir
 
 LOW_TIERS = ("very_poor", "poor")
 
@@ -90,7 +91,7 @@ def network_density(edges: DataFrame) -> DataFrame:
 
 
 def reach(edges: DataFrame, hops: int, seeds: DataFrame | None = None) -> DataFrame:
-    """Subjects reached within ``hops`` steps, with the fewest steps needed.
+    """Subjects reached within ``hops`` steps, with the fewest steps needed (N5), as pairs; for counts alone see :func:`reach_counts`.
 
     ``seeds`` is an optional one-column table of starting subjects. Each round joins only the newest frontier,
     drops pairs already seen, and cuts the lineage with a reliable checkpoint before the next round.
@@ -112,6 +113,52 @@ def reach(edges: DataFrame, hops: int, seeds: DataFrame | None = None) -> DataFr
     return found
 
 
+def reach_counts(edges: DataFrame, hops: int, seeds: DataFrame | None = None) -> DataFrame:
+    """How many others each subject reaches in exactly 1, 2, ... ``hops`` steps at least (N5): src, hops, reached.
+
+    Reached subjects are bits: subjects are numbered, and a row holds 64 of them as one word per (subject, block of numbers). What a
+    subject reaches in one step more is the union of what its neighbours reach, so a round joins links with words and unites them by
+    ``bit_or``, which combines before its shuffle: rows grow with links x blocks, and no pair is ever listed. With ``seeds`` (one
+    column) each round holds only the subjects whose words a later round still needs.
+    """
+    spark = edges.sparkSession
+    step = _kept(edges.filter("src <> dst").select("src", "dst").distinct(), "reach-links")
+    nodes = step.select("src").union(step.select("dst")).distinct().select(
+        F.col("src").alias("node"), F.lit(0).alias("all"), F.lit(1).cast("bigint").alias("one"))
+    numbers = ordered_sums(spark, nodes, ["all"], ["node"], ["one"]).select("node", F.col("before_one").alias("number"))
+    own = numbers.select("node", F.expr("number div 64").alias("block"), F.expr("shiftleft(1L, cast(number % 64 as int))").alias("word"))
+    own = _kept(own, "reach-numbers")
+    needed: list[DataFrame | None] = [None] * hops
+    if seeds is not None:
+        needed[-1] = seeds.select(F.col(seeds.columns[0]).alias("src")).distinct()
+        for h in range(hops - 2, -1, -1):
+            onward = step.join(needed[h + 1], "src", "left_semi").select(F.col("dst").alias("src"))
+            needed[h] = _kept(needed[h + 1].union(onward).distinct(), "reach-needed")
+    words, counts = None, None
+    for h in range(hops):
+        links = step if needed[h] is None else step.join(needed[h], "src", "left_semi")
+        # A subject's own bit and what it had before stay in, so a word only grows.
+        ends = own.withColumnRenamed("node", "dst") if words is None else words.select(F.col("src").alias("dst"), "block", "word")
+        met = links.join(ends, "dst").select("src", "block", "word")
+        mine = own.withColumnRenamed("node", "src") if words is None else words.select("src", "block", "word")
+        if needed[h] is not None:
+            mine = mine.join(needed[h], "src", "left_semi")
+        both = met.withColumn("old", F.lit(0).cast("bigint")).unionByName(mine.withColumn("old", F.col("word")))
+        words = _kept(both.groupBy("src", "block").agg(F.bit_or("word").alias("word"), F.bit_or("old").alias("old")), "reach-words")
+        new = F.bit_count(F.col("word").bitwiseAND(F.bitwise_not("old")))
+        found = words.groupBy("src").agg(F.sum(new).alias("reached")).select("src", F.lit(h + 1).alias("hops"), "reached")
+        if needed[-1] is not None:
+            found = found.join(needed[-1], "src", "left_semi")
+        counts = found if counts is None else counts.unionByName(found)
+    return counts.filter("reached > 0")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def association_risk(edges: DataFrame, scores: DataFrame) -> DataFrame:
     """Strength-weighted mean risk of a subject's neighbours, risk = (1000 - score) / 1000."""
     rows = edges.join(scores.select(F.col("subject_id").alias("dst"), F.col("score").alias("dst_score")), "dst")

@@ -279,6 +279,164 @@ def next_openers():
     return run
 
 
+class DecayMap:
+    """A monotone piecewise-linear map of scores on [low, high], with pieces of slope 0 and 1, as its break points.
+
+    Each decay makes one more flat piece at least as long as the points it takes, so there are at most about range / points pieces.
+    """
+
+    def __init__(self, low: float, high: float):
+        self.x, self.y = np.array([low, high]), np.array([low, high])
+
+    def _cut(self, value: float) -> None:
+        at = int(np.searchsorted(self.y, value))
+        if 0 < at < len(self.y) and self.y[at - 1] < value < self.y[at]:
+            self.x = np.insert(self.x, at, self.x[at - 1] + value - self.y[at - 1])
+            self.y = np.insert(self.y, at, value)
+
+    def decay(self, lost: float, floor: float) -> None:
+        self._cut(floor)
+        self._cut(floor + lost)
+        self.y = np.where(self.y <= floor, self.y, np.maximum(self.y - lost, floor))
+        self._tidy()
+
+    def step(self, add: float, low: float, high: float) -> None:
+        self._cut(low - add)
+        self._cut(high - add)
+        self.y = np.minimum(np.maximum(self.y + add, low), high)
+        self._tidy()
+
+    def _tidy(self) -> None:
+        inner = (self.y[:-2] == self.y[1:-1]) & (self.y[1:-1] == self.y[2:])
+        keep = np.append(np.append(True, ~inner), True)
+        self.x, self.y = self.x[keep], self.y[keep]
+
+
+class DecayWalk:
+    """One key's bounded score along its events, with points lost per whole day above a floor."""
+
+    def __init__(self, low: float, high: float, points: float, floor: float):
+        self.low, self.high, self.points, self.floor = low, high, points, floor
+
+    def opened(self, score: float, idle: int) -> float:
+        if idle <= 0 or score <= self.floor:
+            return score
+        return max(score - self.points * idle, self.floor)
+
+    def walk(self, score: float, day: int | None, days: list[int], changes: list[float]) -> tuple[list[float], float]:
+        """Scores before each event, and the last one after it."""
+        before = []
+        for d, change in zip(days, changes):
+            if day is not None and d != day:
+                score = self.opened(score, d - day)
+            day = d
+            before.append(score)
+            score = min(max(score + change, self.low), self.high)
+        return before, score
+
+    def extend(self, so_far: DecayMap, day: int | None, days: np.ndarray, changes: list[float]) -> None:
+        """Put more events of a key behind a map: a decay and one bounded step per day."""
+        cuts = np.append(np.flatnonzero(np.append(True, days[1:] != days[:-1])), len(days)).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            d = int(days[a])
+            if day is not None and d > day:
+                so_far.decay(self.points * (d - day), self.floor)
+            day = d
+            add, low, high = 0.0, -float("inf"), float("inf")
+            for change in changes[a:b]:
+                add, low, high = (add + change, min(max(low + change, self.low), self.high), min(max(high + change, self.low), self.high))
+            so_far.step(add, low, high)
+
+
+_EDGE = ("edge_map_x", "edge_map_y", "edge_score", "edge_first", "edge_last", "edge_whole")
+
+
+def decay_kernel(key: str, walker: DecayWalk):
+    """Events of one sorted partition -> same rows with ``before`` (the score they meet, if the partition's first key starts in it),
+    ``chunk_pos`` and ``head`` (row of the first key). One or two rows more tell what the partition's first and last key lead to: the
+    first key's map, the last score and the first and last day."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, score, day, first_day, offset, head, schema = None, 0.0, None, None, 0, True, None
+        so_far, first_edge = DecayMap(walker.low, walker.high), None
+        for batch in batches:
+            size = batch.num_rows
+            if size == 0:
+                continue
+            schema = batch.schema
+            keys = batch.column(key)
+            bounds = np.append(np.flatnonzero(_run_starts(batch, [key])), size).tolist()
+            days = batch.column("day").to_numpy(zero_copy_only=False)
+            changes = batch.column("score_change").to_pylist()
+            before, heads = [], np.zeros(size, bool)
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                own = keys[a].as_py()
+                if (offset == 0 and a == 0) or own != name:
+                    if offset or a:
+                        if head:
+                            first_edge = (name, so_far, score, first_day, day, False)
+                        head = False
+                    name, score, day = own, batch.column("opening_score")[a].as_py(), batch.column("since")[a].as_py()
+                    first_day = int(days[a])
+                    known = None
+                else:
+                    known = day
+                if head:
+                    walker.extend(so_far, known, days[a:b], changes[a:b])
+                    heads[a:b] = True
+                part, score = walker.walk(score, day, days[a:b].tolist(), changes[a:b])
+                before += part
+                day = int(days[b - 1])
+            none = [pa.nulls(size, t) for t in (pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.int32(), pa.int32(),
+                                                pa.bool_())]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(before, pa.float64()), pa.array(np.arange(offset, offset + size)), pa.array(heads), *none],
+                names=[*schema.names, "before", "chunk_pos", "head", *_EDGE])
+            offset += size
+        if schema is None:
+            return
+        last_edge = (name, so_far if head else None, score, first_day, day, head)
+        edges = [e for e in (first_edge, last_edge) if e]
+        n = len(edges)
+        own = {key: pa.array([e[0] for e in edges], schema.field(key).type), "chunk": batch.column("chunk").slice(0, 1)}
+        if n == 2:
+            own["chunk"] = pa.concat_arrays([own["chunk"], own["chunk"]])
+        columns = [own.get(f.name, pa.nulls(n, f.type)) for f in schema]
+        columns += [pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_())]
+        columns += [pa.array([e[1].x.tolist() if e[1] else None for e in edges], pa.list_(pa.float64())),
+                    pa.array([e[1].y.tolist() if e[1] else None for e in edges], pa.list_(pa.float64())),
+                    pa.array([e[2] for e in edges], pa.float64()), pa.array([e[3] for e in edges], pa.int32()),
+                    pa.array([e[4] for e in edges], pa.int32()), pa.array([e[5] for e in edges], pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*schema.names, "before", "chunk_pos", "head", *_EDGE])
+
+    return run
+
+
+def resumed_decay_kernel(walker: DecayWalk):
+    """First keys of partitions, by chunk and in order -> same rows with ``before`` from the score and day their chunk is entered with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, score, day = None, 0.0, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            chunks = batch.column("chunk").to_numpy()
+            days, changes = batch.column("day").to_pylist(), batch.column("score_change").to_pylist()
+            bounds = np.append(np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1])), len(chunks)).tolist()
+            before = []
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                if chunks[a] != chunk:
+                    chunk, score, day = chunks[a], batch.column("carried_score")[a].as_py(), batch.column("carried_day")[a].as_py()
+                part, score = walker.walk(score, day, days[a:b], changes[a:b])
+                before += part
+                day = days[b - 1]
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(before, pa.float64()) if n == "before" else c for n, c in zip(names, batch.columns)], names=names)
+
+    return run
+
+
 def stream_fold(low: float, high: float, baseline: float, grid: float):
     """State function of the streaming score: one subject's new changes, in time order, onto its stored score."""
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scoreloom.functions.bands import closed_tier, config_tier
 from scoreloom.functions.numeric import clamp, on_grid
@@ -14,7 +16,9 @@ from scoreloom.model import Rule, ScoreConfig
 from scoreloom.operators.cooldown import accept, accepted_rules
 from scoreloom.operators.rules import (active_list, active_rules, apply_rule_table, apply_rules, fired_rows,
                                        select_rule_rows, select_rules, sum_points)
-from scoreloom.operators.scan import PREFIX, apply_step, clamped_scan
+from scoreloom.operators.kernels import DecayWalk, decay_kernel, resumed_decay_kernel
+from scoreloom.operators.scan import PREFIX, apply_step, clamped_scan, scan_order
+from scoreloom.session import new_table_path
 
 MISSING_PROFILE = "subject profile not found"
 
@@ -77,44 +81,64 @@ def running_score(spark: SparkSession, deltas: DataFrame, config: ScoreConfig, o
 
 def running_score_with_decay(spark: SparkSession, deltas: DataFrame, config: ScoreConfig, order: Sequence[str],
                              chunks: int | None = None, prepare: Prepare | None = None) -> DataFrame:
-    """As :func:`running_score`, with points lost per whole day above the decay floor.
+    """As :func:`running_score`, with points lost per whole day above the decay floor (T5).
 
-    Decay happens between days only, so inside a day steps compose as before. Each (subject, day) becomes one
-    step; a subject's days, whose number is bounded by the length of the archive, are then folded in order.
+    Rows are range-partitioned by subject and time and walked once. A subject that goes on in the next chunk enters it with a score that
+    the chunk does not know, so a chunk also gives its first subject's map of scores: monotone, piecewise linear, a few hundred pieces at
+    most. The maps of a subject's chunks are applied one after another, and the first subjects of such chunks are walked anew from the
+    score they really enter with. Each row is touched at most twice, at any length of history.
     """
     policy = config.decay
-    scanned = clamped_scan(spark, deltas.withColumn("day", F.to_date("ts")), ["subject_id", "day"], order, _STEP,
-                           chunks, _with_bounds(config, prepare))
-    prefix = tuple(F.col(c) for c in PREFIX)
-    add, low, high = (prefix[0] + F.col("score_change"),
-                      clamp(prefix[1] + F.col("score_change"), config.low, config.high),
-                      clamp(prefix[2] + F.col("score_change"), config.low, config.high))
-    last = F.max_by(F.struct(add.alias("a"), low.alias("l"), high.alias("h")), F.struct(*order))
-    since = F.to_date(F.max("last_score_at")) if "last_score_at" in scanned.columns else F.lit(None).cast("date")
-    days = scanned.groupBy("subject_id", "day").agg(last.alias("s"), F.first("opening_score").alias("opening"),
-                                                    since.alias("since"))
-
-    def one_day(state: Column, d: Column) -> Column:
-        idle = F.coalesce(F.datediff(d["day"], state["day"]), F.lit(0))
-        lost = F.greatest(state["score"] - F.lit(policy.points_per_day) * idle, F.lit(policy.floor))
-        opened = F.when(state["score"] <= policy.floor, state["score"]).otherwise(lost)
-        closed = clamp(opened + d["s"]["a"], d["s"]["l"], d["s"]["h"])
-        return F.struct(d["day"].alias("day"), closed.alias("score"),
-                        F.concat(state["opened"], F.array(F.struct(d["day"].alias("day"), opened.alias("score"))))
-                        .alias("opened"))
-
-    none = F.array().cast("array<struct<day:date,score:double>>")
-    start = F.struct(F.col("since").alias("day"), F.col("opening").alias("score"), none.alias("opened"))
-    per_subject = (days.groupBy("subject_id")
-                   .agg(F.array_sort(F.collect_list(F.struct("day", "s"))).alias("days"),
-                        F.first("opening").alias("opening"), F.max("since").alias("since"))
-                   .select("subject_id", F.explode(F.aggregate("days", start, one_day)["opened"]).alias("o"))
-                   .select("subject_id", F.col("o.day").alias("day"), F.col("o.score").alias("day_opening")))
-    rows = scanned.join(per_subject, ["subject_id", "day"])
-    before = apply_step(F.col("day_opening"), prefix)
+    walker = DecayWalk(config.low, config.high, policy.points_per_day, policy.floor)
+    by = ["subject_id", *order]
+    spread = deltas.repartitionByRange(chunks, *by) if chunks else deltas.repartitionByRange(*by)
+    rows = spread.sortWithinPartitions(*by).withColumn("chunk", F.spark_partition_id())
+    rows = prepare(rows) if prepare else rows
+    since = F.unix_date(F.to_date("last_score_at")) if "last_score_at" in rows.columns else F.lit(None).cast("int")
+    rows = rows.withColumns({"day": F.unix_date(F.to_date("ts")), "since": since})
+    fields = [T.StructField(f.name, f.dataType) for f in rows.schema.fields]  # all may be null in the rows on chunks
+    fields += T._parse_datatype_string("before double, chunk_pos bigint, head boolean, edge_map_x array<double>, edge_map_y array<double>, "
+                                       "edge_score double, edge_first int, edge_last int, edge_whole boolean").fields
+    staged = rows.mapInArrow(decay_kernel("subject_id", walker), T.StructType(fields))
+    path = new_table_path(spark, "decay-rows")
+    staged.write.parquet(path)
+    staged = spark.read.schema(staged.schema).parquet(path)
+    walked = _resume_decay(staged, walker)
+    before = F.col("before")
     after = clamp(before + F.col("score_change"), config.low, config.high)
-    return (rows.withColumn("new_score", on_grid(after)).withColumn("previous_score", on_grid(before))
-            .drop("step_low", "step_high", "day_opening", "day", "last_score_at", *PREFIX))
+    inner = ("before", "head", "day", "since", "chunk", "chunk_pos", "last_score_at", *[c for c in staged.columns if c.startswith("edge_")])
+    return (walked.withColumns({"new_score": on_grid(after), "previous_score": on_grid(before), "scan_order": scan_order()}).drop(*inner))
+
+
+def _resume_decay(staged: DataFrame, walker: DecayWalk) -> DataFrame:
+    """Rows of :func:`running_score_with_decay` with the right score before each, also where a subject's history began in an earlier chunk."""
+    spark = staged.sparkSession
+    rows = staged.filter("edge_score is null")
+    # Two rows per chunk at most, so this is bounded by the number of partitions.
+    edges = (staged.filter("edge_score is not null").select("subject_id", "chunk", *[c for c in staged.columns if c.startswith("edge_")])
+             .collect())
+    firsts = {r["chunk"]: r for r in edges if r["edge_map_x"] is not None}
+    lasts = {r["chunk"]: r for r in edges if r["edge_map_x"] is None or r["edge_whole"]}
+    carried, entered = [], {}
+    chunks = sorted(firsts)
+    for before, chunk in zip(chunks, chunks[1:]):
+        last, first = lasts[before], firsts[chunk]
+        if last["subject_id"] != first["subject_id"]:
+            continue
+        score = last["edge_score"]
+        if last["edge_whole"] and before in entered:
+            score = float(np.interp(entered[before], last["edge_map_x"], last["edge_map_y"]))
+        carried.append((chunk, score, last["edge_last"]))
+        entered[chunk] = walker.opened(score, first["edge_first"] - last["edge_last"])
+    if not carried:
+        return rows
+    states = F.broadcast(spark.createDataFrame(carried, "chunk int, carried_score double, carried_day int"))
+    joined = rows.join(states, "chunk", "left")
+    again = F.col("carried_day").isNotNull() & F.col("head")
+    anew = joined.filter(again)
+    anew = (anew.repartitionById(1 + max(c[0] for c in carried), F.col("chunk")).sortWithinPartitions("chunk", "chunk_pos")
+            .mapInArrow(resumed_decay_kernel(walker), anew.schema))
+    return joined.filter(~again).unionByName(anew).drop("carried_score", "carried_day")
 
 
 def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, rules: Sequence[Rule] | DataFrame,

@@ -298,7 +298,18 @@ walk(src, node, h) AS (SELECT src, dst, 1 FROM st UNION SELECT w.src, s.dst, w.h
 SELECT src, hops, count(*) AS reached FROM (SELECT src, node, min(h) AS hops FROM walk WHERE src <> node GROUP BY src, node)
 GROUP BY src, hops""").replace(")\n, st", "),\nst"))
 def _(spark, d):
-    return G.reach(edges(spark, d), 3).groupBy("src", "hops").agg(F.count("*").alias("reached"))
+    return G.reach_counts(edges(spark, d), 3)
+
+
+@query("n05_reach_of_seeds", sql("edge", """, st AS MATERIALIZED (SELECT DISTINCT src, dst FROM edge),
+walk(src, node, h) AS (SELECT src, dst, 1 FROM st WHERE src % 10 = 3 UNION SELECT w.src, s.dst, w.h + 1 FROM walk w JOIN st s ON s.src = w.node
+  WHERE w.h < 3)
+SELECT src, hops, count(*) AS reached FROM (SELECT src, node, min(h) AS hops FROM walk WHERE src <> node GROUP BY src, node)
+GROUP BY src, hops""").replace(")\n, st", "),\nst"))
+def _(spark, d):
+    """Reach of every tenth subject as seeds, as counts."""
+    links = edges(spark, d)
+    return G.reach_counts(links, 3, links.select("src").filter("src % 10 = 3"))
 
 
 @query("n06_association_risk", sql(("latest", "edge"), "").rstrip() + ",\n" + _ASSOC + f"""
