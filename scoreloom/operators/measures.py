@@ -46,7 +46,7 @@ def payload_entries() -> Column:
 def split_payload(df: DataFrame) -> DataFrame:
     """Short strings to ``tags`` (``p_key``), everything else to ``fields`` (``payload_key``) (B2).
 
-    Nested values become JSON text. Field values are text; their kind is kept in ``field_kinds``.
+    Nested values and null become JSON text. Field values are text; their kind is kept in ``field_kinds``.
     """
     with_entries = df.withColumn("entries", payload_entries())
     tags = F.filter("entries", lambda e: e["kind"] == "tag")
@@ -54,7 +54,7 @@ def split_payload(df: DataFrame) -> DataFrame:
 
     def field_text(e: Column) -> Column:
         return pick((e["kind"] == "bool", e["flag"].cast("string")), (e["kind"] == "number", e["number"].cast("string")),
-                    default=e["text"])
+                    (e["kind"] == "null", F.lit("null")), default=e["text"])
 
     return with_entries.withColumns({
         "tags": F.map_from_entries(F.transform(tags, lambda e: F.struct(

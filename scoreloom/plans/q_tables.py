@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from scoreloom.functions.numeric import on_grid
 from scoreloom.model import ALL_RULES, Condition, Multiplier, Rule, ScoreConfig
 from scoreloom.operators import archive as A
+from scoreloom.operators import measures as M
 from scoreloom.operators import rules as Ru
 from scoreloom.operators.constraints import Constraint, split_valid, violations
 from scoreloom.operators.scoring import latest_state, onboard, with_profile
 from scoreloom.plans.registry import query
 from scoreloom.plans.sqlbase import dstr, fired_sql, r6, rule_points, sql, tier5, tstr
-from scoreloom.plans.tables import events, processed, profiles
-from scoreloom.sources import layouts
+from scoreloom.plans.tables import archive, events, processed, profiles
+from scoreloom.session import new_table_path
+from scoreloom.sources import layouts, wire
 
 WILD = Rule("any_unsure", "*", -1.0, 1.0, (Condition("event_subtype", "CONTAINS", "tion"),))
 WITH_WILD = (*ALL_RULES, WILD)
@@ -292,15 +294,94 @@ def _(spark, d):
 @query("a09_archive", sql("pe", f"""SELECT subject_id, {tstr('ts')} AS ts, event_id, event_type, city, region, country,
   score_change, new_score, previous_score, applied_rules, {dstr('ts::DATE')} AS date FROM pe"""))
 def _(spark, d):
-    """Every processed event arrives twice; the same key overwrites."""
-    pe = processed(spark, d)
-    again = pe.withColumns({"processed_at": F.col("processed_at") - F.expr("INTERVAL 1 SECOND"),
-                            "new_score": F.lit(-1.0)})
-    return A.archive_rows(pe.unionByName(again)).select(
+    """Every processed event is written twice, in two batches; the same key overwrites. Read back from the files."""
+    return archive(spark, d).select(
         "subject_id", "ts", "event_id", "event_type", "city", "region", "country", "score_change", "new_score",
         "previous_score", "applied_rules", "date")
 
 
+_DAYS = "date_trunc('day', ts)"
+
+
+def _backup(spark, d):
+    """Events as backups by type and day, one file for each."""
+    ev = events(spark, d).select("event_id", "subject_id", "event_type", "ts", "confidence")
+    root = new_table_path(spark, "backups")
+    rows = A.backup_rows(ev, "processed_events", "job", "periodic_backup", F.date_trunc("day", "ts"))
+    rows = rows.withColumn("data_type", F.concat(F.lit("type_"), F.from_json("data", ev.schema)["event_type"]))
+    A.write_backup(rows.repartition("data_type", "year", "month", "day", "hour"), root)
+    return root, ev.schema
+
+
+@query("a12_a15_backup_round_trip", sql("ev", f"""SELECT event_id, subject_id, event_type, {tstr('ts')} AS ts, {r6('confidence')} AS confidence FROM ev"""))
+def _(spark, d):
+    """All backups of all types written as JSON, and restored."""
+    root, schema = _backup(spark, d)
+    return A.restore_backup(spark, root, schema).withColumn("confidence", on_grid(F.col("confidence")))
+
+
+@query("a14_l03_listing", sql("ev", f"""SELECT strftime({_DAYS}, 'year=%Y/month=%m/day=%d/hour=%H') AS folder FROM ev
+WHERE event_type = 'social' GROUP BY 1 ORDER BY 1 LIMIT 25"""))
+def _(spark, d):
+    """The first 25 backup files of a type, in order."""
+    listed = A.list_backups(spark, _backup(spark, d)[0], "type_social", 25)
+    return listed.select(F.regexp_extract("path", "year=.*hour=[0-9]+", 0).alias("folder"))
+
+
+@query("a17_backup_counts", sql("ev", f"""SELECT 'type_' || event_type AS data_type, count(DISTINCT {_DAYS}) AS files, count(*) AS rows
+FROM ev GROUP BY 1"""))
+def _(spark, d):
+    return A.backup_counts(spark, _backup(spark, d)[0])
+
+
+def _lines(spark, d):
+    """Events as lines of wire text in several files; each seventh line is cut, each eleventh is no JSON at all."""
+    ev = events(spark, d, payload=True)
+    doc = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("event_id"), F.col("subject_id").cast("string").alias("subject_id"), "event_type",
+        "event_subtype", "source_system", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.struct("city", "region", "country", "latitude", "longitude").alias("location"), "confidence", "version", "event_name"))
+    n = F.col("event_id")
+    value = F.when(n % 7 == 0, F.substring(doc, 1, 40)).when(n % 11 == 0, F.concat(F.lit("event "), n.cast("string"))).otherwise(doc)
+    path = new_table_path(spark, "lines")
+    ev.select(value.alias("value")).repartition(3).write.text(path)
+    return wire.read_lines(spark, path)
+
+
+@query("a02_decoded", sql("ev", f"""SELECT event_id::VARCHAR AS event_id, subject_id::VARCHAR AS subject_id, event_type, city,
+  {tstr('ts')} AS timestamp FROM ev WHERE event_id % 7 <> 0 AND event_id % 11 <> 0"""))
+def _(spark, d):
+    return wire.decode(_lines(spark, d))[0].select("event_id", "subject_id", "event_type", F.col("location.city").alias("city"), "timestamp")
+
+
+@query("a02_rejects", sql("ev", """SELECT CASE WHEN event_id % 7 = 0 THEN 'cut' ELSE 'event ' || event_id END AS value, count(*) AS n FROM ev
+WHERE event_id % 7 = 0 OR event_id % 11 = 0 GROUP BY 1"""))
+def _(spark, d):
+    bad = wire.decode(_lines(spark, d))[1]
+    return bad.groupBy(F.when(F.col("value").startswith("{"), "cut").otherwise(F.col("value")).alias("value")).agg(F.count("*").alias("n"))
+
+
+@query("a04_positions", sql("ev", """SELECT count(*) AS rows, count(*) FILTER (event_id % 50 = 0) AS missing,
+  count(*) FILTER (event_id % 70 = 0 AND event_id % 50 <> 0) AS repeated FROM ev"""))
+def _(spark, d):
+    """Events in several files; of what was taken from them some rows are lost and some came twice, and the report finds them."""
+    path = new_table_path(spark, "positions")
+    events(spark, d).select("event_id", "ts").repartition(5).write.parquet(path)
+    source = wire.with_positions(spark.read.parquet(path))
+    seen = source.filter("event_id % 50 <> 0")
+    report = wire.position_report(seen.unionAll(seen.filter("event_id % 70 = 0")), source)
+    return report.agg(*[F.sum(c).alias(c) for c in ("rows", "missing", "repeated")])
+
+
+@query("b02_payload_null", sql("ev", """SELECT event_id, 'null' AS field, 'null' AS kind FROM ev WHERE event_type = 'system'"""))
+def _(spark, d):
+    """A JSON null in the payload becomes a field with the text null."""
+    ev = events(spark, d, payload=True).filter("event_type = 'system'")
+    ev = ev.withColumn("payload", F.concat(F.lit('{"nothing":null,'), F.substr("payload", F.lit(2))))
+    return M.split_payload(ev).select("event_id", F.col("fields")["payload_nothing"].alias("field"),
+                                      F.col("field_kinds")["payload_nothing"].alias("kind"))
+
+
 @query("a13_backup_targets", sql("ev", """SELECT event_type, CASE event_type WHEN 'system' THEN 'stream-backups'
   WHEN 'social' THEN 'dgraph-backups' ELSE 'other' END AS target, count(*) AS n FROM ev GROUP BY 1, 2"""))
 def _(spark, d):
@@ -323,7 +404,7 @@ def _(spark, d):
 
 @query("a21_find_event", sql("pe", f"""SELECT event_id, subject_id, {tstr('ts')} AS ts FROM pe WHERE event_id = 777"""))
 def _(spark, d):
-    return A.find_event(processed(spark, d), 777).select("event_id", "subject_id", "ts")
+    return A.find_event(archive(spark, d), 777).select("event_id", "subject_id", "ts")
 
 
 @query("b09_layouts", sql("ev", f"""SELECT event_id::VARCHAR AS event_id, subject_id::VARCHAR AS subject_id, event_type,

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scoreloom.model import ALL_RULES, ScoreConfig
+from scoreloom.operators.archive import write_archive
 from scoreloom.operators.propagate import neighbour_deltas, score_with_neighbours
 from scoreloom.operators.scoring import score_events
+from scoreloom.session import new_table_path
 from scoreloom.sources import star
 
 CONFIG = ScoreConfig()
@@ -48,3 +51,15 @@ def processed_with_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
         return score_with_neighbours(spark, processed(spark, sf_dir), secondary, profiles(spark, sf_dir), CONFIG)
 
     return _once(spark, sf_dir, "with_neighbours", build)
+
+
+def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive as written: every processed event first with an older version and a wrong score, then as it is."""
+    def build() -> DataFrame:
+        path, pe = new_table_path(spark, "archive"), processed(spark, sf_dir)
+        older = pe.withColumns({"processed_at": F.col("processed_at") - F.expr("INTERVAL 1 SECOND"), "new_score": F.lit(-1.0)})
+        write_archive(spark, older.filter("event_id % 2 = 0"), path)
+        write_archive(spark, pe.unionByName(older.filter("event_id % 2 = 1")), path)
+        return spark.read.parquet(path)
+
+    return _once(spark, sf_dir, "archive", build)

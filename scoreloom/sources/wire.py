@@ -38,6 +38,25 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int
         F.col("timestamp").alias("source_time"))
 
 
+def with_positions(rows: DataFrame) -> DataFrame:
+    """Rows of a file source with a partition and an offset, as a topic has them: the file, and the row's number in it (A4)."""
+    return rows.withColumns({"source_partition": F.col("_metadata.file_path"), "source_offset": F.col("_metadata.row_index")})
+
+
+def position_report(seen: DataFrame, source: DataFrame) -> DataFrame:
+    """Per partition of ``source``: its rows, and how many of their positions ``seen`` lacks and has too often.
+
+    Both need source_partition and source_offset. Counts per position are made where the rows are and shuffled as one row each.
+    """
+    position = ["source_partition", "source_offset"]
+    both = source.select(*position, F.lit(1).alias("there"), F.lit(0).alias("here")).unionAll(
+        seen.select(*position, F.lit(0), F.lit(1)))
+    counts = both.groupBy(*position).agg(F.sum("there").alias("there"), F.sum("here").alias("here"))
+    return counts.groupBy("source_partition").agg(
+        F.sum("there").alias("rows"), F.count_if((F.col("there") > 0) & (F.col("here") == 0)).alias("missing"),
+        F.count_if(F.col("here") > 1).alias("repeated"), F.count_if(F.col("there") == 0).alias("unknown"))
+
+
 def decode(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Decoded events, and the lines that are not JSON of the event layout.
 

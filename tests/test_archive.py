@@ -35,6 +35,26 @@ def test_archive_overwrites_same_key_and_leaves_other_dates(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(subject_id,a)" in plan
 
 
+def test_event_lookup_skips_row_groups(spark, tmp_path):
+    """Small row groups without dictionaries: minima and maxima can't tell where an id is, bloom filters can."""
+    path = str(tmp_path / "archive")
+    pe = processed(spark, *[(f"s{i % 7}", i % 24, f"{i * 7919 % 100_003:06d}", 1.0) for i in range(20_000)]).coalesce(1)
+    small = {"parquet.block.size": "40000", "parquet.block.size.row.check.min": "100", "parquet.enable.dictionary#event_id": "false"}
+    A.write_archive(spark, pe, path, files=small)
+
+    def scanned(df):
+        rows = df.collect()
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return len(rows), scan.metrics().apply("numOutputRows").value()
+
+    stored = spark.read.parquet(path)
+    assert scanned(stored.select("event_id"))[1] == 20_000
+    found, read = scanned(A.find_event(stored, "007919"))
+    assert found == 1 and 0 < read < 4000
+    found, read = scanned(A.find_event(stored, "050000x"))
+    assert found == 0 and read < 2000
+
+
 def test_backups(spark, tmp_path):
     root = str(tmp_path / "backup")
     rows = spark.createDataFrame([(1, "x"), (2, "y")], "id int, name string").coalesce(1)
