@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -19,7 +20,7 @@ from scoreloom.plans.tables import CONFIG, edges, profiles
 from scoreloom.session import new_table_path
 from scoreloom.sources import star
 from scoreloom.streaming.cooldown import regrouped, with_accepted
-from scoreloom.streaming.jobs import (ScoringJob, hourly_activity_stream, replace_batch, running_score_stream)
+from scoreloom.streaming.jobs import (ProgressLog, ScoringJob, hourly_activity_stream, replace_batch, running_score_stream)
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
@@ -60,6 +61,58 @@ def _(spark, d):
     return spark.read.parquet(path).drop("batch")
 
 
+@query("a11_fan_out", sql("pe", """SELECT event_id, previous_score, new_score, sink FROM pe, (VALUES ('points'), ('second')) AS s(sink)"""))
+def _(spark, d):
+    """Two sinks that append; the second fails once, after the first has written. The repeated batch goes to the second one alone."""
+    path, check = new_table_path(spark, "stream-fan-out"), new_table_path(spark, "stream-check")
+    failed = []
+
+    def append(name: str):
+        def write(df: DataFrame, batch_id: int) -> None:
+            if name == "second" and batch_id == 1 and not failed:
+                failed.append(batch_id)
+                raise RuntimeError("sink is down")
+            df.select("event_id", "previous_score", "new_score", F.lit(name).alias("sink")).write.mode("append").parquet(path)
+
+        return write
+
+    job = ScoringJob(spark, profiles(spark, d), ALL_RULES, new_table_path(spark, "stream-job"), config=CONFIG,
+                     sinks={n: append(n) for n in ("points", "second")})
+
+    def start(events: DataFrame) -> StreamingQuery:
+        run = job.start(events, check)
+        try:
+            run.awaitTermination()
+        except StreamingQueryException:
+            run = job.start(events, check)
+        return run
+
+    _in_steps(spark, d, 3, start)
+    return spark.read.parquet(path)
+
+
+@query("a18_progress", sql("ev", """SELECT event_type, count(*) AS rows, 4 AS batches, (SELECT count(*) FROM ev) AS rows_in FROM ev GROUP BY 1"""))
+def _(spark, d):
+    """What a query reports on its micro-batches: rows read, and by ``observe`` the rows of each type."""
+    log = ProgressLog(spark, new_table_path(spark, "progress"))
+    check = new_table_path(spark, "stream-check")
+    kinds = [r[0] for r in star.events(spark, d).select("event_type").distinct().collect()]
+    spark.streams.addListener(log)
+    try:
+        _in_steps(spark, d, 4, lambda events: (
+            events.observe("kinds", *[F.count_if(F.col("event_type") == k).alias(k) for k in kinds]).writeStream.format("noop")
+            .option("checkpointLocation", check).trigger(availableNow=True).start()))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.rows().filter("rows_in > 0")
+    total = rows.agg(F.count("*").alias("batches"), F.sum("rows_in").alias("rows_in"))
+    seen = rows.select(F.explode("observed").alias("name", "n")).groupBy(F.substring_index("name", ".", -1).alias("event_type")).agg(
+        F.sum(F.col("n").cast("bigint")).alias("rows"))
+    both = seen.withColumn("all", F.lit(1)).join(total.withColumn("all", F.lit(1)), "all")  # one row on the right
+    return both.select("event_type", "rows", "batches", "rows_in")
+
+
 @query("s01_stream_scores", sql("pe", "SELECT event_id, subject_id, score_change, previous_score, new_score FROM pe"))
 def _(spark, d):
     """Running score in the state store."""

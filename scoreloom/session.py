@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _own_dirs: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -46,11 +50,40 @@ def shared_dir(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table; never reused, so retries cannot mix versions."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/scoreloom/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/scoreloom/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    scope = getattr(_scopes, "paths", None)
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread makes inside are removed at the end, when nothing reads them any more (a micro-batch's, for one)."""
+    before, _scopes.paths = getattr(_scopes, "paths", None), []
+    try:
+        yield
+    finally:
+        made, _scopes.paths = _scopes.paths, before
+        for path in made:
+            remove(spark, path)
+
+
+@contextmanager
+def lasting_tables() -> Iterator[None]:
+    """Inside, tables stay, also within :func:`scratch_tables`."""
+    before, _scopes.paths = getattr(_scopes, "paths", None), None
+    try:
+        yield
+    finally:
+        _scopes.paths = before
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_tables(spark: SparkSession) -> None:
     """Remove this application's intermediate tables. Call it when no result that reads them is needed any more."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/scoreloom/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{shared_dir(spark)}/scoreloom/{spark.sparkContext.applicationId}")

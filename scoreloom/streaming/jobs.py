@@ -13,6 +13,7 @@ time would ask for is scored on arrival; it is not put back in time.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -20,6 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -34,6 +36,7 @@ from scoreloom.operators.propagate import neighbour_deltas, score_with_neighbour
 from scoreloom.operators.rules import apply_rules
 from scoreloom.operators.scoring import (error_rows_to_zero, latest_state, processing_id, rules_in_force, running_score,
                                          running_score_with_decay, score_events, with_profile)
+from scoreloom.session import lasting_tables, remove, scratch_tables
 from scoreloom.sources.wire import decode
 from scoreloom.streaming.cooldown import regrouped, with_accepted
 
@@ -74,14 +77,47 @@ def hourly_activity_stream(events: DataFrame, late_by: str = "10 minutes", width
                     "unique_event_types", "confidence_sum"))
 
 
-def fan_out(sinks: Mapping[str, Sink]) -> Callable[[DataFrame, int], None]:
+@dataclass
+class SinkLedger:
+    """Which sinks have finished which micro-batch: an empty file each. A batch that is repeated after a crash goes only to the sinks it
+    had not finished, so a sink that appends is not written twice unless the crash fell between its write and the mark."""
+
+    spark: SparkSession
+    path: str
+
+    def _file(self, batch_id: int, sink: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={batch_id:010d}/{sink}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def finished(self, batch_id: int, sink: str) -> bool:
+        fs, path = self._file(batch_id, sink)
+        return fs.exists(path)
+
+    def mark(self, batch_id: int, sink: str) -> None:
+        fs, path = self._file(batch_id, sink)
+        fs.create(path, True).close()
+
+    def forget(self, before: int) -> None:
+        """Marks of batches that are committed and can't be repeated."""
+        fs, path = self._file(before - 1, "")
+        if before > 0:
+            fs.delete(path, True)
+
+
+def fan_out(sinks: Mapping[str, Sink], ledger: SinkLedger | None = None) -> Callable[[DataFrame, int], None]:
     """One micro-batch to several sinks: computed once, written n times. For ``foreachBatch``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        open_ = {name: sink for name, sink in sinks.items() if ledger is None or not ledger.finished(batch_id, name)}
+        if not open_:
+            return
         kept = batch.persist()
         try:
-            for sink in sinks.values():
-                sink(kept, batch_id)
+            for name, sink in open_.items():
+                with lasting_tables():
+                    sink(kept, batch_id)
+                if ledger:
+                    ledger.mark(batch_id, name)
         finally:
             kept.unpersist()
 
@@ -102,7 +138,8 @@ class ScoreLog:
     """Current scores as a base table plus one small table of changed subjects per micro-batch.
 
     A batch reads only versions before its own number and overwrites its own, so a repeated batch gives the same
-    result. Every ``compact_every`` batches the log is folded into a new base.
+    result. Every ``compact_every`` batches the log is folded into a new base, and versions that the base before it covers are removed: a
+    batch that is repeated reads the base before at most.
     """
 
     spark: SparkSession
@@ -128,8 +165,8 @@ class ScoreLog:
     def _path(self, kind: str, version: int) -> str:
         return f"{self.path}/{kind}/v={version:010d}"
 
-    def scores(self, before: int, id_type: str) -> DataFrame | None:
-        """Latest score per subject from all batches numbered below ``before``."""
+    def scores(self, before: int, id_type: str, subjects: DataFrame | None = None) -> DataFrame | None:
+        """Latest score per subject (of ``subjects``) from all batches numbered below ``before``."""
         bases = [v for v in self._versions("base") if v < before]
         start = bases[-1] if bases else -1
         parts = [self._path("base", start)] if bases else []
@@ -137,6 +174,8 @@ class ScoreLog:
         if not parts:
             return None
         rows = self.spark.read.schema(self._schema.format(id_type)).parquet(*parts)
+        if subjects is not None:
+            rows = rows.join(subjects, "subject_id", "left_semi")
         return (rows.groupBy("subject_id").agg(F.max_by(F.struct("score", "last_score_at", "version"), "version")
                                                .alias("s")).select("subject_id", "s.*"))
 
@@ -146,6 +185,11 @@ class ScoreLog:
         rows.write.mode("overwrite").parquet(self._path("change", version))
         if version and version % self.compact_every == 0:
             self.scores(version + 1, id_type).write.mode("overwrite").parquet(self._path("base", version))
+            for covered in self._versions("base")[-2:-1]:
+                for kind, last in (("base", covered - 1), ("change", covered)):
+                    for v in self._versions(kind):
+                        if v <= last:
+                            remove(self.spark, self._path(kind, v))
 
 
 @dataclass
@@ -168,19 +212,36 @@ class ScoringJob:
 
     def __post_init__(self) -> None:
         self.log = ScoreLog(self.spark, f"{self.path}/scores")
+        self.ledger = SinkLedger(self.spark, f"{self.path}/ledger")
 
-    def current_profiles(self, before: int) -> DataFrame:
+    def current_profiles(self, before: int, subjects: DataFrame | None = None) -> DataFrame:
+        """Profiles with the scores of all batches before; only those of ``subjects`` (subject_id) if given."""
         id_type = self.profiles.schema["subject_id"].dataType.simpleString()
-        scores = self.log.scores(before, id_type)
+        scores = self.log.scores(before, id_type, subjects)
+        people = self.profiles if subjects is None else self.profiles.join(subjects, "subject_id", "left_semi")
         if scores is None:
-            return self.profiles
+            return people
         new = scores.select("subject_id", F.col("score").alias("new_score"), F.col("last_score_at").alias("new_at"))
-        joined = self.profiles.join(new, "subject_id", "full_outer")
+        joined = people.join(new, "subject_id", "full_outer")
         at = F.coalesce("new_at", "last_score_at") if "last_score_at" in self.profiles.columns else F.col("new_at")
         return joined.withColumns({"score": F.coalesce("new_score", "score"), "last_score_at": at}).drop("new_score", "new_at")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        people = self.current_profiles(batch_id)
+        """One micro-batch: score it, feed the sinks, and write the changed scores. Its intermediate tables go at the end."""
+        with scratch_tables(self.spark):
+            self._process(batch, batch_id)
+        self.ledger.forget(batch_id)
+
+    def _touched(self, batch: DataFrame) -> DataFrame:
+        """Subjects of a batch, and those its changes can spread to."""
+        own = batch.filter("subject_id is not null").select("subject_id").distinct()
+        if self.edges is None:
+            return own
+        near = self.edges.join(own.withColumnRenamed("subject_id", "src"), "src", "left_semi").select(F.col("dst").alias("subject_id"))
+        return own.union(near).distinct()
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
+        people = self.current_profiles(batch_id, self._touched(batch))
         if self.edges is None:
             if self.cooldown:
                 fold = running_score_with_decay if self.config.decay.enabled else running_score
@@ -189,7 +250,7 @@ class ScoringJob:
             else:
                 pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks)
             changed = latest_state(pe, self.config).select("subject_id", "score", "last_score_at")
-            fan_out(self.sinks)(pe, batch_id)
+            fan_out(self.sinks, self.ledger)(pe, batch_id)
             self.log.write(changed, batch_id)
             return
         scored = self._scored(batch, people).persist(StorageLevel.MEMORY_AND_DISK)
@@ -199,7 +260,7 @@ class ScoringJob:
         finally:
             scored.unpersist()  # the running score is a written table by now
         primary = every.filter("hop = 0").drop("hop", "rel", "origin_subject_id")
-        fan_out(self.sinks)(error_rows_to_zero(primary).withColumn("processing_id", processing_id()), batch_id)
+        fan_out(self.sinks, self.ledger)(error_rows_to_zero(primary).withColumn("processing_id", processing_id()), batch_id)
         changed = (every.filter("hop = 1 or rule_seen").groupBy("subject_id")
                    .agg(F.max_by("new_score", "scan_order").alias("score"), F.max("ts").alias("last_score_at")))
         self.log.write(changed, batch_id)
@@ -229,8 +290,48 @@ def archive_sink(spark: SparkSession, path: str) -> Sink:
     return lambda df, _: archive.write_archive(spark, df, path)
 
 
+PROGRESS = ("query string, run string, batch_id bigint, timestamp string, rows_in bigint, rows_per_sec double, rows_late bigint, "
+            "duration_ms bigint, observed map<string,string>")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends what each micro-batch reports to a table, one small file per batch (A18), however many batches a query has.
+
+    ``spark.streams.addListener(log)`` starts it for all queries of the session; metrics of ``DataFrame.observe`` in a query come along.
+    A batch that is repeated replaces its report.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        observed = {f"{name}.{k}": str(v) for name, row in p.observedMetrics.items() for k, v in row.asDict().items()}
+        doc = {"query": str(p.id), "run": str(p.runId), "batch_id": p.batchId, "timestamp": p.timestamp, "rows_in": p.numInputRows,
+               "rows_per_sec": p.processedRowsPerSecond, "rows_late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+               "duration_ms": p.durationMs.get("triggerExecution", 0), "observed": observed}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{p.id}-{p.batchId:010d}.json")
+        out = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(json.dumps(doc).encode()))
+        finally:
+            out.close()
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS).json(self.path)
+
+
 def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame | None:
-    """What the query reports about itself, one row per micro-batch (A18). The report keeps the last 100 at most."""
+    """What the query reports about itself, one row per micro-batch (A18). The report keeps the last 100 at most; :class:`ProgressLog` keeps all."""
     rows = [(p["batchId"], p["timestamp"], int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0),
              int(sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", []))),
              int(p.get("durationMs", {}).get("triggerExecution", 0))) for p in query.recentProgress]

@@ -236,3 +236,45 @@ def test_cooldown_state_ends_with_its_period(spark, tmp_path, people):
     run("c", [line(35, minutes=501, subject_id="s0"), line(40, minutes=502, subject_id="s0")])
     assert seen["a"] == {"e0000", "e0005", "e0010"} and seen["b"] == {"e0030"} and seen["c"] == {"e0035"}
     assert states[0] == 2 * states[-1]  # of two pairs one has ended
+
+
+def test_twenty_batches_keep_a_constant_number_of_tables(spark, tmp_path, people):
+    import pathlib
+
+    from scoreloom.session import shared_dir
+    good, _ = wire.decode(spark.createDataFrame([(line(i),) for i in range(60)], "value string"))
+    from scoreloom.operators.measures import flatten
+    events = flatten(good).withColumn("processed_at", F.col("ts")).cache()
+    job = jobs.ScoringJob(spark, people, ALL_RULES, str(tmp_path / "job"), sinks={"points": jobs.replace_batch(str(tmp_path / "points"))})
+    job.log.compact_every = 3
+    made = pathlib.Path(shared_dir(spark), "scoreloom", spark.sparkContext.applicationId)
+    counts = []
+    for n in range(20):
+        job.process(events.where(f"cast(substring(event_id, 2) as int) between {n * 3} and {n * 3 + 2}"), n)
+        tables = len(list(made.glob("*"))) if made.exists() else 0
+        counts.append((tables, len(job.log._versions("change")) <= 6, len(job.log._versions("base")) <= 2,
+                       len(list((tmp_path / "job" / "ledger").glob("*")))))
+    assert len({c[0] for c in counts}) == 1 and all(c[1] and c[2] and c[3] == 1 for c in counts)
+    want = score_events(spark, events, people, ALL_RULES)
+    assert ({r.event_id: r.new_score for r in spark.read.parquet(str(tmp_path / "points")).collect()}
+            == {r.event_id: r.new_score for r in want.collect()})
+
+
+def test_progress_of_more_than_a_hundred_batches(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(120):
+        (folder / f"{n:03d}.txt").write_text("x\n" * (n % 5 + 1))
+    log = jobs.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        query = (wire.stream_lines(spark, str(folder), 1).observe("seen", F.count("*").alias("n")).writeStream.format("noop")
+                 .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.rows().filter("rows_in > 0").collect()
+    assert sorted(r.batch_id for r in rows) == list(range(120))
+    assert sum(r.rows_in for r in rows) == sum(n % 5 + 1 for n in range(120))
+    assert all(r.rows_in == int(r.observed["seen.n"]) for r in rows)
