@@ -106,11 +106,10 @@ def _(spark, d):
     finally:
         spark.streams.removeListener(log)
     rows = log.rows().filter("rows_in > 0")
-    total = rows.agg(F.count("*").alias("batches"), F.sum("rows_in").alias("rows_in"))
-    seen = rows.select(F.explode("observed").alias("name", "n")).groupBy(F.substring_index("name", ".", -1).alias("event_type")).agg(
-        F.sum(F.col("n").cast("bigint")).alias("rows"))
-    both = seen.withColumn("all", F.lit(1)).join(total.withColumn("all", F.lit(1)), "all")  # one row on the right
-    return both.select("event_type", "rows", "batches", "rows_in")
+    batches, rows_in = rows.agg(F.count("*"), F.sum("rows_in")).first()
+    return (rows.select(F.explode("observed").alias("name", "n")).groupBy(F.substring_index("name", ".", -1).alias("event_type"))
+            .agg(F.sum(F.col("n").cast("bigint")).alias("rows"))
+            .withColumns({"batches": F.lit(batches), "rows_in": F.lit(rows_in)}))
 
 
 @query("s01_stream_scores", sql("pe", "SELECT event_id, subject_id, score_change, previous_score, new_score FROM pe"))

@@ -13,7 +13,8 @@ from scoreloom.plans.catalog import ORACLES, QUERIES
 ALLOWED_SINGLE = {
     # each of these brings only a small, bounded table to one place
     "w05_percentile_rank",  # histogram of whole scores
-    "l01_recent_events", "l02_archive_page",  # a page of n rows
+    "l01_recent_events", "l02_archive_page", "a14_l03_listing",  # a page of n rows
+    "a04_positions",  # sums over files
 }
 
 
