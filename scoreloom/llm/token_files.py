@@ -14,6 +14,7 @@ their own document; equal ids are ordered by text. An empty table gives a manife
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
@@ -29,8 +30,10 @@ from scoreloom.llm.common import ready, stored
 from scoreloom.session import new_table_path
 
 END_ID = 1
-#: Words whose ids a worker keeps; beyond it the kept words are dropped and gathered anew.
-CACHE_WORDS = 400_000
+#: Bytes of words and ids that a worker keeps, with what Python needs for each; beyond it only those of the texts at hand stay.
+CACHE_BYTES = 64 << 20
+#: About what a word takes besides its characters and ids.
+ENTRY_BYTES = 160
 #: A special token of the vocabulary; joins words into one call of the library.
 SEPARATOR = "<|endoftext|>"
 
@@ -53,16 +56,20 @@ class WordEncoder:
         self.dtype = dtype
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self.known: dict[str, bytes] = {"": b""}
+        self.held = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*pieces).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {"": b""}
-            new = set().union(*pieces)
-        self._learn(new)
+        here = set().union(*pieces)
+        if self.held > CACHE_BYTES:
+            known = self.known
+            self.known = {"": b""} | {w: known[w] for w in here if w in known}
+            self.held = sum(len(w) + len(i) + ENTRY_BYTES for w, i in self.known.items())
+        before = len(self.known)
+        self._learn(here.difference(self.known))
         known = self.known
+        self.held += sum(len(w) + len(known[w]) + ENTRY_BYTES for w in itertools.islice(reversed(known), len(known) - before))
         return [b"".join([known[w] for w in words]) for words in pieces]
 
     def _learn(self, new: set[str]) -> None:
