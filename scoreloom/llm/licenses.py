@@ -3,13 +3,15 @@
 Each template is cut into pieces, one more than it may have differences (and slots), so wherever it stands within the limit one
 piece stands unchanged: those are the cues, and none is missed. The words around a cue that the template can reach are a block.
 A block is compressed on its own and with the template as a raw zstandard dictionary: the more of the template it holds, the
-smaller it gets. Every block is then confirmed by the exact differences in wording: the template's words must stand in the
-block in order, and what is missing, and what stands in between, is counted. Numbers, years and names in braces in a template
-are slots that any word fills. Words are compared, so line ends and marks between them do not matter. Words that one licence has
-taken are not read as another; what is left of a block is compared again.
+smaller it gets. All candidates of a text, each a block and a template with a cue in it, are tried by falling reduction; none is
+left out. A candidate is confirmed by the exact differences in wording: the template's words must stand in the block in order, and
+what is missing, and what stands in between, is counted. Numbers, years and names in braces in a template are slots that any word
+fills. Words are compressed and compared, in lower case, so line ends and marks between them do not matter. Words that one licence
+has taken are not read as another; what is left of a block is compressed and tried again.
 
 Null and empty texts and texts without cues give no rows. Rows that repeat are scanned alike. Each place of a
-licence gives a row; equal scores go to the longer template, then the first by name. An empty table gives an empty result.
+licence gives a row; equal reductions go to the longer template, then the first by name. A very long text is one list of words
+in one task, and its blocks are no longer than those of a short one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Notices and opening passages of public licences; words in braces are slots.
+# Notices, opening passages and some whole texts of public licences; words in braces are slots.
 TEMPLATES = {
     "Apache-2.0": ("Licensed under the Apache License, Version {2.0}.",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
@@ -37,7 +39,16 @@ TEMPLATES = {
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
             "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
-            "persons to whom the Software is furnished to do so, subject to the following conditions:"),
+            "persons to whom the Software is furnished to do so, subject to the following conditions:",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+            "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+            "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+            "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+            "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+            "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+            "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     "GPL": ("This work is licensed under the GNU General Public License, version {3}.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
             "License as published by the Free Software Foundation, either version {3} of the License, or (at your option) any later "
@@ -50,9 +61,38 @@ TEMPLATES = {
     "MPL": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. {2.0}.",),
     "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met:", "Licensed under the BSD {3}-Clause License.",
-            "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+            "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+            "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+            "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+            "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+            "distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+            "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+            "ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+            "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+            "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+            "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+            "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+            "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+            "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+            "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+            "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+            "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+            "ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+            "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+            "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+            "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+            "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-            "provided that the above copyright notice and this permission notice appear in all copies.",),
+            "provided that the above copyright notice and this permission notice appear in all copies.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS "
+            "IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+            "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+            "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+            "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     "CC-BY": ("Licensed under CC BY {4.0}.", "This work is licensed under a Creative Commons Attribution {4.0} International License."),
     "CC-BY-SA": ("Licensed under CC BY-SA {4.0}.",
                  "This work is licensed under a Creative Commons Attribution-ShareAlike {4.0} International License."),
@@ -84,8 +124,8 @@ def _templates() -> list[tuple[str, list[str], list[bool], zstandard.ZstdCompres
         for text in texts:
             plain = text.replace("{", "").replace("}", "")
             slots = {m.group(1).lower() for m in re.finditer(r"\{([^}]*)\}", text)}
-            dictionary = zstandard.ZstdCompressionDict(plain.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             words = _words(plain)
+            dictionary = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             out.append((name, words, [w in slots for w in words], zstandard.ZstdCompressor(level=3, dict_data=dictionary)))
     return out
 
@@ -159,7 +199,7 @@ def compare(block: list[str], template: list[str], slots: list[bool]) -> tuple[i
 
 
 def scan(text: str | None) -> list[tuple[str, int, int, int, bool]]:
-    """(licence, place of its block, bytes saved, differences, exact) of each licence confirmed in a text."""
+    """(licence, place of its block, bytes its block gets smaller by, differences, exact) of each licence confirmed in a text."""
     lowered = (text or "").lower()
     if not any(word in lowered for word in _cues()[1]):
         return []
@@ -167,31 +207,37 @@ def scan(text: str | None) -> list[tuple[str, int, int, int, bool]]:
     blocks = candidate_blocks(words)
     if not blocks:
         return []
-    confirmed: list[tuple] = []
+    plain = zstandard.ZstdCompressor(level=3)
+    waiting: list[tuple] = []
 
-    def read(t: int, low: int, high: int) -> None:
-        name, template, slots, _ = _templates()[t]
-        differences, first, end = compare(words[low:high], template, slots)
-        if differences <= MAX_DIFFERENCE * len(template):
-            heapq.heappush(confirmed, (differences / len(template), -len(template), name, low + first, low + end, low, high, t,
-                                       differences))
+    def add(t: int, low: int, high: int) -> None:
+        name, template, slots, compressor = _templates()[t]
+        if len(template) - (high - low) - sum(slots) > MAX_DIFFERENCE * len(template):
+            return  # too short to be confirmed
+        data = " ".join(words[low:high]).encode()
+        saved = len(plain.compress(data)) - len(compressor.compress(data))
+        heapq.heappush(waiting, (-saved, -len(template), name, low, high, t))
 
     for block in blocks:
-        read(*block)
-    spans = [m.span() for m in _WORD.finditer(text)] if confirmed else []
-    plain = zstandard.ZstdCompressor(level=3)
+        add(*block)
     taken = bytearray(len(words))
+    spans: list[tuple[int, int]] = []
     out = []
-    while confirmed:  # the best reading of some words first
-        _, _, name, first, end, low, high, t, differences = heapq.heappop(confirmed)
-        if not any(taken[first:end]):
-            taken[first:end] = b"\1" * (end - first)
-            data = text[spans[low][0]: spans[high - 1][1]].encode()
-            saved = len(plain.compress(data)) - len(_templates()[t][3].compress(data))
-            out.append((first, (name, spans[low][0], saved, differences, differences == 0)))
-        else:
-            for free in re.finditer(rb"\0+", bytes(taken[low:high])):
-                read(t, low + free.start(), low + free.end())
+    while waiting:  # the largest reduction first
+        saved, _, name, low, high, t = heapq.heappop(waiting)
+        free = [(low + m.start(), low + m.end()) for m in re.finditer(rb"\0+", bytes(taken[low:high]))]
+        if free != [(low, high)]:
+            for part in free:
+                add(t, *part)
+            continue
+        _, template, slots, _ = _templates()[t]
+        differences, first, end = compare(words[low:high], template, slots)
+        if differences <= MAX_DIFFERENCE * len(template):
+            taken[low + first: low + end] = b"\1" * (end - first)
+            spans = spans or [m.span() for m in _WORD.finditer(text)]
+            out.append((low + first, (name, spans[low][0], -saved, differences, differences == 0)))
+            add(t, low, low + first)
+            add(t, low + end, high)
     return [row for _, row in sorted(out)]
 
 

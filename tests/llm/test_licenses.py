@@ -1,3 +1,4 @@
+import random
 import re
 import textwrap
 
@@ -57,3 +58,63 @@ def test_every_template_on_one_line_and_wrapped(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.license, r.exact) for r in lc.found_licenses(df).collect()}
     assert got == set(want)
+
+
+def test_reduction_decides():
+    """By differences in wording the GPL notice would win; the LGPL one makes the block smaller and is tried first."""
+    notice = next(t for t in lc.TEMPLATES["LGPL"] if t.startswith("This library")).replace("{", "").replace("}", "")
+    text = notice.replace("This library", "This libraryware").replace("Lesser", "Lesser-known")
+    words = lc._words(text)
+    found = {name: lc.compare(words, template, slots)[0] for name, template, slots, _ in lc._templates()
+             if len(template) > 30 and name in ("GPL", "LGPL")}
+    assert found["GPL"] < found["LGPL"] <= lc.MAX_DIFFERENCE * len(words)
+    assert [(r[0], r[3]) for r in lc.scan(text)] == [("LGPL", found["LGPL"])]
+
+
+def every_reading(words):
+    """(first, end, differences by word, licence) of each template at each place, without cues and compression."""
+    out = []
+    for name, template, slots, _ in lc._templates():
+        for at in range(len(words)):
+            differences, first, end = lc.compare(words[at: at + len(template) + lc._drift(template, slots)], template, slots)
+            if differences <= lc.MAX_DIFFERENCE * len(template):
+                out.append((at + first, at + end, differences / len(template), name))
+    return out
+
+
+def test_brute_force_over_templates_and_places():
+    rng = random.Random(5)
+    filler = "the of software copy license under use provided with any person work rights river stone blue notice".split()
+    short = [(n, t.replace("{", "").replace("}", "")) for n, texts in lc.TEMPLATES.items() for t in texts if len(t) < 700]
+    for _ in range(12):
+        parts = []
+        for _, text in rng.sample(short, 2):
+            words = text.split()
+            for _ in range(rng.randint(0, int(0.07 * len(words)))):  # another word counts twice
+                words[rng.randrange(1, len(words) - 1)] = "other"
+            parts += [" ".join(rng.choices(filler, k=rng.randint(3, 12))), " ".join(words)]
+        text = " \n".join([*parts, "the end of it"])
+        words = lc._words(text)
+        places = [m.start() for m in lc._WORD.finditer(text)]
+        readings, regions = every_reading(words), []
+        for first, end, share, name in sorted(readings):
+            if regions and first < regions[-1][1]:
+                regions[-1][1] = max(end, regions[-1][1])
+                regions[-1][2].append((share, name))
+            else:
+                regions.append([first, end, [(share, name)]])
+        got = [(r[0], places.index(r[1])) for r in lc.scan(text)]
+        assert len(got) == len(regions) == 2
+        for (name, at), (first, end, found) in zip(got, regions, strict=True):
+            assert at < end and name in {n for share, n in found if share == min(found)[0]}, (text, got, regions)
+
+
+def test_whole_text_is_one_row():
+    for name in ("MIT", "BSD", "ISC"):
+        whole = max(lc.TEMPLATES[name], key=len)
+        assert [(r[0], r[3]) for r in lc.scan(f"Copyright (c) 2020 X\n\n{whole}\n\nMore.")] == [(name, 0)]
+
+
+def test_very_long_text():
+    long = "license and copy of the software under any river " * 60_000 + MIT + " blue stone" * 100_000
+    assert [(r[0], r[3]) for r in lc.scan(long)] == [("MIT", 0)]
