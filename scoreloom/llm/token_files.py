@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import string
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,12 +31,16 @@ from scoreloom.llm.common import ready, stored
 from scoreloom.session import new_table_path
 
 END_ID = 1
-#: Bytes of words and ids that a worker keeps, with what Python needs for each; beyond it only those of the texts at hand stay.
-CACHE_BYTES = 64 << 20
+#: Bytes of words and ids in one generation of what a worker keeps, with what Python needs for each; there are two generations.
+CACHE_BYTES = 48 << 20
 #: About what a word takes besides its characters and ids.
 ENTRY_BYTES = 160
 #: A special token of the vocabulary; joins words into one call of the library.
 SEPARATOR = "<|endoftext|>"
+#: Ends the name of a token that ends a piece of the pre-tokeniser.
+PIECE_END = "</w>"
+#: Marks that are a piece of their own behind a letter, whatever number of them.
+MARKS = string.punctuation
 
 MANIFEST = "shard string, bin_file string, idx_file string, ids_file string, dtype string, n_docs bigint, n_tokens bigint"
 
@@ -46,7 +51,7 @@ class WordEncoder:
     """The library's encoding of a text, word by word.
 
     The vocabulary's normaliser and pre-tokeniser never join text over a white space, so a text's ids are those of the
-    pieces between its spaces; each different piece is encoded by the library once per worker.
+    pieces between its spaces; each different piece is encoded by the library once per worker while it stays in use.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -55,39 +60,69 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, code in self.tokenizer.get_vocab().items():
+            self.ends[code] = token.endswith(PIECE_END)
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without the end id."""
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        here = set().union(*pieces)
+        pieces = [(t.lower() if t.isascii() and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
         if self.held > CACHE_BYTES:
-            known = self.known
-            self.known = {"": b""} | {w: known[w] for w in here if w in known}
-            self.held = sum(len(w) + len(i) + ENTRY_BYTES for w, i in self.known.items())
-        before = len(self.known)
-        self._learn(here.difference(self.known))
-        known = self.known
-        self.held += sum(len(w) + len(known[w]) + ENTRY_BYTES for w in itertools.islice(reversed(known), len(known) - before))
+            self.older, self.known, self.held = self.known, {"": b""}, 0
+        known, older = self.known, self.older
+        new = set().union(*pieces).difference(known)
+        again = new.intersection(older)
+        known.update((w, older[w]) for w in again)
+        before = len(known) - len(again)
+        self._learn(new.difference(again))
+        added = itertools.islice(reversed(known.items()), len(known) - before)
+        self.held += sum(len(w) + len(i) + ENTRY_BYTES for w, i in added)
         return [b"".join([known[w] for w in words]) for words in pieces]
 
     def _learn(self, new: set[str]) -> None:
-        """Ids of new words. Full stops and commas behind a letter are pieces of their own, as the pre-tokeniser splits there."""
-        known, parts = self.known, {}
+        """Ids of new words. Marks behind a letter are pieces of their own, as the pre-tokeniser splits there."""
+        known, parts = self.known, []
+        letters, marks, others = set(), set(), set()
         for word in new:
-            core = word.rstrip(".,")
-            if not core or not core[-1].isalpha():
+            core = word.rstrip(MARKS)
+            if not core or not core[-1].lower()[-1].isalpha() or "<|" in word:  # lower case can end in a mark
                 core = word
-            parts[word] = core.lower() if core.isascii() else core, word[len(core):]
-        wanted = [p for p in {p for pair in parts.values() for p in pair}.difference(known) if p]
-        plain = [p for p in wanted if "<|" not in p]
+            tail = word[len(core):]
+            if core.isascii() and "<|" not in core:
+                core = core.lower()
+            if tail or core != word:
+                parts.append((word, core, tail))
+                marks.add(tail)
+            (letters if core.isalpha() else others).add(core)
+        others |= marks
+        self._encode_letters([w for w in letters if w not in known])
+        wanted = [w for w in others if w not in known]
+        plain = [w for w in wanted if "<|" not in w]
         for at in range(0, len(plain), 1000):
             self._encode_joined(plain[at: at + 1000])
-        self._encode_each([p for p in wanted if "<|" in p])
-        for word, (core, tail) in parts.items():
-            if word not in known:
-                known[word] = known[core] + known[tail]
+        self._encode_each([w for w in wanted if "<|" in w])
+        for word, core, tail in parts:
+            known[word] = known[core] + known[tail]
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Words of letters alone, many in one call: each is one piece, whose last token says so."""
+        for at in range(0, len(words), 1000):
+            some = words[at: at + 1000]
+            codes = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            ids = np.asarray(codes, self.dtype)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):  # the normaliser parts some word
+                self._encode_joined(some)
+                continue
+            self._keep(some, ids, np.append(0, ends[:-1]), ends)
+
+    def _keep(self, words: list[str], ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+        width, data = ids.itemsize, ids.tobytes()
+        self.known.update(zip(words, [data[a:b] for a, b in zip((begins * width).tolist(), (ends * width).tolist(), strict=True)],
+                              strict=True))
 
     def _encode_joined(self, words: list[str]) -> None:
         """Many words in one call, told apart by a special token that none of them holds."""
@@ -97,11 +132,7 @@ class WordEncoder:
         if len(cuts) != len(words) - 1:
             self._encode_each(words)
             return
-        width, data = ids.itemsize, ids.tobytes()
-        begins = np.append(0, cuts + 1) * width
-        ends = np.append(cuts, len(ids)) * width
-        for word, a, b in zip(words, begins.tolist(), ends.tolist(), strict=True):
-            self.known[word] = data[a:b]
+        self._keep(words, ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
 
     def _encode_each(self, words: list[str]) -> None:
         for word, code in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
