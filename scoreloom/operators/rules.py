@@ -261,18 +261,37 @@ def _typed_payload() -> Column:
     return F.map_from_entries(F.transform(payload_entries(), cell))
 
 
-def _typed_columns(df: DataFrame) -> Column:
-    """Map of column name to (text, number, flag) for the table's scalar columns: what :class:`Payload` finds as typed."""
+def _scalar_columns(df: DataFrame) -> list[str]:
+    """The table's scalar columns: what :class:`Payload` finds as typed."""
+    return [f.name for f in df.schema.fields
+            if f.dataType.typeName() not in ("array", "map", "struct", "binary", "variant") and f.name != "payload"]
+
+
+def _typed_columns(df: DataFrame, names: Iterable[str]) -> Column:
+    """Map of column name to (text, number, flag) for some scalar columns."""
     entries = []
-    for f in df.schema.fields:
+    for f in (df.schema[n] for n in names):
         kind = f.dataType.typeName()
-        if kind in ("array", "map", "struct", "binary", "variant") or f.name == "payload":
-            continue
         col = F.col(f"`{f.name}`")
         number = F.lit(None).cast("double") if kind in ("string", "boolean") or not isinstance(f.dataType, NumericType) else col.cast("double")
         flag = col if kind == "boolean" else F.lit(None).cast("boolean")
         entries += [F.lit(f.name), F.struct(_as_text(col, kind).alias("text"), number.alias("number"), flag.alias("flag"))]
-    return F.create_map(*entries)
+    return F.create_map(*entries) if entries else F.lit(None).cast("map<string,struct<text:string,number:double,flag:boolean>>")
+
+
+def _named(rules: DataFrame, fields: list[str], flags: list[str]) -> tuple[set[str], set[str], set[str], bool]:
+    """(fields, flags and logic that rules name, of those given and registered; whether one names a field beside them).
+
+    These are configuration, and no more than there are columns and registered names.
+    """
+    def some(names: Column, known: Iterable[str]) -> Column:
+        return F.array_intersect(F.array_distinct(F.flatten(F.collect_list(names))), F.array(*map(F.lit, known)).cast("array<string>"))
+
+    wanted = F.transform("conditions", lambda c: F.regexp_replace(c["field"], "^payload[.]", ""))
+    row = rules.agg(some(wanted, fields).alias("fields"), some(F.transform("multipliers", lambda m: m["flag"]), flags).alias("flags"),
+                    some(F.array("custom_logic"), _custom).alias("logic"),
+                    F.coalesce(F.bool_or(F.exists(wanted, lambda f: ~f.isin(fields))), F.lit(False)).alias("other")).first()
+    return set(row.fields), set(row.flags), set(row.logic), row.other
 
 
 def _unknown(what: str, name: Column) -> Column:
@@ -320,15 +339,15 @@ def apply_rule_table(df: DataFrame, rules: DataFrame, strict: bool = False, vali
     entry = F.struct("ord", "rule_id", "logic", "conditions", "points", "multiplier", "multipliers", "custom_logic",
                      "valid_from", "valid_to")
     rules = rules.filter(F.col("status") == ACTIVE)
-    # Only logic that a rule names is built, as it may need columns this table doesn't have; at most all registered names are read.
-    used = [r[0] for r in rules.filter(F.col("custom_logic").isin(list(_custom))).select("custom_logic").distinct().collect()] if _custom else []
+    # Only columns, flags and logic that a rule names are looked at, as an event has many columns and logic may need some it lacks.
+    scalars = _scalar_columns(df)
+    fields, named_flags, used, other = _named(rules, scalars, [c for c, kind in df.dtypes if kind == "boolean"])
     by_type, wild = rules_by_type(rules, entry)
-    flags = [c for c, kind in df.dtypes if kind == "boolean"]
-    entries = [x for c in flags for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit(False)))]
-    helpers = {"payload_map": _typed_payload() if "payload" in df.columns else F.lit(None).cast(
-        "map<string,struct<text:string,number:double,flag:boolean>>"),
-        "typed_map": _typed_columns(df), "flag_map": F.create_map(*entries) if entries else F.lit(None).cast("map<string,boolean>"),
-        "by_type": by_type, "wild": wild}
+    flags = [x for c in sorted(named_flags) for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit(False)))]
+    parse = "payload" in df.columns and other
+    helpers = {"payload_map": _typed_payload() if parse else F.lit(None).cast("map<string,struct<text:string,number:double,flag:boolean>>"),
+               "typed_map": _typed_columns(df, sorted(fields)), "flag_map": F.create_map(*flags) if flags else F.lit(None).cast("map<string,boolean>"),
+               "by_type": by_type, "wild": wild}
     matched = df.withColumns(helpers)
 
     def holds(r: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -15,12 +15,13 @@ from scoreloom.operators.rules import apply_rules
 from scoreloom.operators.scoring import with_profile
 from scoreloom.plans.q_state import COOLDOWN_RULES
 from scoreloom.plans.registry import ORACLES, query
-from scoreloom.plans.sqlbase import r6, sql, tier5, tstr
+from scoreloom.plans.sqlbase import dstr, r6, sql, tier5, tstr
 from scoreloom.plans.tables import CONFIG, edges, profiles
 from scoreloom.session import new_table_path
 from scoreloom.sources import star
 from scoreloom.streaming.cooldown import regrouped, with_accepted
-from scoreloom.streaming.jobs import (ProgressLog, ScoringJob, hourly_activity_stream, replace_batch, running_score_stream)
+from scoreloom.streaming.jobs import (LateSplit, ProgressLog, ScoringJob, daily_from_hourly_stream, hourly_activity_stream, replace_batch,
+                                      running_score_stream)
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
@@ -33,15 +34,23 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))
 
 
-def _in_steps(spark: SparkSession, d: str, steps: int, start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """The event table as a stream that grows: in time order, ``steps`` times files are added and ``start``'s query runs to the end."""
+def _in_steps(spark: SparkSession, d: str, steps: int, start: Callable[[DataFrame], StreamingQuery], held_back: Column | None = None) -> None:
+    """The event table as a stream that grows: in time order, ``steps`` times files are added and ``start``'s query runs to the end.
+    Rows that are held back come one step later."""
     schema, path = star.SCHEMAS["events"], new_table_path(spark, "stream-input")
     rows = spark.read.schema(schema).parquet(f"{d}/events.parquet")
     low, high = rows.agg(F.min("ts"), F.max("ts")).first()
-    for k in range(steps):
+
+    def within(k: int) -> Column:
         since, until = (F.lit(low + (high - low) * (k + i) / steps).cast("timestamp_ntz") for i in (0, 1))
-        part = rows.filter((F.col("ts") >= since) & ((F.col("ts") < until) if k + 1 < steps else F.lit(True)))
-        part.write.mode("append").parquet(path)
+        return (F.col("ts") >= since) & ((F.col("ts") < until) if k + 1 < steps else F.lit(True))
+
+    for k in range(steps):
+        wanted = within(k)
+        if held_back is not None:
+            on_time = wanted & ~held_back if k + 1 < steps else wanted
+            wanted = on_time | (within(k - 1) & held_back) if k else on_time
+        rows.filter(wanted).write.mode("append").parquet(path)
         start(star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))).awaitTermination()
 
 
@@ -142,6 +151,54 @@ def _(spark, d):
                     "l.unique_event_types"))
 
 
+@query("s04_stream_daily", sql("pe", f"""SELECT subject_id, {dstr('day')} AS day, sum(n)::BIGINT AS event_count,
+  {r6('sum(change)')} AS net_score_impact, count(*) AS active_hours, max(n) AS busiest_hour
+FROM (SELECT subject_id, ts::DATE AS day, date_trunc('hour', ts) AS hour, count(*) AS n, sum(score_change) AS change FROM pe GROUP BY 1, 2, 3)
+WHERE day + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM pe) GROUP BY subject_id, day"""))
+def _(spark, d):
+    """Hours that close feed days in one stream, over four micro-batches and as many restarts; days still open are not there yet."""
+    path, check = new_table_path(spark, "stream-daily"), new_table_path(spark, "stream-check")
+
+    def start(events: DataFrame) -> StreamingQuery:
+        days = daily_from_hourly_stream(apply_rules(with_profile(events, profiles(spark, d)), ALL_RULES))
+        return (days.writeStream.outputMode("append").foreachBatch(replace_batch(path)).option("checkpointLocation", check)
+                .trigger(availableNow=True).start())
+
+    _in_steps(spark, d, 4, start)
+    out = spark.read.parquet(path).drop("batch")
+    return out.withColumn("net_score_impact", on_grid(F.col("net_score_impact")))
+
+
+@query("s05_stream_sliding", sql("ev", f"""SELECT subject_id, region, {tstr('w')} AS window_start, count(*) AS event_count,
+  {r6('sum(confidence)')} AS confidence_sum, count(DISTINCT event_type) AS unique_event_types
+FROM (SELECT *, date_trunc('day', ts) + to_hours(6 * i) - INTERVAL 18 HOUR AS w FROM ev, range(0, 7) t(i))
+WHERE ts >= w AND ts < w + INTERVAL 24 HOUR AND w + INTERVAL 24 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM ev)
+GROUP BY subject_id, region, w"""))
+def _(spark, d):
+    """Days that slide by six hours, in append mode over four micro-batches: each window once, when the watermark has passed its end."""
+    path, check = new_table_path(spark, "stream-sliding"), new_table_path(spark, "stream-check")
+    _in_steps(spark, d, 4, lambda events: (
+        hourly_activity_stream(events, width="24 hours", slide="6 hours").writeStream.outputMode("append").foreachBatch(replace_batch(path))
+        .option("checkpointLocation", check).trigger(availableNow=True).start()))
+    rows = spark.read.parquet(path).drop("batch")
+    return rows.withColumn("confidence_sum", on_grid(F.col("confidence_sum")))
+
+
+@query("s06_late_rows", sql("ev", """SELECT * FROM (WITH span AS (SELECT min(ts) AS low, epoch_us(max(ts)) - epoch_us(min(ts)) AS width FROM ev),
+placed AS (SELECT event_id, epoch_us(ts) AS us, least(3, (epoch_us(ts) - epoch_us(low)) * 4 // width) AS own FROM ev, span),
+came AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN least(3, own + 1) ELSE own END AS step FROM placed),
+marks AS (SELECT step + 1 AS step, max(max(us)) OVER (ORDER BY step) - 600000000 AS mark FROM came GROUP BY step)
+SELECT event_id, coalesce(us <= mark, false) AS late, CASE WHEN us <= mark THEN mark - us END AS delay_us
+FROM came LEFT JOIN marks USING (step))"""))
+def _(spark, d):
+    """A seventh of the events comes a micro-batch late; what lies behind the watermark then is kept apart with its delay."""
+    split, check = LateSplit(spark, new_table_path(spark, "stream-late")), new_table_path(spark, "stream-check")
+    _in_steps(spark, d, 4, lambda events: (
+        events.select("event_id", "ts").writeStream.foreachBatch(split.process).option("checkpointLocation", check)
+        .trigger(availableNow=True).start()), held_back=F.col("event_id") % 7 == 0)
+    return split.rows().select("event_id", "late", "delay_us")
+
+
 @query("s03_stream_profiles", sql("both", f"""SELECT p.subject_id, coalesce(l.new_score, p.score) AS score,
   {tier5('coalesce(l.new_score, p.score)')} AS tier FROM prof p LEFT JOIN (
     SELECT subject_id, new_score FROM folded QUALIFY row_number() OVER (PARTITION BY subject_id

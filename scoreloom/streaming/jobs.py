@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -77,6 +77,74 @@ def hourly_activity_stream(events: DataFrame, late_by: str = "10 minutes", width
                     "unique_event_types", "confidence_sum"))
 
 
+def daily_from_hourly_stream(scored: DataFrame, late_by: str = "10 minutes") -> DataFrame:
+    """Hours and then days per subject in one stream: the closed hours of the first aggregate feed the second.
+
+    For append mode: a day comes once, when the watermark has passed its end. State is a row per open subject and hour, and one per
+    open subject and day.
+    """
+    hours = (scored.withWatermark("ts", late_by).groupBy("subject_id", F.window("ts", "1 hour").alias("hour"))
+             .agg(F.count("*").alias("event_count"), F.sum("score_change").alias("net_score_impact")))
+    return (hours.groupBy("subject_id", F.window(F.window_time("hour"), "1 day").alias("w"))
+            .agg(F.sum("event_count").alias("event_count"), F.sum("net_score_impact").alias("net_score_impact"),
+                 F.count("*").alias("active_hours"), F.max("event_count").alias("busiest_hour"))
+            .select("subject_id", F.to_date("w.start").alias("day"), "event_count", "net_score_impact", "active_hours", "busiest_hour"))
+
+
+@dataclass
+class LateSplit:
+    """Parts the rows of each micro-batch at the watermark: those behind it are kept in a table of their own, with their delay.
+
+    The watermark of a batch is the latest time in all batches before it, less ``late_by``, as Spark defines it; it is stored per batch, so a
+    repeated batch is parted alike and replaces itself. A batch is written once, and its latest time comes from that write. Rows
+    without a time are never late. For ``foreachBatch``.
+    """
+
+    spark: SparkSession
+    path: str
+    late_by: str = "10 minutes"
+    time: str = "ts"
+
+    def _latest(self, before: int) -> int | None:
+        """Latest time, in microseconds, of all batches numbered below ``before``."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/latest")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return None
+        marks = [s.getPath().getName().split("=") for s in fs.listStatus(root)]
+        known = [(int(batch), int(at)) for batch, at in marks if int(batch) < before]
+        return max(known)[1] if known else None
+
+    def _mark(self, batch_id: int, latest: int) -> None:
+        """An empty file that names the batch and the latest time so far; only the last two batches can be asked for again."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/latest")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root) if fs.exists(root) else ():
+            batch = int(status.getPath().getName().split("=")[0])
+            if batch < batch_id - 2 or batch == batch_id:
+                fs.delete(status.getPath(), False)
+        fs.create(jvm.org.apache.hadoop.fs.Path(root, f"{batch_id:010d}={latest}"), True).close()
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        latest = self._latest(batch_id)
+        at = F.unix_micros(F.col(self.time).cast("timestamp"))
+        allowed = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {self.late_by})")
+        delay = (F.lit(latest).cast("bigint") - allowed) - at
+        late = F.coalesce(delay >= 0, F.lit(False))
+        seen = Observation()
+        rows = batch.withColumns({"late": late, "delay_us": F.when(late, delay)}).observe(seen, F.max(at).alias("latest"))
+        rows.write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/rows/batch={batch_id:010d}")
+        known = [t for t in (latest, seen.get["latest"]) if t is not None]
+        if known:
+            self._mark(batch_id, max(known))
+
+    def rows(self) -> DataFrame:
+        """All rows so far, with ``late`` (boolean) and ``delay_us``; a filter on ``late`` reads one side's files alone."""
+        return self.spark.read.parquet(f"{self.path}/rows").drop("batch").withColumn("late", F.col("late").cast("boolean"))
+
+
 @dataclass
 class SinkLedger:
     """Which sinks have finished which micro-batch: an empty file each. A batch that is repeated after a crash goes only to the sinks it

@@ -278,3 +278,38 @@ def test_progress_of_more_than_a_hundred_batches(spark, tmp_path):
     assert sorted(r.batch_id for r in rows) == list(range(120))
     assert sum(r.rows_in for r in rows) == sum(n % 5 + 1 for n in range(120))
     assert all(r.rows_in == int(r.observed["seen.n"]) for r in rows)
+
+
+def test_late_rows_are_kept_apart_and_a_repeat_changes_nothing(spark, tmp_path):
+    split = jobs.LateSplit(spark, str(tmp_path / "late"), "30 minutes")
+
+    def batch(*rows):
+        return spark.createDataFrame([(i, None if m is None else T0 + dt.timedelta(minutes=m)) for i, m in rows], "id long, ts timestamp")
+
+    batches = [batch((1, 0), (2, 600), (3, None)), batch(), batch((4, 570), (5, 571), (6, 900)), batch((7, 569), (8, 871), (8, 871))]
+    for n, rows in enumerate(batches):
+        split.process(rows, n)
+        split.process(rows, n)  # as after a crash before the commit
+    got = sorted((r.id, r.late, r.delay_us) for r in split.rows().collect())
+    minute = 60_000_000
+    assert got == [(1, False, None), (2, False, None), (3, False, None), (4, True, 0), (5, False, None), (6, False, None),
+                   (7, True, 301 * minute), (8, False, None), (8, False, None)]
+
+
+def test_days_from_hours_come_when_closed(spark, tmp_path):
+    folder, seen = tmp_path / "in", []
+
+    def run():
+        lines = wire.stream_lines(spark, str(folder), 1)
+        scored = jobs.events_from_lines(lines).withColumn("score_change", F.lit(1.5))
+        query = (jobs.daily_from_hourly_stream(scored).writeStream.outputMode("append")
+                 .foreachBatch(lambda df, _: seen.extend(tuple(r) for r in df.collect()))
+                 .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+        query.awaitTermination()
+
+    put(folder, "a.json", [line(0, minutes=10), line(6, minutes=20), line(12, minutes=1000)])
+    run()
+    assert seen == []
+    put(folder, "b.json", [line(18, minutes=1439), line(1, minutes=1440 + 30)])
+    run()
+    assert seen == [("s0", T0.date(), 4, 6.0, 3, 2)]
