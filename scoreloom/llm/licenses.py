@@ -4,7 +4,7 @@ Each template is cut into pieces, one more than it may have differences (and slo
 piece stands unchanged: those are the cues, and none is missed. The words around a cue that the template can reach are a block.
 A block is compressed on its own and with the template as a raw zstandard dictionary: the more of the template it holds, the
 smaller it gets. All candidates of a text, each a block and a template with a cue in it, are tried by falling reduction; none is
-left out. A candidate is confirmed by the exact differences in wording: the template's words must stand in the block in order, and
+left out; where several want some of the same words, their reductions are measured on one block. A candidate is confirmed by the exact differences in wording: the template's words must stand in the block in order, and
 what is missing, and what stands in between, is counted. Numbers, years and names in braces in a template are slots that any word
 fills. Words are compressed and compared, in lower case, so line ends and marks between them do not matter. Words that one licence
 has taken are not read as another; what is left of a block is compressed and tried again.
@@ -108,6 +108,8 @@ TEMPLATES = {
 
 #: Differences allowed, as a part of the template's words.
 MAX_DIFFERENCE = 0.15
+#: Words in a cell of the index that finds candidates for the same words.
+CELL = 128
 
 # A word with a hyphen can be broken behind it, with comment marks before the next line.
 _WORD = re.compile(r"[^\W_]+(?:(?:[.'’]|-(?:[ \t]*\r?\n[^\w\n]*)?)[^\W_]+)*")
@@ -209,6 +211,8 @@ def scan(text: str | None) -> list[tuple[str, int, int, int, bool]]:
         return []
     plain = zstandard.ZstdCompressor(level=3)
     waiting: list[tuple] = []
+    near: dict[int, set[tuple]] = {}
+    taken = bytearray(len(words))
 
     def add(t: int, low: int, high: int) -> None:
         name, template, slots, compressor = _templates()[t]
@@ -216,28 +220,53 @@ def scan(text: str | None) -> list[tuple[str, int, int, int, bool]]:
             return  # too short to be confirmed
         data = " ".join(words[low:high]).encode()
         saved = len(plain.compress(data)) - len(compressor.compress(data))
-        heapq.heappush(waiting, (-saved, -len(template), name, low, high, t))
+        entry = (-saved, -len(template), name, low, high, t)
+        heapq.heappush(waiting, entry)
+        for cell in range(low // CELL, (high - 1) // CELL + 1):
+            near.setdefault(cell, set()).add(entry)
+
+    def drop(entry: tuple) -> None:
+        for cell in range(entry[3] // CELL, (entry[4] - 1) // CELL + 1):
+            near[cell].discard(entry)
+
+    def rivals(low: int, high: int) -> list[tuple[int, tuple]]:
+        """(reduction, candidate) of those that want some of the same words, all measured on the block of them together."""
+        some = {e for cell in range(low // CELL, (high - 1) // CELL + 1) for e in near[cell] if e[3] < high and low < e[4]}
+        some = [e for e in some if not any(taken[e[3]: e[4]])]
+        data = " ".join(words[min(e[3] for e in some): max(e[4] for e in some)]).encode()
+        size = len(plain.compress(data))
+        found = [(size - len(_templates()[e[5]][3].compress(data)), e) for e in some]
+        return sorted(found, key=lambda f: (-f[0], f[1][1:]))
 
     for block in blocks:
         add(*block)
-    taken = bytearray(len(words))
     spans: list[tuple[int, int]] = []
     out = []
     while waiting:  # the largest reduction first
-        saved, _, name, low, high, t = heapq.heappop(waiting)
+        entry = heapq.heappop(waiting)
+        _, _, _, low, high, t = entry
+        if entry not in near[low // CELL]:
+            continue
         free = [(low + m.start(), low + m.end()) for m in re.finditer(rb"\0+", bytes(taken[low:high]))]
         if free != [(low, high)]:
+            drop(entry)
             for part in free:
                 add(t, *part)
             continue
-        _, template, slots, _ = _templates()[t]
-        differences, first, end = compare(words[low:high], template, slots)
-        if differences <= MAX_DIFFERENCE * len(template):
-            taken[low + first: low + end] = b"\1" * (end - first)
-            spans = spans or [m.span() for m in _WORD.finditer(text)]
-            out.append((low + first, (name, spans[low][0], -saved, differences, differences == 0)))
-            add(t, low, low + first)
-            add(t, low + end, high)
+        for saved, tried in rivals(low, high):
+            _, _, name, begin, stop, t = tried
+            _, template, slots, _ = _templates()[t]
+            drop(tried)
+            differences, first, end = compare(words[begin:stop], template, slots)
+            if differences <= MAX_DIFFERENCE * len(template):
+                taken[begin + first: begin + end] = b"\1" * (end - first)
+                spans = spans or [m.span() for m in _WORD.finditer(text)]
+                out.append((begin + first, (name, spans[begin][0], saved, differences, differences == 0)))
+                add(t, begin, begin + first)
+                add(t, begin + end, stop)
+                break
+        if entry in near[low // CELL]:
+            heapq.heappush(waiting, entry)
     return [row for _, row in sorted(out)]
 
 

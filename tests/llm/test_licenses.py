@@ -118,3 +118,9 @@ def test_whole_text_is_one_row():
 def test_very_long_text():
     long = "license and copy of the software under any river " * 60_000 + MIT + " blue stone" * 100_000
     assert [(r[0], r[3]) for r in lc.scan(long)] == [("MIT", 0)]
+
+
+def test_exact_wording_is_not_lost_to_a_rival():
+    for before in ("seen there ththe onion %%% ", "river stone and blue notice of ", "1. 2. 3. "):
+        row, = lc.scan(f"{before * 3}This work is licensed under the GNU General Public License, version 3. {before}")
+        assert row[0] == "GPL" and row[4]
