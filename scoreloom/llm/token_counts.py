@@ -9,9 +9,15 @@ transitions are built when first met and kept by each Python worker up to a boun
 The state after the start of a word doesn't depend on what came before, as no token runs over a word's start. A text is cut
 into chunks that are counted on their own: a chunk's map says what it adds and in which state it ends, given the state it
 starts in. Chunks with a word start inside have a map that is constant behind it; only the piece before (the head) depends
-on the start. Maps compose associatively, and the chunks of a long text are combined in order of their places.
+on the start. A chunk without one is all head, and its map is a table of the few start states it may be entered in: the one
+that the characters before it lead to, and, in rounds, every other one in which the map of the chunk before it ends. States
+forget what lies far back, so the first guess is nearly always right; where it is not, only that chunk is read again.
 
-Null texts are empty and have no tokens. Repeated rows are counted alike. Texts may have any length; chunks bound the work.
+Maps compose associatively: a prefix scan joins neighbours pairwise, (0, 1), (2, 3) and so on, in log2(chunks) rounds, each a
+shuffle of rows of a few dozen bytes. No chunk's text leaves its task, and no text is put together again.
+
+Null texts are empty and have no tokens. Repeated rows are counted alike. Texts may have any length, with or without spaces;
+chunks bound the work. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ from scoreloom.llm.common import stored, text_bytes
 
 CHUNK = 1 << 16
 LIMIT = 4096
+#: Characters before a chunk that are read to guess the state it starts in.
+WARM_UP = 64
 #: Transitions and compatibility facts a worker keeps; beyond it the tables are dropped and built anew.
 MAX_TRANSITIONS = 500_000
 MAX_FACTS = 500_000
@@ -237,18 +245,37 @@ class Transducer:
         state, count = self.run(self.word_start(), text[last:])
         return text[:at], self.count(text[at:last]) + count, state[""]
 
+    def follow(self, state: dict, chunk: tuple[str | None, int, tuple]) -> tuple[dict, int]:
+        """Where a chunk's map leads from a state, and the tokens it adds."""
+        head, count, facts = chunk
+        more = 0
+        if head:
+            state, more = self.run(state, head)
+        return self._state(tuple(tuple(f) for f in facts)) if facts else state, count + more
+
     def compose(self, maps: list[tuple[str | None, int, tuple]]) -> int:
         """Tokens of a text from its chunks' maps in order."""
         total, state = 0, self.start
-        for head, count, facts in maps:
-            if head:
-                state, more = self.run(state, head)
-                total += more
-            total += count
-            if facts:
-                state = self._state(tuple(tuple(f) for f in facts))
+        for chunk in maps:
+            state, more = self.follow(state, chunk)
+            total += more
         return total
 
+    def entry(self, text: str, at: int, before: str, start: bytes | None) -> tuple[bytes, bytes, int]:
+        """(start, end, tokens) of chunk number ``at`` from a packed start state, or from the guess that ``before`` leads to."""
+        if start is not None:
+            state = self._state(tuple(tuple(f) for f in np.frombuffer(start, "<i8").reshape(-1, 3).tolist()))
+        else:
+            state = self.run(self.word_start(), before)[0] if at else self.start
+        begin = packed(state)
+        end, count = self.follow(state, self.chunk_map(text, at == 0))
+        return begin, packed(end), count
+
+
+def packed(state: dict) -> bytes:
+    """A state's facts as bytes, the same in every worker."""
+    return np.asarray(state[""], "<i8").tobytes()
+
 
 def _first_word(text: str) -> int:
     """The first place where a word mark follows another character."""
@@ -272,14 +299,56 @@ def machine(model_file: str) -> Transducer:
     return _machines[model_file]
 
 
-_FACTS = pa.list_(pa.struct([("node", pa.int64()), ("last", pa.int64()), ("count", pa.int64())]))
+def _entries(rows: DataFrame, model_file: str) -> DataFrame:
+    """(row, at, start, end, n) of chunks (row, at, piece, before, start); a null start is guessed."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transducer = machine(model_file)
+        for batch in batches:
+            found = [transducer.entry(marked(p) if at == 0 else p.replace(" ", SPACE), at, b.replace(" ", SPACE), s)
+                     for at, p, b, s in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)),
+                 pa.array([f[2] for f in found], pa.int64())], names=["row", "at", "start", "end", "n"])
+
+    return (rows.select("row", "at", "piece", "before", "start")
+            .mapInArrow(over, "row bigint, at int, start binary, end binary, n bigint"))
+
+
+def _chunk_maps(pieces: DataFrame, model_file: str) -> DataFrame:
+    """Maps of chunks as rows (row, at, start, end, n) that hold every state in which the chunk before ends."""
+    maps = stored(_entries(pieces.withColumn("start", F.lit(None).cast("binary")), model_file), "count-maps")
+    while True:
+        asked = maps.select("row", (F.col("at") + 1).alias("at"), F.col("end").alias("start")).distinct()
+        unknown = asked.join(maps, ["row", "at", "start"], "left_anti").join(pieces, ["row", "at"])
+        more = stored(_entries(unknown, model_file), "count-more")
+        if more.isEmpty():
+            return maps
+        maps = stored(maps.union(more), "count-maps")
+
+
+def _scan(maps: DataFrame, chunks: int) -> DataFrame:
+    """(row, n_tokens): the maps of a text's chunks composed pairwise until one is left, which is read at the start state."""
+    level = maps.groupBy("row", "at").agg(F.collect_list(F.struct("start", "end", "n")).alias("map"))
+    while chunks > 1:
+        side = F.col("at") % 2
+        level = (level.groupBy("row", F.floor(F.col("at") / 2).cast("int").alias("at"))
+                 .agg(F.max(F.when(side == 0, F.col("map"))).alias("left"), F.max(F.when(side == 1, F.col("map"))).alias("right")))
+
+        def joined(one):
+            after = F.filter("right", lambda two: two["start"] == one["end"])[0]
+            return F.struct(one["start"].alias("start"), after["end"].alias("end"), (one["n"] + after["n"]).alias("n"))
+
+        level = level.select("row", "at", F.when(F.col("right").isNull(), F.col("left"))
+                             .otherwise(F.transform("left", joined)).alias("map"))
+        chunks = (chunks + 1) // 2
+    return level.select("row", F.col("map")[0]["n"].alias("n_tokens"))  # a text's first chunk has one start
 
 
 def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per document: id, n_bytes (UTF-8) and n_tokens.
 
     Texts of up to ``chunk`` characters are counted where they are read. Longer ones are cut, their chunks dealt to all
-    tasks, and the maps (small rows) meet by document for the composition.
+    tasks, and the maps (small rows) meet pairwise for the composition.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").alias("id"), whole.alias("text"))
@@ -297,34 +366,14 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text:
 
     # Rows that repeat an id stay apart by a number given once, in a written table.
     long = stored(base.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id()), "count-long")
-    places = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))
-    pieces = (long.select("row", "text", F.explode(places).alias("at"))
-              .select("row", "at", F.substring("text", F.col("at") * chunk + 1, chunk).alias("piece"))
-              .repartition("row", "at"))
-
-    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = machine(model_file)
-        for batch in batches:
-            out = [transducer.chunk_map(marked(p) if at == 0 else p.replace(" ", SPACE), at == 0)
-                   for at, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            facts = [[{"node": a, "last": b, "count": c} for a, b, c in f] for _, _, f in out]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([h for h, _, _ in out], pa.string()),
-                 pa.array([c for _, c, _ in out], pa.int64()), pa.array(facts, _FACTS)],
-                names=["row", "at", "head", "count", "facts"])
-
-    mapped = pieces.mapInArrow(maps, "row bigint, at int, head string, count bigint, "
-                                     "facts array<struct<node:bigint,last:bigint,count:bigint>>")
-    chains = mapped.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "head", "count", "facts"))).alias("maps"))
-
-    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = machine(model_file)
-        for batch in batches:
-            n = [transducer.compose([(m["head"], m["count"], tuple(tuple(f.values()) for f in m["facts"])) for m in chain])
-                 for chain in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["row", "n_tokens"])
-
-    totals = chains.mapInArrow(composed, "row bigint, n_tokens bigint")
+    last = F.floor((F.length("text") - 1) / chunk).cast("int")
+    begin = F.col("at") * chunk
+    pieces = stored(long.select("row", "text", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+                    .select("row", "at", F.substring("text", begin + 1, chunk).alias("piece"),
+                            F.substring("text", F.greatest(begin - WARM_UP, F.lit(0)) + 1, F.least(begin, F.lit(WARM_UP))).alias("before"))
+                    .repartition("row", "at"), "count-pieces")
+    chunks = int(pieces.agg(F.max("at")).first()[0] or 0) + 1
+    totals = _scan(_chunk_maps(pieces, model_file), chunks)
     counted = (long.select("row", "id", F.octet_length("text").cast("long").alias("n_bytes")).join(totals, "row")
                .select("id", "n_bytes", "n_tokens"))
     return short.union(counted)

@@ -36,3 +36,23 @@ def test_documents(spark, docs, awkward):
         want = sorted((r.doc_id is None, r.doc_id, len((r.text or "").encode()), len(library.encode(r.text or ""))) for r in df.collect())
         assert [x[2:] for x in got] == [x[2:] for x in want] and len(got) == len(want)
     assert tc.token_counts(awkward.limit(0), MODEL).count() == 0
+
+
+def test_long_texts_without_word_starts(spark, monkeypatch):
+    """Chunks that hold no word start have maps too, also where the guessed start is wrong, and are composed pairwise."""
+    library, rnd = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(9)
+    texts = ["".join(rnd.choice(kind) for _ in range(size)) for kind in ("ab", "aeinorst", "0123456789abcdef+/", "漢字あa", "e", " ", "\n a")
+             for size in (1, 999, 1000, 1001, 7013)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for warm_up, chunk in ((tc.WARM_UP, 1000), (0, 37)):  # without a warm-up every chunk is entered in another state than guessed
+        monkeypatch.setattr(tc, "WARM_UP", warm_up)
+        got = {r.id: r.n_tokens for r in tc.token_counts(rows.limit(len(texts)), MODEL, chunk=chunk).collect()}
+        assert got == {i: len(library.encode(t)) for i, t in enumerate(texts)}
+
+
+def test_twenty_megabytes_without_a_space(spark):
+    """A text of twenty million characters without a space is counted through its chunks as the library counts it."""
+    library, text = sentencepiece.SentencePieceProcessor(model_file=MODEL), "abcdefghijklmnopqrstuvwxyz0123456789" * 555_556
+    rows = spark.createDataFrame([(1, text[: 1 << 20])], "doc_id long, text string")
+    twenty = rows.selectExpr("doc_id", "repeat(text, 20) as text")
+    assert tc.token_counts(twenty, MODEL).first().n_tokens == len(library.encode(text[: 1 << 20] * 20))
