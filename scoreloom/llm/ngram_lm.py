@@ -9,7 +9,8 @@ Bigrams go to shards by their first word; a word with a large share of all token
 second word, so no shard holds an unbounded part. A shard's bigrams are a trie of two levels in one file that is mapped into
 memory: sorted context words with Elias-Fano coded pointers, and the successors of each context as an Elias-Fano coded
 monotone sequence of vocabulary numbers relative to their context, with discounted probabilities quantised to 16 bits.
-Queries search the successors of their own context only.
+A shard's file is decoded once, when it has been mapped; the questions of all batches are then looked up together, each
+distinct one once and in ascending order, so that a search goes on near the place where the one before it ended.
 
 Words are told apart by 64-bit hashes, inside a shard by 48 bits of them, and successors of one context inside a shard by 32 bits;
 a shard's share is bounded, so the chance to mix up two does not grow with the corpus. Null and empty texts have the end token alone.
@@ -36,7 +37,7 @@ from scoreloom.session import new_table_path
 #: Text of one batch; its words and bigrams are asked for together.
 BATCH_BYTES = 4 << 20
 #: A shard's share of the work: what so many batches of texts hold.
-BATCHES_PER_SHARD = 2.0
+BATCHES_PER_SHARD = 4.0
 #: A context is split when it holds more than this part of a shard's tokens.
 SPLIT_SHARE = 0.25
 #: Steps of the quantised log2 probability.
@@ -47,6 +48,16 @@ _END = np.uint64(0x454E44)
 _LOW32 = np.uint64((1 << 32) - 1)
 
 
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of each value among them; repeats are found by hash before the sort."""
+    coded = pa.array(values).dictionary_encode()
+    distinct = coded.dictionary.to_numpy()
+    order = np.argsort(distinct)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place[coded.indices.to_numpy()]
+
+
 # --- Elias-Fano -----------------------------------------------------------------------------------------------------
 
 
@@ -142,6 +153,13 @@ class Trie:
         out[real] = self.codes[at[real]]
         return out
 
+    def followers(self, context: np.ndarray) -> np.ndarray:
+        """Different successors of each context, 0 where it is not in the trie."""
+        if not len(self.contexts):
+            return np.zeros(len(context), np.int64)
+        c = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+        return np.where(self.contexts[c] == context, self.pointer[c + 1] - self.pointer[c], 0)
+
 
 # --- batches ----------------------------------------------------------------------------------------------------------
 
@@ -161,8 +179,11 @@ class Tokens:
         inner = np.ones(len(self.word), bool)
         inner[ends] = False
         self.word[inner], self.word[ends] = words.hashes(), _END
-        self.before = np.concatenate(([_START], self.word[:-1])) if len(self.word) else self.word
-        self.before[np.concatenate(([0], ends[:-1] + 1)) if n_texts else []] = _START
+        #: The different words, ascending, and the number of each token among them.
+        self.words, self.number = ranked(self.word)
+        #: The number of the word before each token, one beyond the last word at a text's start.
+        self.before = np.append(len(self.words), self.number[:-1])[: len(self.word)]
+        self.before[ends[:-1] + 1] = len(self.words)
         self.sizes = sizes
 
 
@@ -281,7 +302,7 @@ def word_counts(texts: DataFrame, shards: int) -> tuple[str, int, int]:
     """(answers with the training counts of each batch's words, all training tokens, different training tokens)."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each(batches):
-            word, place = np.unique(part.tokens.word, return_inverse=True)
+            word, place = part.tokens.words, part.tokens.number
             count = np.bincount(place, part.train[part.tokens.text], minlength=len(word)).astype("<u4")
             for s, mine in by_shard(_word_shards(word, shards)):
                 yield pa.RecordBatch.from_arrays(
@@ -293,7 +314,7 @@ def word_counts(texts: DataFrame, shards: int) -> tuple[str, int, int]:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, mine in shard_rows(batches):
             words = [full(r["words"], 6) for r in mine]
-            known, place = np.unique(np.concatenate(words), return_inverse=True)
+            known, place = ranked(np.concatenate(words))
             counts = np.concatenate([loosen(r["counts"], "<u4") for r in mine])
             total = np.bincount(place, counts, minlength=len(known)).astype("<i8")
             n_all, n_known, at = int(total.sum()), int((total > 0).sum()), 0
@@ -311,28 +332,22 @@ def word_counts(texts: DataFrame, shards: int) -> tuple[str, int, int]:
     return path, int(found[0] or 0), int(found[1] or 0)
 
 
-def batch_words(path: str, part: Batch, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The batch's different words and their counts over all training texts."""
-    word = np.unique(part.tokens.word)
+def batch_words(path: str, part: Batch, shards: int) -> np.ndarray:
+    """Counts of the batch's different words over all training texts."""
+    word = part.tokens.words
     count = np.zeros(len(word), np.int64)
     told = {r["shard"]: r["counts"] for r in read_answers(path, part.number, ["shard", "counts"])}
     for s, mine in by_shard(_word_shards(word, shards)):
         count[mine] = loosen(told[s], "<i8")
-    return word, count
+    return count
 
 
-def _bigrams(tokens: Tokens, word: np.ndarray, count: np.ndarray, starts: int) -> tuple[np.ndarray, ...]:
+def _bigrams(tokens: Tokens, count: np.ndarray, starts: int) -> tuple[np.ndarray, ...]:
     """Distinct bigrams of a batch in order of (context, 32 bits of the word): both, the place of each token, context totals."""
-    second = mix(tokens.word) & _LOW32
-    # One 64-bit number stands for a pair inside a batch; pairs are ordered by context and word behind it.
-    order = np.lexsort((second, tokens.before))
-    v, w = tokens.before[order], second[order]
-    new = np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])) if len(v) else np.zeros(0, bool)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.cumsum(new) - 1
-    v, w = v[new], w[new]
-    total = np.where(v == _START, starts, count[np.minimum(np.searchsorted(word, v), len(word) - 1)])
-    return v, w, place, total
+    second = (mix(tokens.words) & _LOW32)[tokens.number]
+    pair, place = ranked(tokens.before.astype(np.uint64) << np.uint64(32) | second)
+    context = (pair >> np.uint64(32)).astype(np.int64)
+    return np.append(tokens.words, _START)[context], pair & _LOW32, place, np.append(count, starts)[context]
 
 
 def _questions(v: np.ndarray, w: np.ndarray, total: np.ndarray, n_tokens: int, shards: int) -> Iterator[tuple]:
@@ -365,7 +380,7 @@ def bigram_answers(texts: DataFrame, words: str, starts: int, n_tokens: int, sha
     """Answers with each batch's bigrams: quantised probabilities, and per context its number of different successors."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each(batches):
-            v, w, place, total = _bigrams(part.tokens, *batch_words(words, part, shards), starts)
+            v, w, place, total = _bigrams(part.tokens, batch_words(words, part, shards), starts)
             count = np.bincount(place, part.train[part.tokens.text], minlength=len(v)).astype("<u4")
             for s, mine, heads, sizes in _questions(v, w, total, n_tokens, shards):
                 yield pa.RecordBatch.from_arrays(
@@ -380,40 +395,37 @@ def bigram_answers(texts: DataFrame, words: str, starts: int, n_tokens: int, sha
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, mine in shard_rows(batches):
-            contexts = [full(r["contexts"], 6) for r in mine]
+            heads = [full(r["contexts"], 6) for r in mine]
+            known, number = ranked(np.concatenate(heads))
+            total = np.zeros(len(known), np.int64)
+            total[number] = np.concatenate([loosen(r["totals"], "<i8") for r in mine])
             sizes = [loosen(r["sizes"], "<u4") for r in mine]
-            word = [full(r["words"], 4) for r in mine]
-            count = np.concatenate([loosen(r["counts"], "<u4") for r in mine]).astype(np.int64)
-            seen = count > 0
-            level = _count_level(np.concatenate([np.repeat(c, n) for c, n in zip(contexts, sizes, strict=True)])[seen],
-                                 np.concatenate(word)[seen], count[seen],
-                                 np.concatenate([np.repeat(loosen(r["totals"], "<i8"), n) for r, n in zip(mine, sizes, strict=True)])[seen])
-            write_levels(folder, f"shard-{s:06d}", build_trie(*level, discount))
+            word = np.concatenate([full(r["words"], 4) for r in mine])
+            pair, place = ranked(np.repeat(number, np.concatenate(sizes)).astype(np.uint64) << np.uint64(32) | word)
+            count = np.bincount(place, np.concatenate([loosen(r["counts"], "<u4") for r in mine]), minlength=len(pair)).astype(np.int64)
+            write_levels(folder, f"shard-{s:06d}", build_trie(*_count_level(known, total, pair, count), discount))
             trie = Trie(map_levels(folder, f"shard-{s:06d}"))
-            different = np.append(np.diff(level[2]), 0)
-            for r, c, n, w in zip(mine, contexts, sizes, word, strict=True):
-                code = trie.look_up(np.repeat(c, n), w)
-                at = np.searchsorted(trie.contexts, c)
-                known = np.append(trie.contexts, 0)[at] == c if len(trie.contexts) else np.zeros(len(c), bool)
+            code = trie.look_up(known[(pair >> np.uint64(32)).astype(np.int64)], pair & _LOW32).astype("<u2")
+            different = trie.followers(known).astype("<u4")
+            first, head = 0, 0
+            for r, c, n in zip(mine, heads, sizes, strict=True):
+                last = first + int(n.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["batch"]]), pa.array([s], pa.int32()), pa.array([squeeze(code.astype("<u2"))], pa.binary()),
-                     pa.array([squeeze(np.where(known & (at < len(trie.contexts)), different[at], 0).astype("<u4"))], pa.binary())],
+                    [pa.array([r["batch"]]), pa.array([s], pa.int32()), pa.array([squeeze(code[place[first: last]])], pa.binary()),
+                     pa.array([squeeze(different[number[head: head + len(c)]])], pa.binary())],
                     names=["batch", "shard", "codes", "different"])
+                first, head = last, head + len(c)
 
     return answers(asked.mapInArrow(answer, "batch bigint, shard int, codes binary, different binary"), "lm-bigrams")
 
 
-def _count_level(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Ascending contexts, their totals, pointers, ascending successors, and counts added up."""
-    order = np.lexsort((word, context))
-    context, word, count, total = context[order], word[order], count[order], total[order]
-    if not len(context):
-        return context, total, np.zeros(1, np.int64), word, count
-    first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
-    count = np.add.reduceat(count, first)
-    context, word, total = context[first], word[first], total[first]
-    head = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-    return context[head], total[head], np.append(head, len(context)), word, count
+def _count_level(known: np.ndarray, total: np.ndarray, pair: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Contexts seen in training, their totals, pointers, successors and counts, from ascending pairs (context number, word)."""
+    seen = count > 0
+    pair, count = pair[seen], count[seen]
+    owner = (pair >> np.uint64(32)).astype(np.int64)
+    head = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+    return known[owner[head]], total[owner[head]], np.append(head, len(owner)), pair & _LOW32, count
 
 
 def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str = "text", discount: float = 0.75) -> DataFrame:
@@ -430,10 +442,10 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each(batches):
             tokens = part.tokens
-            word, count = batch_words(words, part, shards)
-            c = count[np.searchsorted(word, tokens.word)]
+            count = batch_words(words, part, shards)
+            c = count[tokens.number]
             unigram = (c + 0.5) / (n_tokens + 0.5 * (n_words + 1))
-            v, w, place, total = _bigrams(tokens, word, count, starts)
+            v, w, place, total = _bigrams(tokens, count, starts)
             told = {r["shard"]: r for r in read_answers(bigrams, part.number, ["shard", "codes", "different"])}
             share, different = np.zeros(len(v)), np.zeros(len(v))
             for s, mine, heads, _ in _questions(v, w, total, n_tokens, shards):
