@@ -4,9 +4,12 @@ A text becomes a sequence of tokens in which numbers, names and units are typed
 again with other values keeps its template. Windows of six tokens are joined by hash. A document is probed for those windows of
 items that hold three literal words. Documents that hit are compared window by window, with or without literal words, windows on one diagonal (same distance between the places in both texts) make a run, and a run counts when it has
 13 tokens or the whole item. Then the values in the slots are compared: each value of the item must stand for one value of
-the document throughout the run, else the likeness is of the form only.
+the document throughout the run, else the likeness is of the form only, and what counts is the longest stretch in it that is word for
+word the same, values too, if that has 13 tokens or the whole item.
 
-Names are capitalised words inside a sentence; units are a fixed list behind a number. Items with fewer than eight tokens,
+Names are capitalised words inside a sentence, which a question's first word in mid-line or a lower-cased copy would be taken for
+wrongly. So a window with a name has a second form, in which names are words in lower case; forms of either text meet those of
+the other, and whether a word was a name is settled by what matches. Units are a fixed list behind a number. Items with fewer than eight tokens,
 or with no window of three literal words, can't be told from chance and match nothing. Null and empty texts match nothing.
 Repeated documents each get their rows; repeated items count once per item id, and an id with different texts has the best
 match of any. Empty tables give empty results.
@@ -41,13 +44,18 @@ _NUMBER = r"(\p{N}[\p{N}.,]*+)"
 _UNIT = "([ ]?+)((?i:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{M}]))"
 
 
-def _templated(text: Column) -> Column:
-    """Tokens with placeholders, values gone."""
-    t = F.regexp_replace(F.regexp_replace(text, _NAME, NAME), _NUMBER, f" {NUMBER} ")
+def _named(text: Column) -> Column:
+    """Tokens with placeholders; names stand behind theirs, other values are gone."""
+    t = F.regexp_replace(F.regexp_replace(text, _NAME, f"{NAME}$1"), _NUMBER, f" {NUMBER} ")
     t = F.regexp_replace(t, f"{NUMBER} {_UNIT}", f"{NUMBER} {UNIT} ")
     return F.filter(F.split(F.lower(t), rf"[^\p{{L}}\p{{M}}{NAME}-{UNIT}]+"), lambda w: w != "")
 
 
+def _templated(text: Column) -> Column:
+    """Tokens with placeholders, values gone."""
+    return F.transform(_named(text), _shape)
+
+
 def _valued(text: Column) -> Column:
     """The same tokens with the value behind each placeholder."""
     t = F.regexp_replace(F.regexp_replace(text, _NAME, f"{NAME}$1"), _NUMBER, f" {NUMBER}$1 ")
@@ -61,19 +69,32 @@ def _shape(token: Column) -> Column:
     return F.when(first.isin(NAME, NUMBER, UNIT), first).otherwise(token)
 
 
+def _bare(token: Column) -> Column:
+    """A token without the mark of a name."""
+    return F.when(F.substring(token, 1, 1) == NAME, F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with the value worked out once, also where the body uses it inside a loop over an array."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _windows(tokens: Column) -> Column:
-    """(place, hash) of every window of a token array."""
-    def build(t: Column) -> Column:
-        last = F.size(t) - WINDOW
+    """(place, literal words, hash) of every window of an array of tokens with values, and of its form without names if it has one."""
+    is_word = lambda w: ~F.substring(w, 1, 1).isin(NAME, NUMBER, UNIT)
+
+    def form(t: Column, i: Column) -> Column:
+        return _let(F.slice(t, i + 1, WINDOW), lambda w: F.struct(
+            i.alias("at"), F.size(F.filter(w, is_word)).alias("literals"), F.xxhash64(w).alias("hash")))
+
+    def build(shapes: Column, words: Column) -> Column:
+        last = F.size(shapes) - WINDOW
         places = F.when(last >= 0, F.sequence(F.lit(0), last))
-        return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(t, i + 1, WINDOW)).alias("hash")))
+        named = F.filter(places, lambda i: F.array_contains(F.slice(shapes, i + 1, WINDOW), NAME))
+        return F.concat(F.transform(places, lambda i: form(shapes, i)), F.transform(named, lambda i: form(words, i)))
 
-    return _let(tokens, build)
+    return _let(F.transform(tokens, _shape), lambda shapes: _let(
+        F.transform(tokens, lambda t: _shape(_bare(t))), lambda words: build(shapes, words)))
 
 
 def _hinted(df: DataFrame, rows: int) -> DataFrame:
@@ -87,10 +108,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
              .distinct().withColumn("item", F.struct(F.col("item").alias("id"), text_key(F.col("t")).alias("of"))).withColumn("values", _valued(F.col("t")))
              .withColumn("tokens", F.transform("values", _shape)).where(F.size("tokens") >= MIN_ITEM).drop("t"))
     items = stored(items, "bench-items")
-    literals = lambda ws: F.size(F.filter(ws, lambda w: ~F.substring(w, 1, 1).isin(NAME, NUMBER, UNIT)))
-    windows = (items.select("item", "tokens", F.explode(_windows(F.col("tokens"))).alias("w"))
+    windows = (items.select("item", F.explode(_windows(F.col("values"))).alias("w"))
                .select("item", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash"),
-                       (literals(F.slice(F.col("tokens"), F.col("w.at") + 1, WINDOW)) >= MIN_LITERALS).alias("telling")))
+                       (F.col("w.literals") >= MIN_LITERALS).alias("telling")))
     windows = stored(windows, "bench-windows")
     telling = windows.where("telling")
     n_windows = telling.count()
@@ -98,8 +118,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     # Probe: which texts have a window of which item. A text is probed as often as it stands in the table.
     whole = docs.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     probes = (whole.select(text_key(F.col("text")).alias("key"),
-                           F.explode(_windows(_templated(F.col("text")))).alias("w"))
-              .select("key", F.col("w.hash").alias("hash")))
+                           F.explode(_windows(_named(F.col("text")))).alias("w"))
+              .where(F.col("w.literals") >= MIN_LITERALS).select("key", F.col("w.hash").alias("hash")))
     known = telling.groupBy("hash").agg(F.collect_set("item").alias("items"))
     hits = stored(probes.join(_hinted(known, n_windows), "hash").select("key", F.explode("items").alias("item")).distinct(),
                   "bench-hits")
@@ -107,10 +127,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     # Compare: all windows of the texts that hit, each text once.
     keys = hits.select("key").distinct()
     chosen = (whole.withColumn("key", text_key(F.col("text"))).join(keys, "key", "left_semi").dropDuplicates(["key"])
-              .withColumn("values", _valued(F.col("text"))).withColumn("tokens", F.transform("values", _shape))
-              .select("key", "values", "tokens"))
+              .withColumn("values", _valued(F.col("text"))).select("key", "values"))
     chosen = stored(chosen, "bench-texts")
-    places = chosen.select("key", F.explode(_windows(F.col("tokens"))).alias("w")).select("key", F.col("w.at").alias("at"),
+    places = chosen.select("key", F.explode(_windows(F.col("values"))).alias("w")).select("key", F.col("w.at").alias("at"),
                                                                                           F.col("w.hash").alias("hash"))
     # Windows without literal words are common, so only those of the items that hit the text are looked up in it.
     same = places.join(hits.join(windows.select("item", "item_at", "hash"), "item"), ["key", "hash"])
@@ -130,14 +149,29 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
              .withColumn("_a", F.slice("item_values", F.col("low") + 1, F.col("high") - F.col("low")))
              .withColumn("_b", F.slice("values", F.col("low") + F.col("shift") + 1, F.col("high") - F.col("low")))
              .withColumn("slots", F.filter(F.arrays_zip("_a", "_b"), lambda z: F.substring(z["_a"], 1, 1).isin(NAME, NUMBER, UNIT)))
+             .withColumn("slots", F.transform("slots", lambda z: F.struct(_bare(z["_a"]).alias("_a"), _bare(z["_b"]).alias("_b"))))
              .withColumn("links", F.array_distinct("slots"))
              .withColumn("conflicts", F.size("links") - F.size(F.array_distinct(F.transform("links", lambda z: z["_a"]))))
              .withColumn("changed", F.size(F.filter("slots", lambda z: z["_a"] != z["_b"]))))
-    good = pairs.where(F.col("conflicts") <= F.lit(MAX_CONFLICTS) * F.size("slots"))
+    whole_run = pairs.where(F.col("conflicts") <= F.lit(MAX_CONFLICTS) * F.size("slots")).select(
+        "key", "item", "item_tokens", "low", "shift", (F.col("high") - F.col("low")).alias("run"), F.size("slots").alias("n_slots"), "changed")
+    # Of a run that contradicts itself: its stretches without a difference, longest first, as (-tokens, place, end).
+    alike = F.transform(F.arrays_zip("_a", "_b"), lambda z: _bare(z["_a"]).eqNullSafe(_bare(z["_b"])))
+    breaks = F.concat(F.array(F.lit(-1)), F.filter(F.transform("alike", lambda x, i: F.when(~x, i)), lambda i: i.isNotNull()),
+                      F.array(F.size("alike")))
+    stretches = F.zip_with("breaks", F.slice("breaks", 2, F.size("breaks")), lambda x, y: F.struct(
+        (x + 1 - y).alias("less"), (x + 1).alias("from"), y.alias("to")))
+    torn = (pairs.where(F.col("conflicts") > F.lit(MAX_CONFLICTS) * F.size("slots")).withColumn("alike", alike).withColumn("breaks", breaks)
+            .withColumn("best", F.array_min(F.filter(stretches, lambda z: z["to"].isNotNull())))
+            .where(-F.col("best.less") >= F.least(F.lit(RUN), F.col("item_tokens"))))
+    mark = lambda w: F.substring(w, 1, 1).isin(NAME, NUMBER, UNIT)
+    stretch = torn.select("key", "item", "item_tokens", (F.col("low") + F.col("best.from")).alias("low"), "shift", (-F.col("best.less")).alias("run"),
+                          F.size(F.filter(F.slice("_a", F.col("best.from") + 1, -F.col("best.less")), mark)).alias("n_slots"),
+                          F.lit(0).alias("changed"))
+    good = whole_run.union(stretch)
     best = good.groupBy("key", F.col("item.id").alias("item_id")).agg(F.max_by(
-        F.struct((F.col("high") - F.col("low")).alias("run_tokens"), F.col("item_tokens"), F.size("slots").alias("n_slots"),
-                 F.col("changed").alias("n_changed")),
-        F.struct((F.col("high") - F.col("low")), -F.col("changed"), -F.col("low"), -F.col("shift"), "item_tokens", "item.of")).alias("m"))
+        F.struct(F.col("run").alias("run_tokens"), "item_tokens", "n_slots", F.col("changed").alias("n_changed")),
+        F.struct("run", -F.col("changed"), -F.col("low"), -F.col("shift"), "item_tokens", "item.of")).alias("m"))
     return best.select("key", "item_id", *[F.col(f"m.{c}").cast("long").alias(c) for c in
                                                                ("run_tokens", "item_tokens", "n_slots", "n_changed")])
 

@@ -38,11 +38,24 @@ def test_short_items_with_many_numbers_and_ids_with_two_texts(spark):
     bench = spark.createDataFrame([(1, short), (2, QUESTION), (2, "A different text of the same item comes here first")],
                                   "item_id long, text string")
     df = spark.createDataFrame([(i, "filler " * i + short) for i in range(4)] + [(9, QUESTION), (10, "nothing of it at all " * 5)],
-                               "doc_id long, text string").selectExpr("doc_id", "replace(text, 'filler Compute', 'filler. Compute') text")
+                               "doc_id long, text string")
     got = sorted((r.doc_id, r.item_id) for r in D.contaminated(df, bench).collect())
     assert got == [(0, 1), (1, 1), (2, 1), (3, 1), (9, 2)]
 
 
+def test_names_are_settled_by_what_matches(spark):
+    short, first = "Compute 12 * 7 - 5 + 3 and then divide by 2", "In the small town of Arden a farmer named Anna bought 12 apples and 30.5 kg of corn"
+    long = f"{first} from Peter, and then Anna sold 12 apples to Maria for 7 dollars."
+    bench = spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    cases = {short: (1, 0), f"see problem 12 {short}": (1, 0), f"so, {short}": (1, 0), f"so, {short.upper()}": (1, 0),
+             f"so, {short.replace('12', '15')}": (1, 1), long.lower(): (2, 0), f"yes, {long.lower()} end": (2, 0),
+             long.replace("then Anna", "then Hans"): (2, 0),  # contradicts itself; what stands before the change is word for word the same
+             first.replace("Anna", "Otto") + " of his own and no more than that": (2, 1)}
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_changed) for r in D.contaminated(df, bench).collect()}
+    assert got == {(i, *want) for i, want in enumerate(cases.values())}
+
+
 def test_both_canonical_forms_agree(docs):
     same = F.transform(D._valued(F.col("text")), D._shape) == D._templated(F.col("text"))
     assert docs.where(~same).count() == 0
