@@ -74,27 +74,28 @@ def _bare(token: Column) -> Column:
     return F.when(F.substring(token, 1, 1) == NAME, F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
+def _word(token: Column) -> Column:
+    """A token's shape where names are words."""
+    first = F.substring(token, 1, 1)
+    return F.when(first == NAME, F.substring(token, 2, 1 << 30)).when(first.isin(NUMBER, UNIT), first).otherwise(token)
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with the value worked out once, also where the body uses it inside a loop over an array."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _windows(tokens: Column) -> Column:
-    """(place, literal words, hash) of every window of an array of tokens with values, and of its form without names if it has one."""
-    is_word = lambda w: ~F.substring(w, 1, 1).isin(NAME, NUMBER, UNIT)
-
-    def form(t: Column, i: Column) -> Column:
-        return _let(F.slice(t, i + 1, WINDOW), lambda w: F.struct(
-            i.alias("at"), F.size(F.filter(w, is_word)).alias("literals"), F.xxhash64(w).alias("hash")))
-
+    """(place, hash, whether names are words in it) of every window of an array of tokens with values, and of its form without names if it has one."""
     def build(shapes: Column, words: Column) -> Column:
         last = F.size(shapes) - WINDOW
         places = F.when(last >= 0, F.sequence(F.lit(0), last))
         named = F.filter(places, lambda i: F.array_contains(F.slice(shapes, i + 1, WINDOW), NAME))
-        return F.concat(F.transform(places, lambda i: form(shapes, i)), F.transform(named, lambda i: form(words, i)))
+        form = lambda t, i, f: F.struct(i.alias("at"), F.xxhash64(F.slice(t, i + 1, WINDOW)).alias("hash"), F.lit(f).alias("words"))
+        plain = F.transform(places, lambda i: form(shapes, i, False))
+        return F.when(F.array_contains(shapes, NAME), F.concat(plain, F.transform(named, lambda i: form(words, i, True)))).otherwise(plain)
 
-    return _let(F.transform(tokens, _shape), lambda shapes: _let(
-        F.transform(tokens, lambda t: _shape(_bare(t))), lambda words: build(shapes, words)))
+    return _let(F.transform(tokens, _shape), lambda shapes: _let(F.transform(tokens, _word), lambda words: build(shapes, words)))
 
 
 def _hinted(df: DataFrame, rows: int) -> DataFrame:
@@ -108,9 +109,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
              .distinct().withColumn("item", F.struct(F.col("item").alias("id"), text_key(F.col("t")).alias("of"))).withColumn("values", _valued(F.col("t")))
              .withColumn("tokens", F.transform("values", _shape)).where(F.size("tokens") >= MIN_ITEM).drop("t"))
     items = stored(items, "bench-items")
-    windows = (items.select("item", F.explode(_windows(F.col("values"))).alias("w"))
+    part = F.slice("values", F.col("w.at") + 1, WINDOW)
+    marks = F.size(F.filter(part, lambda v: F.substring(v, 1, 1).isin(NUMBER, UNIT) | (~F.col("w.words") & v.startswith(NAME))))
+    windows = (items.select("item", "values", F.explode(_windows(F.col("values"))).alias("w"))
                .select("item", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash"),
-                       (F.col("w.literals") >= MIN_LITERALS).alias("telling")))
+                       (WINDOW - marks >= MIN_LITERALS).alias("telling")))
     windows = stored(windows, "bench-windows")
     telling = windows.where("telling")
     n_windows = telling.count()
@@ -119,7 +122,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     whole = docs.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     probes = (whole.select(text_key(F.col("text")).alias("key"),
                            F.explode(_windows(_named(F.col("text")))).alias("w"))
-              .where(F.col("w.literals") >= MIN_LITERALS).select("key", F.col("w.hash").alias("hash")))
+              .select("key", F.col("w.hash").alias("hash")))
     known = telling.groupBy("hash").agg(F.collect_set("item").alias("items"))
     hits = stored(probes.join(_hinted(known, n_windows), "hash").select("key", F.explode("items").alias("item")).distinct(),
                   "bench-hits")
