@@ -19,6 +19,9 @@ Everything is DataFrame functions. The benchmark's windows go to all tasks only
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +42,7 @@ UNITS = ("mm", "cm", "m", "km", "in", "ft", "mi", "miles", "meters", "metres", "
          "sec", "seconds", "min", "minutes", "h", "hr", "hours", "days", "weeks", "months", "years", "l", "ml", "liters", "litres",
          "gallons", "mph", "kmh", "km/h", "dollars", "euros", "cents", "usd", "eur", "percent", "degrees")
 
-_NAME = r"(?<=[\p{Ll}\p{N},;][ ])(\p{Lu}[\p{L}\p{M}]*+)"
+_NAME = r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;][ ])(\p{Lu}[\p{L}\p{M}]*+)"
 _NUMBER = r"(\p{N}[\p{N}.,]*+)"
 _UNIT = "([ ]?+)((?i:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{M}]))"
 
@@ -98,6 +101,22 @@ def _windows(tokens: Column) -> Column:
     return _let(F.transform(tokens, _shape), lambda shapes: _let(F.transform(tokens, _word), lambda words: build(shapes, words)))
 
 
+def _probes(docs: DataFrame) -> DataFrame:
+    """(key, hash) of the windows, in both forms, of rows (key, tokens); the hashes are those of ``_windows``.
+
+    Places become rows before they are hashed, as compiled code reaches rows and not the inside of array functions.
+    """
+    last = F.size("tokens") - WINDOW
+    # Two numbers a place: the even one for its plain form, the odd one for that in which names are words. Short texts get a null that
+    # goes afterwards: a filter before, which a plain explode brings along too, would make the tokens twice.
+    numbered = docs.select("key", "tokens", F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), 2 * last + 1))).alias("n"))
+    odd = F.col("n").bitwiseAND(F.lit(1)) == 1
+    window = [F.get("tokens", F.shiftright("n", 1) + k) for k in range(WINDOW)]
+    named = functools.reduce(operator.or_, [t.startswith(NAME) for t in window])
+    form = [F.when(~t.startswith(NAME), t).when(odd, F.substring(t, 2, 1 << 30)).otherwise(NAME) for t in window]
+    return numbered.where(F.col("n").isNotNull() & (~odd | named)).select("key", F.xxhash64(*form).alias("hash"))
+
+
 def _hinted(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_WINDOWS else df
 
@@ -120,9 +139,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
 
     # Probe: which texts have a window of which item. A text is probed as often as it stands in the table.
     whole = docs.select(F.col(f"`{text}`").alias("text")).where("text is not null")
-    probes = (whole.select(text_key(F.col("text")).alias("key"),
-                           F.explode(_windows(_named(F.col("text")))).alias("w"))
-              .select("key", F.col("w.hash").alias("hash")))
+    probes = _probes(whole.select(text_key(F.col("text")).alias("key"), _named(F.col("text")).alias("tokens")))
     known = telling.groupBy("hash").agg(F.collect_set("item").alias("items"))
     hits = stored(probes.join(_hinted(known, n_windows), "hash").select("key", F.explode("items").alias("item")).distinct(),
                   "bench-hits")
