@@ -20,8 +20,8 @@ from scoreloom.plans.tables import CONFIG, edges, profiles
 from scoreloom.session import new_table_path
 from scoreloom.sources import star
 from scoreloom.streaming.cooldown import regrouped, with_accepted
-from scoreloom.streaming.jobs import (LateSplit, ProgressLog, ScoringJob, daily_from_hourly_stream, hourly_activity_stream, replace_batch,
-                                      running_score_stream)
+from scoreloom.streaming.jobs import (LateSplit, ProgressLog, ScoringJob, daily_from_hourly_stream, fan_out, hourly_activity_stream,
+                                      replace_batch, running_score_stream)
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
@@ -62,8 +62,10 @@ def _(spark, d):
     def start(events: DataFrame) -> StreamingQuery:
         scored = apply_rules(with_profile(events, profiles(spark, d)), COOLDOWN_RULES)
         write = replace_batch(path)
-        return (with_accepted(spark, scored, COOLDOWN_RULES).writeStream
-                .foreachBatch(lambda batch, n: write(regrouped(batch).select("event_id", "subject_id", "applied_rules", "score_change"), n))
+        # Regrouping reads the micro-batch twice: fan_out keeps it, so the stateful step runs once.
+        sink = fan_out({"changes": lambda batch, n: write(
+            regrouped(batch).select("event_id", "subject_id", "applied_rules", "score_change"), n)})
+        return (with_accepted(spark, scored, COOLDOWN_RULES).writeStream.foreachBatch(sink)
                 .option("checkpointLocation", check).trigger(availableNow=True).start())
 
     _in_steps(spark, d, 4, start)

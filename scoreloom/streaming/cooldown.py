@@ -1,8 +1,9 @@
 """Cooldown in streams (T4): at most n firings of a rule per subject and period, across micro-batches.
 
-The open period of a (subject, rule) is keyed state: when it ends and how many firings it has accepted. An event-time timer
-at its end removes the state once the watermark has passed it, as no firing can fall into the period any more; so state holds the
-periods that are open, not all pairs ever seen.
+The open period of a (subject, rule) is state: when it ends and how many firings it has accepted. Pairs are dealt to buckets, and a bucket's
+open periods are one state, so a micro-batch takes a call per bucket and not per pair. Periods that the watermark has passed are dropped
+whenever their bucket is called, at the latest by an event-time timer at the end of its last one, as no firing can fall into them any
+more; so state holds the periods that are open, not all pairs ever seen.
 
 Inside a micro-batch firings go in (ts, event_id) order. A firing that arrives in a later micro-batch than its time would ask for
 counts into the period that is open on arrival. One that lies behind the watermark is dropped by Spark, as any late row of a stateful operator.
@@ -19,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from scoreloom.model import Rule
 from scoreloom.operators.cooldown import KEYS
@@ -34,40 +35,40 @@ if TYPE_CHECKING:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PERIOD = T.StructType([T.StructField("until", T.LongType()), T.StructField("used", T.IntegerType())])
+#: Buckets that the pairs are dealt to; each takes one call and one state per micro-batch.
+BUCKETS = 4096
+_PERIODS = "who array<string>, until array<bigint>, used array<int>"
 
 
-class OpenPeriods(StatefulProcessor):
-    """One (subject, rule): its new firings, against the period that is open."""
+def open_periods(names: Sequence[str]):
+    """The new firings of one bucket of keys, key by key, against the periods that are open; ``names`` are the columns of what is accepted."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.period = handle.getValueState("period", _PERIOD)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def run(_: Any, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         import pandas as pd
 
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["clock", "event_id"], kind="stable")
-        before, used = self.period.get() if self.period.exists() else (None, 0)
-        accepted, until, used = walk_periods(new["clock"].to_numpy(), new["period"].to_numpy(), new["max_in_period"].to_numpy(), before, used)
-        self.period.update((until, int(used)))
-        if until != before:
-            if before is not None:
-                self.handle.deleteTimer(_timer(before))
-            self.handle.registerTimer(_timer(until))
-        yield new.loc[np.asarray(accepted), ["subject_id", "rule_id", "event_id", "rule_pos", "rule_points"]]
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        self.period.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def _timer(until: int) -> int:
-    """Milliseconds at which nothing before ``until`` (microseconds) can come any more."""
-    return -(-until // 1000)
+        passed = state.getCurrentWatermarkMs() * 1000  # no firing before this can come any more
+        open_ = {k: (until, used) for k, until, used in zip(*state.get) if until > passed} if state.exists else {}
+        parts = list(frames)
+        new = pd.concat(parts, ignore_index=True) if parts else None
+        if new is not None and len(new):
+            new = new.sort_values(["who", "clock", "event_id"], kind="stable", ignore_index=True)
+            who = new["who"].to_numpy()
+            clock, period, limit = (new[c].to_numpy(np.int64) for c in ("clock", "period", "max_in_period"))
+            starts = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+            accepted = np.zeros(len(new), bool)
+            for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(new)]):
+                run_ = slice(low, high)
+                accepted[run_], until, used = walk_periods(clock[run_], period[run_], limit[run_], *open_.get(who[low], (None, 0)))
+                open_[who[low]] = until, int(used)
+            yield new.loc[accepted, list(names)]
+        last = -(-max((until for until, _ in open_.values()), default=0) // 1000)
+        if last > state.getCurrentWatermarkMs():
+            state.update((list(open_), [u for u, _ in open_.values()], [n for _, n in open_.values()]))
+            state.setTimeoutTimestamp(last)
+        elif state.exists:
+            state.remove()
+
+    return run
 
 
 def accepted_stream(spark: SparkSession, scored: DataFrame, rules: Sequence[Rule], late_by: str = "10 minutes") -> DataFrame:
@@ -89,7 +90,10 @@ def accepted_stream(spark: SparkSession, scored: DataFrame, rules: Sequence[Rule
         F.element_at(length, F.col("rule_id")).cast("bigint").alias("period"),
         F.element_at(most, F.col("rule_id")).cast("int").alias("max_in_period"))
     out = T.StructType([fired.schema[c] for c in columns])
-    kept = bound.groupBy(*KEYS).transformWithStateInPandas(OpenPeriods(), out, "append", "eventTime")
+    # A pair's name as text: ids of any type, null as well, keep apart and whole in the state.
+    named = bound.withColumns({"who": F.to_json(F.struct(*KEYS)), "bucket": F.pmod(F.xxhash64(*KEYS), F.lit(BUCKETS))})
+    kept = named.groupBy("bucket").applyInPandasWithState(
+        open_periods(columns), out, _PERIODS, "append", GroupStateTimeout.EventTimeTimeout)
     return kept.unionByName(free)
 
 

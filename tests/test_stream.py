@@ -238,6 +238,22 @@ def test_cooldown_state_ends_with_its_period(spark, tmp_path, people):
     assert states[0] == 2 * states[-1]  # of two pairs one has ended
 
 
+def test_cooldown_takes_a_call_per_bucket_not_per_pair(spark, tmp_path, people, monkeypatch):
+    """Forty subjects in three buckets, over two runs: the limits hold for each subject, and there are three states."""
+    monkeypatch.setattr(cooldown, "BUCKETS", 3)
+    folder, check, seen, states = tmp_path / "in", str(tmp_path / "c"), [], []
+    for part in range(2):
+        put(folder, f"{part}.json", [line(5 * i, minutes=i / 40, subject_id=f"s{i % 40}") for i in range(part * 80, part * 80 + 80)])
+        events = jobs.events_from_lines(wire.stream_lines(spark, str(folder)))
+        out = cooldown.accepted_stream(spark, jobs.apply_rules(jobs.with_profile(events, people), cooled_rules()), cooled_rules(), "1 minute")
+        query = (out.writeStream.foreachBatch(lambda df, _: seen.extend(r.event_id for r in df.collect()))
+                 .option("checkpointLocation", check).trigger(availableNow=True).start())
+        query.awaitTermination()
+        states.append(int(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]))
+    assert sorted(seen) == [f"e{5 * i:04d}" for i in range(80)]  # two of four firings of each subject, all in one hour
+    assert states == [3, 3]
+
+
 def test_twenty_batches_keep_a_constant_number_of_tables(spark, tmp_path, people):
     import pathlib
 
