@@ -73,20 +73,33 @@ class WordEncoder:
         if self.held > CACHE_BYTES:
             self.older, self.known, self.held = self.known, {"": b""}, 0
         known, older = self.known, self.older
-        new = set().union(*pieces).difference(known)
+        out, missing = [], []
+        for i, words in enumerate(pieces):  # one look at each word; only texts with a new one are looked at again
+            try:
+                out.append(b"".join(map(known.__getitem__, words)))
+            except KeyError:
+                out.append(b"")
+                missing.append(i)
+        if not missing:
+            return out
+        new = set().union(*[pieces[i] for i in missing]).difference(known)
         again = new.intersection(older)
         known.update((w, older[w]) for w in again)
         before = len(known) - len(again)
         self._learn(new.difference(again))
-        added = itertools.islice(reversed(known.items()), len(known) - before)
-        self.held += sum(len(w) + len(i) + ENTRY_BYTES for w, i in added)
-        return [b"".join([known[w] for w in words]) for words in pieces]
+        added = len(known) - before
+        self.held += added * ENTRY_BYTES + sum(sum(map(len, itertools.islice(reversed(x), added))) for x in (known, known.values()))
+        for i in missing:
+            out[i] = b"".join(map(known.__getitem__, pieces[i]))
+        return out
 
     def _learn(self, new: set[str]) -> None:
         """Ids of new words. Marks behind a letter are pieces of their own, as the pre-tokeniser splits there."""
         known, parts = self.known, []
-        letters, marks, others = set(), set(), set()
-        for word in new:
+        # Most new words are letters alone and as they will be looked up: nothing to take off, nothing to lower.
+        letters = {w for w in new if w.isalpha() and (w.islower() or not w.isascii())}
+        marks, others = set(), set()
+        for word in new.difference(letters):
             core = word.rstrip(MARKS)
             if not core or not core[-1].lower()[-1].isalpha() or "<|" in word:  # lower case can end in a mark
                 core = word

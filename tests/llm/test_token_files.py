@@ -31,6 +31,19 @@ def test_words_equal_whole_texts():
     assert got == [np.asarray(i[:-1], "<u4").tobytes() for i in expected(texts)]
 
 
+def test_known_words_are_looked_at_once():
+    """Texts whose words are all known are joined straight from the table, without a set of their words held against it."""
+    class Table(dict):
+        def __iter__(self):
+            raise AssertionError("went through the whole table")
+
+    texts = [f"one two three word{i % 7} Éa x, <|y" for i in range(100)]
+    encoder = tf.WordEncoder(WORDS, "<u4")
+    want = encoder.encode(texts)
+    encoder.known = Table(encoder.known)
+    assert encoder.encode(texts) == want == [np.asarray(i[:-1], "<u4").tobytes() for i in expected(texts)]
+
+
 def test_awkward(awkward):
     rows = tf.token_digest(awkward, tf.corpus_folder(awkward), WORDS).orderBy("start").collect()
     assert len(rows) == 8 and [r.doc_id for r in rows][:2] == [None, None]
