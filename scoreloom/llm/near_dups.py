@@ -18,9 +18,9 @@ Candidates of a bucket: all pairs while it has up to ``SMALL`` texts. Of a large
 centres, the text that has most company over all its sketches and the least key, so that a group of many thousand copies
 makes two rows per text and not all pairs. Then rounds follow for buckets whose texts are not all in one class yet: if at most
 ``SMALL`` pairs a text are between classes, all of these are compared. Else the bucket is split by each later sketch, the parts get
-new centres, and the next round looks at the parts. Pairs that only the last sketch joins, in a bucket that would have to be split again, are
-those that share no second sketch beside those split by. A pair of similarity 0.8 shares under three of sixteen with a chance of about
-three in a hundred thousand.
+new centres, and the next round looks at the parts. A pair that shares only the sketches by which a part was made is in no part of it. At
+the end, therefore, all pairs that are still between classes are compared in every such part that was split again, so that no pair which shares two
+sketches is left out. Lengths narrow all these comparisons: a pair of similarity 0.8 differs by a fourth in k-mers at most.
 
 Pairs that are in one class anyhow are not compared again, so in large buckets ``n_links`` counts the links that were needed
 to build the class, not all links there are.
@@ -130,20 +130,22 @@ def sketches(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _sketch_rows(docs: DataFrame) -> DataFrame:
-    """(key, sketch hashes) of each text with words; docs has (key, text)."""
+    """(key, sketch hashes, number of k-mers) of each text with words; docs has (key, text)."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for low, high in slices(offsets):
                 part = offsets[low: high + 1] - offsets[low]
                 words = plain_words(data[offsets[low]: offsets[high]], part)
-                texts, codes = sketches(*kmers(words.hashes(), words.text, high - low))
+                keys, owner = kmers(words.hashes(), words.text, high - low)
+                texts, codes = sketches(keys, owner)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * SKETCHES),
                                                  pa.array(codes.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low).take(pa.array(texts)), lists],
-                                                 names=["key", "sketches"])
+                sizes = np.diff(np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), len(owner)))[: len(texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low).take(pa.array(texts)), lists,
+                                                  pa.array(sizes, pa.int64())], names=["key", "sketches", "n"])
 
-    return docs.mapInArrow(over, "key binary, sketches array<bigint>")
+    return docs.mapInArrow(over, "key binary, sketches array<bigint>, n bigint")
 
 
 def _word_rows(docs: DataFrame) -> DataFrame:
@@ -269,15 +271,16 @@ def _shared(left: Column, right: Column) -> Column:
 
 
 def _pairs(df: DataFrame, left: str, right: str) -> DataFrame:
-    """(a, b), a before b, of the structs in two columns (key, c0, c1) that share two sketches at least."""
+    """(a, b), a before b, of the structs in two columns (key, n, c0, c1) that share two sketches at least and are long enough for each other."""
     x, y = F.col(left), F.col(right)
-    return df.where((x["key"] != y["key"]) & (_shared(x, y) >= 2)).select(
+    alike = F.least(x["n"], y["n"]) * 5 >= F.greatest(x["n"], y["n"]) * 4  # else no alignment can reach the similarity of 0.8
+    return df.where((x["key"] != y["key"]) & alike & (_shared(x, y) >= 2)).select(
         F.least(x["key"], y["key"]).alias("a"), F.greatest(x["key"], y["key"]).alias("b"))
 
 
 def _members(sketched: DataFrame) -> DataFrame:
     """(bucket, at, size, t: key and codes) of the buckets that several of the texts (key, sketches) are in."""
-    rows = _with_codes(sketched).select(F.struct("key", *_CODES).alias("t"), F.posexplode("sketches").alias("at", "bucket"))
+    rows = _with_codes(sketched).select(F.struct("key", "n", *_CODES).alias("t"), F.posexplode("sketches").alias("at", "bucket"))
     return rows.join(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket")
 
 
@@ -298,17 +301,47 @@ def candidates(sketched: DataFrame, members: DataFrame | None = None) -> DataFra
 
 
 def _parts(members: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Members (bucket, at, size, t) of the parts into which each later sketch splits their buckets."""
-    split = (members.select("bucket", "at", "t", "t.key").join(sketched.select("key", "sketches"), "key")
-             .select("bucket", "at", "t", F.posexplode("sketches").alias("next", "code")).where("next > at")
-             .select(F.xxhash64("bucket", "code").alias("bucket"), F.col("next").alias("at"), "t"))
-    return split.join(split.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket")
+    """Members (bucket, at, depth, size, t, label) of the parts with several classes into which each later sketch splits their buckets."""
+    split = (_by_text(members, "label").join(sketched.select("key", "sketches"), "key").select("t", "label", "sketches", F.inline("within"))
+             .select("bucket", "at", "depth", "t", "label", F.posexplode("sketches").alias("next", "code")).where("next > at")
+             .select(F.xxhash64("bucket", "code").alias("bucket"), F.col("next").alias("at"), (F.col("depth") + 1).alias("depth"), "t", "label"))
+    sizes = split.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return split.join(sizes.where("low <> high").select("bucket", "size"), "bucket")
+
+
+def _by_text(members: DataFrame, *more: str) -> DataFrame:
+    """(key, t, within: bucket, at and depth of all its buckets), a row per text, so that joins by text make no more rows than texts;
+    ``more`` are columns that are the same in all rows of a text."""
+    return members.groupBy("t.key").agg(F.first("t").alias("t"), *[F.first(c).alias(c) for c in more],
+                                        F.collect_list(F.struct("bucket", "at", "depth")).alias("within"))
+
+
+def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (bucket, at, depth, t) with the class that each text is in so far."""
+    return (_by_text(members).join(labels, "key", "left").select("t", F.coalesce("label", "key").alias("label"), F.inline("within"))
+            .select("bucket", "at", "depth", "t", "label"))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """Members of the buckets that several classes are in, with the largest class and whether the pairs between classes are many."""
+    groups = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    buckets = (groups.groupBy("bucket").agg(
+        F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("main"),
+        ((F.pow(F.sum("n"), 2) - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"), F.count("*").alias("classes"))
+        .where("classes > 1").select("bucket", "main", (F.col("cross") > F.col("size") * SMALL).alias("split")))
+    return placed.join(buckets, "bucket")
 
 
 def _between(members: DataFrame) -> DataFrame:
-    """Pairs between different classes of buckets (bucket, t, label, main): of those outside the main class with all others."""
-    others = members.where("label <> main").select("bucket", F.col("t").alias("x"), F.col("label").alias("other"))
-    return _pairs(others.join(members.select("bucket", "t", "label"), "bucket").where("label <> other"), "t", "x")
+    """Pairs between different classes of buckets (bucket, t, label, main): of those outside the main class with all others.
+
+    Texts meet in bands of length: similar ones differ by a fourth at most, so they are in the same band or in neighbouring ones.
+    """
+    band = F.floor(F.log(1.2501, F.col("t.n")))
+    others = members.where("label <> main").select("bucket", F.col("t").alias("x"), F.col("label").alias("other"),
+                                                   F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+    met = others.join(members.select("bucket", "t", "label", band.alias("band")), ["bucket", "band"])
+    return _pairs(met.where("label <> other"), "t", "x")
 
 
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -329,36 +362,39 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
 
     found = verified(pairs)
     tried = pairs
-    members = members.where(F.col("size") > SMALL)
-    labels = None
+    members = members.where(F.col("size") > SMALL).withColumn("depth", F.lit(1))
+    labels, rest = None, None
     while True:
         # Only what is new changes the classes: the labels so far stand for all links before.
         new = found if labels is None else fresh_links.union(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
         labels = stored(components(new), "near-labels")
-        placed = stored(members.select("bucket", "at", "t", "t.key").join(labels, "key", "left")
-                        .select("bucket", "at", "t", F.coalesce("label", "key").alias("label")), "near-placed")
-        groups = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        buckets = (groups.groupBy("bucket").agg(
-            F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("main"),
-            ((F.pow(F.sum("n"), 2) - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"), F.count("*").alias("classes"))
-            .where("classes > 1").select("bucket", "main", (F.col("cross") > F.col("size") * SMALL).alias("split")))
-        placed = stored(placed.join(buckets, "bucket"), "near-open")
+        placed = stored(_placed(members, labels), "near-placed")
+        placed = stored(_open(placed), "near-open")
         if placed.isEmpty():
-            return found
+            break
+        # A pair that shares no sketch but those a bucket stands for is in none of its parts: such buckets are looked at again at the end.
+        # At depth 1 there is no such pair, as a pair to verify shares two sketches.
+        deep = placed.where("split and depth > 1").select("bucket", "at", "depth", "t")
+        rest = deep if rest is None else rest.union(deep)
         parts = stored(_parts(placed.where("split"), sketched), "near-parts")
         # New centres of the parts; parts of up to SMALL texts are looked at whole in the next round.
         large = parts.where(F.col("size") > SMALL)
         order = F.xxhash64("t.key", "bucket")
-        centres = large.groupBy("bucket").agg(F.max_by("t", order).alias("one"), F.min_by("t", order).alias("two"))
-        starred = large.select("bucket", "t").join(centres, "bucket").select("t", F.explode(F.array("one", "two")).alias("c"))
+        centre = F.struct("t", "label")
+        centres = large.groupBy("bucket").agg(F.max_by(centre, order).alias("one"), F.min_by(centre, order).alias("two"))
+        starred = (large.select("bucket", "t", "label").join(centres, "bucket").select("t", "label", F.explode(F.array("one", "two")).alias("c"))
+                   .where("label <> c.label").select("t", F.col("c.t").alias("c")))
         more = _between(placed.where("not split")).union(_pairs(starred, "t", "c")).distinct()
         more = stored(more.join(tried, ["a", "b"], "left_anti"), "near-pairs")  # what was no link before is none now
         fresh_links = verified(more)
         found = stored(found.union(fresh_links).distinct(), "near-links")
-        if parts.isEmpty():
-            return found
         tried = stored(tried.union(more), "near-tried")
-        members = parts
+        members = parts.drop("label")
+    if rest is None or rest.isEmpty():
+        return found
+    # The exact way for the rest: all pairs that are still between classes.
+    more = _between(_open(_placed(rest, labels))).distinct()
+    return stored(found.union(verified(stored(more.join(tried, ["a", "b"], "left_anti"), "near-pairs"))).distinct(), "near-links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

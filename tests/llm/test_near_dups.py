@@ -94,6 +94,21 @@ def test_classes_of_large_buckets(spark, kind):
     assert [got[i] for i in range(len(texts))] == joined_by_all_pairs(texts)
 
 
+def test_no_pair_is_lost_in_buckets_that_are_split_again(spark, monkeypatch):
+    """Thirty pairs of near copies, all in one bucket by two sketches and by no third: splitting on never parts them into smaller ones."""
+    from pyspark.sql import functions as F
+
+    rnd, real, texts = random.Random(9), nd._sketch_rows, []
+    for _ in range(30):
+        words = ["".join(rnd.choice("abcdefgh") for _ in range(7)) for _ in range(100)]
+        texts += [" ".join(words), " ".join([*words[:-1], "other"])]
+    same_two = [F.when(F.lit(i < 2), F.lit(i)).otherwise(F.xxhash64("key", F.lit(i))).cast("bigint") for i in range(nd.SKETCHES)]
+    monkeypatch.setattr(nd, "_sketch_rows", lambda docs: real(docs).withColumn("sketches", F.array(*same_two)))
+    monkeypatch.setattr(nd, "SMALL", 2)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in nd.classes(df).collect()} == {i: i - i % 2 for i in range(60)}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a int, b int")
     labels = {r.key: r.label for r in components(chain).collect()}
