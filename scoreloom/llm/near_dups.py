@@ -16,11 +16,11 @@ rows carry of the sketches is a byte each, so this is known where the pair is ma
 
 Candidates of a bucket: all pairs while it has up to ``SMALL`` texts. Of a larger one, every text is first compared with two
 centres, the text that has most company over all its sketches and the least key, so that a group of many thousand copies
-makes two rows per text and not all pairs. Then rounds follow for buckets whose texts are not all in one class yet: if at most
-``SMALL`` pairs a text are between classes, all of these are compared. Else the bucket is split by each later sketch, the parts get
-new centres, and the next round looks at the parts. A pair that shares only the sketches by which a part was made is in no part of it. At
-the end, therefore, all pairs that are still between classes are compared in every such part that was split again, so that no pair which shares two
-sketches is left out. Lengths narrow all these comparisons: a pair of similarity 0.8 differs by a fourth in k-mers at most.
+makes two rows per text and not all pairs. What is still between classes then is compared in tiles: the texts outside the bucket's largest
+class, in blocks, meet all its texts, in blocks. A tile tells from the sketches which pairs to look at, counts the k-mers they have in
+common for all of them in one matrix product, and aligns those that have enough while they are in different classes; it gives links, and no
+row is made for a pair. A pair is looked at in the tile of the first sketch it shares only, and not if it met in a small bucket. Buckets above
+``SPLIT`` texts are split by a second sketch first; a pair to verify shares two, so none is lost.
 
 Pairs that are in one class anyhow are not compared again, so in large buckets ``n_links`` counts the links that were needed
 to build the class, not all links there are.
@@ -46,6 +46,11 @@ SIMILARITY = 0.8
 SKETCHES = 16
 MINIMA = 2
 SMALL = 32
+#: Texts, and their words together, in one block of a large bucket; two blocks meet in a tile.
+TILE = 1024
+TILE_WORDS = 1 << 19
+#: Buckets with more texts are split by a second sketch before.
+SPLIT = 4096
 
 _ROLL = np.uint64(0xD6E8FEB86659FD93)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -300,48 +305,142 @@ def candidates(sketched: DataFrame, members: DataFrame | None = None) -> DataFra
     return listed.union(_pairs(starred, "t", "c")).distinct()
 
 
-def _parts(members: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Members (bucket, at, depth, size, t, label) of the parts with several classes into which each later sketch splits their buckets."""
-    split = (_by_text(members, "label").join(sketched.select("key", "sketches"), "key").select("t", "label", "sketches", F.inline("within"))
-             .select("bucket", "at", "depth", "t", "label", F.posexplode("sketches").alias("next", "code")).where("next > at")
-             .select(F.xxhash64("bucket", "code").alias("bucket"), F.col("next").alias("at"), (F.col("depth") + 1).alias("depth"), "t", "label"))
-    sizes = split.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    return split.join(sizes.where("low <> high").select("bucket", "size"), "bucket")
-
-
-def _by_text(members: DataFrame, *more: str) -> DataFrame:
-    """(key, t, within: bucket, at and depth of all its buckets), a row per text, so that joins by text make no more rows than texts;
-    ``more`` are columns that are the same in all rows of a text."""
-    return members.groupBy("t.key").agg(F.first("t").alias("t"), *[F.first(c).alias(c) for c in more],
-                                        F.collect_list(F.struct("bucket", "at", "depth")).alias("within"))
-
-
-def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, at, depth, t) with the class that each text is in so far."""
-    return (_by_text(members).join(labels, "key", "left").select("t", F.coalesce("label", "key").alias("label"), F.inline("within"))
-            .select("bucket", "at", "depth", "t", "label"))
-
-
-def _open(placed: DataFrame) -> DataFrame:
-    """Members of the buckets that several classes are in, with the largest class and whether the pairs between classes are many."""
-    groups = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    buckets = (groups.groupBy("bucket").agg(
-        F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("main"),
-        ((F.pow(F.sum("n"), 2) - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"), F.count("*").alias("classes"))
-        .where("classes > 1").select("bucket", "main", (F.col("cross") > F.col("size") * SMALL).alias("split")))
-    return placed.join(buckets, "bucket")
+def _texts(members: DataFrame, labels: DataFrame, sketched: DataFrame, words: DataFrame) -> DataFrame:
+    """A row per text of the large buckets: key, n, sketches, words, its class so far (label), its large buckets (within: bucket and at)
+    and the places of their sketches as bits (large)."""
+    by_text = members.groupBy("t.key").agg(F.collect_list(F.struct("bucket", "at")).alias("within"),
+                                           F.bit_or(F.expr("shiftleft(1, at)")).alias("large"))
+    return (by_text.join(labels, "key", "left").join(sketched, "key").join(words, "key")
+            .select("key", "n", "sketches", "words", F.coalesce("label", "key").alias("label"), "within", "large"))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members (bucket, at, next, key, n, label) of the buckets that several classes are in, with the bucket's size, whether the text is outside its
+    largest class, and in how many blocks the texts outside of it (outer) and all its texts (blocks) are dealt."""
+    def dealt(count: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(count / TILE), F.ceil(size / TILE_WORDS)).cast("int")
+
+    groups = members.groupBy("bucket", "label").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    buckets = groups.groupBy("bucket").agg(F.max(F.struct("c", "w", "label")).alias("main"), F.sum("c").alias("size"), F.sum("w").alias("w"),
+                                           F.count("*").alias("classes")).where("classes > 1")
+    return members.join(buckets.select(
+        "bucket", "size", F.col("main.label").alias("main"), dealt(F.col("size"), F.col("w")).alias("blocks"),
+        dealt(F.col("size") - F.col("main.c"), F.col("w") - F.col("main.w")).alias("outer")), "bucket").select(
+        "bucket", "at", "next", "key", "n", "label", "size", (F.col("label") != F.col("main")).alias("outside"), "outer", "blocks")
+
+
+def _split(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members of the parts into which each later sketch splits a bucket; a pair to compare shares two sketches, so it is in one of them."""
+    return (members.join(texts.select("key", "sketches"), "key")
+            .select("bucket", "at", "key", "n", "label", F.posexplode("sketches").alias("next", "code")).where("next > at")
+            .select(F.xxhash64("bucket", "next", "code").alias("bucket"), "at", "next", "key", "n", "label"))
+
+
+def _tiles(opened: DataFrame) -> DataFrame:
+    """(bucket, i, j, at, next, key, outside, left): the texts outside a bucket's largest class, block by block (left), meet each block of all its texts."""
+    place = F.xxhash64("key", "bucket")
+    i, j = (F.pmod(place, F.col(c)).cast("int") for c in ("outer", "blocks"))
+    keep = ("bucket", "at", "next", "key", "outside")
+    left = opened.where("outside").select(*keep, i.alias("i"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("j"), F.lit(True).alias("left"))
+    right = opened.select(*keep, F.explode(F.expr("sequence(0, outer - 1)")).alias("i"), j.alias("j"), F.lit(False).alias("left"))
+    return left.unionByName(right)
+
+
+def shared_kmers(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many k-mers, with repeats, each text on the left has in common with each on the right; texts as word hashes."""
+    def labelled(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        keys, owner = kmers(np.concatenate(texts).astype(np.uint64), owner, len(texts))
+        return mix(keys + occurrences(keys, owner) * np.uint64(0x9E3779B97F4A7C15)), owner
+
+    (ka, oa), (kb, ob) = labelled(left), labelled(right)
+    both = np.intersect1d(ka, kb)
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not len(both):
+        return out
 
+    def found(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, keys), len(both) - 1)
+        known = both[at] == keys
+        return at[known], owner[known]
+
+    (ka, oa), (kb, ob) = found(ka, oa), found(kb, ob)
+    for low in range(0, len(both), 4096):  # bounds the matrices, whatever number of k-mers
+        width = min(4096, len(both) - low)
+        sides = []
+        for at, owner, n in ((ka, oa, len(left)), (kb, ob, len(right))):
+            here = (at >= low) & (at < low + width)
+            side = np.zeros((n, width), np.float32)
+            side[owner[here], at[here] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
 
-def _between(members: DataFrame) -> DataFrame:
-    """Pairs between different classes of buckets (bucket, t, label, main): of those outside the main class with all others.
 
-    Texts meet in bands of length: similar ones differ by a fourth at most, so they are in the same band or in neighbouring ones.
-    """
-    band = F.floor(F.log(1.2501, F.col("t.n")))
-    others = members.where("label <> main").select("bucket", F.col("t").alias("x"), F.col("label").alias("other"),
-                                                   F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    met = others.join(members.select("bucket", "t", "label", band.alias("band")), ["bucket", "band"])
-    return _pairs(met.where("label <> other"), "t", "x")
+def _tile_links(tile: pa.Table) -> pa.Table:
+    """Links between the classes of a tile. Of pairs that share two sketches and no small bucket, each is looked at in one tile: that of the
+    first sketch they share (and the second, if the bucket was split). Common k-mers are counted for all pairs at once; pairs that have enough
+    are aligned while they are in different classes."""
+    none = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+    at, after = tile.column("at")[0].as_py(), tile.column("next")[0].as_py()
+    left = tile.column("left").to_numpy(zero_copy_only=False)
+    keys = np.array(tile.column("key").to_pylist(), object)
+    _, label = np.unique(np.array(tile.column("label").to_pylist(), object), return_inverse=True)
+    codes = tile.column("sketches").combine_chunks().flatten().to_numpy().reshape(-1, SKETCHES)
+    n, large = tile.column("n").to_numpy(), tile.column("large").to_numpy()
+    outside = tile.column("outside").to_numpy(zero_copy_only=False)
+    x, y = np.flatnonzero(left), np.flatnonzero(~left)
+    order = np.argsort(np.argsort(keys))
+    good = (label[x][:, None] != label[y]) & (~outside[y] | (order[x][:, None] < order[y]))  # a pair of texts outside is in both orders
+    good &= np.minimum(n[x][:, None], n[y]) * 5 >= np.maximum(n[x][:, None], n[y]) * 4  # else no alignment can reach 0.8
+    count, second = np.zeros(good.shape, np.uint8), np.full(good.shape, -1, np.int8)
+    for i in range(SKETCHES):
+        same = codes[x, i][:, None] == codes[y, i]
+        if i < at:
+            good &= ~same
+        count += same
+        second[same & (count == 2)] = i
+        good &= ~(same & (large[x] >> i & 1 == 0)[:, None])
+    good &= count >= 2
+    if after >= 0:
+        good &= second == after
+    rows, columns = np.flatnonzero(good.any(1)), np.flatnonzero(good.any(0))
+    if not len(rows):
+        return none
+    x, y, good = x[rows], y[columns], good[np.ix_(rows, columns)]
+    words = [np.frombuffer(w, "<u4") for w in tile.column("words").to_pylist()]
+    common = shared_kmers([words[i] for i in x], [words[i] for i in y])
+    size = n[x][:, None] + n[y]
+    p, q = np.nonzero(good & (common >= SIMILARITY * size / (1 + SIMILARITY) - 1e-6))
+    root = list(range(int(label.max()) + 1))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    found = []
+    for k in np.argsort(-common[p, q] / size[p, q], kind="stable"):
+        i, j = x[p[k]], y[q[k]]
+        one, other = top(int(label[i])), top(int(label[j]))
+        if one != other and similarity(words[i], words[j]) >= SIMILARITY:
+            root[one] = other
+            found.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
+    return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+
+
+def _between(texts: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each large bucket, all pairs that share two sketches."""
+    members = texts.select("key", "n", "label", F.inline("within")).select("bucket", "at", F.lit(-1).alias("next"), "key", "n", "label")
+    opened = stored(_open(members), "near-open")
+    tiles = _tiles(opened.where(F.col("size") <= SPLIT))
+    wide = opened.where(F.col("size") > SPLIT)
+    if not wide.isEmpty():
+        parts = stored(_open(_split(wide, texts)), "near-open")
+        tiles = tiles.unionByName(_tiles(parts))
+    rows = tiles.join(texts.select("key", "n", "label", "large", "sketches", "words"), "key")
+    return rows.groupBy("bucket", "i", "j").applyInArrow(_tile_links, "a binary, b binary")
 
 
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -351,50 +450,16 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
     members = stored(_members(sketched), "near-members")
     pairs = stored(candidates(sketched, members), "near-pairs")
     # Texts with a large bucket may be compared later on; the keys grow with the texts, so the join is shuffled at every size.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).union(members.where(F.col("size") > SMALL).select("t.key"))
+    large = members.where(F.col("size") > SMALL)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).union(large.select("t.key"))
     wanted = stored(wanted.distinct(), "near-wanted")
     words = stored(_word_rows(keyed.join(wanted.hint("merge"), "key", "left_semi")).dropDuplicates(["key"]), "near-words")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        joined = (pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
-                  .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b"))
-        return stored(_verify(joined), "near-links")
-
-    found = verified(pairs)
-    tried = pairs
-    members = members.where(F.col("size") > SMALL).withColumn("depth", F.lit(1))
-    labels, rest = None, None
-    while True:
-        # Only what is new changes the classes: the labels so far stand for all links before.
-        new = found if labels is None else fresh_links.union(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
-        labels = stored(components(new), "near-labels")
-        placed = stored(_placed(members, labels), "near-placed")
-        placed = stored(_open(placed), "near-open")
-        if placed.isEmpty():
-            break
-        # A pair that shares no sketch but those a bucket stands for is in none of its parts: such buckets are looked at again at the end.
-        # At depth 1 there is no such pair, as a pair to verify shares two sketches.
-        deep = placed.where("split and depth > 1").select("bucket", "at", "depth", "t")
-        rest = deep if rest is None else rest.union(deep)
-        parts = stored(_parts(placed.where("split"), sketched), "near-parts")
-        # New centres of the parts; parts of up to SMALL texts are looked at whole in the next round.
-        large = parts.where(F.col("size") > SMALL)
-        order = F.xxhash64("t.key", "bucket")
-        centre = F.struct("t", "label")
-        centres = large.groupBy("bucket").agg(F.max_by(centre, order).alias("one"), F.min_by(centre, order).alias("two"))
-        starred = (large.select("bucket", "t", "label").join(centres, "bucket").select("t", "label", F.explode(F.array("one", "two")).alias("c"))
-                   .where("label <> c.label").select("t", F.col("c.t").alias("c")))
-        more = _between(placed.where("not split")).union(_pairs(starred, "t", "c")).distinct()
-        more = stored(more.join(tried, ["a", "b"], "left_anti"), "near-pairs")  # what was no link before is none now
-        fresh_links = verified(more)
-        found = stored(found.union(fresh_links).distinct(), "near-links")
-        tried = stored(tried.union(more), "near-tried")
-        members = parts.drop("label")
-    if rest is None or rest.isEmpty():
-        return found
-    # The exact way for the rest: all pairs that are still between classes.
-    more = _between(_open(_placed(rest, labels))).distinct()
-    return stored(found.union(verified(stored(more.join(tried, ["a", "b"], "left_anti"), "near-pairs"))).distinct(), "near-links")
+    joined = (pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
+              .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b"))
+    found = stored(_verify(joined), "near-links")
+    labels = stored(components(found), "near-labels")
+    texts = stored(_texts(large, labels, sketched.select("key", "n", "sketches"), words), "near-texts")
+    return stored(found.union(_between(texts)).distinct(), "near-links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

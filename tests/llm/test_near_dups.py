@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -109,6 +110,53 @@ def test_no_pair_is_lost_in_buckets_that_are_split_again(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in nd.classes(df).collect()} == {i: i - i % 2 for i in range(60)}
 
 
+def test_tables_grow_with_the_texts_and_not_with_their_pairs(spark, monkeypatch):
+    """Texts that share a passage and no more: all pairs share sketches, none is a link. Two are near copies."""
+    rnd, word = random.Random(10), lambda: "".join(rnd.choice("abcdefgh") for _ in range(7))
+    passage = [word() for _ in range(120)]
+    texts = [" ".join([*passage, *[word() for _ in range(60)]]) for _ in range(200)]
+    texts.append(texts[7] + " " + word())
+    real, made = nd.stored, []
+
+    def stored(df, name):
+        out = real(df, name)
+        made.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(nd, "stored", stored)
+    monkeypatch.setattr(nd, "SMALL", 8)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in nd.classes(df).collect()} == {i: i if i < 200 else 7 for i in range(201)}
+    assert max(made)[0] <= nd.SKETCHES * len(texts), max(made)
+
+
+def test_common_kmers_of_all_pairs():
+    rnd = np.random.default_rng(11)
+    names = rnd.integers(1 << 31, 1 << 32, 3).astype("<u4")
+    left, right = ([names[rnd.integers(0, 3, rnd.integers(1, 30))] for _ in range(n)] for n in (40, 30))
+
+    def counts(t):
+        return Counter(tuple(t[i:i + nd.K]) for i in range(len(t) - nd.K + 1)) if len(t) >= nd.K else Counter([("whole", *t)])
+
+    assert nd.shared_kmers(left, right).tolist() == [[(counts(a) & counts(b)).total() for b in right] for a in left]
+
+
+def test_blocks_and_split_buckets_lose_no_link(spark, monkeypatch):
+    """Copies about as similar as the threshold, in blocks of a few texts and in buckets that are split by a second sketch."""
+    rnd, word = random.Random(12), lambda: "".join(rnd.choice("abcdefgh") for _ in range(7))
+    base, texts = [word() for _ in range(250)], []
+    for _ in range(150):
+        copy = list(base)
+        for at in rnd.sample(range(250), rnd.choice([3, 4, 5, 6])):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    for name, value in (("SMALL", 4), ("TILE", 16), ("SPLIT", 64)):
+        monkeypatch.setattr(nd, name, value)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in nd.classes(df).collect()}
+    assert [got[i] for i in range(len(texts))] == joined_by_all_pairs(texts)
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a int, b int")
     labels = {r.key: r.label for r in components(chain).collect()}
