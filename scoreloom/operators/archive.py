@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 
 from scoreloom.functions.bands import config_tier
 from scoreloom.model import ScoreConfig
-from scoreloom.session import shared_dir
+from scoreloom.session import new_table_path
 
 ARCHIVE_COLUMNS = ("subject_id", "ts", "event_id", "event_type", "event_subtype", "source_system", "city", "region",
                    "country", "confidence", "score_change", "new_score", "previous_score", "applied_rules")
@@ -49,21 +49,35 @@ def write_archive(spark: SparkSession, pe: DataFrame, path: str, version: str =
     sorted newest first, so a subject's recent events are in few row groups and one hot date is many tasks. Event ids lie
     anywhere, so row groups have bloom filters on them. ``files`` are further options of the files.
     """
-    shared_dir(spark)
-    new = archive_rows(pe, version).checkpoint()  # the batch is worked out once: its dates and its rows are read from here
+    new = _batch_rows(spark, pe, version)
     dates = [r["date"] for r in new.select("date").distinct().collect()]
     if not dates:
         return
     if _exists(spark, path):
-        old = spark.read.parquet(path).filter(F.col("date").isin(dates)).select(*new.columns)
-        # The files being replaced are also read, so the new version is written out first.
-        new = latest_per_key(old.unionByName(new).drop("date"), version).withColumn("date", F.to_date("ts")).checkpoint()
-    rows = (new.repartitionByRange("date", "subject_id", "ts")
-            .sortWithinPartitions("date", "subject_id", F.col("ts").desc(), "event_id"))
-    (rows.write.mode("overwrite").options(**_bloom("event_id")).options(**files or {})
+        # The files being replaced are also read; a dynamic overwrite replaces them when all new ones are whole.
+        new = spark.read.parquet(path).filter(F.col("date").isin(dates)).select(*new.columns).unionByName(new)
+    (_laid_out(new, version).write.mode("overwrite").options(**_bloom("event_id")).options(**files or {})
      .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
 
 
+def _batch_rows(spark: SparkSession, pe: DataFrame, version: str) -> DataFrame:
+    """The batch's rows, written: it is worked out once, and its dates, its range limits and its rows are read from there."""
+    cols = [*ARCHIVE_COLUMNS, *([version] if version not in ARCHIVE_COLUMNS else [])]
+    rows = pe.select(*cols).withColumn("date", F.to_date("ts"))
+    staged = new_table_path(spark, "archive-batch")
+    rows.write.parquet(staged)
+    return spark.read.schema(rows.schema).parquet(staged)
+
+
+def _laid_out(rows: DataFrame, version: str) -> DataFrame:
+    """The latest row per key, cut and sorted as the files are. The date follows from the time, so all rows of a key are in one range
+    and one shuffle does for both."""
+    kept = [c for c in rows.columns if c not in (*ARCHIVE_KEY, "date")]
+    latest = (rows.repartitionByRange("date", "subject_id", "ts").groupBy("date", *ARCHIVE_KEY)
+              .agg(F.max_by(F.struct(*kept), F.col(version)).alias("r")).select(*ARCHIVE_KEY, "r.*", "date"))
+    return latest.sortWithinPartitions("date", "subject_id", F.col("ts").desc(), "event_id")
+
+
 def _bloom(column: str) -> dict[str, str]:
     """Parquet bloom filters on a column, each row group's sized by the values it really has."""
     return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true",

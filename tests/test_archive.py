@@ -35,6 +35,26 @@ def test_archive_overwrites_same_key_and_leaves_other_dates(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(subject_id,a)" in plan
 
 
+def test_archive_rows_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """One shuffle by range finds the latest row per key and lays out the files, and nothing goes to checkpoints."""
+    pe, plans, real = processed(spark, ("a", 1, "1", 1.0), ("a", 1, "1", 2.0), ("a", 3, "4", 2.0)), [], A._laid_out
+
+    def laid_out(rows, version):
+        out = real(rows, version)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    def no_checkpoint(*_):
+        raise AssertionError("rows are checkpointed")
+
+    monkeypatch.setattr(A, "_laid_out", laid_out)
+    monkeypatch.setattr(type(pe), "checkpoint", no_checkpoint)
+    for _ in range(2):
+        A.write_archive(spark, pe, str(tmp_path / "archive"))
+    assert [p.count("Exchange ") for p in plans] == [1, 1] and all("rangepartitioning(date" in p for p in plans)
+    assert {r.event_id: r.new_score for r in spark.read.parquet(str(tmp_path / "archive")).collect()} == {"1": 2.0, "4": 2.0}
+
+
 def test_event_lookup_skips_row_groups(spark, tmp_path):
     """Small row groups without dictionaries: minima and maxima can't tell where an id is, bloom filters can."""
     path = str(tmp_path / "archive")
