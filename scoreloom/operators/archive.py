@@ -65,7 +65,7 @@ def _batch_rows(spark: SparkSession, pe: DataFrame, version: str) -> DataFrame:
     cols = [*ARCHIVE_COLUMNS, *([version] if version not in ARCHIVE_COLUMNS else [])]
     rows = pe.select(*cols).withColumn("date", F.to_date("ts"))
     staged = new_table_path(spark, "archive-batch")
-    rows.write.parquet(staged)
+    rows.write.option("compression", "zstd").parquet(staged)
     return spark.read.schema(rows.schema).parquet(staged)
 
 
