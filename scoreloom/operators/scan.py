@@ -100,17 +100,19 @@ def _carried_sums(chunks: DataFrame, keys: Sequence[str], sums: Sequence[str],
 
 
 def _stage(spark: SparkSession, df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None,
-           kernel, prepare=None) -> DataFrame:
+           kernel, prepare=None, finish=None) -> DataFrame:
     """Range-partition, sort, run the kernel, and write once.
 
     Choosing range limits reads the input once before the shuffle. Row-wise work that the order does not need
-    (``prepare``) is therefore placed behind the shuffle, where it runs once. The written table fixes the chunk
-    numbers for the second pass, and a lost executor does not bring back the work before it.
+    (``prepare``) is therefore placed behind the shuffle, where it runs once, and columns that only the written table
+    needs (``finish``) behind the kernel. The written table fixes the chunk numbers for the second pass, and a lost
+    executor does not bring back the work before it.
     """
     by = [*keys, *order]
     spread = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
     rows = spread.sortWithinPartitions(*by).withColumn("chunk", F.spark_partition_id())
     staged = kernel(prepare(rows) if prepare else rows)
+    staged = finish(staged) if finish else staged
     path = new_table_path(spark, "scan-rows")
     staged.write.parquet(path)
     return spark.read.schema(staged.schema).parquet(path)
@@ -133,14 +135,14 @@ def scan_order() -> Column:
 
 
 def clamped_scan(spark: SparkSession, df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 step: Sequence[str], chunks: int | None = None, prepare=None) -> DataFrame:
+                 step: Sequence[str], chunks: int | None = None, prepare=None, finish=None) -> DataFrame:
     """Rows of ``df`` plus, per row, the composition of all earlier steps of its key.
 
     ``order`` must make rows of a key distinct. ``prepare`` is row-wise work that adds the step columns; it runs
-    after the shuffle. The result is a scan of the written rows, joined with the small carried table: no further
+    after the shuffle, and ``finish`` adds columns behind the kernel. The result is a scan of the written rows, joined with the small carried table: no further
     shuffle.
     """
-    rows = _stage(spark, df, keys, order, chunks, lambda x: _with_kernel(x, keys, step), prepare)
+    rows = _stage(spark, df, keys, order, chunks, lambda x: _with_kernel(x, keys, step), prepare, finish)
     joined = _with_carried(spark, rows, _carried(rows, keys, step), keys)
     before = tuple(F.coalesce(F.col(f"carried_{c}"), F.lit(v)) for c, v in zip(PREFIX, _IDENTITY))
     prefix = compose(before, _cols(PREFIX))

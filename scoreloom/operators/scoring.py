@@ -67,12 +67,13 @@ def _with_bounds(config: ScoreConfig, prepare: Prepare | None) -> Prepare:
 
 
 def running_score(spark: SparkSession, deltas: DataFrame, config: ScoreConfig, order: Sequence[str],
-                  chunks: int | None = None, prepare: Prepare | None = None) -> DataFrame:
+                  chunks: int | None = None, prepare: Prepare | None = None, finish: Prepare | None = None) -> DataFrame:
     """Add ``previous_score`` and ``new_score``: the bounded running score per subject in ``order``.
 
-    Needs ``subject_id``, ``opening_score`` and ``score_change``; the last may be added by ``prepare``.
+    Needs ``subject_id``, ``opening_score`` and ``score_change``; the last may be added by ``prepare``. ``finish`` adds columns to the
+    written rows.
     """
-    scanned = clamped_scan(spark, deltas, ["subject_id"], order, _STEP, chunks, _with_bounds(config, prepare))
+    scanned = clamped_scan(spark, deltas, ["subject_id"], order, _STEP, chunks, _with_bounds(config, prepare), finish)
     before = apply_step(F.col("opening_score"), tuple(F.col(c) for c in PREFIX))
     after = clamp(before + F.col("score_change"), config.low, config.high)
     return (scanned.withColumn("new_score", on_grid(after)).withColumn("previous_score", on_grid(before))
@@ -143,33 +144,40 @@ def _resume_decay(staged: DataFrame, walker: DecayWalk) -> DataFrame:
 
 def score_events(spark: SparkSession, events: DataFrame, profiles: DataFrame, rules: Sequence[Rule] | DataFrame,
                  config: ScoreConfig = ScoreConfig(), strict_profiles: bool = False, strict_rules: bool = False,
-                 chunks: int | None = None, cooldown: bool = False, as_of: dt.datetime | None = None) -> DataFrame:
+                 chunks: int | None = None, cooldown: bool = False, as_of: dt.datetime | None = None,
+                 details: Prepare | None = None, late: Prepare | None = None) -> DataFrame:
     """The whole scoring job in batch: events in, processed events out.
 
     ``rules`` is a list, which is compiled, or a rule table of any length; both score alike. Only rules that are active and
     valid at ``as_of`` (now) and belong to the configured subset count. ``cooldown`` enforces the
     rules' limits per subject and period; it decides which rules count, so it runs before the score and costs a
-    join on the event id.
+    join on the event id. ``details`` and then ``late`` add event columns that follow from the row alone: rules and the result have
+    them, but they are not shuffled. Details are written with the score, and late columns are left to whoever reads them.
     """
+    add_details, add_late = details or (lambda df: df), late or (lambda df: df)
     joined = with_profile(events, profiles, config, strict_profiles)
     rules = rules_in_force(spark, rules, config, as_of)
 
     def change(df: DataFrame) -> DataFrame:
-        scored = apply_rule_table(df, rules, strict_rules) if isinstance(rules, DataFrame) else apply_rules(df, rules, strict_rules)
-        if not strict_profiles:
-            return scored
-        bad = F.col("processing_error").isNotNull()
-        return scored.withColumn("score_change", F.when(bad, 0.0).otherwise(F.col("score_change")))
+        known = add_late(add_details(df))
+        scored = apply_rule_table(known, rules, strict_rules) if isinstance(rules, DataFrame) else apply_rules(known, rules, strict_rules)
+        if strict_profiles:
+            bad = F.col("processing_error").isNotNull()
+            scored = scored.withColumn("score_change", F.when(bad, 0.0).otherwise(F.col("score_change")))
+        added = set(known.columns) - set(df.columns)
+        return scored.drop(*added) if added else scored
 
     fold = running_score_with_decay if config.decay.enabled else running_score
     if cooldown:
         # Error rows fire nothing, so they must not use up a period either.
         known = change(joined).withColumn("rule_scores", F.when(F.col("processing_error").isNull(), F.col("rule_scores"))
                                           .otherwise(F.slice("rule_scores", 1, 0)))
-        done = fold(spark, apply_cooldown(known, rules), config, ["ts", "event_id"], chunks)
+        done = add_details(fold(spark, apply_cooldown(known, rules), config, ["ts", "event_id"], chunks))
+    elif config.decay.enabled:
+        done = add_details(fold(spark, joined, config, ["ts", "event_id"], chunks, change))
     else:
-        done = fold(spark, joined, config, ["ts", "event_id"], chunks, change)
-    return error_rows_to_zero(done).withColumn("processing_id", processing_id())
+        done = running_score(spark, joined, config, ["ts", "event_id"], chunks, change, details)
+    return add_late(error_rows_to_zero(done).withColumn("processing_id", processing_id()))
 
 
 def rules_in_force(spark: SparkSession, rules: Sequence[Rule] | DataFrame, config: ScoreConfig,

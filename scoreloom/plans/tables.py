@@ -39,9 +39,13 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed events: one row per event with its change and the running score around it."""
+    """Processed events: one row per event with its change and the running score around it.
+
+    What follows from a row alone is not shuffled for it; the payload is not written either, queries that read it work it out.
+    """
     return _once(spark, sf_dir, "processed", lambda: score_events(
-        spark, star.events(spark, sf_dir), star.profiles(spark, sf_dir), ALL_RULES, CONFIG))
+        spark, star.source_events(spark, sf_dir), star.profiles(spark, sf_dir), ALL_RULES, CONFIG,
+        details=star.with_details, late=star.with_payload).drop("raw_type", "value"))
 
 
 def processed_with_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

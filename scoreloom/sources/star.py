@@ -100,6 +100,11 @@ def events(spark: SparkSession, sf_dir: str, payload: bool = True) -> DataFrame:
     return map_events(spark, sf_dir, spread(spark, table(spark, sf_dir, "events"), "event_id"), payload)
 
 
+def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table with the columns ``BASE``, for jobs that add the others where they read them."""
+    return base_events(spark, sf_dir, spread(spark, table(spark, sf_dir, "events"), "event_id"))
+
+
 def spread(spark: SparkSession, source: DataFrame, key: str) -> DataFrame:
     """Give a source with fewer splits than cores enough partitions; anything larger is left as it is."""
     cores = spark.sparkContext.defaultParallelism
@@ -109,41 +114,55 @@ def spread(spark: SparkSession, source: DataFrame, key: str) -> DataFrame:
 
 def map_events(spark: SparkSession, sf_dir: str, source: DataFrame, payload: bool = False) -> DataFrame:
     """The mapping itself, for a batch or a stream of rows of the event table."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    located = with_details(base_events(spark, sf_dir, source)).select(*BASE[:3], *DETAILS, *BASE[6:])
+    return with_payload(located) if payload else located
+
+
+#: What an event is made of. All other columns of the flat layout follow from these, row by row.
+BASE = ("event_id", "subject_id", "ts", "raw_type", "value", "k", "city", "region", "country", "latitude", "longitude")
+DETAILS = ("event_type", "event_subtype", "source_system", "event_name", "confidence", "k", "version", "transaction_type", "transport_type",
+           "amount", "severity_num", "relationship_type", "is_positive", "intensity", "requires_relationship_processing", "processed_at")
+
+
+def base_events(spark: SparkSession, sf_dir: str, source: DataFrame) -> DataFrame:
+    """The columns ``BASE`` of a batch or a stream of rows of the event table."""
     raw = source.select(
         "event_id", F.col("user_id").alias("subject_id"), F.col("ts").cast(T.TimestampType()).alias("ts"),
-        F.col("event_type").alias("raw_type"), "value", k.alias("k"))
+        F.col("event_type").alias("raw_type"), "value", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    who = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject_id"), "c_nationkey")
+    return (raw.join(who, "subject_id", "left")
+            .join(F.broadcast(places(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .select(*BASE))
+
+
+def with_details(base: DataFrame) -> DataFrame:
+    """Add the columns ``DETAILS``, which follow from those of ``BASE``; any other column is left as it is."""
     k, raw_type = F.col("k"), F.col("raw_type")
     kind = pick((k == 99, "identity"), (k == 97, "transportation"), (raw_type == "purchase", "financial"),
                 (raw_type == "click", "social"), (raw_type == "view", "relationship"),
                 (raw_type == "signup", "system"), ((k < 10) | (k >= 85), "legal"), default="civic")
-    typed = raw.withColumn("event_type", kind)
+    typed = base.withColumn("event_type", kind)
     et = F.col("event_type")
     subtype = pick((et == "financial", F.when(k % 10 < 7, "payment_completed").otherwise("payment_failed")),
                    (et == "social", "volunteering"), (et == "legal", "violation"),
                    (et == "system", F.when(k % 3 == 0, "data_correction").otherwise("new_citizen")),
                    (et == "relationship", _choose(RELATIONSHIPS, k % 3)), default="")
     is_rel = et == "relationship"
-    flat = typed.select(
-        "event_id", "subject_id", "ts", "event_type", subtype.alias("event_subtype"),
-        F.concat(F.lit("source_"), (F.col("event_id") % 4).cast("string")).alias("source_system"),
-        F.concat_ws("_", "event_type", "raw_type").alias("event_name"),
-        (F.lit(0.4) + (F.col("event_id") % 100) * F.lit(0.006)).alias("confidence"),
-        "k", F.lit(1).alias("version"),
-        _choose(TRANSACTIONS, k % 15).alias("transaction_type"),
-        _choose(TRANSPORTS, F.col("event_id") % 7).alias("transport_type"),
-        (F.col("value") * 10).alias("amount"),
-        (k / F.lit(100.0)).alias("severity_num"),
-        F.when(is_rel, _choose(RELATIONSHIPS, k % 3)).alias("relationship_type"),
-        F.when(is_rel, k % 10 < 7).alias("is_positive"),
-        F.when(is_rel, k / F.lit(100.0)).alias("intensity"),
-        F.when(is_rel, k % 2 == 0).alias("requires_relationship_processing"),
-        F.timestamp_add("MILLISECOND", k * 10, F.col("ts")).alias("processed_at"))
-    who = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject_id"), "c_nationkey")
-    located = (flat.join(who, "subject_id", "left")
-               .join(F.broadcast(places(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-               .drop("c_nationkey", "n_nationkey"))
-    return with_payload(located) if payload else located
+    return typed.withColumns({
+        "event_subtype": subtype,
+        "source_system": F.concat(F.lit("source_"), (F.col("event_id") % 4).cast("string")),
+        "event_name": F.concat_ws("_", "event_type", "raw_type"),
+        "confidence": F.lit(0.4) + (F.col("event_id") % 100) * F.lit(0.006),
+        "version": F.lit(1),
+        "transaction_type": _choose(TRANSACTIONS, k % 15),
+        "transport_type": _choose(TRANSPORTS, F.col("event_id") % 7),
+        "amount": F.col("value") * 10,
+        "severity_num": k / F.lit(100.0),
+        "relationship_type": F.when(is_rel, _choose(RELATIONSHIPS, k % 3)),
+        "is_positive": F.when(is_rel, k % 10 < 7),
+        "intensity": F.when(is_rel, k / F.lit(100.0)),
+        "requires_relationship_processing": F.when(is_rel, k % 2 == 0),
+        "processed_at": F.timestamp_add("MILLISECOND", k * 10, F.col("ts"))})
 
 
 def with_payload(flat: DataFrame) -> DataFrame:

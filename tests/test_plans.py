@@ -81,3 +81,14 @@ def test_hot_subject_is_split_in_a_chain_of_joins(spark, sf_dir):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_scored_table_is_shuffled_without_details(spark, sf_dir):
+    """What the scored table is made from has no column that follows from others of its row."""
+    from scoreloom.session import prepare
+
+    base = star.source_events(prepare(spark), sf_dir)
+    assert base.columns == list(star.BASE) and not set(star.DETAILS) - {"k"} & set(base.columns)
+    pe = tables.processed(spark, sf_dir)
+    assert set(star.events(spark, sf_dir).columns) <= set(pe.columns) and "raw_type" not in pe.columns
+    assert "payload" not in re.findall(r"ReadSchema: struct<(\S+)", plan(pe))[0]

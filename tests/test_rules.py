@@ -326,3 +326,23 @@ def test_score_events_with_cooldown_and_with_a_rule_table(spark):
     assert measures.rule_executions(score_events(spark, placed, people, limited, cooldown=True)).count() == 2
     table = score_events(spark, events, people, R.rules_frame(spark, ALL_RULES)).orderBy("event_id").collect()
     assert [r.new_score for r in table] == [524.0, 548.0, 572.0, 596.0]
+
+
+def test_details_are_not_shuffled_and_late_columns_not_written(spark):
+    """Columns that follow from a row are the rules' and the result's, but the shuffle and the written table do without them."""
+    events = spark.createDataFrame([event(i, "ab"[i % 2], i, "social", "volunteering") for i in range(1, 6)], EVENTS)
+    people = spark.createDataFrame([("a", "regular", 30.0), ("b", "vip", 990.0)], PEOPLE)
+    base, shown = events.drop("event_type", "event_subtype"), []
+
+    def details(df):
+        shown.append(df.columns)
+        return df.withColumns({"event_type": F.lit("social"), "event_subtype": F.lit("volunteering")})
+
+    got = score_events(spark, base, people, ALL_RULES, details=details, late=lambda df: df.withColumn("note", F.concat("event_type", F.lit("!"))))
+    want = score_events(spark, events, people, ALL_RULES).withColumn("note", F.concat("event_type", F.lit("!")))
+    assert sorted(got.columns) == sorted(want.columns)
+    names = sorted(want.drop("scan_order").columns)
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, want.select(names).collect()))
+    assert any("chunk_pos" in columns for columns in shown)  # behind the kernel, just before the write
+    written = set().union(*[spark.read.parquet(f).columns for f in got.inputFiles()])
+    assert "event_subtype" in written and "note" not in written
