@@ -34,7 +34,8 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))
 
 
-def _in_steps(spark: SparkSession, d: str, steps: int, start: Callable[[DataFrame], StreamingQuery], held_back: Column | None = None) -> None:
+def _in_steps(spark: SparkSession, d: str, steps: int, start: Callable[[DataFrame], StreamingQuery], held_back: Column | None = None,
+              mapping: Callable[[SparkSession, str, DataFrame], DataFrame] = star.map_events) -> None:
     """The event table as a stream that grows: in time order, ``steps`` times files are added and ``start``'s query runs to the end.
     Rows that are held back come one step later."""
     schema, path = star.SCHEMAS["events"], new_table_path(spark, "stream-input")
@@ -51,7 +52,7 @@ def _in_steps(spark: SparkSession, d: str, steps: int, start: Callable[[DataFram
             on_time = wanted & ~held_back if k + 1 < steps else wanted
             wanted = on_time | (within(k - 1) & held_back) if k else on_time
         rows.filter(wanted).write.mode("append").parquet(path)
-        start(star.map_events(spark, d, spark.readStream.schema(schema).parquet(path))).awaitTermination()
+        start(mapping(spark, d, spark.readStream.schema(schema).parquet(path))).awaitTermination()
 
 
 @query("t04_stream_cooldown", ORACLES["t04_cooldown"])
@@ -88,7 +89,7 @@ def _(spark, d):
         return write
 
     job = ScoringJob(spark, profiles(spark, d), ALL_RULES, new_table_path(spark, "stream-job"), config=CONFIG,
-                     sinks={n: append(n) for n in ("points", "second")})
+                     sinks={n: append(n) for n in ("points", "second")}, late=star.with_details)
 
     def start(events: DataFrame) -> StreamingQuery:
         run = job.start(events, check)
@@ -98,7 +99,7 @@ def _(spark, d):
             run = job.start(events, check)
         return run
 
-    _in_steps(spark, d, 3, start)
+    _in_steps(spark, d, 3, start, mapping=star.base_events)
     return spark.read.parquet(path)
 
 

@@ -172,14 +172,17 @@ class SinkLedger:
             fs.delete(path, True)
 
 
-def fan_out(sinks: Mapping[str, Sink], ledger: SinkLedger | None = None) -> Callable[[DataFrame, int], None]:
-    """One micro-batch to several sinks: computed once, written n times. For ``foreachBatch``."""
+def fan_out(sinks: Mapping[str, Sink], ledger: SinkLedger | None = None, keep: bool = True) -> Callable[[DataFrame, int], None]:
+    """One micro-batch to several sinks: computed once, written n times. For ``foreachBatch``.
+
+    A batch that is a written table needs no ``keep``: each sink then reads the columns it wants, where a kept batch has all of them.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         open_ = {name: sink for name, sink in sinks.items() if ledger is None or not ledger.finished(batch_id, name)}
         if not open_:
             return
-        kept = batch.persist()
+        kept = batch.persist() if keep else batch
         try:
             for name, sink in open_.items():
                 with lasting_tables():
@@ -187,7 +190,8 @@ def fan_out(sinks: Mapping[str, Sink], ledger: SinkLedger | None = None) -> Call
                 if ledger:
                     ledger.mark(batch_id, name)
         finally:
-            kept.unpersist()
+            if keep:
+                kept.unpersist()
 
     return write
 
@@ -265,7 +269,7 @@ class ScoringJob:
     """Scores each micro-batch with the batch operators and feeds the sinks.
 
     ``cooldown`` is how late an event may come, as a text like "10 minutes": it turns on the rules' limits per subject and period, which are
-    kept as stream state before the micro-batch is scored.
+    kept as stream state before the micro-batch is scored. ``late`` is that of :func:`score_events`.
     """
 
     spark: SparkSession
@@ -277,6 +281,7 @@ class ScoringJob:
     sinks: dict[str, Sink] = field(default_factory=dict)
     chunks: int | None = None
     cooldown: str | None = None
+    late: Callable[[DataFrame], DataFrame] | None = None
 
     def __post_init__(self) -> None:
         self.log = ScoreLog(self.spark, f"{self.path}/scores")
@@ -310,15 +315,17 @@ class ScoringJob:
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         people = self.current_profiles(batch_id, self._touched(batch))
+        if self.late and self.edges is not None and not self.cooldown:
+            batch = self.late(batch)
         if self.edges is None:
             if self.cooldown:
                 fold = running_score_with_decay if self.config.decay.enabled else running_score
                 done = fold(self.spark, self._scored(batch, people), self.config, ["ts", "event_id"], self.chunks)
                 pe = error_rows_to_zero(done).withColumn("processing_id", processing_id())
             else:
-                pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks)
+                pe = score_events(self.spark, batch, people, self.rules, self.config, chunks=self.chunks, late=self.late)
             changed = latest_state(pe, self.config).select("subject_id", "score", "last_score_at")
-            fan_out(self.sinks, self.ledger)(pe, batch_id)
+            fan_out(self.sinks, self.ledger, keep=False)(pe, batch_id)
             self.log.write(changed, batch_id)
             return
         scored = self._scored(batch, people).persist(StorageLevel.MEMORY_AND_DISK)
@@ -328,7 +335,7 @@ class ScoringJob:
         finally:
             scored.unpersist()  # the running score is a written table by now
         primary = every.filter("hop = 0").drop("hop", "rel", "origin_subject_id")
-        fan_out(self.sinks, self.ledger)(error_rows_to_zero(primary).withColumn("processing_id", processing_id()), batch_id)
+        fan_out(self.sinks, self.ledger, keep=False)(error_rows_to_zero(primary).withColumn("processing_id", processing_id()), batch_id)
         changed = (every.filter("hop = 1 or rule_seen").groupBy("subject_id")
                    .agg(F.max_by("new_score", "scan_order").alias("score"), F.max("ts").alias("last_score_at")))
         self.log.write(changed, batch_id)
@@ -344,6 +351,7 @@ class ScoringJob:
     def start(self, events: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         if self.cooldown:
             rules = rules_in_force(self.spark, self.rules, self.config)
+            events = self.late(events) if self.late else events
             scored = apply_rules(with_profile(events, self.profiles, self.config), rules)
             events = with_accepted(self.spark, scored, rules, self.cooldown)
         return (events.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)

@@ -329,3 +329,19 @@ def test_days_from_hours_come_when_closed(spark, tmp_path):
     put(folder, "b.json", [line(18, minutes=1439), line(1, minutes=1440 + 30)])
     run()
     assert seen == [("s0", T0.date(), 4, 6.0, 3, 2)]
+
+
+def test_sinks_of_a_job_read_the_written_batch(spark, tmp_path, people):
+    """The scored batch is a written table: it is not cached whole for the sinks, and each reads the columns it wants."""
+    put(tmp_path / "in", "a.json", [line(i) for i in range(12)])
+    kept, read = [], []
+
+    def narrow(df, _):
+        kept.append(df.is_cached)
+        read.append(df.select("event_id", "new_score")._jdf.queryExecution().executedPlan().toString())
+
+    events = jobs.events_from_lines(wire.stream_lines(spark, str(tmp_path / "in"), 1))
+    job = jobs.ScoringJob(spark, people, ALL_RULES, str(tmp_path / "job"), sinks={"narrow": narrow},
+                          late=lambda df: df.withColumn("processed_at", F.col("ts")))
+    job.start(events, str(tmp_path / "c")).awaitTermination()
+    assert kept == [False] and "InMemoryTableScan" not in read[0] and "confidence" not in read[0]
