@@ -56,8 +56,12 @@ class WordEncoder:
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model for words of lower-case ASCII letters: nothing to normalise in them, and each is one piece.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
         self.dtype = dtype
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -83,8 +87,8 @@ class WordEncoder:
         if not missing:
             return out
         new = set().union(*[pieces[i] for i in missing]).difference(known)
-        again = new.intersection(older)
-        known.update((w, older[w]) for w in again)
+        again = {w: older[w] for w in new if w in older}  # new words are few against the table
+        known.update(again)
         before = len(known) - len(again)
         self._learn(new.difference(again))
         added = len(known) - before
@@ -111,7 +115,11 @@ class WordEncoder:
                 marks.add(tail)
             (letters if core.isalpha() else others).add(core)
         others |= marks
-        self._encode_letters([w for w in letters if w not in known])
+        ascii_, foreign = [], []
+        for word in letters.difference(known):
+            (ascii_ if word.isascii() else foreign).append(word)
+        self._encode_letters(ascii_, self.plain)
+        self._encode_letters(foreign, self.tokenizer)
         wanted = [w for w in others if w not in known]
         plain = [w for w in wanted if "<|" not in w]
         for at in range(0, len(plain), 1000):
@@ -120,11 +128,11 @@ class WordEncoder:
         for word, core, tail in parts:
             known[word] = known[core] + known[tail]
 
-    def _encode_letters(self, words: list[str]) -> None:
+    def _encode_letters(self, words: list[str], tokenizer) -> None:
         """Words of letters alone, many in one call: each is one piece, whose last token says so."""
         for at in range(0, len(words), 1000):
             some = words[at: at + 1000]
-            codes = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            codes = tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
             ids = np.asarray(codes, self.dtype)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(some):  # the normaliser parts some word
